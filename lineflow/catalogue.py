@@ -31,7 +31,7 @@ from lineflow.functions.udtf import with_prime_factors
 from lineflow.operators.batch import python_step
 from lineflow.operators.external import command_step
 from lineflow.operators.framing import frame_count, frame_text
-from lineflow.operators.partitioning import spread
+from lineflow.operators.partitioning import spread, spread_to_cluster
 from lineflow.options import FlowOptions, StartPosition
 from lineflow.plans.flow import run_frames, run_records
 from lineflow.session import new_run_dir
@@ -55,6 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """``cols`` of a table, spread over the cluster when its scan is narrower (PAR-1).
+
+    For flows with real per-record work (regex splits, JSON, Python,
+    commands).  Columns are pruned before the exchange, so only they move.
+    """
+    return spread_to_cluster(table(spark, sf_dir, name).select(*cols))
+
+
 # ----------------------------------------------------------------- record steps
 def flow_identity(spark, sf):
     return run_records(table(spark, sf, "events"), identity(), "props", keep=["event_id"])
@@ -74,7 +83,7 @@ def flow_upcase(spark, sf):
 
 
 def flow_tokenize(spark, sf):
-    return run_records(table(spark, sf, "documents"), tokenize(), "text", keep=["doc_id"])
+    return run_records(wide_table(spark, sf, "documents", "doc_id", "text"), tokenize(), "text", keep=["doc_id"])
 
 
 def flow_interpolate(spark, sf):
@@ -96,13 +105,14 @@ def k_buckets_flow():
 
 
 def flow_dataflow(spark, sf):
-    return run_records(table(spark, sf, "events"), k_buckets_flow(), F.struct("event_type", "props"),
-                       keep=["event_id"])
+    return run_records(wide_table(spark, sf, "events", "event_id", "event_type", "props"), k_buckets_flow(),
+                       F.struct("event_type", "props"), keep=["event_id"])
 
 
 # ----------------------------------------------------------------- provenance
 def _doc_lines(spark, sf):
-    return recordize(table(spark, sf, "documents"), "text", "source", keep=("doc_id",))
+    return recordize(wide_table(spark, sf, "documents", "doc_id", "source", "text"), "text", "source",
+                     keep=("doc_id",))
 
 
 def source_recordize(spark, sf):
@@ -115,7 +125,8 @@ def combine_metadata_query(spark, sf):
 
 # ----------------------------------------------------------------- frames
 def framed_counts(spark, sf):
-    frames = run_frames(table(spark, sf, "conversations"), tokenize(), "text", keep=["conv_id", "turn"])
+    frames = run_frames(wide_table(spark, sf, "conversations", "conv_id", "turn", "text"), tokenize(), "text",
+                        keep=["conv_id", "turn"])
     return frames.select("conv_id", "turn", frame_count("out").alias("n_out"))
 
 
@@ -132,7 +143,7 @@ def framed_text(spark, sf):
 
 def external_command(spark, sf):
     step = command_step(["awk", AWK_SPLIT], delimiter=COMMAND_TERMINATOR, name="split_words")
-    return run_records(table(spark, sf, "part"), step, "p_name", keep=["p_partkey"])
+    return run_records(wide_table(spark, sf, "part", "p_partkey", "p_name"), step, "p_name", keep=["p_partkey"])
 
 
 def thousand_over_last_digit(line: str) -> str:
@@ -143,11 +154,11 @@ def thousand_over_last_digit(line: str) -> str:
 
 def suppress_errors(spark, sf):
     step = python_step(thousand_over_last_digit, "thousand_over_last_digit", suppress_errors=True)
-    return run_records(table(spark, sf, "events"), step, "props", keep=["event_id"])
+    return run_records(wide_table(spark, sf, "events", "event_id", "props"), step, "props", keep=["event_id"])
 
 
 def udtf_prime(spark, sf):
-    return with_prime_factors(table(spark, sf, "part"), "p_size", ["p_partkey"])
+    return with_prime_factors(wide_table(spark, sf, "part", "p_partkey", "p_size"), "p_size", ["p_partkey"])
 
 
 # ----------------------------------------------------------------- positions, sinks, partitioning

@@ -27,8 +27,9 @@ def filter_step(pred: Callable[[Column], Column], name: str = "filter", typed: b
     return Step(name, "filter", pred, typed)
 
 
-def flat_step(fn: Callable[[Column], Column], name: str = "flat", typed: bool = False) -> Step:
-    return Step(name, "flat", fn, typed)
+def flat_step(fn: Callable[[Column], Column], name: str = "flat", typed: bool = False,
+              keep: Callable[[Column], Column] | None = None) -> Step:
+    return Step(name, "flat", fn, typed, keep)
 
 
 def identity() -> Step:
@@ -65,7 +66,7 @@ def upcase() -> Step:
 
 def tokenize(pattern: str = r"\s+") -> Step:
     """One record per word; an empty line gives none (MAP-8)."""
-    return flat_step(lambda x: F.filter(F.split(x, pattern), lambda t: t != ""), "tokenizer")
+    return flat_step(lambda x: F.split(x, pattern), "tokenizer", keep=lambda t: t != "")
 
 
 def from_json(schema: str | StructType | None = None) -> Step:

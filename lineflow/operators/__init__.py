@@ -3,7 +3,7 @@
 from lineflow.operators.batch import python_step
 from lineflow.operators.external import FrameProtocolError, command_step
 from lineflow.operators.framing import frame_count, frame_text, write_framed_text
-from lineflow.operators.partitioning import spread
+from lineflow.operators.partitioning import spread, spread_to_cluster
 
 __all__ = ["python_step", "FrameProtocolError", "command_step", "frame_count", "frame_text", "write_framed_text",
-           "spread"]
+           "spread", "spread_to_cluster"]

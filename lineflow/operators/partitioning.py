@@ -8,7 +8,7 @@ exchange is added (flows are narrow, so nothing else would shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def spread(df: DataFrame, flow_parallelism: int, input_parallelism: int) -> DataFrame:
@@ -18,3 +18,18 @@ def spread(df: DataFrame, flow_parallelism: int, input_parallelism: int) -> Data
     if flow_parallelism > input_parallelism:
         return df.repartition(flow_parallelism)
     return df
+
+
+def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """PAR-1 with live numbers: spread when the scan is narrower than the cluster.
+
+    The source's parallelism is the number of partitions the batch plan
+    reads (planning only, no job); the flow's is the session's default
+    parallelism (total executor cores).  A big input has far more splits
+    than cores, so this adds no exchange at scale; a small or unsplittable
+    input (one row group, one gzip file) gets spread so every core works.
+    """
+    if df.isStreaming:
+        return df
+    spark = spark or df.sparkSession
+    return spread(df, spark.sparkContext.defaultParallelism, max(1, df.rdd.getNumPartitions()))

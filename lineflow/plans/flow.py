@@ -4,7 +4,9 @@ A *step* turns one record into zero or more records.  Four kinds exist:
 
 ``map``     one record in, one out; a null result means "no output"
 ``filter``  keep the record when the predicate is true
-``flat``    one record in, an array of records out (0..n)
+``flat``    one record in, an array of records out (0..n); an optional
+            ``keep`` predicate filters the outputs (applied after
+            ``explode`` in record mode, so it costs no lambda there)
 ``table``   a DataFrame-level step (Python code or an external command run
             through ``mapInArrow``) that rewrites the per-input array of
             records; see ``lineflow.operators``
@@ -45,6 +47,7 @@ class Step:
     kind: str
     fn: Callable
     typed: bool = False
+    keep: Callable[[Column], Column] | None = None
 
     def __post_init__(self) -> None:
         if self.kind not in STEP_KINDS:
@@ -146,6 +149,8 @@ def run_records(
         else:  # flat
             df = df.select(*keep_cols, F.explode(step.call(x, dtype)).alias(RECORD))
             df = df.where(F.col(RECORD).isNotNull())
+            if step.keep is not None:
+                df = df.where(step.keep(F.col(RECORD)))
     if in_arrays:
         df = df.select(*keep_cols, F.explode(_FRAME).alias(RECORD))
     return df.withColumnRenamed(RECORD, output) if output != RECORD else df
@@ -168,7 +173,11 @@ def frame_expr(df: DataFrame, frame: str, step: Step) -> Column:
     if step.kind == "filter":
         return F.filter(frame, fn)
     # flat: drop null inner arrays first, because flatten of a null is null
-    return F.filter(F.flatten(F.filter(F.transform(frame, fn), _not_null)), _not_null)
+    flat = F.flatten(F.filter(F.transform(frame, fn), _not_null))
+    if step.keep is not None:
+        keep = step.keep
+        return F.filter(flat, lambda y: y.isNotNull() & keep(y))
+    return F.filter(flat, _not_null)
 
 
 def run_frames(
