@@ -26,8 +26,11 @@ def scratch_root(spark: SparkSession) -> str:
     survive the loss of the machine.
     """
     root = spark.conf.get(_CKPT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc_dir = spark.sparkContext.getCheckpointDir()
+    if root and not sc_dir:
+        # set as a runtime conf only: DataFrame.checkpoint() needs it on the context too
+        spark.sparkContext.setCheckpointDir(root)
+    root = root or sc_dir
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
