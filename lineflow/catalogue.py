@@ -192,12 +192,11 @@ def _events_schema(spark, sf):
 
 
 def _write_drops(spark, sf, base: str, which: tuple[int, ...] = (0, 1, 2)) -> None:
-    """Write events into drops ``b=0..2`` by event time, as files arriving over a month."""
-    ev = table(spark, sf, "events")
+    """Write events into drops ``b=0..2`` by event time, as files arriving over a month (one job)."""
     lo, hi = (F.lit(c).cast("timestamp_ntz") for c in DROP_CUTS)
-    conds = {0: F.col("ts") < lo, 1: (F.col("ts") >= lo) & (F.col("ts") < hi), 2: F.col("ts") >= hi}
-    for i in which:
-        ev.where(conds[i]).write.mode("overwrite").parquet(f"{base}/b={i}")
+    drop = F.when(F.col("ts") < lo, 0).when(F.col("ts") < hi, 1).otherwise(2)
+    ev = table(spark, sf, "events").withColumn("b", drop)
+    ev.where(F.col("b").isin(list(which))).write.mode("append").partitionBy("b").parquet(base)
 
 
 def _parquet_stream(spark, sf, path, max_files=None):
