@@ -28,7 +28,6 @@ Both shapes are narrow: no exchange is ever added by a flow.
 
 from __future__ import annotations
 
-import inspect
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -201,12 +200,3 @@ def run_frames(
         else:
             df = df.select(*keep_cols, frame_expr(df, _FRAME, step).alias(_FRAME))
     return df.withColumnRenamed(_FRAME, output)
-
-
-def step_arity_ok(fn: Callable) -> bool:
-    """True when ``fn`` can be called with one positional argument."""
-    try:
-        inspect.signature(fn).bind(None)
-        return True
-    except (TypeError, ValueError):
-        return False

@@ -18,7 +18,7 @@ from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step, as_flow, run_records
 from lineflow.plans.registry import lookup
 from lineflow.sources import read_lines
-from lineflow.sources.records import combine_metadata
+from lineflow.sources.records import combine_metadata, number_lines
 
 
 def resolve_flow(opts: FlowOptions, flow: Step | Flow | None = None) -> Flow:
@@ -45,6 +45,20 @@ def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None
     return run_records(lines, f, "str")
 
 
+def per_batch_flow(opts: FlowOptions, flow: Step | Flow | None = None):
+    """For split-file streams: number a micro-batch's lines, spread, combine, run the flow.
+
+    Numbering needs the rows straight from the scan, so PAR-1 comes after it.
+    """
+    f = resolve_flow(opts, flow)
+
+    def apply(tagged_batch: DataFrame) -> DataFrame:
+        lines = spread(number_lines(tagged_batch), opts.flow_parallelism, opts.input_parallelism)
+        return run_records(combine_metadata(lines), f, "str")
+
+    return apply
+
+
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):

@@ -114,9 +114,16 @@ def after_marker(df: DataFrame, marker: str | None, name_col: str = "_metadata.f
 
 def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
                     checkpoint: str | None = None, glob: str | None = None,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Line records ``content, metadata, linenumber`` of a file or S3 input."""
-    from lineflow.sources.records import read_numbered_lines, recordize
+                    max_files_per_trigger: int | None = None, split_files: bool = False) -> DataFrame:
+    """Line records ``content, metadata, linenumber`` of a file or S3 input.
+
+    A stream reads each file whole (``wholetext``), which limits a file to
+    2 GB.  With ``split_files`` a stream is read in line mode instead, and
+    the result is ``content, metadata, __block`` without numbers: number
+    each micro-batch with ``records.number_lines`` inside ``foreachBatch``
+    (``streaming.start_flow(split_files=True)`` does that).
+    """
+    from lineflow.sources.records import read_numbered_lines, recordize, tag_lines
 
     root = opts.blob_path
     extra = s3_options(opts) if opts.input_kind == "s3" else {}
@@ -129,12 +136,16 @@ def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
     if checkpoint is None:
         raise OptionError("a streaming blob source needs a checkpoint location")
     marker = resolve_marker(spark, pos, root, checkpoint, glob=glob)
-    r = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if not split_files:
+        r = r.option("wholetext", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in extra.items():
         r = r.option(k, v)
+    if split_files:
+        return after_marker(tag_lines(r.load(root)), marker, "metadata")
     blobs = after_marker(r.load(root).select("value", F.col("_metadata.file_path").alias("path")), marker, "path")
     return recordize(blobs, "value", "path")

@@ -72,6 +72,40 @@ def read_wholetext(spark: SparkSession, path: str, recursive: bool = True,
     return r.load(path).select("value", F.col("_metadata.file_path").alias("path"))
 
 
+def tag_lines(raw: DataFrame) -> DataFrame:
+    """Line-mode text rows tagged for numbering: ``content, metadata, __block``."""
+    return raw.select(
+        F.col("value").alias("content"),
+        F.col("_metadata.file_path").alias("metadata"),
+        F.col("_metadata.file_block_start").alias("__block"),
+    )
+
+
+def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT) -> DataFrame:
+    """Add 1-based ``linenumber`` to ``content, metadata, __block`` rows read straight from a scan.
+
+    ``tagged`` must be a scan (or a micro-batch of one) whose every file is
+    whole in it: the ids of both passes come from re-reading the same splits.
+    """
+    spark = tagged.sparkSession
+    lines = tagged.withColumn("__id", F.monotonically_increasing_id())
+    blocks = lines.groupBy("metadata", "__block").agg(
+        F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("metadata").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("metadata", "__block", "__first",
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    # Cut lineage: the block table is small and is checkpointed to the shared folder.
+    from lineflow.session import scratch_root
+
+    scratch_root(spark)
+    blocks = blocks.checkpoint(eager=True)
+    n_blocks = blocks.count()
+    side = F.broadcast(blocks) if n_blocks <= broadcast_limit else blocks
+    return lines.join(side, ["metadata", "__block"]).select(
+        "content", "metadata",
+        (F.col("__id") - F.col("__first") + F.col("__before") + 1).cast("int").alias("linenumber"))
+
+
 def read_numbered_lines(
     spark: SparkSession,
     path: str,
@@ -95,24 +129,4 @@ def read_numbered_lines(
     raw = r.load(path)
     if after_marker is not None:
         raw = raw.where(F.col("_metadata.file_path") > F.lit(after_marker))
-    lines = raw.select(
-        F.col("value").alias("content"),
-        F.col("_metadata.file_path").alias("metadata"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__id"),
-    )
-    blocks = lines.groupBy("metadata", "__block").agg(
-        F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("metadata").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("metadata", "__block", "__first",
-                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    # Cut lineage: the block table is small and is checkpointed to the shared folder.
-    from lineflow.session import scratch_root
-
-    scratch_root(spark)
-    blocks = blocks.checkpoint(eager=True)
-    n_blocks = blocks.count()
-    side = F.broadcast(blocks) if n_blocks <= broadcast_limit else blocks
-    return lines.join(side, ["metadata", "__block"]).select(
-        "content", "metadata",
-        (F.col("__id") - F.col("__first") + F.col("__before") + 1).cast("int").alias("linenumber"))
+    return number_lines(tag_lines(raw), broadcast_limit)

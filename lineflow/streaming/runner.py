@@ -17,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step
-from lineflow.plans.topology import build_flow, dry_run
+from lineflow.plans.topology import build_flow, dry_run, per_batch_flow
 from lineflow.session import new_run_dir
-from lineflow.sinks import kafka_frame, kafka_writer_options
+from lineflow.sinks import kafka_frame, kafka_writer_options, replay_safe, write_kafka
+from lineflow.sources import read_lines
 
 
 class FlowAlreadyRunning(RuntimeError):
@@ -54,6 +55,7 @@ def start_flow(
     glob: str | None = None,
     max_per_trigger: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    split_files: bool = False,
 ) -> StreamingQuery | str:
     """Start the flow; returns the query, or the plan text on ``dry_run``.
 
@@ -63,6 +65,11 @@ def start_flow(
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default
     ``availableNow`` for bounded runs; use ``processingTime`` for a
     continuous flow).
+
+    ``split_files`` (file and S3 inputs) reads files in line mode, so a
+    file of any size is split over tasks; lines are numbered, combined and
+    run through the flow per micro-batch inside ``foreachBatch``.  File
+    sinks then get one replay-safe ``batch_id=N`` folder per batch.
     """
     opts.validate(sink="kafka" if sink == "kafka" else "other")
     name = opts.query_name
@@ -73,6 +80,8 @@ def start_flow(
             if not opts.rm:
                 raise FlowAlreadyRunning(f"a flow named {name!r} is already running; use rm=True to replace it")
             stop_flow(spark, name, opts.wait)
+    if split_files and opts.is_blob_input:
+        return _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform)
     df = build_flow(spark, opts, flow, streaming=True, checkpoint=checkpoint, glob=glob,
                     max_per_trigger=max_per_trigger)
     if transform is not None:
@@ -92,3 +101,28 @@ def start_flow(
     if path is None:
         raise ValueError(f"sink {sink!r} needs a path")
     return w.format(sink).outputMode("append").start(path)
+
+
+def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform):
+    raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger, split_files=True)
+    if opts.dry_run:
+        return dry_run(opts, raw)
+    apply = per_batch_flow(opts, flow)
+    if callable(sink):
+        write = sink
+    elif sink == "kafka":
+        def write(out, _batch_id):
+            write_kafka(kafka_frame(out, opts.output), opts)
+    elif sink == "memory":
+        raise ValueError("a split-file stream writes through foreachBatch; use a file sink or a function")
+    else:
+        if path is None:
+            raise ValueError(f"sink {sink!r} needs a path")
+        write = replay_safe(path, sink)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        out = apply(batch)
+        write(transform(out) if transform is not None else out, batch_id)
+
+    w = raw.writeStream.queryName(opts.query_name).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).foreachBatch(each).start()

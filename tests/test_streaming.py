@@ -103,3 +103,50 @@ def test_replay_safe_overwrites(spark):
     sink(batch, 0)  # replayed
     sink(batch, 1)
     assert spark.read.parquet(f"{run}/out").count() == 4
+
+
+def test_kafka_sink_plan(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src, "a.txt", "x\n")
+    o = FlowOptions(flow="upcaser", input=f"file://{src}", output="out_topic", kafka_hosts="k1,k2:9093",
+                    dry_run=True)
+    text = start_flow(spark, o, upcase(), sink="kafka")
+    assert "out_topic AS topic" in text and "value" in text
+
+
+def test_framed_output_on_a_stream(spark, tmp_path):
+    from lineflow import frame_text, run_frames, tokenize
+    from lineflow.sources.records import read_wholetext, recordize
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "a b\n\nc\n")
+    lines = recordize(read_wholetext(spark, str(src), streaming=True), "value", "path")
+    frames = run_frames(lines, tokenize(), "content", keep=["linenumber"])
+    out = frames.select("linenumber", frame_text("out", "---").alias("frame"))
+    run = new_run_dir(spark, "t-framed-stream")
+    q = (out.writeStream.option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True)
+         .format("parquet").start(f"{run}/out"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{run}/out").collect())
+    assert got == [(1, "a\nb\n---\n"), (2, "---\n"), (3, "c\n---\n")]
+
+
+def test_split_file_stream_numbers_lines(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src, "a.txt", "".join(f"line {i}\n" for i in range(1, 20001)))
+    write(src, "b.txt", "x\ny\n")
+    run = new_run_dir(spark, "t-split")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        q = start_flow(spark, opts(src, from_beginning=True), upcase(), checkpoint=f"{run}/ckpt",
+                       sink="parquet", path=f"{run}/out", split_files=True)
+        q.awaitTermination()
+        assert q.exception() is None
+        out = spark.read.parquet(f"{run}/out")
+        rows = [r._wukong.split("\t") for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    a = [r for r in rows if r[0].endswith("A.TXT")]
+    assert len(a) == 20000 and all(r[1] == f"LINE {r[2]}" for r in a)
+    assert sorted((r[1], r[2]) for r in rows if r[0].endswith("B.TXT")) == [("X", "1"), ("Y", "2")]
