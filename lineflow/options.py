@@ -190,23 +190,23 @@ class FlowOptions:
         """Precedence: from_beginning, from_end, offset, resume (POS-1..8)."""
         if self.is_blob_input:
             marker = self.offset
-            if self.from_beginning:
+            if self.from_beginning:  # POS-5
                 return StartPosition("EARLIEST", marker=marker)
-            if self.from_end:
+            if self.from_end:  # POS-6
                 return StartPosition("LATEST", marker=marker)
-            if self.offset is not None:
+            if self.offset is not None:  # POS-7
                 return StartPosition("EXPLICIT", marker=marker)
-            return StartPosition("RESUME", marker=marker)
-        if self.from_beginning:
+            return StartPosition("RESUME", marker=marker)  # POS-8
+        if self.from_beginning:  # POS-1
             return StartPosition("EARLIEST", offset=KAFKA_EARLIEST)
-        if self.from_end:
+        if self.from_end:  # POS-2
             return StartPosition("LATEST", offset=KAFKA_LATEST)
-        if self.offset is not None:
+        if self.offset is not None:  # POS-3
             try:
                 return StartPosition("EXPLICIT", offset=int(self.offset))
             except ValueError as exc:
                 raise OptionError(f"a Kafka --offset must be an integer, got {self.offset!r}") from exc
-        return StartPosition("RESUME")
+        return StartPosition("RESUME")  # POS-4
 
     # ------------------------------------------------------------------ command
     def command_argv(self) -> list[str] | None:
@@ -228,20 +228,20 @@ class FlowOptions:
     # ------------------------------------------------------------------ checks
     def validate(self, sink: str = "kafka") -> FlowOptions:
         """Raise OptionError on the first failed check (OPT-1..7)."""
-        if not (self.flow or self.bolt_command):
+        if not (self.flow or self.bolt_command):  # OPT-1
             raise OptionError("provide a dataflow to run (a flow name, --run or --bolt_command)")
-        if not self.input:
+        if not self.input:  # OPT-2
             raise OptionError("an --input is required")
-        if not self.output:
+        if not self.output:  # OPT-3
             raise OptionError("an --output is required")
         kind = self.input_kind
-        if kind == "kafka" or sink == "kafka":
+        if kind == "kafka" or sink == "kafka":  # OPT-4, OPT-6
             self.kafka_servers  # raises on empty or malformed hosts
-        if kind == "kafka" and not self.kafka_topic:
+        if kind == "kafka" and not self.kafka_topic:  # OPT-7
             raise OptionError("Kafka input needs a topic")
         if kind == "file" and not urlparse(self.input).path:
             raise OptionError("file input needs a path")
-        if kind == "s3":
+        if kind == "s3":  # OPT-5
             if not self.s3_bucket:
                 raise OptionError("S3 input needs a bucket")
             if bool(self.aws_key) != bool(self.aws_secret):

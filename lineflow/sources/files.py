@@ -94,11 +94,11 @@ def resolve_marker(spark: SparkSession, position: StartPosition, root: str, chec
         kept = stored_marker(spark, checkpoint)
         if kept is not None:
             return kept or None
-    if position.policy == "EARLIEST":
+    if position.policy == "EARLIEST":  # POS-5
         marker = None
-    elif position.policy == "EXPLICIT":
+    elif position.policy == "EXPLICIT":  # POS-7
         marker = normalize_marker(position.marker, root)
-    else:  # LATEST, or RESUME without a stored marker
+    else:  # POS-6 LATEST, or POS-8 RESUME without a stored marker
         marker = latest_existing_path(spark, root, recursive, glob)
     if checkpoint is not None:
         store_marker(spark, checkpoint, marker)

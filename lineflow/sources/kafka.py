@@ -23,10 +23,11 @@ def starting_offsets(position: StartPosition, topic: str, partitions: int) -> st
     RESUME maps to ``latest``: with an existing checkpoint Spark ignores the
     option and resumes, so it only decides the first run.
     """
-    if position.policy == "EARLIEST":
+    if position.policy == "EARLIEST":  # POS-1
         return "earliest"
-    if position.policy in ("LATEST", "RESUME"):
+    if position.policy in ("LATEST", "RESUME"):  # POS-2, POS-4
         return "latest"
+    # POS-3: the same explicit offset on every partition
     return json.dumps({topic: {str(p): int(position.offset) for p in range(partitions)}})
 
 
