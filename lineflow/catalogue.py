@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from lineflow.functions.steps import (
     flat_step,
-    from_json,
     identity,
     interpolate,
     keep_if,

@@ -65,6 +65,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "linef
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # remove checkpoint files of garbage-collected block tables (set it on clusters too)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
