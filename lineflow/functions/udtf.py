@@ -48,6 +48,9 @@ class PrimeFactors:
 
 def register_udtfs(spark: SparkSession) -> None:
     """Make ``prime_factors`` callable from SQL (``LATERAL prime_factors(col)``)."""
+    from lineflow.session import ship_package
+
+    ship_package(spark)
     spark.udtf.register(UDTF_NAME, PrimeFactors)
 
 
@@ -55,5 +58,8 @@ def with_prime_factors(df: DataFrame, n: str | Column, keep: list[str]) -> DataF
     """``keep`` columns plus one ``factor`` row per prime factor of ``n``."""
     from pyspark.sql import functions as F
 
+    from lineflow.session import ship_package
+
+    ship_package(df.sparkSession)
     arg = F.col(n) if isinstance(n, str) else n
     return df.select(*keep, arg.alias("__n")).lateralJoin(PrimeFactors(F.col("__n").outer())).select(*keep, "factor")

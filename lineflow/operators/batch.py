@@ -32,6 +32,9 @@ def frame_schema(schema: StructType, frame: str) -> StructType:
 
 def map_frames(df: DataFrame, frame: str, per_input: Callable[[list[str]], list[str]]) -> DataFrame:
     """Rewrite the per-input array ``frame`` with ``per_input`` over Arrow batches."""
+    from lineflow.session import ship_package
+
+    ship_package(df.sparkSession)
     out_schema = frame_schema(df.schema, frame)
     idx = df.columns.index(frame)
     list_type = pa.list_(pa.string())

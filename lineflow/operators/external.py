@@ -161,6 +161,9 @@ def command_step(
     extra_env = dict(env or {})
 
     def apply(df: DataFrame, frame: str) -> DataFrame:
+        from lineflow.session import ship_package
+
+        ship_package(df.sparkSession)
         out_schema = frame_schema(df.schema, frame)
         idx = df.columns.index(frame)
         list_type = pa.list_(pa.string())

@@ -72,3 +72,42 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "linef
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
     return spark
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def _package_zip() -> str:
+    """A zip of this package, built once per process, for ``addPyFile``."""
+    if not _ZIP:
+        import os
+        import zipfile
+
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.dirname(pkg)
+        path = os.path.join(tempfile.mkdtemp(prefix="lineflow-pkg-"), "lineflow.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, base))
+        _ZIP.append(path)
+    return _ZIP[0]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lineflow`` importable in the Python workers of this application.
+
+    Python steps, commands and table functions run code of this package on
+    executors.  Under ``spark-submit --py-files`` it is there already; any
+    other way (a notebook, a harness importing the package from a folder)
+    gets the package shipped once per application with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    sc.addPyFile(_package_zip())
