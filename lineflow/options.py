@@ -51,6 +51,7 @@ _INT_OPTIONS = {"kafka_partitions", "kafka_batch", "input_parallelism", "paralle
 class FlowOptions:
     flow: str | None = None
     bolt_command: str | None = None
+    bolt_program: str | None = None
     command_prefix: str | None = None
     name: str | None = None
     input: str | None = None
@@ -212,11 +213,15 @@ class FlowOptions:
     def command_argv(self) -> list[str] | None:
         """Argument list of the external record command (EXT-5), or None.
 
-        ``--bolt_command`` is used as given; otherwise a flow run by a
-        bolt program is ``[prefix..., program, flow, --k=v for extra]``.
+        ``--bolt_command`` is used as given.  With ``--bolt_program`` a
+        named flow runs through that program speaking the protocol, as
+        ``[prefix..., program..., flow, --k=v for every extra option]``.
+        Otherwise the flow runs natively (None).
         """
         if self.bolt_command:
             return shlex.split(self.bolt_command)
+        if self.bolt_program:
+            return self.bolt_argv(shlex.split(self.bolt_program))
         return None
 
     def bolt_argv(self, program: list[str]) -> list[str]:

@@ -68,3 +68,21 @@ def test_no_child_for_empty_partitions(spark):
     # a command that would fail is never started when no record reaches it
     df = lines(spark, ["a"]).where("id < 0")
     assert run_records(df, command_step(["false"]), "str").count() == 0
+
+
+def test_bolt_program_with_prefix_and_settings(spark, tmp_path):
+    from lineflow import FlowOptions
+    from lineflow.plans.topology import resolve_flow
+
+    prog = tmp_path / "bolt.py"
+    prog.write_text(
+        "import sys\n"
+        "args = sys.argv[1:]\n"
+        "for line in sys.stdin:\n"
+        "    print(' '.join(args) + ':' + line.strip())\n"
+        "    print('---', flush=True)\n")
+    o = FlowOptions.from_args(["my_flow", "--input=t", "--output=o", f"--command_prefix={sys.executable}",
+                               f"--bolt_program={prog}", "--delimiter=---", "--size=3"])
+    assert o.command_argv() == [sys.executable, str(prog), "my_flow", "--size=3"]
+    out = run_records(lines(spark, ["a"]), resolve_flow(o), "str").collect()
+    assert [r._wukong for r in out] == ["my_flow --size=3:a"]
