@@ -38,7 +38,8 @@ def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None
     """DataFrame of ``_wukong`` (one row per output record) for the launch options."""
     opts.validate(sink="none")
     f = resolve_flow(opts, flow)
-    lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False)
+    lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False,
+                       store_marker=not opts.dry_run)
     lines = spread(lines, opts.flow_parallelism, opts.input_parallelism)
     if opts.is_blob_input:
         lines = combine_metadata(lines)

@@ -53,6 +53,17 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lineflow/{label}-{uuid.uuid4().hex}"
 
 
+def query_checkpoint(spark: SparkSession, name: str) -> str:
+    """The checkpoint of the named query: the same folder every time it starts.
+
+    Starting a flow again under its name therefore resumes from its last
+    committed position (the default start policy), and replacing it
+    (stop, wait, start) continues on the same checkpoint.
+    """
+    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in name)
+    return f"{scratch_root(spark)}/lineflow/queries/{safe}"
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "lineflow") -> SparkSession:
     """A local session configured the way the tests and the bench use it."""
     spark = (

@@ -88,8 +88,11 @@ def store_marker(spark: SparkSession, checkpoint: str, marker: str | None) -> No
 
 
 def resolve_marker(spark: SparkSession, position: StartPosition, root: str, checkpoint: str | None,
-                   recursive: bool = True, glob: str | None = None) -> str | None:
-    """The exclusive path marker for a blob source, or None to read everything."""
+                   recursive: bool = True, glob: str | None = None, store: bool = True) -> str | None:
+    """The exclusive path marker for a blob source, or None to read everything.
+
+    ``store=False`` (a dry run) computes the marker without recording it.
+    """
     if checkpoint is not None:
         kept = stored_marker(spark, checkpoint)
         if kept is not None:
@@ -100,7 +103,7 @@ def resolve_marker(spark: SparkSession, position: StartPosition, root: str, chec
         marker = normalize_marker(position.marker, root)
     else:  # POS-6 LATEST, or POS-8 RESUME without a stored marker
         marker = latest_existing_path(spark, root, recursive, glob)
-    if checkpoint is not None:
+    if checkpoint is not None and store:
         store_marker(spark, checkpoint, marker)
     return marker
 
@@ -114,7 +117,8 @@ def after_marker(df: DataFrame, marker: str | None, name_col: str = "_metadata.f
 
 def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
                     checkpoint: str | None = None, glob: str | None = None,
-                    max_files_per_trigger: int | None = None, split_files: bool = False) -> DataFrame:
+                    max_files_per_trigger: int | None = None, split_files: bool = False,
+                    store_marker: bool = True) -> DataFrame:
     """Line records ``content, metadata, linenumber`` of a file or S3 input.
 
     A stream reads each file whole (``wholetext``), which limits a file to
@@ -135,7 +139,7 @@ def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
         return read_numbered_lines(spark, root, glob=glob, after_marker=marker, options=extra)
     if checkpoint is None:
         raise OptionError("a streaming blob source needs a checkpoint location")
-    marker = resolve_marker(spark, pos, root, checkpoint, glob=glob)
+    marker = resolve_marker(spark, pos, root, checkpoint, glob=glob, store=store_marker)
     r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if not split_files:
         r = r.option("wholetext", "true")

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step
 from lineflow.plans.topology import build_flow, dry_run, per_batch_flow
-from lineflow.session import new_run_dir
+from lineflow.session import query_checkpoint
 from lineflow.sinks import kafka_frame, kafka_writer_options, replay_safe, write_kafka
 from lineflow.sources import read_lines
 
@@ -66,6 +66,10 @@ def start_flow(
     ``availableNow`` for bounded runs; use ``processingTime`` for a
     continuous flow).
 
+    Without ``checkpoint`` the query's own folder below the shared scratch
+    root is used (``session.query_checkpoint``), so a flow started again by
+    name resumes (STR-3) and a replaced flow continues (STR-6).
+
     ``split_files`` (file and S3 inputs) reads files in line mode, so a
     file of any size is split over tasks; lines are numbered, combined and
     run through the flow per micro-batch inside ``foreachBatch``.  File
@@ -73,7 +77,7 @@ def start_flow(
     """
     opts.validate(sink="kafka" if sink == "kafka" else "other")
     name = opts.query_name
-    checkpoint = checkpoint or new_run_dir(spark, f"ckpt-{name}")
+    checkpoint = checkpoint or query_checkpoint(spark, name)
     if not opts.dry_run:
         running = active_query(spark, name)
         if running is not None:
@@ -104,7 +108,8 @@ def start_flow(
 
 
 def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform):
-    raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger, split_files=True)
+    raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger, split_files=True,
+                     store_marker=not opts.dry_run)
     if opts.dry_run:
         return dry_run(opts, raw)
     apply = per_batch_flow(opts, flow)

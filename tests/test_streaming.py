@@ -61,16 +61,19 @@ def test_explicit_marker(spark, tmp_path):
 def test_name_replace_and_dry_run(spark, tmp_path):
     src = tmp_path / "in"
     write(src, "a.txt", "x\n")
-    o = opts(src, name="named_flow")
+    run = new_run_dir(spark, "t-replace")
+    o = opts(src, name=f"named_{run.rsplit('-', 1)[-1]}")
     text = start_flow(spark, FlowOptions(**{**o.__dict__, "dry_run": True}), upcase(), sink="memory")
-    assert "query name : named_flow" in text and "Physical Plan" in text
-    q1 = start_flow(spark, o, upcase(), sink="memory", trigger={"processingTime": "1 second"})
+    assert f"query name : {o.name}" in text and "Physical Plan" in text
+    every = {"processingTime": "1 second"}
+    q1 = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out", trigger=every)
     try:
         with pytest.raises(FlowAlreadyRunning):
-            start_flow(spark, o, upcase(), sink="memory", trigger={"processingTime": "1 second"})
+            start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out", trigger=every)
         o2 = FlowOptions(**{**o.__dict__, "rm": True, "wait": 5})
-        q2 = start_flow(spark, o2, upcase(), sink="memory", trigger={"processingTime": "1 second"})
-        assert not q1.isActive and q2.isActive and active_query(spark, "named_flow").id == q2.id
+        q2 = start_flow(spark, o2, upcase(), sink="parquet", path=f"{run}/out", trigger=every)
+        assert not q1.isActive and q2.isActive and active_query(spark, o.name).id == q2.id
+        assert q2.id == q1.id and q2.runId != q1.runId  # same checkpoint, new run
         q2.stop()
     finally:
         for q in spark.streams.active:
@@ -150,3 +153,28 @@ def test_split_file_stream_numbers_lines(spark, tmp_path):
     a = [r for r in rows if r[0].endswith("A.TXT")]
     assert len(a) == 20000 and all(r[1] == f"LINE {r[2]}" for r in a)
     assert sorted((r[1], r[2]) for r in rows if r[0].endswith("B.TXT")) == [("X", "1"), ("Y", "2")]
+
+
+def test_restart_by_name_resumes(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src, "a.txt", "one\n")
+    run = new_run_dir(spark, "t-by-name")
+    o = opts(src, name=f"by_name_{run.rsplit('-', 1)[-1]}", from_beginning=True)
+    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out")
+    q.awaitTermination()
+    write(src, "b.txt", "two\n")
+    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out")
+    q.awaitTermination()
+    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    assert got == ["ONE", "TWO"]  # the second start read only the new file
+
+
+def test_dry_run_writes_nothing(spark, tmp_path):
+    from lineflow.sources.files import stored_marker
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "x\n")
+    run = new_run_dir(spark, "t-dry")
+    o = opts(src, from_end=True, dry_run=True)
+    assert "Physical Plan" in start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="memory")
+    assert stored_marker(spark, f"{run}/ckpt") is None
