@@ -10,6 +10,7 @@ from lineflow.functions.steps import (
     keep_if,
     map_step,
     repeat,
+    route,
     skip,
     to_json,
     tokenize,
@@ -18,5 +19,5 @@ from lineflow.functions.steps import (
 from lineflow.functions.udtf import PrimeFactors, factorize, register_udtfs, with_prime_factors
 
 __all__ = ["drop_if", "filter_step", "flat_step", "from_json", "identity", "interpolate", "keep_if", "map_step",
-           "repeat", "skip", "to_json", "tokenize", "upcase", "PrimeFactors", "factorize", "register_udtfs",
+           "repeat", "route", "skip", "to_json", "tokenize", "upcase", "PrimeFactors", "factorize", "register_udtfs",
            "with_prime_factors"]

@@ -128,3 +128,14 @@ def interpolate(template: str, name: str = "interpolate") -> Step:
         return F.concat(*pieces) if pieces else F.lit("")
 
     return map_step(fill, name, typed=True)
+
+
+def route(topic: Callable[[Column], Column], name: str = "route") -> Step:
+    """Choose an output topic per record (SNK-2); a null topic keeps the default.
+
+    The record becomes ``struct(topic, value)``; sinks write ``value`` to
+    ``coalesce(topic, default)``.  Put it last, after ``to_json`` when the
+    record is structured.
+    """
+    return map_step(lambda x: F.struct(topic(x).cast("string").alias("topic"), x.cast("string").alias("value")),
+                    name)

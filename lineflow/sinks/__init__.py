@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lineflow.operators.framing import write_framed_text
 from lineflow.options import FlowOptions
@@ -25,11 +26,16 @@ def kafka_frame(df: DataFrame, default_topic: str, value: str = "_wukong",
     ``keep`` columns ride along for inspection; drop them before a Kafka
     write, which accepts only key, value, topic, partition and headers.
     """
-    has_topic = isinstance(topic, Column) or (topic is not None and topic in df.columns)
     t = F.lit(default_topic)
-    if has_topic:
+    v = F.col(value)
+    vtype = df.schema[value].dataType
+    if isinstance(vtype, StructType) and {"topic", "value"} <= set(vtype.fieldNames()):
+        # a record routed by the flow itself (functions.route)
+        t = F.coalesce(v["topic"], t)
+        v = v["value"]
+    elif isinstance(topic, Column) or (topic is not None and topic in df.columns):
         t = F.coalesce(F.col(topic) if isinstance(topic, str) else topic, t)
-    return df.select(*keep, t.alias("topic"), F.col(value).cast("string").alias("value"))
+    return df.select(*keep, t.alias("topic"), v.cast("string").alias("value"))
 
 
 def kafka_writer_options(opts: FlowOptions) -> dict[str, str]:

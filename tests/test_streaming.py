@@ -178,3 +178,14 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     o = opts(src, from_end=True, dry_run=True)
     assert "Physical Plan" in start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="memory")
     assert stored_marker(spark, f"{run}/ckpt") is None
+
+
+def test_route_step_sets_topic(spark):
+    from pyspark.sql import functions as F
+
+    from lineflow import route, run_records
+
+    df = spark.createDataFrame([("ok",), ("bad thing",)], "str string")
+    flow = upcase() | route(lambda x: F.when(x.startswith("BAD"), F.lit("errors")))
+    frame = kafka_frame(run_records(df, flow, "str"), "clean")
+    assert sorted(tuple(r) for r in frame.collect()) == [("clean", "OK"), ("errors", "BAD THING")]
