@@ -64,6 +64,29 @@ class _Child:
                                      stderr=subprocess.PIPE, cwd=cwd, env=dict(env))
         self._err_thread = threading.Thread(target=self._drain_stderr, daemon=True)
         self._err_thread.start()
+        self._out_fd = self.proc.stdout.fileno()
+        self._lines: list[bytes] = []  # complete lines read ahead, in reverse order
+        self._partial = b""
+        self._eof = False
+
+    def _fill(self) -> bool:
+        """Read the next chunk of output into whole lines; False at end of output."""
+        while not self._lines:
+            if self._eof:
+                return False
+            chunk = os.read(self._out_fd, 1 << 16)
+            if not chunk:
+                self._eof = True
+                if self._partial:
+                    self._lines.append(self._partial)
+                    self._partial = b""
+                    return True
+                return False
+            parts = (self._partial + chunk).split(b"\n")
+            self._partial = parts.pop()
+            parts.reverse()
+            self._lines = parts
+        return True
 
     def _drain_stderr(self) -> None:
         for line in self.proc.stderr:
@@ -97,22 +120,21 @@ class _Child:
         try:
             frames: list[list[str]] = []
             current: list[str] = []
-            stdout = self.proc.stdout
+            delim = self.delimiter.encode("utf-8")
             while len(frames) < len(records):
-                raw = stdout.readline()
-                if not raw:
+                if not self._lines and not self._fill():
                     raise self.fail(
                         f"output ended after {len(frames)} of {len(records)} frames of a batch "
                         f"(early exit or missing terminator); input was {records[len(frames)]!r}"
                     )
-                line = raw.decode("utf-8", "replace")
-                if line.endswith("\n"):
-                    line = line[:-1]
-                if line == self.delimiter:
+                raw = self._lines.pop()
+                if raw.endswith(b"\r"):  # a CRLF child: the CR belongs to the line end
+                    raw = raw[:-1]
+                if raw == delim:
                     frames.append(current)
                     current = []
                 else:
-                    current.append(line)
+                    current.append(raw.decode("utf-8", "replace"))
             return frames
         finally:
             if timer:
@@ -120,7 +142,10 @@ class _Child:
 
     def finish(self) -> None:
         """After the last frame: no further output and a zero exit."""
-        rest = self.proc.stdout.read()
+        rest = b"\n".join(reversed(self._lines)) + self._partial
+        self._lines, self._partial = [], b""
+        if not self._eof:
+            rest += self.proc.stdout.read()
         code = self.proc.wait()
         self._err_thread.join(timeout=5)
         if rest.strip():

@@ -86,3 +86,9 @@ def test_bolt_program_with_prefix_and_settings(spark, tmp_path):
     assert o.command_argv() == [sys.executable, str(prog), "my_flow", "--size=3"]
     out = run_records(lines(spark, ["a"]), resolve_flow(o), "str").collect()
     assert [r._wukong for r in out] == ["my_flow --size=3:a"]
+
+
+def test_crlf_child(spark):
+    code = "import sys\nfor l in sys.stdin:\n    sys.stdout.write(l.strip() + '\\r\\n---\\r\\n')\n"
+    out = run_records(lines(spark, ["a", "b"]), command_step(py(code)), "str").collect()
+    assert sorted(r._wukong for r in out) == ["a", "b"]
