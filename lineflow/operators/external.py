@@ -5,7 +5,7 @@ output lines and then a terminator line.  Each Spark task starts one child
 (only when its partition has records), feeds it Arrow batches through
 ``mapInArrow`` and splits the answer back into one frame per input, so
 provenance stays exact.  Input is written by a separate thread while the
-task reads, which pipelines the exchange without ever deadlocking on full
+task reads, which overlaps the two directions without ever deadlocking on full
 pipes and also serves commands that buffer their input or output by
 block; frames still pair with inputs by order.
 

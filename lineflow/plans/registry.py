@@ -51,7 +51,7 @@ def processor(name: str, kind: str = "map", typed: bool = False) -> Callable[[Ca
 
 
 def dataflow(name: str, *parts: Step | Flow | str) -> Flow:
-    """Register a named pipeline of steps; parts may be names of registered flows."""
+    """Register a named chain of steps; parts may be names of registered flows."""
     flow = Flow(())
     for p in parts:
         flow = flow | (lookup(p) if isinstance(p, str) else p)

@@ -90,7 +90,7 @@ _ZIP: list[str] = []
 
 
 def _package_zip() -> str:
-    """A zip of this package, built once per process, for ``addPyFile``."""
+    """A zip of this package, built once per process, for ``addPyFile`` in local sessions."""
     if not _ZIP:
         import os
         import zipfile
@@ -109,16 +109,18 @@ def _package_zip() -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``lineflow`` importable in the Python workers of this application.
+    """Make ``lineflow`` importable in the Python workers of a local session.
 
     Python steps, commands and table functions run code of this package on
-    executors.  Under ``spark-submit --py-files`` it is there already; any
-    other way (a notebook, a harness importing the package from a folder)
-    gets the package shipped once per application with ``addPyFile``.
+    executors.  On a cluster the package ships the standard way
+    (``spark-submit --py-files lineflow.zip``), so nothing happens here.  A
+    local session whose workers may start in another folder (a notebook,
+    a harness importing the package by path) gets it once per application
+    with ``addPyFile``.
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     _SHIPPED.add(app)
     sc.addPyFile(_package_zip())
