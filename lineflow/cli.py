@@ -2,10 +2,13 @@
 
     python -m lineflow run FLOW --flows=my_flows.py --input=TOPIC|file:///dir|s3://b/p
                                --output=TOPIC [--sink=kafka|parquet|text|memory --path=DIR]
-                               [--checkpoint=DIR] [--trigger=available|"10 seconds"] [launch options]
+                               [--checkpoint=DIR] [--trigger=available|"10 seconds"]
+                               [--max_per_trigger=N] [--split_files] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
-``--flows`` names Python files or modules that register processors and
+``--max_per_trigger`` caps the files (or Kafka offsets) of one
+micro-batch; ``--split_files`` numbers lines of files of any size (see
+``start_flow``).  ``--flows`` names Python files or modules that register processors and
 dataflows (``lineflow.processor``, ``lineflow.dataflow``); give it more
 than once for several.  ``--bolt_command='cmd args'`` runs an external
 command instead of a named flow.  Meant to run under ``spark-submit``,
@@ -23,7 +26,7 @@ import sys
 from lineflow.options import FlowOptions, OptionError
 from lineflow.plans.registry import UnknownFlowError
 
-_OWN = ("flows", "sink", "path", "checkpoint", "trigger")
+_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "split_files")
 
 
 def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
@@ -31,8 +34,8 @@ def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
     rest = []
     for a in argv:
         key, eq, val = a[2:].partition("=") if a.startswith("--") else ("", "", "")
-        if eq and key in own:
-            own[key].append(val)
+        if key in own and (eq or key == "split_files"):
+            own[key].append(val if eq else "true")
         else:
             rest.append(a)
     return own, rest
@@ -92,9 +95,12 @@ def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     from lineflow.streaming.runner import FlowAlreadyRunning, start_flow
 
     sink = (own["sink"] or ["kafka"])[-1]
+    cap = (own["max_per_trigger"] or [None])[-1]
+    split = (own["split_files"] or ["false"])[-1].lower() not in ("false", "0", "no")
     try:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
-                       path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]))
+                       path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
+                       max_per_trigger=int(cap) if cap else None, split_files=split)
     except FlowAlreadyRunning as exc:
         print(f"error: {exc}", file=sys.stderr)
         return 2

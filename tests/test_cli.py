@@ -45,3 +45,19 @@ def test_errors(spark):
     assert main(["run", "--input=foo", "--output=bar"]) == 1
     assert main(["run", "nope", "--input=foo", "--output=bar"]) == 1
     assert main([]) == 1
+
+
+def test_run_files_to_parquet(spark, tmp_path):
+    from lineflow.session import new_run_dir
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(3):
+        (src / f"f{i}.txt").write_text(f"line {i}\n")
+    run = new_run_dir(spark, "t-cli-run")
+    code = main(["run", "upcaser", "--flows=lineflow.functions.examples", f"--input=file://{src}", "--output=o",
+                 "--from_beginning", "--sink=parquet", f"--path={run}/out", f"--checkpoint={run}/ckpt",
+                 "--max_per_trigger=1", "--split_files"])
+    assert code == 0
+    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    assert got == ["LINE 0", "LINE 1", "LINE 2"]
