@@ -7,7 +7,9 @@ output lines and then a terminator line.  Each Spark task starts one child
 provenance stays exact.  Input is written by a separate thread while the
 task reads, which overlaps the two directions without ever deadlocking on full
 pipes and also serves commands that buffer their input or output by
-block; frames still pair with inputs by order.
+block; frames still pair with inputs by order.  Input batches wait in
+memory until their frames are read, so a command that answers only at
+the end of its input holds its task's partition in memory, no more.
 
 Failures raise ``FrameProtocolError`` naming the input concerned: a child
 that ends early, omits a terminator, prints past its last frame (an output
@@ -201,10 +203,13 @@ def command_step(
             pending: queue.Queue = queue.Queue()
             child: _Child | None = None
             box: dict[str, object] = {}
+            stop = threading.Event()
 
             def feed() -> None:
                 try:
                     for batch in batches:
+                        if stop.is_set():  # the task ended early: read no more input
+                            break
                         per_input = batch.column(idx).to_pylist()
                         flat = [r for recs in per_input for r in (recs or []) if r is not None]
                         for r in flat:
@@ -253,6 +258,7 @@ def command_step(
                 if child is not None:
                     child.finish()
             finally:
+                stop.set()
                 child = box.get("child")
                 if child is not None:
                     child.close()
