@@ -58,9 +58,16 @@ def dataflow(name: str, *parts: Step | Flow | str) -> Flow:
     return register(name, flow)
 
 
+def _load_builtins() -> None:
+    """Register the documentation processors (identity, upcaser, tokenizer, ...) once."""
+    import lineflow.functions.examples  # noqa: F401  (registers on import)
+
+
 def lookup(name: str | None) -> Flow:
     if not name:
         raise UnknownFlowError("provide a dataflow to run (a flow name or --run)")
+    if name not in _REGISTRY:
+        _load_builtins()
     try:
         return _REGISTRY[name]
     except KeyError:
@@ -70,4 +77,5 @@ def lookup(name: str | None) -> Flow:
 
 
 def registered() -> list[str]:
+    _load_builtins()
     return sorted(_REGISTRY)

@@ -34,8 +34,7 @@ def test_bolt_command(spark, tmp_path):
 def test_run_dry(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")
-    code = main(["run", "upcaser", "--flows=lineflow.functions.examples", f"--input=file://{tmp_path}/in",
-                 "--output=out", "--sink=memory", "--dry_run"])
+    code = main(["run", "upcaser", f"--input=file://{tmp_path}/in", "--output=out", "--sink=memory", "--dry_run"])
     assert code == 0
     printed = capsys.readouterr().out
     assert "query name : upcaser" in printed and "Physical Plan" in printed

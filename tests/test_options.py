@@ -123,3 +123,8 @@ def test_parallelism_defaults_to_source():
     assert args("x --input=foo --output=bar --input_parallelism=3").flow_parallelism == 3
     assert args("x --input=foo --output=bar --input_parallelism=3 --parallelism=5").flow_parallelism == 5
     assert kafka_reader_options(args("x --input=foo --output=bar --input_parallelism=3"))["minPartitions"] == "3"
+
+
+def test_builtin_names_resolve():
+    for name in ("identity", "upcaser", "tokenizer", "from_json", "to_json", "prime_factorizer"):
+        assert lookup(name).steps
