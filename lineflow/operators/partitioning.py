@@ -20,16 +20,25 @@ def spread(df: DataFrame, flow_parallelism: int, input_parallelism: int) -> Data
     return df
 
 
+# A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by
+# default); cutting it into more than 64 pieces would make tasks of under
+# 2 MB, whose scheduling costs more than they save.
+MAX_PIECES_PER_SPLIT = 64
+
+
 def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """PAR-1 with live numbers: spread when the scan is narrower than the cluster.
 
     The source's parallelism is the number of partitions the batch plan
     reads (planning only, no job); the flow's is the session's default
-    parallelism (total executor cores).  A big input has far more splits
-    than cores, so this adds no exchange at scale; a small or unsplittable
-    input (one row group, one gzip file) gets spread so every core works.
+    parallelism (total executor cores), capped at ``MAX_PIECES_PER_SPLIT``
+    pieces per scan split.  A big input has far more splits than cores, so
+    this adds no exchange at scale; a small or unsplittable input (one row
+    group, one gzip file) gets spread so the cores share the work.
     """
     if df.isStreaming:
         return df
     spark = spark or df.sparkSession
-    return spread(df, spark.sparkContext.defaultParallelism, max(1, df.rdd.getNumPartitions()))
+    splits = max(1, df.rdd.getNumPartitions())
+    width = min(spark.sparkContext.defaultParallelism, splits * MAX_PIECES_PER_SPLIT)
+    return spread(df, width, splits)
