@@ -9,6 +9,7 @@ query.
 """
 
 from lineflow.functions import (
+    dataframe_step,
     drop_if,
     filter_step,
     flat_step,
@@ -31,7 +32,7 @@ from lineflow.plans import Flow, Step, dataflow, lookup, processor, register, ru
 __version__ = "0.1.0"
 
 __all__ = [
-    "drop_if", "filter_step", "flat_step", "from_json", "identity", "interpolate", "keep_if", "map_step", "repeat", "route",
+    "dataframe_step", "drop_if", "filter_step", "flat_step", "from_json", "identity", "interpolate", "keep_if", "map_step", "repeat", "route",
     "skip", "to_json", "tokenize", "upcase", "command_step", "frame_count", "frame_text", "python_step", "spread",
     "write_framed_text", "FlowOptions", "OptionError", "StartPosition", "Flow", "Step", "dataflow", "lookup",
     "processor", "register", "run_frames", "run_records",

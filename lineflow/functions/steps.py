@@ -32,6 +32,15 @@ def flat_step(fn: Callable[[Column], Column], name: str = "flat", typed: bool =
     return Step(name, "flat", fn, typed, keep)
 
 
+def dataframe_step(fn: Callable, name: str = "dataframe") -> Step:
+    """Any ``DataFrame -> DataFrame`` function as a step (MAP-13).
+
+    ``fn`` sees the carried columns and the record column ``_wukong`` and
+    must return them; it may use any DataFrame operation.
+    """
+    return Step(name, "dataframe", fn)
+
+
 def identity() -> Step:
     """Pass the record through (MAP-4)."""
     return map_step(lambda x: x, "identity")

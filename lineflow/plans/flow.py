@@ -10,6 +10,10 @@ A *step* turns one record into zero or more records.  Four kinds exist:
 ``table``   a DataFrame-level step (Python code or an external command run
             through ``mapInArrow``) that rewrites the per-input array of
             records; see ``lineflow.operators``
+``dataframe`` any ``DataFrame -> DataFrame`` function over the carried
+            columns and the record column ``_wukong`` (Spark's own joins,
+            aggregates or windows inside a flow); record mode only, since
+            it may regroup rows and so has no per-input frame
 
 Steps compose with ``|`` into a ``Flow`` (MAP-13, UDF-2).  A flow is
 compiled into ordinary Catalyst expressions in one of two shapes:
@@ -23,7 +27,8 @@ compiled into ordinary Catalyst expressions in one of two shapes:
   steps become higher-order functions over that array, so output counts
   per input need no shuffle and no regrouping.
 
-Both shapes are narrow: no exchange is ever added by a flow.
+Both shapes are narrow: no exchange is ever added by a flow (a
+``dataframe`` step adds whatever its own DataFrame code adds).
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
-STEP_KINDS = ("map", "filter", "flat", "table")
+STEP_KINDS = ("map", "filter", "flat", "table", "dataframe")
 RECORD = "_wukong"
 _FRAME = "__lineflow_frame"
 
@@ -139,6 +144,12 @@ def run_records(
         if in_arrays:
             df = df.select(*keep_cols, F.explode(_FRAME).alias(RECORD))
             in_arrays = False
+        if step.kind == "dataframe":
+            df = step.fn(df)
+            if RECORD not in df.columns:
+                raise ValueError(f"DataFrame step {step.name!r} must keep the record column {RECORD!r}")
+            df = df.select(*keep_cols, RECORD).where(F.col(RECORD).isNotNull())
+            continue
         dtype = df.schema[RECORD].dataType if step.typed else None
         x = F.col(RECORD)
         if step.kind == "map":
@@ -195,6 +206,9 @@ def run_frames(
     df = df.select(*_names(keep), F.filter(F.array(_col(record)), _not_null).alias(_FRAME))
     keep_cols = _keep_names(df, len(keep))
     for step in flow.steps:
+        if step.kind == "dataframe":
+            raise ValueError(f"DataFrame step {step.name!r} may regroup rows, so it has no per-input frame; "
+                             "run the flow with run_records")
         if step.kind == "table":
             df = step.fn(df, _FRAME)
         else:

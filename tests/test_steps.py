@@ -135,3 +135,16 @@ def test_filter_reaches_parquet_scan(spark):
     text = plan.executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), Not(EqualTo(event_type,error))]" in text
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in text
+
+
+def test_dataframe_step(spark):
+    from lineflow import dataframe_step
+
+    df = df_of(spark, ["b a", "a", "c a b"])
+    distinct_words = tokenize() | dataframe_step(lambda d: d.dropDuplicates(["_wukong"]), "distinct") | upcase()
+    out = sorted(r._wukong for r in run_records(df, distinct_words, "str").collect())
+    assert out == ["A", "B", "C"]
+    with pytest.raises(ValueError, match="per-input frame"):
+        run_frames(df, distinct_words, "str")
+    with pytest.raises(ValueError, match="record column"):
+        run_records(df, dataframe_step(lambda d: d.select("id")), "str", keep=["id"])
