@@ -19,8 +19,10 @@ from lineflow.plans.flow import Step
 _CORRUPT = "__lineflow_corrupt"
 
 
-def map_step(fn: Callable[[Column], Column], name: str = "map", typed: bool = False) -> Step:
-    return Step(name, "map", fn, typed)
+def map_step(fn: Callable[[Column], Column], name: str = "map", typed: bool = False,
+             nonnull: bool = False) -> Step:
+    """A one-to-one step; ``nonnull=True`` promises a non-null record never maps to null."""
+    return Step(name, "map", fn, typed, nonnull=nonnull)
 
 
 def filter_step(pred: Callable[[Column], Column], name: str = "filter", typed: bool = False) -> Step:
@@ -28,8 +30,9 @@ def filter_step(pred: Callable[[Column], Column], name: str = "filter", typed: b
 
 
 def flat_step(fn: Callable[[Column], Column], name: str = "flat", typed: bool = False,
-              keep: Callable[[Column], Column] | None = None) -> Step:
-    return Step(name, "flat", fn, typed, keep)
+              keep: Callable[[Column], Column] | None = None, nonnull: bool = False) -> Step:
+    """A one-to-many step; ``nonnull=True`` promises no null elements in the arrays."""
+    return Step(name, "flat", fn, typed, keep, nonnull)
 
 
 def dataframe_step(fn: Callable, name: str = "dataframe") -> Step:
@@ -43,7 +46,7 @@ def dataframe_step(fn: Callable, name: str = "dataframe") -> Step:
 
 def identity() -> Step:
     """Pass the record through (MAP-4)."""
-    return map_step(lambda x: x, "identity")
+    return map_step(lambda x: x, "identity", nonnull=True)
 
 
 def skip() -> Step:
@@ -65,17 +68,17 @@ def repeat(n: int = 3) -> Step:
     """Emit each record ``n`` times (MAP-6, the ``multi`` processor)."""
     if n < 0:
         raise ValueError("repeat count must not be negative")
-    return flat_step(lambda x: F.array_repeat(x, n), "multi")
+    return flat_step(lambda x: F.array_repeat(x, n), "multi", nonnull=True)
 
 
 def upcase() -> Step:
     """Upper-case a line (MAP-7, the ``upcaser`` processor)."""
-    return map_step(F.upper, "upcaser")
+    return map_step(F.upper, "upcaser", nonnull=True)
 
 
 def tokenize(pattern: str = r"\s+") -> Step:
     """One record per word; an empty line gives none (MAP-8)."""
-    return flat_step(lambda x: F.split(x, pattern), "tokenizer", keep=lambda t: t != "")
+    return flat_step(lambda x: F.split(x, pattern), "tokenizer", keep=lambda t: t != "", nonnull=True)
 
 
 def from_json(schema: str | StructType | None = None) -> Step:
@@ -107,7 +110,7 @@ def to_json() -> Step:
             return F.to_json(x)
         return F.to_json(x, {"ignoreNullFields": "false"})
 
-    return map_step(ser, "to_json", typed=True)
+    return map_step(ser, "to_json", typed=True, nonnull=True)
 
 
 def field(x: Column, dtype: DataType | None, name: str) -> Column:
@@ -136,7 +139,7 @@ def interpolate(template: str, name: str = "interpolate") -> Step:
                 pieces.append(F.coalesce(field(x, dtype, fname), F.lit("")))
         return F.concat(*pieces) if pieces else F.lit("")
 
-    return map_step(fill, name, typed=True)
+    return map_step(fill, name, typed=True, nonnull=True)
 
 
 def route(topic: Callable[[Column], Column], name: str = "route") -> Step:

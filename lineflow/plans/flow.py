@@ -52,6 +52,7 @@ class Step:
     fn: Callable
     typed: bool = False
     keep: Callable[[Column], Column] | None = None
+    nonnull: bool = False  # map/flat: a non-null record never yields a null output
 
     def __post_init__(self) -> None:
         if self.kind not in STEP_KINDS:
@@ -116,6 +117,18 @@ def _lambda1(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
 
 
 # --------------------------------------------------------------------------- records
+def _drop_nulls(df: DataFrame, keep_cols: list[str]) -> DataFrame:
+    """Drop rows whose record is null.
+
+    Through a generator and a filter on its output: Catalyst pushes a
+    filter below a projection by inlining the projection, which would
+    evaluate an expensive step (JSON parsing, regexes) twice, but it
+    cannot push a predicate on a generated column below the generator.
+    """
+    df = df.select(*keep_cols, F.explode(F.array(RECORD)).alias(RECORD))
+    return df.where(F.col(RECORD).isNotNull())
+
+
 def run_records(
     df: DataFrame,
     flow: Step | Flow | Iterable[Step],
@@ -128,41 +141,65 @@ def run_records(
     ``keep`` columns are carried beside each output (provenance); every
     other column is pruned before the flow runs (MAP-3), which also keeps
     the scan narrow.  A record with no output disappears.
+
+    Filters ahead of the first transforming step stay filters, so a
+    predicate on a source column reaches the scan.  Later filters and null
+    results become null records inside projections (each step evaluated
+    once) and are dropped in one place, only when one may be null.
     """
     flow = as_flow(flow)
     df = df.select(*_names(keep), _col(record).alias(RECORD))
     keep_cols = _keep_names(df, len(keep))
     df = df.where(F.col(RECORD).isNotNull())
     in_arrays = False
+    leading = True  # no step has transformed the record yet
+    maybe_null = False  # whether the record column may hold nulls now
     for step in flow.steps:
         if step.kind == "table":
             if not in_arrays:
-                df = df.select(*keep_cols, F.array(RECORD).alias(_FRAME))
+                arr = F.array(RECORD)
+                df = df.select(*keep_cols, (F.array_compact(arr) if maybe_null else arr).alias(_FRAME))
                 in_arrays = True
             df = step.fn(df, _FRAME)
+            leading = maybe_null = False
             continue
         if in_arrays:
             df = df.select(*keep_cols, F.explode(_FRAME).alias(RECORD))
             in_arrays = False
         if step.kind == "dataframe":
+            if maybe_null:
+                df = _drop_nulls(df, keep_cols)
             df = step.fn(df)
             if RECORD not in df.columns:
                 raise ValueError(f"DataFrame step {step.name!r} must keep the record column {RECORD!r}")
-            df = df.select(*keep_cols, RECORD).where(F.col(RECORD).isNotNull())
+            df = df.select(*keep_cols, RECORD)
+            leading, maybe_null = False, True
             continue
         dtype = df.schema[RECORD].dataType if step.typed else None
         x = F.col(RECORD)
+        if step.kind == "filter" and leading:
+            df = df.where(step.call(x, dtype))
+            continue
+        leading = False
         if step.kind == "map":
-            df = df.select(*keep_cols, step.call(x, dtype).alias(RECORD)).where(F.col(RECORD).isNotNull())
+            value = step.call(x, dtype)
+            df = df.select(*keep_cols, (F.when(x.isNotNull(), value) if maybe_null else value).alias(RECORD))
+            maybe_null = maybe_null or not step.nonnull
         elif step.kind == "filter":
-            df = df.where(step.call(x, dtype))
-        else:  # flat
-            df = df.select(*keep_cols, F.explode(step.call(x, dtype)).alias(RECORD))
-            df = df.where(F.col(RECORD).isNotNull())
+            df = df.select(*keep_cols, F.when(step.call(x, dtype), x).alias(RECORD))
+            maybe_null = True
+        else:  # flat: explode skips null arrays; null elements are removed
+            arr = step.call(x, dtype)
+            if maybe_null:  # a null record has no outputs, whatever the step makes of it
+                arr = F.when(x.isNotNull(), arr)
+            df = df.select(*keep_cols, F.explode(arr if step.nonnull else F.array_compact(arr)).alias(RECORD))
             if step.keep is not None:
                 df = df.where(step.keep(F.col(RECORD)))
+            maybe_null = False
     if in_arrays:
         df = df.select(*keep_cols, F.explode(_FRAME).alias(RECORD))
+    elif maybe_null:
+        df = _drop_nulls(df, keep_cols)
     return df.withColumnRenamed(RECORD, output) if output != RECORD else df
 
 

@@ -148,3 +148,22 @@ def test_dataframe_step(spark):
         run_frames(df, distinct_words, "str")
     with pytest.raises(ValueError, match="record column"):
         run_records(df, dataframe_step(lambda d: d.select("id")), "str", keep=["id"])
+
+
+def test_null_record_has_no_outputs_after_flat(spark):
+    # found by the property test: a null from a map must not be repeated by a later flat step
+    df = df_of(spark, ["b", "a"])
+    f = map_step(lambda x: F.when(~x.contains("b"), x), "null_if_b") | repeat(2)
+    assert recs(run_records(df, f, "str", keep=["id"])) == [(1, "a"), (1, "a")]
+    assert [r.out for r in run_frames(df, f, "str", keep=["id"]).orderBy("id").collect()] == [[], ["a", "a"]]
+
+
+def test_expensive_map_evaluated_once(spark):
+    from lineflow.plans.topology import explain_text
+
+    df = df_of(spark, ['{"k": 70}'])
+    f = from_json("k BIGINT") | keep_if(lambda r: r["k"] >= 50) | to_json()
+    plan = explain_text(run_records(df, f, "str", keep=["id"]), "simple").splitlines()
+    # one operator each (within an operator, subexpression elimination evaluates repeats once)
+    assert sum("from_json(" in line for line in plan) == 1
+    assert sum("StructsToJson" in line for line in plan) == 1
