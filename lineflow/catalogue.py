@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lineflow.functions.steps import (
     flat_step,
+    from_json,
     identity,
     interpolate,
     keep_if,
@@ -140,6 +141,15 @@ def framed_text(spark, sf):
     return frames.select("event_id", frame_text("out", BOLT_TERMINATOR).alias("frame"))
 
 
+def bolt_frames(spark, sf):
+    """Text lines in (written by Spark from the events' JSON), frames out, as the bolt prints them."""
+    run = new_run_dir(spark, "bolt_frames")
+    table(spark, sf, "events").select("props").write.text(f"{run}/lines")
+    flow = from_json() | interpolate("I raised the {k}", "test_example")
+    frames = run_frames(spark.read.text(f"{run}/lines"), flow, "value")
+    return frames.select(frame_text("out", BOLT_TERMINATOR).alias("frame"))
+
+
 def external_command(spark, sf):
     step = command_step(["awk", AWK_SPLIT], delimiter=COMMAND_TERMINATOR, name="split_words")
     return run_records(wide_table(spark, sf, "part", "p_partkey", "p_name"), step, "p_name", keep=["p_partkey"])
@@ -269,6 +279,7 @@ QUERIES: dict[str, Query] = {
     "combine_metadata": combine_metadata_query,
     "framed_counts": framed_counts,
     "framed_text": framed_text,
+    "bolt_frames": bolt_frames,
     "external_command": external_command,
     "suppress_errors": suppress_errors,
     "udtf_prime": udtf_prime,
@@ -318,6 +329,7 @@ ORACLES: dict[str, str] = {
         "select event_id, case when event_type = 'error' then '' when event_type = 'click' "
         "then repeat(event_type || chr(10), 3) else event_type || chr(10) end || 'X' || chr(10) as frame from events"
     ),
+    "bolt_frames": "select 'I raised the ' || coalesce(props->>'$.k', '') || chr(10) || 'X' || chr(10) as frame from events",
     "external_command": "select p_partkey, unnest(string_split(p_name, ' ')) as _wukong from part",
     "suppress_errors": (
         "select event_id, cast(1000 // (k % 10) as varchar) as _wukong from "
