@@ -38,7 +38,7 @@ from lineflow.session import new_run_dir
 from lineflow.sinks import kafka_frame, replay_safe
 from lineflow.sources.files import after_marker, resolve_marker
 from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_messages
-from lineflow.sources.records import combine_metadata, recordize
+from lineflow.sources.records import combine_metadata, read_numbered_lines, recordize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,31 @@ def combine_metadata_query(spark, sf):
     return combine_metadata(_doc_lines(spark, sf), keep=("doc_id",))
 
 
+# Documents per text file in file_lines: bounds a file (and the task writing it) whatever a
+# source's share of the table.
+DOCS_PER_FILE = 5000
+
+
+def file_lines(spark, sf):
+    """Line records of real text files, numbered by the two-pass way (SRC-2, SRC-4).
+
+    Spark writes the documents' lines into one file per source and block of
+    DOCS_PER_FILE documents, in document and line order; the files are then
+    read back as a folder of blobs.
+    """
+    run = new_run_dir(spark, "file_lines")
+    lines = _doc_lines(spark, sf).select(
+        "doc_id", F.col("metadata").alias("source"), (F.col("doc_id") / DOCS_PER_FILE).cast("bigint").alias("bucket"),
+        "linenumber", "content")
+    (lines.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id", "linenumber")
+     .select("source", "bucket", "content").write.partitionBy("source", "bucket").text(f"{run}/text"))
+    numbered = read_numbered_lines(spark, f"{run}/text")
+    return numbered.select(
+        F.regexp_extract("metadata", r"/source=([^/]+)/", 1).alias("source"),
+        F.regexp_extract("metadata", r"/bucket=([0-9]+)/", 1).cast("bigint").alias("bucket"),
+        "linenumber", "content")
+
+
 # ----------------------------------------------------------------- frames
 def framed_counts(spark, sf):
     frames = run_frames(wide_table(spark, sf, "conversations", "conv_id", "turn", "text"), tokenize(), "text",
@@ -277,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "flow_dataflow": flow_dataflow,
     "source_recordize": source_recordize,
     "combine_metadata": combine_metadata_query,
+    "file_lines": file_lines,
     "framed_counts": framed_counts,
     "framed_text": framed_text,
     "bolt_frames": bolt_frames,
@@ -321,6 +347,12 @@ ORACLES: dict[str, str] = {
         "select doc_id, coalesce(metadata, 'null') || chr(9) || coalesce(content, 'null') || chr(9) || linenumber "
         f"as str from ({_SPLIT_DOC_LINES})"
     ),
+    "file_lines": (
+        f"select source, cast(doc_id // {DOCS_PER_FILE} as bigint) as bucket, cast(row_number() over "
+        f"(partition by source, doc_id // {DOCS_PER_FILE} order by doc_id, pos) as integer) as linenumber, content from "
+        "(select doc_id, source, unnest(string_split(text, chr(10))) as content, "
+        "generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)"
+    ),
     "framed_counts": (
         "select conv_id, turn, cast(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) "
         "as integer) as n_out from conversations"
