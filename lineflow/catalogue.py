@@ -8,7 +8,6 @@ sinks into a fresh folder below ``spark.checkpoint.dir`` per call.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 from collections.abc import Callable
 
@@ -48,7 +47,8 @@ COMMAND_TERMINATOR = "---"
 # A child that splits each line on blanks and ends every frame with ---.
 AWK_SPLIT = '{ for (i = 1; i <= NF; i++) print $i; print "---"; fflush() }'
 # Event-time cuts of the three drops of the stream queries (events span January 2024).
-DROP_CUTS = (dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21))
+# Given as text and cast straight to TIMESTAMP_NTZ, so no time zone takes part.
+DROP_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
