@@ -38,7 +38,11 @@ def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None) -> DataF
     """
     if df.isStreaming:
         return df
-    spark = spark or df.sparkSession
+    from lineflow.session import spark_context
+
+    sc = spark_context(spark or df.sparkSession)
+    if sc is None:  # Spark Connect: no partition count before execution; leave it to the source
+        return df
     splits = max(1, df.rdd.getNumPartitions())
-    width = min(spark.sparkContext.defaultParallelism, splits * MAX_PIECES_PER_SPLIT)
+    width = min(sc.defaultParallelism, splits * MAX_PIECES_PER_SPLIT)
     return spread(df, width, splits)

@@ -16,6 +16,14 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
+def spark_context(spark: SparkSession):
+    """The session's SparkContext, or None for a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises its own not-supported error
+        return None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
@@ -26,14 +34,19 @@ def scratch_root(spark: SparkSession) -> str:
     survive the loss of the machine.
     """
     root = spark.conf.get(_CKPT_KEY, None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
+    sc = spark_context(spark)
+    if sc is None:  # Spark Connect: the server's setting applies
+        if not root:
+            raise RuntimeError(f"{_CKPT_KEY} is not set on the Spark Connect server")
+        return root.rstrip("/")
+    sc_dir = sc.getCheckpointDir()
     if root and not sc_dir:
         # set as a runtime conf only: DataFrame.checkpoint() needs it on the context too
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     root = root or sc_dir
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             f"{_CKPT_KEY} is not set; point it at a shared folder (HDFS, S3, ...) "
             "so checkpoints and written tables survive executor loss"
@@ -118,7 +131,13 @@ def ship_package(spark: SparkSession) -> None:
     a harness importing the package by path) gets it once per application
     with ``addPyFile``.
     """
-    sc = spark.sparkContext
+    sc = spark_context(spark)
+    if sc is None:  # Spark Connect: the client uploads the package as an artifact
+        key = f"connect-{id(spark)}"
+        if key not in _SHIPPED:
+            _SHIPPED.add(key)
+            spark.addArtifacts(_package_zip(), pyfile=True)
+        return
     app = sc.applicationId
     if app in _SHIPPED or not sc.master.startswith("local"):
         return
