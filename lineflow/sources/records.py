@@ -94,7 +94,9 @@ def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT
     before = Window.partitionBy("metadata").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("metadata", "__block", "__first",
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    # Cut lineage: the block table is small and is checkpointed to the shared folder.
+    # Cut lineage: the block table is small and is checkpointed to the shared folder.  The text
+    # is scanned once for it (the checkpoint write recomputes only the small stage after the
+    # aggregate's shuffle) and once more for the join: two scans, the least this method needs.
     from lineflow.session import scratch_root
 
     scratch_root(spark)
