@@ -189,3 +189,30 @@ def test_route_step_sets_topic(spark):
     flow = upcase() | route(lambda x: F.when(x.startswith("BAD"), F.lit("errors")))
     frame = kafka_frame(run_records(df, flow, "str"), "clean")
     assert sorted(tuple(r) for r in frame.collect()) == [("clean", "OK"), ("errors", "BAD THING")]
+
+
+def test_replay_after_failure_is_not_doubled(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    src = tmp_path / "in"
+    for i in range(3):
+        write(src, f"f{i}.txt", f"line {i}\n")
+    run = new_run_dir(spark, "t-replay-fail")
+    sink = replay_safe(f"{run}/out")
+    state = {"fail": True}
+
+    def flaky(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id == 1 and state["fail"]:
+            state["fail"] = False
+            raise RuntimeError("lost after the write, before the commit")
+
+    o = opts(src, from_beginning=True)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    assert got == ["LINE 0", "LINE 1", "LINE 2"]  # batch 1 ran twice, written once
