@@ -3,10 +3,11 @@
     python -m lineflow run FLOW --flows=my_flows.py --input=TOPIC|file:///dir|s3://b/p
                                --output=TOPIC [--sink=kafka|parquet|text|memory --path=DIR]
                                [--checkpoint=DIR] [--trigger=available|"10 seconds"]
-                               [--max_per_trigger=N] [--split_files] [launch options]
+                               [--max_per_trigger=N] [--split_files] [--batch] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
-``--max_per_trigger`` caps the files (or Kafka offsets) of one
+``--batch`` runs once over what the input holds now, as a static
+DataFrame, instead of starting a stream.  ``--max_per_trigger`` caps the files (or Kafka offsets) of one
 micro-batch; ``--split_files`` numbers lines of files of any size (see
 ``start_flow``).  ``--flows`` names Python files or modules that register processors and
 dataflows (``lineflow.processor``, ``lineflow.dataflow``); give it more
@@ -26,7 +27,8 @@ import sys
 from lineflow.options import FlowOptions, OptionError
 from lineflow.plans.registry import UnknownFlowError
 
-_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "split_files")
+_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "split_files", "batch")
+_FLAGS = ("split_files", "batch")
 
 
 def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
@@ -34,7 +36,7 @@ def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
     rest = []
     for a in argv:
         key, eq, val = a[2:].partition("=") if a.startswith("--") else ("", "", "")
-        if key in own and (eq or key == "split_files"):
+        if key in own and (eq or key in _FLAGS):
             own[key].append(val if eq else "true")
         else:
             rest.append(a)
@@ -91,12 +93,18 @@ def _bolt(spark, opts: FlowOptions) -> int:
     return 0
 
 
+def _flag(own: dict[str, list[str]], key: str) -> bool:
+    return (own[key] or ["false"])[-1].lower() not in ("false", "0", "no")
+
+
 def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     from lineflow.streaming.runner import FlowAlreadyRunning, start_flow
 
     sink = (own["sink"] or ["kafka"])[-1]
+    if _flag(own, "batch"):
+        return _run_batch(spark, opts, sink, (own["path"] or [None])[-1])
     cap = (own["max_per_trigger"] or [None])[-1]
-    split = (own["split_files"] or ["false"])[-1].lower() not in ("false", "0", "no")
+    split = _flag(own, "split_files")
     try:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
                        path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
@@ -111,5 +119,18 @@ def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     return 0
 
 
+def _run_batch(spark, opts: FlowOptions, sink: str, path: str | None) -> int:
+    """A bounded run over what the input holds now (a static table, not a stream)."""
+    from lineflow.plans.topology import build_flow, dry_run
+    from lineflow.sinks import write_flow
+
+    df = build_flow(spark, opts, streaming=False)
+    if opts.dry_run:
+        print(dry_run(opts, df))
+        return 0
+    write_flow(df, opts, sink, path)
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())

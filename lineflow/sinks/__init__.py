@@ -46,6 +46,17 @@ def write_kafka(frame: DataFrame, opts: FlowOptions) -> None:
     frame.write.format("kafka").options(**kafka_writer_options(opts)).save()
 
 
+def write_flow(df: DataFrame, opts: FlowOptions, sink: str = "kafka", path: str | None = None,
+               mode: str = "append") -> None:
+    """Write a bounded flow's records: Kafka (topic per record, default ``--output``) or files."""
+    if sink == "kafka":
+        write_kafka(kafka_frame(df, opts.output), opts)
+        return
+    if path is None:
+        raise ValueError(f"sink {sink!r} needs a path")
+    df.write.mode(mode).format(sink).save(path)
+
+
 def replay_safe(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing batch N to ``path/batch_id=N``, overwriting (STR-4)."""
 
@@ -55,4 +66,4 @@ def replay_safe(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], N
     return write
 
 
-__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "replay_safe", "write_framed_text"]
+__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "write_framed_text"]

@@ -60,3 +60,18 @@ def test_run_files_to_parquet(spark, tmp_path):
     assert code == 0
     got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]
+
+
+def test_run_batch(spark, tmp_path):
+    from lineflow.session import new_run_dir
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("x y\nz\n")
+    run = new_run_dir(spark, "t-cli-batch")
+    code = main(["run", "tokenizer", f"--input=file://{src}", "--output=o", "--from_beginning", "--batch",
+                 "--sink=parquet", f"--path={run}/out"])
+    assert code == 0
+    # the tokenizer splits the combined record: path, content and line number are all words
+    words = sorted(r._wukong for r in spark.read.parquet(f"{run}/out").collect())
+    assert {"x", "y", "z", "1", "2"} <= set(words)
