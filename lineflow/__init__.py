@@ -25,7 +25,15 @@ from lineflow.functions import (
     tokenize,
     upcase,
 )
-from lineflow.operators import command_step, frame_count, frame_text, python_step, spread, write_framed_text
+from lineflow.operators import (
+    command_step,
+    frame_count,
+    frame_text,
+    pandas_step,
+    python_step,
+    spread,
+    write_framed_text,
+)
 from lineflow.options import FlowOptions, OptionError, StartPosition
 from lineflow.plans import Flow, Step, dataflow, lookup, processor, register, run_frames, run_records
 
@@ -33,7 +41,7 @@ __version__ = "0.1.0"
 
 __all__ = [
     "dataframe_step", "drop_if", "filter_step", "flat_step", "from_json", "identity", "interpolate", "keep_if", "map_step", "repeat", "route",
-    "skip", "to_json", "tokenize", "upcase", "command_step", "frame_count", "frame_text", "python_step", "spread",
+    "skip", "to_json", "tokenize", "upcase", "command_step", "frame_count", "frame_text", "pandas_step", "python_step", "spread",
     "write_framed_text", "FlowOptions", "OptionError", "StartPosition", "Flow", "Step", "dataflow", "lookup",
     "processor", "register", "run_frames", "run_records",
 ]

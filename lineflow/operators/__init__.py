@@ -1,9 +1,9 @@
 """Operators beyond single expressions: Python and command steps, framing, spread."""
 
-from lineflow.operators.batch import python_step
+from lineflow.operators.batch import pandas_step, python_step
 from lineflow.operators.external import FrameProtocolError, command_step
 from lineflow.operators.framing import frame_count, frame_text, write_framed_text
 from lineflow.operators.partitioning import spread, spread_to_cluster
 
-__all__ = ["python_step", "FrameProtocolError", "command_step", "frame_count", "frame_text", "write_framed_text",
+__all__ = ["pandas_step", "python_step", "FrameProtocolError", "command_step", "frame_count", "frame_text", "write_framed_text",
            "spread", "spread_to_cluster"]

@@ -80,3 +80,54 @@ def python_step(fn: RecordFn, name: str | None = None, suppress_errors: bool = T
         return map_frames(df, frame, per_input)
 
     return Step(name or getattr(fn, "__name__", "python"), "table", apply)
+
+
+def pandas_step(fn: Callable, name: str | None = None) -> Step:
+    """A vectorized record function: ``fn(pandas.Series[str]) -> pandas.Series``.
+
+    The result has one value per record: a string (one output), None or NaN
+    (no output), or a list of strings (0..n outputs).  All records of an
+    Arrow batch go to ``fn`` at once; Arrow flattens the per-input arrays and
+    regroups the outputs, so no per-record Python loop runs outside ``fn``.
+    Errors are not suppressed per record; use ``python_step`` for that.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    def per_batch(frames: pa.ListArray) -> pa.ListArray:
+        n = len(frames)
+        flat = pc.list_flatten(frames)
+        parents = pc.list_parent_indices(frames).to_numpy(zero_copy_only=False)
+        if len(flat) == 0:
+            return pa.array([[] for _ in range(n)], type=pa.list_(pa.string()))
+        result = fn(flat.to_pandas())
+        values = pa.array(list(result), from_pandas=True)
+        if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+            inner = pc.list_flatten(values)  # null lists contribute nothing
+            inner_parent = pc.list_parent_indices(values).to_numpy(zero_copy_only=False)
+            valid = inner.is_valid().to_numpy(zero_copy_only=False)
+            counts_per_record = np.bincount(inner_parent[valid], minlength=len(values))
+            outputs = inner.filter(inner.is_valid()).cast(pa.string())
+        else:
+            counts_per_record = values.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+            outputs = values.cast(pa.string()).drop_null()
+        counts = np.bincount(parents, weights=counts_per_record, minlength=n).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), outputs)
+
+    def apply(df: DataFrame, frame: str) -> DataFrame:
+        from lineflow.session import ship_package
+
+        ship_package(df.sparkSession)
+        out_schema = frame_schema(df.schema, frame)
+        idx = df.columns.index(frame)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cols = list(batch.columns)
+                cols[idx] = per_batch(batch.column(idx))
+                yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+
+        return df.mapInArrow(run, out_schema)
+
+    return Step(name or getattr(fn, "__name__", "pandas"), "table", apply)

@@ -6,7 +6,19 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lineflow import drop_if, flat_step, keep_if, map_step, python_step, repeat, run_frames, run_records, tokenize, upcase
+from lineflow import (
+    drop_if,
+    flat_step,
+    keep_if,
+    map_step,
+    pandas_step,
+    python_step,
+    repeat,
+    run_frames,
+    run_records,
+    tokenize,
+    upcase,
+)
 
 STEPS = {
     "upcase": lambda: upcase(),
@@ -17,6 +29,7 @@ STEPS = {
     "null_if_b": lambda: map_step(lambda x: F.when(~x.contains("b"), x), "null_if_b"),
     "pairs": lambda: flat_step(lambda x: F.array(x, F.concat(x, F.lit("!"))), "pairs"),
     "py_split": lambda: python_step(lambda s: s.split("c"), "py_split"),
+    "pd_split": lambda: pandas_step(lambda s: s.str.split("b"), "pd_split"),
 }
 
 lines = st.lists(st.text(alphabet="abc \t", max_size=12), min_size=1, max_size=8)

@@ -167,3 +167,26 @@ def test_expensive_map_evaluated_once(spark):
     # one operator each (within an operator, subexpression elimination evaluates repeats once)
     assert sum("from_json(" in line for line in plan) == 1
     assert sum("StructsToJson" in line for line in plan) == 1
+
+
+def test_pandas_step_matches_python_step(spark):
+    from lineflow import pandas_step
+
+    df = df_of(spark, ["a b", "", "c", None, "d e f"])
+    split = pandas_step(lambda s: s.str.split(), "split")
+    shout = pandas_step(lambda s: s.str.upper().where(s != "c"), "shout_unless_c")
+    f = split | shout
+    expect = recs(run_records(df, python_step(str.split) | python_step(lambda w: None if w == "c" else w.upper()),
+                              "str", keep=["id"]))
+    assert recs(run_records(df, f, "str", keep=["id"])) == expect == [
+        (0, "A"), (0, "B"), (4, "D"), (4, "E"), (4, "F")]
+    frames = {r.id: r.out for r in run_frames(df, f, "str", keep=["id"]).collect()}
+    assert frames == {0: ["A", "B"], 1: [], 2: [], 3: [], 4: ["D", "E", "F"]}
+
+
+def test_pandas_step_lists_with_nulls(spark):
+    from lineflow import pandas_step
+
+    df = df_of(spark, ["x", "y", "z"])
+    f = pandas_step(lambda s: s.map(lambda v: None if v == "y" else [v, None, v + "!"]), "with_nulls")
+    assert recs(run_records(df, f, "str", keep=["id"])) == [(0, "x"), (0, "x!"), (2, "z"), (2, "z!")]
