@@ -52,6 +52,7 @@ def map_frames(df: DataFrame, frame: str, per_input: Callable[[list[str]], list[
 
 
 def _outputs(result) -> list[str]:
+    """None, one string, or an iterable (a generator included) of outputs."""
     if result is None:
         return []
     if isinstance(result, (str, bytes)):

@@ -33,17 +33,31 @@ def register(name: str, flow: Step | Flow | Iterable[Step], replace: bool = True
     return f
 
 
-def processor(name: str, kind: str = "map", typed: bool = False) -> Callable[[Callable], Step]:
-    """Decorator: register ``fn(record: Column) -> Column`` as a named step.
-
-    ``kind`` is ``map`` (one output, null = none), ``filter`` (predicate)
-    or ``flat`` (array of outputs).  ``typed=True`` also passes the
-    record's Spark type, for steps that read fields of JSON, structs or
-    variants alike.
+def processor(name: str, kind: str = "map", typed: bool = False,
+              suppress_errors: bool = True) -> Callable[[Callable], Step]:
+    """Decorator: register a record function as a named step.
+
+    With ``kind`` ``map`` (one output, null = none), ``filter`` (predicate)
+    or ``flat`` (array of outputs), ``fn(record: Column) -> Column`` is a
+    Catalyst expression; ``typed=True`` also passes the record's Spark
+    type, for steps that read fields of JSON, structs or variants alike.
+    With ``kind="python"``, ``fn(record: str)`` returns or yields its
+    outputs (a generator works, like a processor that yields); errors give
+    no output when ``suppress_errors``.  With ``kind="pandas"``,
+    ``fn(pandas.Series) -> pandas.Series`` is vectorized.
     """
 
     def wrap(fn: Callable) -> Step:
-        step = Step(name, kind, fn, typed)
+        if kind == "python":
+            from lineflow.operators.batch import python_step
+
+            step = python_step(fn, name, suppress_errors=suppress_errors)
+        elif kind == "pandas":
+            from lineflow.operators.batch import pandas_step
+
+            step = pandas_step(fn, name)
+        else:
+            step = Step(name, kind, fn, typed)
         register(name, step)
         return step
 

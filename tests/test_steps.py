@@ -190,3 +190,19 @@ def test_pandas_step_lists_with_nulls(spark):
     df = df_of(spark, ["x", "y", "z"])
     f = pandas_step(lambda s: s.map(lambda v: None if v == "y" else [v, None, v + "!"]), "with_nulls")
     assert recs(run_records(df, f, "str", keep=["id"])) == [(0, "x"), (0, "x!"), (2, "z"), (2, "z!")]
+
+
+def test_python_processor_like_the_reference(spark):
+    @processor("yield_twice_unless_blank", kind="python")
+    def twice(line):
+        if line.strip():
+            yield line
+            yield line.upper()
+
+    @processor("vector_len", kind="pandas")
+    def lengths(s):
+        return s.str.len().astype(str)
+
+    df = df_of(spark, ["ab", " "])
+    assert recs(run_records(df, lookup("yield_twice_unless_blank") | lookup("vector_len"), "str", keep=["id"])) == [
+        (0, "2"), (0, "2")]
