@@ -108,6 +108,12 @@ def _keep_names(df: DataFrame, n_keep: int) -> list[str]:
     return df.columns[:n_keep]
 
 
+def _array_of(c: Column) -> Column:
+    """``[c]``, or an empty array of the same type when ``c`` is null (no lambda needed)."""
+    one = F.array(c)
+    return F.when(c.isNull(), F.slice(one, 1, 0)).otherwise(one)
+
+
 def _lambda1(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
     # Higher-order functions inspect the arity of the Python callable.
     def f(x):
@@ -157,8 +163,8 @@ def run_records(
     for step in flow.steps:
         if step.kind == "table":
             if not in_arrays:
-                arr = F.array(RECORD)
-                df = df.select(*keep_cols, (F.array_compact(arr) if maybe_null else arr).alias(_FRAME))
+                arr = _array_of(F.col(RECORD)) if maybe_null else F.array(RECORD)
+                df = df.select(*keep_cols, arr.alias(_FRAME))
                 in_arrays = True
             df = step.fn(df, _FRAME)
             leading = maybe_null = False
@@ -240,7 +246,7 @@ def run_frames(
     distinguishes "no output" from "no output yet" (EXT-3).
     """
     flow = as_flow(flow)
-    df = df.select(*_names(keep), F.filter(F.array(_col(record)), _not_null).alias(_FRAME))
+    df = df.select(*_names(keep), _array_of(_col(record)).alias(_FRAME))
     keep_cols = _keep_names(df, len(keep))
     for step in flow.steps:
         if step.kind == "dataframe":
