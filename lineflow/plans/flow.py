@@ -221,10 +221,16 @@ def frame_expr(df: DataFrame, frame: str, step: Step) -> Column:
         at = df.schema[frame].dataType
         dtype = at.elementType if isinstance(at, ArrayType) else None
     fn = _lambda1(lambda x: step.call(x, dtype))
+    # The frame holds no nulls between steps, so a step promising non-null
+    # outputs for non-null records needs no null-filtering pass.
     if step.kind == "map":
-        return F.filter(F.transform(frame, fn), _not_null)
+        mapped = F.transform(frame, fn)
+        return mapped if step.nonnull else F.filter(mapped, _not_null)
     if step.kind == "filter":
         return F.filter(frame, fn)
+    if step.nonnull:
+        flat = F.flatten(F.transform(frame, fn))
+        return F.filter(flat, step.keep) if step.keep is not None else flat
     # flat: drop null inner arrays first, because flatten of a null is null
     flat = F.flatten(F.filter(F.transform(frame, fn), _not_null))
     if step.keep is not None:
