@@ -92,3 +92,8 @@ def test_crlf_child(spark):
     code = "import sys\nfor l in sys.stdin:\n    sys.stdout.write(l.strip() + '\\r\\n---\\r\\n')\n"
     out = run_records(lines(spark, ["a", "b"]), command_step(py(code)), "str").collect()
     assert sorted(r._wukong for r in out) == ["a", "b"]
+
+
+def test_missing_program(spark):
+    with pytest.raises(PythonException, match="No such file|not found"):
+        run_records(lines(spark, ["a"]), command_step(["no-such-program-lineflow"]), "str").collect()
