@@ -3,7 +3,8 @@
     python -m lineflow run FLOW --flows=my_flows.py --input=TOPIC|file:///dir|s3://b/p
                                --output=TOPIC [--sink=kafka|parquet|text|memory --path=DIR]
                                [--checkpoint=DIR] [--trigger=available|"10 seconds"]
-                               [--max_per_trigger=N] [--split_files] [--batch] [launch options]
+                               [--max_per_trigger=N] [--max_bytes_per_trigger=N] [--split_files]
+                               [--batch] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
 ``--batch`` runs once over what the input holds now, as a static
@@ -27,7 +28,8 @@ import sys
 from lineflow.options import FlowOptions, OptionError
 from lineflow.plans.registry import UnknownFlowError
 
-_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "split_files", "batch")
+_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "max_bytes_per_trigger", "split_files",
+        "batch")
 _FLAGS = ("split_files", "batch")
 
 
@@ -104,11 +106,13 @@ def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     if _flag(own, "batch"):
         return _run_batch(spark, opts, sink, (own["path"] or [None])[-1])
     cap = (own["max_per_trigger"] or [None])[-1]
+    byte_cap = (own["max_bytes_per_trigger"] or [None])[-1]
     split = _flag(own, "split_files")
     try:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
                        path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
-                       max_per_trigger=int(cap) if cap else None, split_files=split)
+                       max_per_trigger=int(cap) if cap else None, split_files=split,
+                       max_bytes_per_trigger=int(byte_cap) if byte_cap else None)
     except FlowAlreadyRunning as exc:
         print(f"error: {exc}", file=sys.stderr)
         return 2

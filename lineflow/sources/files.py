@@ -118,7 +118,7 @@ def after_marker(df: DataFrame, marker: str | None, name_col: str = "_metadata.f
 def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
                     checkpoint: str | None = None, glob: str | None = None,
                     max_files_per_trigger: int | None = None, split_files: bool = False,
-                    store_marker: bool = True) -> DataFrame:
+                    store_marker: bool = True, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Line records ``content, metadata, linenumber`` of a file or S3 input.
 
     A stream reads each file whole (``wholetext``), which limits a file to
@@ -147,6 +147,8 @@ def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:  # STR-2 as a byte cap, like the reference's fetch size
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     for k, v in extra.items():
         r = r.option(k, v)
     if split_files:

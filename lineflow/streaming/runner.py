@@ -56,6 +56,7 @@ def start_flow(
     max_per_trigger: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     split_files: bool = False,
+    max_bytes_per_trigger: int | None = None,
 ) -> StreamingQuery | str:
     """Start the flow; returns the query, or the plan text on ``dry_run``.
 
@@ -70,6 +71,9 @@ def start_flow(
     root is used (``session.query_checkpoint``), so a flow started again by
     name resumes (STR-3) and a replaced flow continues (STR-6).
 
+    ``max_per_trigger`` caps the files (or Kafka offsets) of a micro-batch and
+    ``max_bytes_per_trigger`` its bytes, for file and S3 inputs (STR-2).
+
     ``split_files`` (file and S3 inputs) reads files in line mode, so a
     file of any size is split over tasks; lines are numbered, combined and
     run through the flow per micro-batch inside ``foreachBatch``.  File
@@ -85,9 +89,10 @@ def start_flow(
                 raise FlowAlreadyRunning(f"a flow named {name!r} is already running; use rm=True to replace it")
             stop_flow(spark, name, opts.wait)
     if split_files and opts.is_blob_input:
-        return _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform)
+        return _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
+                            max_bytes_per_trigger)
     df = build_flow(spark, opts, flow, streaming=True, checkpoint=checkpoint, glob=glob,
-                    max_per_trigger=max_per_trigger)
+                    max_per_trigger=max_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
     if transform is not None:
         df = transform(df)
     if sink == "kafka":
@@ -107,9 +112,10 @@ def start_flow(
     return w.format(sink).outputMode("append").start(path)
 
 
-def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform):
+def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
+                 max_bytes_per_trigger=None):
     raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger, split_files=True,
-                     store_marker=not opts.dry_run)
+                     store_marker=not opts.dry_run, max_bytes_per_trigger=max_bytes_per_trigger)
     if opts.dry_run:
         return dry_run(opts, raw)
     apply = per_batch_flow(opts, flow)

@@ -73,3 +73,16 @@ def test_empty_frames_keep_provenance(spark):
                       keep=["id"])
     assert sorted(tuple(r) for r in out.collect()) == [(2, "x"), (2, "y")]
     assert out.where(F.col("id") == 1).count() == 0
+
+
+def test_bytes_per_trigger(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(4):
+        (src / f"f{i}.txt").write_text("x" * 1000 + "\n")
+    run = new_run_dir(spark, "t-bytes")
+    o = FlowOptions(flow="upcaser", input=f"file://{src}", output="x", from_beginning=True)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out",
+                   max_bytes_per_trigger=1500)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
