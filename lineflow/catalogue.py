@@ -325,21 +325,21 @@ _SPLIT_DOC_LINES = (
 )
 
 ORACLES: dict[str, str] = {
-    "flow_identity": "select event_id, props as _wukong from events",
+    "flow_identity": "select event_id, props as record from events",
     "flow_skip": "select event_id, event_type from events where event_type <> 'error'",
-    "flow_multi": "select event_id, event_type as _wukong from events, range(3)",
-    "flow_upcase": "select p_partkey, upper(p_name) as _wukong from part",
+    "flow_multi": "select event_id, event_type as record from events, range(3)",
+    "flow_upcase": "select p_partkey, upper(p_name) as record from part",
     "flow_tokenize": (
-        "select doc_id, tok as _wukong from (select doc_id, unnest(regexp_split_to_array(text, '\\s+')) tok "
+        "select doc_id, tok as record from (select doc_id, unnest(regexp_split_to_array(text, '\\s+')) tok "
         "from documents) where tok <> ''"
     ),
-    "flow_interpolate": "select event_id, 'I raised the ' || coalesce(props->>'$.k', '') as _wukong from events",
+    "flow_interpolate": "select event_id, 'I raised the ' || coalesce(props->>'$.k', '') as record from events",
     "flow_to_json": (
-        "select event_id, cast(to_json({'event_id': event_id, 'event_type': event_type}) as varchar) as _wukong "
+        "select event_id, cast(to_json({'event_id': event_id, 'event_type': event_type}) as varchar) as record "
         "from events"
     ),
     "flow_dataflow": (
-        "select event_id, cast(to_json({'event_type': event_type, 'bucket': k // 10}) as varchar) as _wukong "
+        "select event_id, cast(to_json({'event_type': event_type, 'bucket': k // 10}) as varchar) as record "
         "from (select *, (props->>'$.k')::bigint k from events) where k >= 50"
     ),
     "source_recordize": _SPLIT_DOC_LINES,
@@ -362,9 +362,9 @@ ORACLES: dict[str, str] = {
         "then repeat(event_type || chr(10), 3) else event_type || chr(10) end || 'X' || chr(10) as frame from events"
     ),
     "bolt_frames": "select 'I raised the ' || coalesce(props->>'$.k', '') || chr(10) || 'X' || chr(10) as frame from events",
-    "external_command": "select p_partkey, unnest(string_split(p_name, ' ')) as _wukong from part",
+    "external_command": "select p_partkey, unnest(string_split(p_name, ' ')) as record from part",
     "suppress_errors": (
-        "select event_id, cast(1000 // (k % 10) as varchar) as _wukong from "
+        "select event_id, cast(1000 // (k % 10) as varchar) as record from "
         "(select event_id, (props->>'$.k')::bigint k from events) where k % 10 <> 0"
     ),
     "udtf_prime": (
@@ -383,7 +383,7 @@ ORACLES: dict[str, str] = {
     ),
     "blob_marker": "select doc_id, source from documents where source > 'src2'",
     "shuffle": "select event_id, props from events",
-    "stream_flow": "select event_id, upper(event_type) as _wukong from events",
+    "stream_flow": "select event_id, upper(event_type) as record from events",
     "stream_resume": "select event_id, props from events",
     "stream_start_marker": "select event_id, props from events where ts >= timestamp '2024-01-21 00:00:00'",
     "stream_idempotent": "select event_id, props from events",

@@ -38,7 +38,7 @@ def flat_step(fn: Callable[[Column], Column], name: str = "flat", typed: bool =
 def dataframe_step(fn: Callable, name: str = "dataframe") -> Step:
     """Any ``DataFrame -> DataFrame`` function as a step (MAP-13).
 
-    ``fn`` sees the carried columns and the record column ``_wukong`` and
+    ``fn`` sees the carried columns and the record column ``record`` and
     must return them; it may use any DataFrame operation.
     """
     return Step(name, "dataframe", fn)

@@ -11,7 +11,7 @@ A *step* turns one record into zero or more records.  Four kinds exist:
             through ``mapInArrow``) that rewrites the per-input array of
             records; see ``lineflow.operators``
 ``dataframe`` any ``DataFrame -> DataFrame`` function over the carried
-            columns and the record column ``_wukong`` (Spark's own joins,
+            columns and the record column ``record`` (Spark's own joins,
             aggregates or windows inside a flow); record mode only, since
             it may regroup rows and so has no per-input frame
 
@@ -19,7 +19,7 @@ Steps compose with ``|`` into a ``Flow`` (MAP-13, UDF-2).  A flow is
 compiled into ordinary Catalyst expressions in one of two shapes:
 
 * ``run_records`` (MAP-1): one output row per output record, appended as
-  ``_wukong``.  Expression steps become ``select`` / ``where`` /
+  ``record``.  Expression steps become ``select`` / ``where`` /
   ``explode``, so filters stay visible to the optimizer and nothing leaves
   whole-stage codegen.
 * ``run_frames`` (EXT-2, EXT-3): one row per input with an
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
 STEP_KINDS = ("map", "filter", "flat", "table", "dataframe")
-RECORD = "_wukong"
+RECORD = "record"
 _FRAME = "__lineflow_frame"
 
 

@@ -35,7 +35,7 @@ def resolve_flow(opts: FlowOptions, flow: Step | Flow | None = None) -> Flow:
 def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None = None,
                streaming: bool = False, checkpoint: str | None = None, glob: str | None = None,
                max_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """DataFrame of ``_wukong`` (one row per output record) for the launch options."""
+    """DataFrame of ``record`` (one row per output record) for the launch options."""
     opts.validate(sink="none")
     f = resolve_flow(opts, flow)
     lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False,

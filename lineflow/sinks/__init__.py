@@ -19,7 +19,7 @@ from lineflow.operators.framing import write_framed_text
 from lineflow.options import FlowOptions
 
 
-def kafka_frame(df: DataFrame, default_topic: str, value: str = "_wukong",
+def kafka_frame(df: DataFrame, default_topic: str, value: str = "record",
                 topic: str | Column | None = "topic", keep: tuple[str, ...] = ()) -> DataFrame:
     """``topic, value`` with ``topic = coalesce(record topic, default)`` (SNK-1, SNK-2).
 

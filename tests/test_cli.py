@@ -58,7 +58,7 @@ def test_run_files_to_parquet(spark, tmp_path):
                  "--from_beginning", "--sink=parquet", f"--path={run}/out", f"--checkpoint={run}/ckpt",
                  "--max_per_trigger=1", "--split_files"])
     assert code == 0
-    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]
 
 
@@ -73,5 +73,5 @@ def test_run_batch(spark, tmp_path):
                  "--sink=parquet", f"--path={run}/out"])
     assert code == 0
     # the tokenizer splits the combined record: path, content and line number are all words
-    words = sorted(r._wukong for r in spark.read.parquet(f"{run}/out").collect())
+    words = sorted(r.record for r in spark.read.parquet(f"{run}/out").collect())
     assert {"x", "y", "z", "1", "2"} <= set(words)

@@ -31,7 +31,7 @@ def test_terminator_and_env(spark, tmp_path):
             "    print('END', flush=True)\n")
     step = command_step(py(code), delimiter="END", cwd=str(tmp_path), environment="production")
     out = run_records(lines(spark, ["x"]), step, "str").collect()
-    assert [r._wukong for r in out] == [f"production|{tmp_path}|x"]
+    assert [r.record for r in out] == [f"production|{tmp_path}|x"]
 
 
 def test_block_buffered_child(spark):
@@ -39,7 +39,7 @@ def test_block_buffered_child(spark):
     code = "import sys\nrows = sys.stdin.read().splitlines()\nsys.stdout.write(''.join(r.upper() + '\\n---\\n' for r in rows))\n"
     out = run_records(lines(spark, [f"w{i}" for i in range(5000)], parts=2), command_step(py(code)), "str",
                       keep=["id"]).collect()
-    assert sorted((r.id, r._wukong) for r in out) == [(i, f"W{i}") for i in range(5000)]
+    assert sorted((r.id, r.record) for r in out) == [(i, f"W{i}") for i in range(5000)]
 
 
 @pytest.mark.parametrize("code,msg", [
@@ -85,13 +85,13 @@ def test_bolt_program_with_prefix_and_settings(spark, tmp_path):
                                f"--bolt_program={prog}", "--delimiter=---", "--size=3"])
     assert o.command_argv() == [sys.executable, str(prog), "my_flow", "--size=3"]
     out = run_records(lines(spark, ["a"]), resolve_flow(o), "str").collect()
-    assert [r._wukong for r in out] == ["my_flow --size=3:a"]
+    assert [r.record for r in out] == ["my_flow --size=3:a"]
 
 
 def test_crlf_child(spark):
     code = "import sys\nfor l in sys.stdin:\n    sys.stdout.write(l.strip() + '\\r\\n---\\r\\n')\n"
     out = run_records(lines(spark, ["a", "b"]), command_step(py(code)), "str").collect()
-    assert sorted(r._wukong for r in out) == ["a", "b"]
+    assert sorted(r.record for r in out) == ["a", "b"]
 
 
 def test_missing_program(spark):

@@ -64,7 +64,7 @@ def test_shipped_file(spark, tmp_path):
     spark.sparkContext.addFile(str(script))
     df = spark.createDataFrame([("a",), ("b",)], "str string")
     step = command_step(["awk", "-f", "sparkfile:shout.awk"])
-    assert sorted(r._wukong for r in run_records(df, step, "str").collect()) == ["A", "B"]
+    assert sorted(r.record for r in run_records(df, step, "str").collect()) == ["A", "B"]
 
 
 def test_empty_frames_keep_provenance(spark):

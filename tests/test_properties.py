@@ -43,7 +43,7 @@ def test_record_and_frame_modes_agree(spark, values, names):
     for n in names[1:]:
         flow = flow | STEPS[n]()
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, str string")
-    records = Counter((r.id, r._wukong) for r in run_records(df, flow, "str", keep=["id"]).collect())
+    records = Counter((r.id, r.record) for r in run_records(df, flow, "str", keep=["id"]).collect())
     frames = run_frames(df, flow, "str", keep=["id"]).collect()
     assert len(frames) == len(values)  # one frame per input, even when empty
     assert Counter((r.id, x) for r in frames for x in r.out) == records

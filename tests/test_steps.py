@@ -141,8 +141,8 @@ def test_dataframe_step(spark):
     from lineflow import dataframe_step
 
     df = df_of(spark, ["b a", "a", "c a b"])
-    distinct_words = tokenize() | dataframe_step(lambda d: d.dropDuplicates(["_wukong"]), "distinct") | upcase()
-    out = sorted(r._wukong for r in run_records(df, distinct_words, "str").collect())
+    distinct_words = tokenize() | dataframe_step(lambda d: d.dropDuplicates(["record"]), "distinct") | upcase()
+    out = sorted(r.record for r in run_records(df, distinct_words, "str").collect())
     assert out == ["A", "B", "C"]
     with pytest.raises(ValueError, match="per-input frame"):
         run_frames(df, distinct_words, "str")

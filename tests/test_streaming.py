@@ -22,7 +22,7 @@ def run_once(spark, o, ckpt, out, **kw):
     q = start_flow(spark, o, upcase(), checkpoint=ckpt, sink="parquet", path=out, **kw)
     q.awaitTermination()
     assert q.exception() is None
-    return sorted(r._wukong for r in spark.read.parquet(out).collect())
+    return sorted(r.record for r in spark.read.parquet(out).collect())
 
 
 def test_file_stream_resume(spark, tmp_path):
@@ -81,9 +81,9 @@ def test_name_replace_and_dry_run(spark, tmp_path):
 
 
 def test_topic_per_record(spark):
-    df = spark.createDataFrame([("a", None), ("b", "special")], "_wukong string, topic string")
+    df = spark.createDataFrame([("a", None), ("b", "special")], "record string, topic string")
     assert [tuple(r) for r in kafka_frame(df, "default").collect()] == [("default", "a"), ("special", "b")]
-    no_topic = spark.createDataFrame([("a",)], "_wukong string")
+    no_topic = spark.createDataFrame([("a",)], "record string")
     assert [tuple(r) for r in kafka_frame(no_topic, "default").collect()] == [("default", "a")]
 
 
@@ -147,7 +147,7 @@ def test_split_file_stream_numbers_lines(spark, tmp_path):
         q.awaitTermination()
         assert q.exception() is None
         out = spark.read.parquet(f"{run}/out")
-        rows = [r._wukong.split("\t") for r in out.collect()]
+        rows = [r.record.split("\t") for r in out.collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     a = [r for r in rows if r[0].endswith("A.TXT")]
@@ -165,7 +165,7 @@ def test_restart_by_name_resumes(spark, tmp_path):
     write(src, "b.txt", "two\n")
     q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out")
     q.awaitTermination()
-    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["ONE", "TWO"]  # the second start read only the new file
 
 
@@ -214,5 +214,5 @@ def test_replay_after_failure_is_not_doubled(spark, tmp_path):
     q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1)
     q.awaitTermination()
     assert q.exception() is None
-    got = sorted(r._wukong.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]  # batch 1 ran twice, written once
