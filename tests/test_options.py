@@ -113,7 +113,7 @@ def test_hosts_get_ports():
 def test_command_line():
     o = args("my_flow --input=foo --output=bar --command_prefix=bundle_exec --foo=bar --baz")
     assert o.extra == {"foo": "bar", "baz": "true"}
-    assert o.bolt_argv(["wu-bolt"]) == ["bundle_exec", "wu-bolt", "my_flow", "--baz=true", "--foo=bar"]
+    assert o.bolt_argv(["run-flow"]) == ["bundle_exec", "run-flow", "my_flow", "--baz=true", "--foo=bar"]
     c = FlowOptions(bolt_command="my_cmd --some-option=value -af -q 3", input="foo", output="bar")
     assert c.command_argv() == ["my_cmd", "--some-option=value", "-af", "-q", "3"]
     assert c.dataflow_name == "my_cmd" and c.validate()  # a command alone is valid (D9)
