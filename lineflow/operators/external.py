@@ -67,27 +67,37 @@ class _Child:
         self._err_thread = threading.Thread(target=self._drain_stderr, daemon=True)
         self._err_thread.start()
         self._out_fd = self.proc.stdout.fileno()
-        self._lines: list[bytes] = []  # complete lines read ahead, in reverse order
-        self._partial = b""
+        self._lines: list[str] = []  # decoded output lines read ahead
+        self._pos = 0  # next unread line
+        self._partial = b""  # bytes after the last newline
         self._eof = False
 
-    def _fill(self) -> bool:
-        """Read the next chunk of output into whole lines; False at end of output."""
-        while not self._lines:
-            if self._eof:
+    def _more(self) -> bool:
+        """Read one more chunk of output; False at end of output.
+
+        A chunk is decoded once and split in C; a line ending in CR (a CRLF
+        child) loses the CR, as a line reader would.
+        """
+        if self._eof:
+            return False
+        chunk = os.read(self._out_fd, 1 << 16)
+        if not chunk:
+            self._eof = True
+            if not self._partial:
                 return False
-            chunk = os.read(self._out_fd, 1 << 16)
-            if not chunk:
-                self._eof = True
-                if self._partial:
-                    self._lines.append(self._partial)
-                    self._partial = b""
-                    return True
-                return False
-            parts = (self._partial + chunk).split(b"\n")
-            self._partial = parts.pop()
-            parts.reverse()
-            self._lines = parts
+            data, self._partial = self._partial, b""
+            lines = [data.decode("utf-8", "replace")]
+        else:
+            data = self._partial + chunk
+            cut = data.rfind(b"\n")
+            if cut < 0:
+                self._partial = data
+                return True
+            self._partial = data[cut + 1:]
+            lines = data[:cut].decode("utf-8", "replace").split("\n")
+        if any(line.endswith("\r") for line in lines):
+            lines = [line[:-1] if line.endswith("\r") else line for line in lines]
+        self._lines.extend(lines)
         return True
 
     def _drain_stderr(self) -> None:
@@ -120,23 +130,25 @@ class _Child:
         if timer:
             timer.start()
         try:
+            if self._pos:  # drop the lines of earlier batches; no index into them is held
+                del self._lines[:self._pos]
+                self._pos = 0
             frames: list[list[str]] = []
-            current: list[str] = []
-            delim = self.delimiter.encode("utf-8")
+            delim = self.delimiter
+            search_from = 0
             while len(frames) < len(records):
-                if not self._lines and not self._fill():
-                    raise self.fail(
-                        f"output ended after {len(frames)} of {len(records)} frames of a batch "
-                        f"(early exit or missing terminator); input was {records[len(frames)]!r}"
-                    )
-                raw = self._lines.pop()
-                if raw.endswith(b"\r"):  # a CRLF child: the CR belongs to the line end
-                    raw = raw[:-1]
-                if raw == delim:
-                    frames.append(current)
-                    current = []
-                else:
-                    current.append(raw.decode("utf-8", "replace"))
+                try:
+                    end = self._lines.index(delim, search_from)
+                except ValueError:
+                    search_from = len(self._lines)
+                    if not self._more():
+                        raise self.fail(
+                            f"output ended after {len(frames)} of {len(records)} frames of a batch "
+                            f"(early exit or missing terminator); input was {records[len(frames)]!r}"
+                        ) from None
+                    continue
+                frames.append(self._lines[self._pos:end])
+                self._pos = search_from = end + 1
             return frames
         finally:
             if timer:
@@ -144,8 +156,8 @@ class _Child:
 
     def finish(self) -> None:
         """After the last frame: no further output and a zero exit."""
-        rest = b"\n".join(reversed(self._lines)) + self._partial
-        self._lines, self._partial = [], b""
+        rest = "\n".join(self._lines[self._pos:]).encode("utf-8") + self._partial
+        self._lines, self._pos, self._partial = [], 0, b""
         if not self._eof:
             rest += self.proc.stdout.read()
         code = self.proc.wait()

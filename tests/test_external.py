@@ -97,3 +97,15 @@ def test_crlf_child(spark):
 def test_missing_program(spark):
     with pytest.raises(PythonException, match="No such file|not found"):
         run_records(lines(spark, ["a"]), command_step(["no-such-program-lineflow"]), "str").collect()
+
+
+def test_many_batches_per_task(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        vals = [" ".join(f"w{i}_{j}" for j in range(i % 4)) for i in range(2500)]
+        out = run_records(lines(spark, vals, parts=2), command_step(ECHO_WORDS), "str", keep=["id"]).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    expect = sorted((i, f"w{i}_{j}") for i in range(2500) for j in range(i % 4))
+    assert sorted((r.id, r.record) for r in out) == expect
