@@ -114,9 +114,14 @@ def to_json() -> Step:
 
 
 def field(x: Column, dtype: DataType | None, name: str) -> Column:
-    """Field ``name`` of a record as text: struct field, variant path or JSON path."""
+    """Field ``name`` (``a.b`` for nested) of a record as text: struct field, variant path or JSON path."""
     if isinstance(dtype, StructType):
-        return x[name].cast("string")
+        col, t = x, dtype
+        for part in name.split("."):
+            if not isinstance(t, StructType) or part not in t.fieldNames():
+                return F.lit(None).cast("string")  # a missing field interpolates as ''
+            col, t = col[part], t[part].dataType
+        return col.cast("string")
     if isinstance(dtype, VariantType):
         return F.try_variant_get(x, f"$.{name}", "string")
     return F.get_json_object(x, f"$.{name}")

@@ -206,3 +206,12 @@ def test_python_processor_like_the_reference(spark):
     df = df_of(spark, ["ab", " "])
     assert recs(run_records(df, lookup("yield_twice_unless_blank") | lookup("vector_len"), "str", keep=["id"])) == [
         (0, "2"), (0, "2")]
+
+
+def test_interpolate_nested_and_missing(spark):
+    df = df_of(spark, ['{"user":{"name":"ann"},"k":1}', '{"k":2}'])
+    it = interpolate("{user.name}:{k}:{nope}")
+    expect = [(0, "ann:1:"), (1, ":2:")]
+    assert recs(run_records(df, it, "str", keep=["id"])) == expect
+    assert recs(run_records(df, from_json() | it, "str", keep=["id"])) == expect
+    assert recs(run_records(df, from_json("user STRUCT<name: STRING>, k BIGINT") | it, "str", keep=["id"])) == expect
