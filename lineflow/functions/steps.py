@@ -101,7 +101,11 @@ def from_json(schema: str | StructType | None = None) -> Step:
 
 
 def to_json() -> Step:
-    """Serialise a struct or variant record to a JSON line, nulls kept (MAP-10)."""
+    """Serialise a struct or variant record to a JSON line, nulls kept (MAP-10).
+
+    A string record is taken as an already serialised JSON line and passed
+    through, so ``to_json`` can end any flow.
+    """
 
     def ser(x: Column, dtype: DataType | None) -> Column:
         if isinstance(dtype, StringType):
