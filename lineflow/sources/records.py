@@ -38,7 +38,8 @@ def _c(c: str | Column) -> Column:
 def split_lines(content: str | Column) -> Column:
     """The lines of a blob as ``ARRAY<STRING>``, with line-reader semantics."""
     text = _c(content)
-    parts = F.split(text, LINE_BREAK)
+    # A blob without CR takes Java's single-character split instead of the regex engine.
+    parts = F.when(text.contains("\r"), F.split(text, LINE_BREAK)).otherwise(F.split(text, "\n"))
     ends_with_break = F.substring(text, -1, 1).isin("\n", "\r")
     return (
         F.when(text.isNull() | (F.length(text) == 0), F.array().cast("array<string>"))
