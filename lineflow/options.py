@@ -22,6 +22,12 @@ DEFAULT_BOLT_DELIMITER = "X"
 DEFAULT_ENVIRONMENT = "development"
 KAFKA_EARLIEST = -2
 KAFKA_LATEST = -1
+# Launcher options of the reference that configure its engine or cluster.  Spark
+# configuration replaces them; they are accepted, shown by a dry run, and never passed to commands.
+ENGINE_OPTIONS = frozenset({
+    "resume", "debug", "optimize", "timeout", "workers", "worker_opts", "ackers", "sample_rate",
+    "nimbus_host", "nimbus_port", "zookeeper_hosts", "storm_home", "storm_runner",
+})
 
 
 class OptionError(ValueError):
@@ -74,14 +80,16 @@ class FlowOptions:
     directory: str | None = None
     environment: str = DEFAULT_ENVIRONMENT
     extra: dict[str, str] = field(default_factory=dict)
+    engine: dict[str, str] = field(default_factory=dict)
 
     # ------------------------------------------------------------------ parse
     @classmethod
     def from_args(cls, argv: list[str]) -> FlowOptions:
         """Read ``FLOW --key=value --flag ...``; ``--run=FLOW`` also names the flow."""
-        known = {f.name for f in fields(cls)} - {"extra"}
+        known = {f.name for f in fields(cls)} - {"extra", "engine"}
         values: dict[str, object] = {}
         extra: dict[str, str] = {}
+        engine: dict[str, str] = {}
         positional: list[str] = []
         for arg in argv:
             if not arg.startswith("--"):
@@ -91,6 +99,9 @@ class FlowOptions:
             key = key.replace("-", "_")
             if key == "run":
                 key = "flow"
+            if key in ENGINE_OPTIONS:
+                engine[key] = raw if eq else "true"
+                continue
             if key not in known:
                 extra[key] = raw if eq else "true"
                 continue
@@ -105,7 +116,7 @@ class FlowOptions:
                 values[key] = raw
         if positional and "flow" not in values:
             values["flow"] = positional[0]
-        return cls(**values, extra=extra)
+        return cls(**values, extra=extra, engine=engine)
 
     # ------------------------------------------------------------------ names
     @property

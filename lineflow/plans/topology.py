@@ -76,4 +76,7 @@ def dry_run(opts: FlowOptions, df: DataFrame) -> str:
         f"output     : {opts.output}",
         f"parallelism: source {opts.input_parallelism}, flow {opts.flow_parallelism}",
     ]
+    if opts.engine:
+        head.append("ignored engine options (use Spark configuration): "
+                    + ", ".join(f"--{k}={v}" for k, v in sorted(opts.engine.items())))
     return "\n".join(head) + "\n" + explain_text(df)

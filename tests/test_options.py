@@ -128,3 +128,10 @@ def test_parallelism_defaults_to_source():
 def test_builtin_names_resolve():
     for name in ("identity", "upcaser", "tokenizer", "from_json", "to_json", "prime_factorizer"):
         assert lookup(name).steps
+
+
+def test_engine_options_are_not_passed_to_commands():
+    o = args("my_flow --input=t --output=o --workers=4 --zookeeper_hosts=z1 --resume --size=3")
+    assert o.engine == {"workers": "4", "zookeeper_hosts": "z1", "resume": "true"}
+    assert o.extra == {"size": "3"}
+    assert o.bolt_argv(["prog"]) == ["prog", "my_flow", "--size=3"]
