@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         if cmd == "bolt":
             return _bolt(spark, opts)
         return _run(spark, opts, own)
-    except (OptionError, UnknownFlowError) as exc:
+    except (ValueError, UnknownFlowError) as exc:  # OptionError is a ValueError
         print(f"error: {exc}", file=sys.stderr)
         return 1
 
@@ -99,20 +99,28 @@ def _flag(own: dict[str, list[str]], key: str) -> bool:
     return (own[key] or ["false"])[-1].lower() not in ("false", "0", "no")
 
 
+def _int(own: dict[str, list[str]], key: str) -> int | None:
+    raw = (own[key] or [None])[-1]
+    if not raw:
+        return None
+    try:
+        return int(raw)
+    except ValueError:
+        raise OptionError(f"--{key} needs an integer, got {raw!r}") from None
+
+
 def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     from lineflow.streaming.runner import FlowAlreadyRunning, start_flow
 
     sink = (own["sink"] or ["kafka"])[-1]
     if _flag(own, "batch"):
         return _run_batch(spark, opts, sink, (own["path"] or [None])[-1])
-    cap = (own["max_per_trigger"] or [None])[-1]
-    byte_cap = (own["max_bytes_per_trigger"] or [None])[-1]
     split = _flag(own, "split_files")
     try:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
                        path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
-                       max_per_trigger=int(cap) if cap else None, split_files=split,
-                       max_bytes_per_trigger=int(byte_cap) if byte_cap else None)
+                       max_per_trigger=_int(own, "max_per_trigger"), split_files=split,
+                       max_bytes_per_trigger=_int(own, "max_bytes_per_trigger"))
     except FlowAlreadyRunning as exc:
         print(f"error: {exc}", file=sys.stderr)
         return 2

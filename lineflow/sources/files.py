@@ -73,17 +73,28 @@ def latest_existing_path(spark: SparkSession, path: str, recursive: bool = True,
     return row["m"] if row else None
 
 
-def stored_marker(spark: SparkSession, checkpoint: str) -> str | None:
-    """The marker stored with a checkpoint; ``""`` means "no cut"; None means none stored."""
+def stored_marker(spark: SparkSession, checkpoint: str, root: str | None = None) -> str | None:
+    """The marker stored with a checkpoint; ``""`` means "no cut"; None means none stored.
+
+    With ``root``, a checkpoint that was made for another input is an
+    error rather than a silently foreign cut.
+    """
     try:
         row = spark.read.text(f"{checkpoint}/{MARKER_FILE}").first()
     except AnalysisException:
         return None
-    return None if row is None else row["value"]
+    if row is None:
+        return None
+    kept_root, _tab, marker = row["value"].rpartition("\t")
+    if root is not None and kept_root and kept_root != normalize_path(root):
+        raise OptionError(f"checkpoint {checkpoint} belongs to input {kept_root}, not {normalize_path(root)}; "
+                          "use another --name or --checkpoint")
+    return marker
 
 
-def store_marker(spark: SparkSession, checkpoint: str, marker: str | None) -> None:
-    spark.createDataFrame([(marker or _NO_MARKER,)], "value string").coalesce(1).write.mode(
+def store_marker(spark: SparkSession, checkpoint: str, marker: str | None, root: str) -> None:
+    line = f"{normalize_path(root)}\t{marker or _NO_MARKER}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{checkpoint}/{MARKER_FILE}")
 
 
@@ -94,7 +105,7 @@ def resolve_marker(spark: SparkSession, position: StartPosition, root: str, chec
     ``store=False`` (a dry run) computes the marker without recording it.
     """
     if checkpoint is not None:
-        kept = stored_marker(spark, checkpoint)
+        kept = stored_marker(spark, checkpoint, root)
         if kept is not None:
             return kept or None
     if position.policy == "EARLIEST":  # POS-5
@@ -104,7 +115,7 @@ def resolve_marker(spark: SparkSession, position: StartPosition, root: str, chec
     else:  # POS-6 LATEST, or POS-8 RESUME without a stored marker
         marker = latest_existing_path(spark, root, recursive, glob)
     if checkpoint is not None and store:
-        store_marker(spark, checkpoint, marker)
+        store_marker(spark, checkpoint, marker, root)
     return marker
 
 

@@ -80,6 +80,8 @@ def start_flow(
     sinks then get one replay-safe ``batch_id=N`` folder per batch.
     """
     opts.validate(sink="kafka" if sink == "kafka" else "other")
+    if not (callable(sink) or sink in ("kafka", "memory") or path is not None):
+        raise ValueError(f"sink {sink!r} needs a path")  # checked before anything is written
     name = opts.query_name
     checkpoint = checkpoint or query_checkpoint(spark, name)
     if not opts.dry_run:

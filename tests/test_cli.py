@@ -34,14 +34,17 @@ def test_bolt_command(spark, tmp_path):
 def test_run_dry(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")
-    code = main(["run", "upcaser", f"--input=file://{tmp_path}/in", "--output=out", "--sink=memory", "--dry_run"])
+    code = main(["run", "upcaser", f"--name=dry_{tmp_path.name}_{id(tmp_path)}", f"--input=file://{tmp_path}/in",
+                 "--output=out", "--sink=memory", "--dry_run"])
     assert code == 0
     printed = capsys.readouterr().out
-    assert "query name : upcaser" in printed and "Physical Plan" in printed
+    assert "query name : dry_" in printed and "Physical Plan" in printed
 
 
-def test_errors(spark):
+def test_errors(spark, tmp_path):
     assert main(["run", "--input=foo", "--output=bar"]) == 1
+    assert main(["run", "upcaser", f"--input=file://{tmp_path}", "--output=o", "--max_per_trigger=lots"]) == 1
+    assert main(["run", "upcaser", f"--input=file://{tmp_path}", "--output=o", "--sink=parquet"]) == 1
     assert main(["run", "nope", "--input=foo", "--output=bar"]) == 1
     assert main([]) == 1
 

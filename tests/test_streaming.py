@@ -216,3 +216,17 @@ def test_replay_after_failure_is_not_doubled(spark, tmp_path):
     assert q.exception() is None
     got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]  # batch 1 ran twice, written once
+
+
+def test_checkpoint_of_another_input_is_refused(spark, tmp_path):
+    from lineflow.options import OptionError
+
+    a, b = tmp_path / "a", tmp_path / "b"
+    write(a, "x.txt", "1\n")
+    write(b, "y.txt", "2\n")
+    run = new_run_dir(spark, "t-other-input")
+    q = start_flow(spark, opts(a, from_beginning=True), upcase(), checkpoint=f"{run}/ckpt", sink="parquet",
+                   path=f"{run}/out")
+    q.awaitTermination()
+    with pytest.raises(OptionError, match="belongs to input"):
+        start_flow(spark, opts(b), upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out")
