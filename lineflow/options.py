@@ -50,6 +50,8 @@ class StartPosition:
 
 
 _BOOL_OPTIONS = {"from_beginning", "from_end", "rm", "dry_run"}
+# The short flags of the bolt command.
+_SHORT_FLAGS = {"-r": "run", "-t": "delimiter"}
 _INT_OPTIONS = {"kafka_partitions", "kafka_batch", "input_parallelism", "parallelism", "wait"}
 
 
@@ -85,13 +87,17 @@ class FlowOptions:
     # ------------------------------------------------------------------ parse
     @classmethod
     def from_args(cls, argv: list[str]) -> FlowOptions:
-        """Read ``FLOW --key=value --flag ...``; ``--run=FLOW`` also names the flow."""
+        """Read ``FLOW --key=value --flag ...``; ``--run=FLOW`` or ``-r FLOW`` also names the flow."""
         known = {f.name for f in fields(cls)} - {"extra", "engine"}
         values: dict[str, object] = {}
         extra: dict[str, str] = {}
         engine: dict[str, str] = {}
         positional: list[str] = []
-        for arg in argv:
+        args = list(argv)
+        while args:
+            arg = args.pop(0)
+            if arg in _SHORT_FLAGS and args:  # -r FLOW, -t TERMINATOR
+                arg = f"--{_SHORT_FLAGS[arg]}={args.pop(0)}"
             if not arg.startswith("--"):
                 positional.append(arg)
                 continue

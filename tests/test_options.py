@@ -135,3 +135,8 @@ def test_engine_options_are_not_passed_to_commands():
     assert o.engine == {"workers": "4", "zookeeper_hosts": "z1", "resume": "true"}
     assert o.extra == {"size": "3"}
     assert o.bolt_argv(["prog"]) == ["prog", "my_flow", "--size=3"]
+
+
+def test_short_flags():
+    o = FlowOptions.from_args(["-r", "simple", "-t", "---", "--input=x", "--output=y"])
+    assert o.flow == "simple" and o.delimiter == "---"
