@@ -230,3 +230,19 @@ def test_checkpoint_of_another_input_is_refused(spark, tmp_path):
     q.awaitTermination()
     with pytest.raises(OptionError, match="belongs to input"):
         start_flow(spark, opts(b), upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out")
+
+
+def test_routed_stream_to_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lineflow import route
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "ok\nbad one\n")
+    run = new_run_dir(spark, "t-routed")
+    flow = upcase() | route(lambda x: F.when(x.contains("BAD"), F.lit("errors")))
+    q = start_flow(spark, opts(src, from_beginning=True), flow, checkpoint=f"{run}/ckpt", sink="parquet",
+                   path=f"{run}/out")
+    q.awaitTermination()
+    got = kafka_frame(spark.read.parquet(f"{run}/out"), "clean").collect()
+    assert sorted((r.topic, r.value.split("\t")[1]) for r in got) == [("clean", "OK"), ("errors", "BAD ONE")]
