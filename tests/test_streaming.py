@@ -246,3 +246,20 @@ def test_routed_stream_to_files(spark, tmp_path):
     q.awaitTermination()
     got = kafka_frame(spark.read.parquet(f"{run}/out"), "clean").collect()
     assert sorted((r.topic, r.value.split("\t")[1]) for r in got) == [("clean", "OK"), ("errors", "BAD ONE")]
+
+
+def test_stop_flow(spark, tmp_path):
+    from lineflow.streaming import stop_flow
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "x\n")
+    run = new_run_dir(spark, "t-stop")
+    name = f"stop_{run.rsplit('-', 1)[-1]}"
+    assert stop_flow(spark, name, 1) is False
+    q = start_flow(spark, opts(src, name=name), upcase(), checkpoint=f"{run}/ckpt", sink="parquet",
+                   path=f"{run}/out", trigger={"processingTime": "1 second"})
+    try:
+        assert stop_flow(spark, name, 5) is True and not q.isActive
+    finally:
+        if q.isActive:
+            q.stop()
