@@ -31,6 +31,6 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry(spark):
     df = entry(spark)
-    assert df.columns == ["event_id", "topic", "value"]
+    assert df.dtypes == [("event_id", "bigint"), ("topic", "string"), ("value", "string")]
     rows = df.collect()
     assert rows and all(r.topic in ("clean", "errors") for r in rows)
