@@ -10,13 +10,58 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, transducer
+from lineflow.llm import bpe, langid, licenses, linededup, sharding, transducer, urlfilter
 from lineflow.llm.textops import as_string, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+RULES = [urlfilter.Rule(*r) for r in (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"))]
+# words in the host names of pages that the block list is made of
+LISTED_HOSTS = "(adult|ads|bets|casino|pills|spam)"
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are the documents; a path is source, thousand, hundred and number of the document."""
+    docs = table(spark, sf_dir, "documents")
+    n = F.col("doc_id")
+    path = F.concat_ws("/", "source", F.concat(F.lit("k"), F.floor(n / 1000)), F.concat(F.lit("h"), F.floor(n / 100)),
+                       F.concat(n, F.lit(".txt")))
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return licenses.scan(files).select("doc_id", "path", "license", F.round("score", 4).alias("score"), "basis")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(as_string(F.col("doc_id")).cast("binary")) % 5 == 0
+    net = langid.train(docs.where(~held_out), order=F.xxhash64("doc_id"))
+    out = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urlfilter.host_of(F.col("url")).rlike(LISTED_HOSTS))
+    return urlfilter.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", F.col("text").alias("clean_text"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+                       F.crc32(as_string(F.col("text")).cast("binary")).alias("text_crc32"))
+    out = sharding.assign(rows, ["doc_id", "size", "text_crc32"], 24, hash_key="doc_id")
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = transducer.token_counts(docs, WORD_BPE)
@@ -32,5 +77,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op9_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op9_bpe)}
 ORACLES: dict[str, str] = {}
