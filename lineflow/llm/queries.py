@@ -7,11 +7,12 @@ and derives the digest columns of its contract from the operator's output.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, langid, licenses, linededup, sharding, transducer, urlfilter
+from lineflow.llm import bpe, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
 from lineflow.llm.textops import as_string, table
+from lineflow.session import scratch_root
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +70,38 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_docs``: for ids divisible by 50, the other documents within the Hamming radius; else null."""
+    scratch_root(spark)
+    rows = simhash.with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
+    new = simhash.edited(F.col("text"), F.col("_next"))
+    rows = rows.select("_bucket", "_place", "_halo", "doc_id", F.length("text").cast("long").alias("n_chars"),
+                       F.sha2(new, 256).alias("edited_sha256"),
+                       F.explode(F.when(F.col("_halo"), F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("t")))).otherwise(
+                           F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("t")),
+                                   F.struct(F.lit(1).alias("k"), new.alias("t"))))).alias("_v"))
+    rows = rows.select("_bucket", "_place", "_halo", "doc_id", "n_chars", "edited_sha256", "_v.k", "_v.t")
+    # bucket and place name a row from here to the checkpoint
+    keys = ["_bucket", "_place", "_halo", "doc_id", "n_chars", "edited_sha256", "k"]
+    prints = simhash.fingerprints(rows, keys, "t")
+    keys.remove("k")
+    own = prints.groupBy(*keys).agg(F.max(F.when(F.col("k") == 0, F.col("fingerprint"))).alias("fingerprint"),
+                                    F.max(F.when(F.col("k") == 1, F.col("fingerprint"))).alias("_edited")).checkpoint()
+    after = Window.partitionBy("_bucket").orderBy("_place")
+    own = own.withColumn("_next", F.lead("fingerprint").over(after)).where("not _halo")
+    copies = own.groupBy("fingerprint").agg(F.count("*").alias("_n"))
+    asked = own.where("doc_id % 50 = 0")
+    near = (simhash.within(asked, copies).join(copies, "fingerprint").groupBy("query")
+            .agg((F.sum("_n") - 1).alias("_near")))
+    out = own.join(near, F.col("fingerprint") == F.col("query"), "left")
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"),
+        simhash.as_hex(F.col("_edited")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("fingerprint"), F.col("_edited")).alias("near_edited"),
+        F.coalesce(simhash.likeness(F.col("fingerprint"), F.col("_next")), F.lit(0.0)).alias("near_next"),
+        F.when(F.col("doc_id") % 50 == 0, F.col("_near")).alias("near_docs"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.decode(bpe.encode(docs, BYTE_BPE).select("doc_id", "ids"), BYTE_BPE)
@@ -78,5 +111,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op9_bpe)}
+    op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
+    op9_bpe)}
 ORACLES: dict[str, str] = {}
