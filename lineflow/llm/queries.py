@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
-from lineflow.llm.textops import as_string, table
+from lineflow.llm import bpe, decontam, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
+from lineflow.llm.textops import as_string, shared_folder, table
 from lineflow.session import scratch_root
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,15 @@ RULES = [urlfilter.Rule(*r) for r in (
 LISTED_HOSTS = "(adult|ads|bets|casino|pills|spam)"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontam.build_index(table(spark, sf_dir, "documents"), f"{shared_folder(spark, 'postings')}/index")
+    found = decontam.search(index, decontam.phrases_of(table(spark, sf_dir, "benchmark")))
+    n_hit = F.aggregate(F.zip_with("hit_from", "hit_to", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+                        (F.size("hit_from") > 0).alias("contaminated"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files are the documents; a path is source, thousand, hundred and number of the document."""
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +120,31 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
+    op1_decontamination, op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
     op9_bpe)}
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_decontamination"] = r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bench AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS p, least(10, len(w)) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bench WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM phrases),
+spots AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM raw, sizes WHERE len(w) >= n),
+hits AS (
+  SELECT s.r, s.i, s.n, p.item_id FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM spots) s
+  JOIN phrases p ON s.p = p.p AND s.n = p.n),
+covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS s
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM raw LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""

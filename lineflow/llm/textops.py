@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from lineflow.session import new_run_dir
+
 SLICE_BYTES = 4 << 20
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -26,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder below the session's shared checkpoint folder, removed when the driver's JVM ends."""
+    folder = new_run_dir(spark, label)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 def as_string(c) -> "F.Column":
     """``c`` as text: the empty string where it is null."""
     return F.coalesce(c.cast("string"), F.lit(""))
