@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, decontam, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
+from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
 from lineflow.llm.textops import as_string, shared_folder, table
 from lineflow.session import scratch_root
 
@@ -119,9 +119,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.components(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
-    op9_bpe)}
+    op9_bpe, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_decontamination"] = r"""
@@ -148,3 +153,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM raw LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
+
+ORACLES["op10_jaccard_join"] = r"""
+WITH RECURSIVE raw AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT r, hash(array_to_string(w[i:i + 2], ' '), len(w) < 3) AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM raw WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT x, y FROM common JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+reach(x, y) AS (SELECT r, r FROM raw UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT raw.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM raw JOIN reach ON reach.x = raw.r JOIN raw o ON o.r = reach.y LEFT JOIN n ON n.r = raw.r
+GROUP BY raw.r, raw.doc_id, n.n
+"""
