@@ -1,16 +1,78 @@
-"""The corpus pipeline: documents through the operators of ``lineflow.llm``, stage by stage."""
+"""The corpus pipeline: documents through five operators of ``lineflow.llm``.
+
+Each stage works on all rows that the one before kept; ``run`` writes every
+stage's rows to the shared checkpoint folder and reads them back.  All stages
+but the last return the columns of ``documents``.
+
+* ``language``: a byte network learns from the rows' own labels; rows whose
+  text has no letter, or whose score is below ``MIN_SCORE``, go.
+* ``line_dedup``: cross-site boilerplate lines are cut from the texts;
+  ``n_chars`` follows.
+* ``jaccard``: of the texts linked at 0.8 over shingles of five words, the
+  one with the least id stays.
+* ``decontaminate``: rows that hold ten words in a row of a benchmark item go.
+* ``bpe``: token ids of the texts that are left, and whether they decode to
+  the same text.
+
+The language stage cannot be said in SQL, so ``ORACLE_SQL`` is None; the
+stages are tested against plain Python.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lineflow.llm import bpe, decontam, jaccard, langid, linededup
+from lineflow.llm.textops import shared_folder, table
+from lineflow.session import ship_package
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MIN_SCORE = 0.3
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    net = langid.train(docs, order=F.xxhash64("doc_id"))
+    judged = langid.predict(docs.select(*COLUMNS), net)
+    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = linededup.remove_boilerplate(docs.select(*COLUMNS))
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return jaccard.keep_one(docs.select(*COLUMNS), width=5, threshold=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    items = table(spark, sf_dir, "benchmark")
+    return decontam.drop_contaminated(docs.select(*COLUMNS), items, f"{shared_folder(spark, 'postings')}/index")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), BYTE_BPE), BYTE_BPE)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
 
-STAGES: list = []
+STAGES = [("language", language), ("line_dedup", line_dedup), ("jaccard", near_duplicates),
+          ("decontaminate", decontaminate), ("bpe", encode)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for the whole table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "pipeline")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

@@ -150,7 +150,7 @@ def _needed(n, threshold: int):
 
 
 def _signed_sets(docs: DataFrame, sketch: np.ndarray, width: int, threshold: int, whole: bool) -> DataFrame:
-    """``id, key, n, sig`` of each text and ``tokens``: its first shingles by the order, or all of them."""
+    """``id, key, n, sig, short`` (the signature's first half) of each text and ``tokens``: its first shingles by the order, or all."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,11 +169,12 @@ def _signed_sets(docs: DataFrame, sketch: np.ndarray, width: int, threshold: int
                 values = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), pa.array(values))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("key"), pa.array(n), pa.array(sigs, pa.binary()), lists],
-                    names=["id", "key", "n", "sig", "tokens"])
+                    [part.column("id"), part.column("key"), pa.array(n), pa.array(sigs, pa.binary()),
+                     pa.array(np.frombuffer(b"".join(x[:8] for x in sigs), np.int64)), lists],
+                    names=["id", "key", "n", "sig", "short", "tokens"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, key struct<a: long, b: long>, n long, sig binary, tokens array<long>")
+    return docs.mapInArrow(run, f"id {kind}, key struct<a: long, b: long>, n long, sig binary, short long, tokens array<long>")
 
 
 def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -232,9 +233,13 @@ def contract(links: DataFrame) -> DataFrame:
         seen = now
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
-               threshold: int = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``key`` (two hashes of the text), ``n`` (set size), ``component`` (least id)."""
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
+                 threshold: int = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``key`` (two hashes of the text), ``n`` (set size) and ``root`` (its component)."""
     spark = docs.sparkSession
     scratch_root(spark)
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("key", text_key())
@@ -242,15 +247,18 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
     folder = shared_folder(spark, "jaccard")
     _signed_sets(frame, sketch, width, threshold, whole=False).write.parquet(f"{folder}/signed")
     signed = spark.read.parquet(f"{folder}/signed")
-    sets = signed.where("n > 0").groupBy("sig").agg(F.first("tokens").alias("tokens"), F.min("key").alias("key"))
-    tokens = sets.select("sig", F.explode("tokens").alias("token"))
+    # tokens that at least two sets share; a set goes by the short half of its signature here,
+    # so that two sets with equal halves would only be compared once more
+    tokens = signed.select("short", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    # tokens that at least two sets share, with how many of its tokens a set shares
-    candidates = tokens.join(shared, "token").checkpoint()
-    keys = candidates.select("sig").distinct().join(sets.select("sig", "key", F.size("tokens").alias("p")), "sig").checkpoint()
-    n_keys = keys.count()
+    held = tokens.join(shared, "token").distinct().checkpoint()  # without copies from here
+    common = held.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    held = held.join(common, "token")
+    keys = (signed.join(held.select("short").distinct(), "short").groupBy("sig")
+            .agg(F.min("short").alias("short"), F.min("key").alias("key"), F.min(F.size("tokens")).alias("p")).checkpoint())
+    candidates = held.join(keys.select("short", "sig"), "short").select("sig", "token").checkpoint()
     wanted = keys.select("key")
-    texts = frame.join(F.broadcast(wanted) if n_keys <= BROADCAST_ROWS else wanted, "key", "left_semi")
+    texts = frame.join(_small(wanted, keys.count()), "key", "left_semi")
     texts = texts.groupBy("key").agg(F.first("text").alias("text")).select(F.lit(None).cast("long").alias("id"), "text", "key")
     _signed_sets(texts, sketch, width, threshold, whole=True).select("sig", "tokens").write.parquet(f"{folder}/whole")
     whole = spark.read.parquet(f"{folder}/whole")
@@ -278,7 +286,30 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
 
     roots = contract(stars.unionAll(crossing))
     rows = signed.select("id", "key", "n", "sig").join(roots.withColumnRenamed("v", "sig"), "sig", "left")
-    rows = rows.select("id", "key", "n", F.coalesce("root", "sig").alias("root"))
+    return rows.select("id", "key", "n", F.coalesce("root", "sig").alias("root"))
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
+               threshold: int = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``n`` (set size) and ``component`` (the least id linked with it)."""
+    rows = grouped_rows(docs, doc_id, text, width, threshold)
     least = rows.where("n > 0").groupBy("root").agg(F.min("id").alias("least"))
-    linked = rows.where("n > 0").join(least, "root").select("id", "key", "n", F.col("least").alias("component"))
-    return linked.unionAll(rows.where("n = 0").select("id", "key", "n", F.col("id").alias("component")))
+    linked = rows.where("n > 0").join(least, "root").select("id", "n", F.col("least").alias("component"))
+    return linked.unionAll(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
+             threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each component, that of the least id; rows with an empty set all stay."""
+    rows = grouped_rows(docs, doc_id, text, width, threshold).where("n > 0")
+    rows = rows.groupBy("root", "id", "key").agg(F.count("*").alias("copies"))
+    first = rows.groupBy("root").agg(F.min(F.struct("id", "key")).alias("first"))
+    rows = rows.join(first, "root").withColumn("stays", F.struct("id", "key").eqNullSafe(F.col("first")))
+    # rows that go, and those that stay but are repeated
+    marked = rows.where("not stays or copies > 1").select(
+        F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")).checkpoint()
+    own = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.col(text), F.lit("key")).alias("b"))
+    found = docs.join(_small(marked, marked.count()), F.col(doc_id).eqNullSafe(F.col("_id")) & (own == F.col("_key")), "left")
+    names = [f"`{c}`" for c in docs.columns]
+    repeated = found.where("_stays").dropDuplicates(["_id", "_key"])
+    return found.where("_stays is null").select(*names).unionAll(repeated.select(*names))
