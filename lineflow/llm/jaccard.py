@@ -3,8 +3,8 @@
 Texts with equal shingle sets are one *set*; the join runs over distinct sets.
 
 1. Shingles have a fixed global order, rare ones first: by a count sketch of
-   all sets (``1 << SKETCH_BITS`` cells, the only thing broadcast whose size
-   is fixed), then by hash.  Any fixed order gives the same links.  Two
+   all sets (``1 << SKETCH_BITS`` cells of two bytes, which is all that is
+   broadcast), then by hash.  More cells tell rare shingles of larger inputs apart.  Any fixed order gives the same links.  Two
    linked sets share one of the first ``n - ceil(t n) + 1`` shingles of each;
    only sets that share such a token go on.
 2. Similar sets form groups: every set is compared with the most central set
@@ -32,6 +32,7 @@ whole.  Null ids never name a component unless all its ids are null.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,8 @@ from lineflow.session import scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
-SKETCH_BITS = 20
+SKETCH_BITS = 24
+SKETCH_PARTS = 256
 GROUP = 64
 QUERIES_PER_TASK = 256
 BROADCAST_ROWS = 1_000_000  # of 16-byte keys
@@ -114,33 +116,40 @@ def text_key() -> Column:
     return F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit("key")).alias("b"))
 
 
+def _cells(flat: np.ndarray, cells: int) -> np.ndarray:
+    return (flat >> np.uint64(65 - cells.bit_length())).astype(np.int64)
+
+
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How often shingles fall into each cell, over the sets of all texts."""
-    parts, cells = 64, 1 << SKETCH_BITS
-    each = cells // parts
+    """How often shingles fall into each cell, over the sets of all texts (65,535: that or more)."""
+    cells = 1 << SKETCH_BITS
+    each = cells // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 flat, _ = shingle_sets(part.column("text"), width)
-                total += np.bincount((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
-        if total.any():
-            total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(
-                [total[i * each:(i + 1) * each].tobytes() for i in range(parts)], pa.binary())], names=["part", "counts"])
+                own, n = np.unique(_cells(flat, cells), return_counts=True)
+                total[own] += n.astype(np.uint32)
+        for i in range(SKETCH_PARTS):
+            own = total[i * each:(i + 1) * each]
+            if own.any():  # mostly zeros and ones: they pack well
+                packed = zlib.compress(np.minimum(own, 65535).astype(np.uint16).tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed], pa.binary())], names=["part", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(each, np.uint64)
-        for c in rows.column("counts").to_pylist():
-            total += np.frombuffer(c, np.uint32)
-        total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pa.table({"part": rows.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        for c in rows.column("counts"):
+            total += np.frombuffer(zlib.decompress(c.as_py()), np.uint16)
+        packed = zlib.compress(np.minimum(total, 65535).astype(np.uint16).tobytes(), 1)
+        return pa.table({"part": rows.column("part")[:1], "counts": pa.array([packed], pa.binary())})
 
-    out = np.zeros(cells, np.uint32)
+    out = np.zeros(cells, np.uint16)
     kind = "part int, counts binary"
-    for r in docs.select("text").mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).collect():  # 4 MB
-        out[r["part"] * each:(r["part"] + 1) * each] = np.frombuffer(r["counts"], np.uint32)
+    # SKETCH_PARTS rows that hold 2 << SKETCH_BITS bytes in all
+    for r in docs.select("text").mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).toLocalIterator():
+        out[r["part"] * each:(r["part"] + 1) * each] = np.frombuffer(zlib.decompress(r["counts"]), np.uint16)
     return out
 
 
@@ -149,15 +158,13 @@ def _needed(n, threshold: int):
     return (threshold * n + 99) // 100
 
 
-def _signed_sets(docs: DataFrame, sketch: np.ndarray, width: int, threshold: int, whole: bool) -> DataFrame:
+def _signed_sets(docs: DataFrame, shared, width: int, threshold: int, whole: bool) -> DataFrame:
     """``id, key, n, sig, short`` (the signature's first half) of each text and ``tokens``: its first shingles by the order, or all."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 flat, offsets = shingle_sets(part.column("text"), width)
-                count = shared.value[flat >> np.uint64(64 - SKETCH_BITS)]
+                count = shared.value[_cells(flat, len(shared.value))]
                 order = count.astype(np.uint64) << np.uint64(32) | (flat & np.uint64(0xFFFFFFFF))
                 n = np.diff(offsets)
                 first = n if whole else np.where(n == 0, 0, n - _needed(n, threshold) + 1)
@@ -243,7 +250,7 @@ def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     spark = docs.sparkSession
     scratch_root(spark)
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("key", text_key())
-    sketch = _sketch(frame, width)
+    sketch = spark.sparkContext.broadcast(_sketch(frame, width))
     folder = shared_folder(spark, "jaccard")
     _signed_sets(frame, sketch, width, threshold, whole=False).write.parquet(f"{folder}/signed")
     signed = spark.read.parquet(f"{folder}/signed")
@@ -308,8 +315,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     # rows that go, and those that stay but are repeated
     marked = rows.where("not stays or copies > 1").select(
         F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")).checkpoint()
-    own = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.col(text), F.lit("key")).alias("b"))
-    found = docs.join(_small(marked, marked.count()), F.col(doc_id).eqNullSafe(F.col("_id")) & (own == F.col("_key")), "left")
-    names = [f"`{c}`" for c in docs.columns]
+    # the row travels as one column, so that no name of its own can clash
+    own = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), F.col(doc_id).alias("_own_id"), F.struct(
+        F.xxhash64(text).alias("a"), F.xxhash64(F.col(text), F.lit("key")).alias("b")).alias("_own_key"))
+    found = own.join(_small(marked, marked.count()),
+                     F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left")
     repeated = found.where("_stays").dropDuplicates(["_id", "_key"])
-    return found.where("_stays is null").select(*names).unionAll(repeated.select(*names))
+    kept = found.where("_stays is null").select("_row").unionAll(repeated.select("_row"))
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
