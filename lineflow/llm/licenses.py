@@ -24,12 +24,16 @@ along; input columns of the outputs' names are replaced.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lineflow.session import scratch_root
+
 THRESHOLD = 0.6
 WORD = "[^a-z0-9.+-]+"
+BLANKS = " \t\r"
 STOP = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that",
         "the", "this", "to", "under", "was", "were", "with", "you", "your")
 # Notices in the words that licences ask for.
@@ -50,6 +54,12 @@ def terms(line: Column) -> Column:
     return F.filter(words, lambda w: (w != "") & ~w.isin(*STOP))
 
 
+def template_vocabulary(templates: dict[str, str]) -> list[str]:
+    """The templates' terms, as ``terms`` cuts them."""
+    found = {re.sub("[.]+$", "", w) for t in templates.values() for w in re.split(WORD, t.lower())}
+    return sorted(found - {"", *STOP})
+
+
 def _template_terms(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """``license, term, tf``: one row per template and term."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, notice string")
@@ -57,18 +67,23 @@ def _template_terms(spark: SparkSession, templates: dict[str, str]) -> DataFrame
             .groupBy("license", "term").agg(F.count("*").alias("tf")))
 
 
+def may_match(line: Column, vocabulary: list[str]) -> Column:
+    """The cheap test before any other: as text, a line in lower case has to hold some template term."""
+    some = F.lit(False)
+    for t in vocabulary:
+        some = some | F.contains(line, F.lit(t))
+    return some
+
+
 def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
             threshold: float = THRESHOLD) -> DataFrame:
-    """``_line, _license, _score``: the nearest template of every distinct line that reaches ``threshold``."""
+    """``_line, _license, _score``: the nearest template of every distinct line (in lower case) that reaches ``threshold``."""
+    scratch_root(docs.sparkSession)
     wanted = _template_terms(docs.sparkSession, templates or TEMPLATES)
-    vocabulary = [r["term"] for r in wanted.select("term").distinct().orderBy("term").collect()]  # terms of the templates
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("_line")).withColumn(
-        "_line", F.btrim("_line", F.lit(" \t\r"))).where("_line != ''")
-    # the cheap test first: as text, a line has to hold some template term
-    some = F.lit(False)
-    for t in vocabulary:
-        some = some | F.contains(F.lower("_line"), F.lit(t))
-    grouped = lines.groupBy(F.when(some, F.col("_line")).alias("_line")).agg(F.count("*").alias("_copies"))
+    vocabulary = template_vocabulary(templates or TEMPLATES)
+    lines = docs.select(_lines(text).alias("_line")).select(F.btrim("_line", F.lit(BLANKS)).alias("_line")).where("_line != ''")
+    grouped = lines.groupBy(F.when(may_match(F.col("_line"), vocabulary), F.col("_line")).alias("_line")).agg(F.count("*").alias("_copies"))
+    grouped = grouped.checkpoint()  # distinct lines that hold a template term, and one row that counts the others
     grouped = grouped.withColumn("_terms", F.coalesce(terms(F.col("_line")), F.array()))
     here = F.filter(F.array_distinct("_terms"), lambda t: t.isin(*vocabulary))
     df = grouped.select("_copies", F.explode(F.concat(F.array(F.lit("")), here)).alias("term"))  # "" counts the lines
@@ -92,6 +107,10 @@ def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] | Non
     return best.select("_line", F.col("_best.l").alias("_license"), (-F.col("_best.s")).alias("_score"))
 
 
+def _lines(text: str) -> Column:
+    return F.explode(F.split(F.lower(F.col(text)), "\n"))
+
+
 def parent(path: Column) -> Column:
     return F.coalesce(F.regexp_extract(path, "(?s)^(.*)/[^/]*$", 1), F.lit(""))
 
@@ -109,17 +128,19 @@ def scan(files: DataFrame, text: str = "text", path: str = "path", templates: di
 
     ``basis`` is ``own``, ``folder:<path>`` for an inherited licence, or ``none``.
     """
-    known = notices(files, text, templates, threshold)
+    known = notices(files, text, templates, threshold).checkpoint()
     own = [F.xxhash64(text).alias("_t1"), F.xxhash64(F.col(text), F.lit("t")).alias("_t2")]
-    lines = files.select(*own, F.posexplode(F.filter(
-        F.transform(F.split(F.col(text), "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")).alias("_at", "_line"))
-    found = (lines.join(known, "_line").groupBy("_t1", "_t2").agg(
-        F.min(F.struct((-F.col("_score")).alias("s"), F.col("_license").alias("l"))).alias("_own"),
-        F.min(F.when(F.col("_at") == 0, F.struct((-F.col("_score")).alias("s"), F.col("_license").alias("l")))).alias("_head")))
+    head = F.btrim(F.substring_index(F.ltrim(F.lower(F.col(text)), F.lit(BLANKS + "\n")), "\n", 1), F.lit(BLANKS))
+    lines = files.select(*own, head.alias("_first"), _lines(text).alias("_line")).withColumn("_line", F.btrim("_line", F.lit(BLANKS)))
+    lines = lines.where(may_match(F.col("_line"), template_vocabulary(templates or TEMPLATES)))  # so few lines move
+    rank = F.struct((-F.col("_score")).alias("s"), F.col("_license").alias("l"))
+    found = lines.join(known, "_line").groupBy("_t1", "_t2").agg(
+        F.min(rank).alias("_own"), F.min(F.when(F.col("_line") == F.col("_first"), rank)).alias("_head"))
     outs = ("license", "score", "basis")
     names = [c for c in files.columns if c not in (text, *outs)]
-    rows = (files.select("*", *own).drop(text, *outs).join(found, ["_t1", "_t2"], "left")
-            .withColumn("_dir", parent(F.col(path).cast("string"))))
+    # the row travels as one column, so that no name of its own can clash, and without the text
+    rows = files.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"), parent(F.col(path).cast("string")).alias("_dir"), *own)
+    rows = rows.join(found, ["_t1", "_t2"], "left").drop("_t1", "_t2").checkpoint()
     covers = rows.where("_head is not null").groupBy("_dir").agg(F.min("_head").alias("_head")).select(
         F.col("_dir").alias("_up"), F.col("_head.l").alias("_given"))
     folders = rows.select("_dir").distinct().select("_dir", F.explode(ancestors(F.col("_dir"))).alias("_up"))
@@ -128,5 +149,5 @@ def scan(files: DataFrame, text: str = "text", path: str = "path", templates: di
     rows = rows.join(nearest, "_dir", "left")
     mine = F.col("_own").isNotNull()
     return rows.select(
-        *(f"`{c}`" for c in names), F.coalesce("_own.l", "_from.g").alias("license"), (-F.col("_own.s")).alias("score"),
+        *(F.col("_row")[c].alias(c) for c in names), F.coalesce("_own.l", "_from.g").alias("license"), (-F.col("_own.s")).alias("score"),
         F.when(mine, "own").when(F.col("_from").isNotNull(), F.concat(F.lit("folder:"), F.col("_from.u"))).otherwise("none").alias("basis"))
