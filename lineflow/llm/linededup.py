@@ -72,12 +72,14 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     cut = found.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_set(F.struct("_pos", "_bytes"))).alias("_cut"))
     cut = cut.select("_t1", "_t2", F.col("_cut._pos").alias("_places"),
                      F.aggregate("_cut._bytes", F.lit(0).cast("long"), lambda a, b: a + b).alias("_cut_bytes"))
-    rows = docs.drop("n_lines", "n_removed").select("*", *own).join(cut, ["_t1", "_t2"], "left")
-    lines = F.split(F.col(text), "\n")
-    goes = F.coalesce(F.col("_cut_bytes") <= max_share * F.octet_length(F.col(text)), F.lit(False))
-    n_lines = F.when(F.coalesce(F.col(text), F.lit("")) == "", 0).otherwise(F.size(lines))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_lines", "n_removed")]
-    new = F.when(goes, F.array_join(_without(lines, F.col("_places")), "\n")).otherwise(F.col(text)).alias(text)
-    out = rows.select(*kept, new, n_lines.cast("long").alias("n_lines"),
-                      F.when(goes, F.size("_places")).otherwise(0).cast("long").alias("n_removed"))
-    return out.select(*(f"`{c}`" for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed")
+    # the row travels as one column, so that no name of its own can clash
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    rows = docs.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"), *own).join(cut, ["_t1", "_t2"], "left")
+    old = F.col("_row")[text]
+    lines = F.split(old, "\n")
+    goes = F.coalesce(F.col("_cut_bytes") <= max_share * F.octet_length(old), F.lit(False))
+    n_lines = F.when(F.coalesce(old, F.lit("")) == "", 0).otherwise(F.size(lines))
+    new = F.when(goes, F.array_join(_without(lines, F.col("_places")), "\n")).otherwise(old)
+    return rows.select(*(new.alias(c) if c == text else F.col("_row")[c].alias(c) for c in names),
+                       n_lines.cast("long").alias("n_lines"),
+                       F.when(goes, F.size("_places")).otherwise(0).cast("long").alias("n_removed"))

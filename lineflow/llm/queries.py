@@ -171,3 +171,96 @@ SELECT raw.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(o.doc_id)
 FROM raw JOIN reach ON reach.x = raw.r JOIN raw o ON o.r = reach.y LEFT JOIN n ON n.r = raw.r
 GROUP BY raw.r, raw.doc_id, n.n
 """
+
+_U, _L = urlfilter.UPPER, urlfilter.LOWER
+ORACLES["op4_url_filter"] = f"""
+WITH cut AS (
+  SELECT page_id, url,
+         CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_U}', '{_L}') ELSE '' END AS host,
+         CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+         list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*[?]([^#]*)', 1), '&'),
+                               lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))) AS params FROM pages),
+named AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www[.]', ''), ':(80|443)$', '')
+              || regexp_replace(path, '/(index[.]html?)?$', '')
+              || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon,
+         CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM cut),
+listed AS (SELECT DISTINCT canon AS c FROM named WHERE regexp_matches(host, '{LISTED_HOSTS}') AND canon IS NOT NULL)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR c IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM named LEFT JOIN listed ON canon = c
+"""
+
+ORACLES["op5_line_dedup"] = f"""
+WITH raw AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+lines AS (
+  SELECT r, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw),
+keyed AS (SELECT *, trim(line, chr(32) || chr(9) || chr(13)) AS k FROM lines),
+spread AS (
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k
+  HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {linededup.MIN_SITES}),
+marked AS (SELECT r, text, pos, line, k IN (SELECT k FROM spread) AS gone FROM keyed),
+docs AS (
+  SELECT r, count(*) AS n, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS g, sum(CASE WHEN gone THEN strlen(line) ELSE 0 END) AS b,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM marked GROUP BY r)
+SELECT doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE n END AS BIGINT) AS n_lines,
+       CAST(CASE WHEN b <= {linededup.MAX_SHARE} * strlen(text) THEN g ELSE 0 END AS BIGINT) AS n_removed,
+       CASE WHEN g > 0 AND b <= {linededup.MAX_SHARE} * strlen(text) THEN kept ELSE text END AS clean_text
+FROM raw LEFT JOIN docs USING (r)
+"""
+
+
+def _license_sql() -> str:
+    """The scan in SQL, from the same templates and threshold."""
+    stop = ", ".join(f"'{w}'" for w in licenses.STOP)
+
+    def words(c: str) -> str:
+        return (f"list_filter(list_transform(string_split_regex(lower({c}), '{licenses.WORD}'), lambda x: regexp_replace(x, '[.]+$', '')), "
+                f"lambda x: x <> '' AND x NOT IN ({stop}))")
+
+    notices = ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())
+    return f"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id, text,
+         concat_ws('/', source, 'k' || CAST(floor(doc_id / 1000) AS BIGINT), 'h' || CAST(floor(doc_id / 100) AS BIGINT), doc_id || '.txt') AS path
+  FROM documents),
+dirs AS (SELECT r, doc_id, path, regexp_extract(path, '(?s)^(.*)/[^/]*$', 1) AS dir FROM raw),
+lines AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY pos) AS nth, line FROM (
+    SELECT r, pos, trim(l, chr(32) || chr(9) || chr(13)) AS line FROM (
+      SELECT r, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw))
+  WHERE line <> ''),
+total AS (SELECT count(*) AS n FROM lines),
+tmpl AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({words('notice')}) AS term FROM (VALUES {notices}) t(license, notice)) GROUP BY ALL),
+vocab AS (SELECT DISTINCT term FROM tmpl),
+terms AS (SELECT line, copies, unnest(w) AS term FROM (SELECT line, count(*) AS copies, {words('line')} AS w FROM lines GROUP BY line)),
+df AS (SELECT term, sum(copies) AS c FROM (SELECT DISTINCT line, copies, term FROM terms) WHERE term IN (SELECT term FROM vocab) GROUP BY term),
+idf AS (SELECT v.term, ln((total.n + 1) / (coalesce(c, 0) + 1)) + 1 AS i FROM vocab v LEFT JOIN df USING (term), total),
+tw AS (SELECT license, term, tf * i AS w FROM tmpl JOIN idf USING (term)),
+tn AS (SELECT license, sqrt(sum(w * w)) AS s FROM tw GROUP BY license),
+near AS (SELECT DISTINCT line FROM terms WHERE term IN (SELECT term FROM vocab)),
+lw AS (
+  SELECT line, term, tf * coalesce(i, ln(total.n + 1) + 1) AS w
+  FROM (SELECT line, term, count(*) AS tf FROM terms WHERE line IN (SELECT line FROM near) GROUP BY ALL) LEFT JOIN idf USING (term), total),
+ln_ AS (SELECT line, sqrt(sum(w * w)) AS s FROM lw GROUP BY line),
+score AS (
+  SELECT line, license, round(sum(lw.w * tw.w) / any_value(tn.s) / any_value(ln_.s), 6) AS sc
+  FROM lw JOIN tw USING (term) JOIN tn USING (license) JOIN ln_ USING (line) GROUP BY line, license),
+best AS (SELECT line, license, sc FROM score WHERE sc >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY line ORDER BY sc DESC, license) = 1),
+own AS (SELECT r, license, sc FROM lines JOIN best USING (line) QUALIFY row_number() OVER (PARTITION BY r ORDER BY sc DESC, license) = 1),
+heads AS (SELECT dir, license AS given FROM lines JOIN best USING (line) JOIN dirs USING (r) WHERE nth = 1
+          QUALIFY row_number() OVER (PARTITION BY dir ORDER BY sc DESC, license) = 1),
+given AS (
+  SELECT d.r, h.dir AS up, h.given FROM dirs d JOIN heads h ON d.dir = h.dir OR h.dir = '' OR starts_with(d.dir, h.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.r ORDER BY length(h.dir) DESC) = 1)
+SELECT doc_id, path, coalesce(own.license, given.given) AS license, round(sc, 4) AS score,
+       CASE WHEN own.license IS NOT NULL THEN 'own' WHEN given.given IS NOT NULL THEN 'folder:' || up ELSE 'none' END AS basis
+FROM dirs LEFT JOIN own USING (r) LEFT JOIN given USING (r)
+"""
+
+
+ORACLES["op2_license_scan"] = _license_sql()

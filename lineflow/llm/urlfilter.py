@@ -92,8 +92,10 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "ur
     blocks = max(1, -(-n * BITS_PER_KEY // 256))
     bloom = _sized(bloom_blocks(names, blocks), blocks * 64, broadcast_bytes)
     u = F.col(url).cast("string")
-    rows = pages.drop("host", "path", "rule", "verdict").withColumns({
-        "host": F.coalesce(host_of(u), F.lit("")), "path": F.coalesce(path_of(u), F.lit("")), "_key": canonical(u)})
+    # the row travels as one column, so that no name of its own can clash
+    columns = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(F.struct(*(f"`{c}`" for c in columns)).alias("_row"), F.coalesce(host_of(u), F.lit("")).alias("host"),
+                        F.coalesce(path_of(u), F.lit("")).alias("path"), canonical(u).alias("_key"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "_verdict": verdict})
     # a fixed verdict needs no look-up
@@ -107,7 +109,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "ur
     exact = _sized(names, int(size), broadcast_bytes)
     hits = (probed.where("_hit").join(exact, F.col("_key") == F.col("_listed"), "left")
             .withColumn("_verdict", F.when(F.col("_listed").isNotNull(), "block").otherwise("allow")))
-    columns = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    columns += [F.col("host"), F.col("path"), F.col("rule"), F.coalesce("_verdict", F.lit("allow")).alias("verdict")]
-    rest = rows.where("_verdict is not null or _key is null").select(columns)
-    return rest.unionAll(probed.where("not _hit").select(columns)).unionAll(hits.select(columns))
+    out = [F.col("_row")[c].alias(c) for c in columns]
+    out += [F.col("host"), F.col("path"), F.col("rule"), F.coalesce("_verdict", F.lit("allow")).alias("verdict")]
+    rest = rows.where("_verdict is not null or _key is null").select(out)
+    return rest.unionAll(probed.where("not _hit").select(out)).unionAll(hits.select(out))
