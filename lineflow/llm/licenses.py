@@ -2,10 +2,10 @@
 
 Lines are compared with licence templates as sparse TF-IDF vectors.  Terms
 are lower-case words without the commonest English ones; document frequencies
-are counted over all non-empty lines of all texts.  A line without any
-template term has cosine 0 and is counted but not compared.  A line's norm
-includes its terms outside the templates, each with the weight of a term of
-frequency 0.
+are counted over all non-empty lines of all texts.  A line's norm includes
+its terms outside the templates, each with the weight of a term of frequency
+0.  Only lines whose shared terms can reach the threshold are compared
+(``may_match``), so few lines leave the scan.
 
 A file's own licence is the template nearest to any of its lines, if the
 cosine reaches ``threshold``.  A file whose first non-empty line is such a
@@ -25,14 +25,18 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineflow.session import scratch_root
 
 THRESHOLD = 0.6
 WORD = "[^a-z0-9.+-]+"
+# borders of words in a line in lower case: signs, and points at a word's end
+TOKEN_BORDER = WORD + "|[.]+(?=[^a-z0-9.+-]|$)"
 BLANKS = " \t\r"
 STOP = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that",
         "the", "this", "to", "under", "was", "were", "with", "you", "your")
@@ -48,67 +52,91 @@ TEMPLATES = {
 }
 
 
-def terms(line: Column) -> Column:
-    """The words of a line, end points dropped."""
-    words = F.transform(F.split(F.lower(line), WORD), lambda w: F.regexp_replace(w, "[.]+$", ""))
-    return F.filter(words, lambda w: (w != "") & ~w.isin(*STOP))
+def tokens(line: Column) -> Column:
+    """The words of a line in lower case; empty ones and stop words still among them."""
+    return F.split(line, TOKEN_BORDER)
 
 
-def template_vocabulary(templates: dict[str, str]) -> list[str]:
-    """The templates' terms, as ``terms`` cuts them."""
-    found = {re.sub("[.]+$", "", w) for t in templates.values() for w in re.split(WORD, t.lower())}
-    return sorted(found - {"", *STOP})
+@dataclass(frozen=True)
+class Weights:
+    """What the corpus says about the templates' terms: a few hundred values."""
 
+    idf: dict[str, float]
+    top: float  # the weight of a term of frequency 0
+    units: dict[str, dict[str, float]]  # of each template, its terms' share of its unit vector
+    counts: dict[str, dict[str, int]]
 
-def _template_terms(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """``license, term, tf``: one row per template and term."""
-    rows = spark.createDataFrame(sorted(templates.items()), "license string, notice string")
-    return (rows.select("license", F.explode(terms(F.col("notice"))).alias("term"))
-            .groupBy("license", "term").agg(F.count("*").alias("tf")))
 
+def template_terms(templates: dict[str, str]) -> dict[str, dict[str, int]]:
+    """How often each template has each term."""
+    out = {}
+    for name, text in templates.items():
+        found = (re.sub("[.]+$", "", w) for w in re.split(WORD, text.lower()))
+        out[name] = dict(Counter(w for w in found if w and w not in STOP))
+    return out
 
-def may_match(line: Column, vocabulary: list[str]) -> Column:
-    """The cheap test before any other: as text, a line in lower case has to hold some template term."""
+
+def _lines(text: str) -> Column:
+    return F.explode(F.split(F.lower(F.col(text)), "\n"))
+
+
+def corpus_weights(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None) -> Weights:
+    """Inverse frequencies of the templates' terms over all non-empty lines of all texts."""
+    counts = template_terms(templates or TEMPLATES)
+    vocabulary = sorted({t for c in counts.values() for t in c})
+    here = F.array_intersect(tokens(F.col("_line")), F.array(*[F.lit(t) for t in vocabulary]))
+    lines = docs.select(_lines(text).alias("_line")).where(F.btrim("_line", F.lit(BLANKS)) != "")
+    # "" stands for the line itself; one row for each term and task is all that moves
+    seen = lines.select(F.explode(F.concat(F.array(F.lit("")), here)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    df = {r["term"]: r["n"] for r in seen.collect()}  # one row a term
+    n = df.get("", 0)
+    idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in vocabulary}
+    units = {}
+    for name, c in counts.items():
+        size = math.sqrt(sum((k * idf[t]) ** 2 for t, k in c.items())) or 1.0
+        units[name] = {t: k * idf[t] / size for t, k in c.items()}
+    return Weights(idf, math.log(n + 1) + 1, units, counts)
+
+
+def may_match(line: Column, weights: Weights, threshold: float) -> Column:
+    """Whether a line can reach the threshold with any template.
+
+    A line's cosine is at most the length of the template's unit vector over
+    the terms they share; a term that the line doesn't even hold as text is none.
+    """
     some = F.lit(False)
-    for t in vocabulary:
-        some = some | F.contains(line, F.lit(t))
+    for unit in weights.units.values():
+        share = F.lit(0.0)
+        for t, u in unit.items():
+            share = share + F.when(F.contains(line, F.lit(t)), F.lit(u * u)).otherwise(F.lit(0.0))
+        some = some | (share >= (threshold - 1e-6) ** 2)
     return some
 
 
-def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
-            threshold: float = THRESHOLD) -> DataFrame:
-    """``_line, _license, _score``: the nearest template of every distinct line (in lower case) that reaches ``threshold``."""
-    scratch_root(docs.sparkSession)
-    wanted = _template_terms(docs.sparkSession, templates or TEMPLATES)
-    vocabulary = template_vocabulary(templates or TEMPLATES)
-    lines = docs.select(_lines(text).alias("_line")).select(F.btrim("_line", F.lit(BLANKS)).alias("_line")).where("_line != ''")
-    grouped = lines.groupBy(F.when(may_match(F.col("_line"), vocabulary), F.col("_line")).alias("_line")).agg(F.count("*").alias("_copies"))
-    grouped = grouped.checkpoint()  # distinct lines that hold a template term, and one row that counts the others
-    grouped = grouped.withColumn("_terms", F.coalesce(terms(F.col("_line")), F.array()))
-    here = F.filter(F.array_distinct("_terms"), lambda t: t.isin(*vocabulary))
-    df = grouped.select("_copies", F.explode(F.concat(F.array(F.lit("")), here)).alias("term"))  # "" counts the lines
-    df = {r["term"]: r["n"] for r in df.groupBy("term").agg(F.sum("_copies").alias("n")).collect()}  # one row a term
-    n = df.get("", 0)
-    top = math.log(n + 1) + 1
-    idf = docs.sparkSession.createDataFrame(
-        [(t, math.log((n + 1) / (df.get(t, 0) + 1)) + 1) for t in vocabulary], "term string, _idf double")
-    weighted = wanted.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
-    sizes = weighted.groupBy("license").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_size"))
-    weighted = weighted.join(F.broadcast(sizes), "license").select("license", "term", (F.col("_w") / F.col("_size")).alias("_u"))
-    near = grouped.where(F.arrays_overlap("_terms", F.array(*[F.lit(t) for t in vocabulary])))
-    tf = near.select("_line", F.explode("_terms").alias("term")).groupBy("_line", "term").agg(F.count("*").alias("tf"))
-    own = tf.join(F.broadcast(idf), "term", "left").select(
-        "_line", "term", (F.col("tf") * F.coalesce("_idf", F.lit(top))).alias("_w"))
+def _scores(lines: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """``_line, _license, _score`` of the distinct column ``_line``, for those that reach the threshold."""
+    spark = lines.sparkSession
+    idf = F.broadcast(spark.createDataFrame(sorted(weights.idf.items()), "term string, _idf double"))
+    units = F.broadcast(spark.createDataFrame(
+        [(n, t, u) for n, unit in sorted(weights.units.items()) for t, u in sorted(unit.items())], "license string, term string, _u double"))
+    tf = lines.select("_line", F.explode(tokens(F.col("_line"))).alias("term"))
+    tf = tf.where((F.col("term") != "") & ~F.col("term").isin(*STOP)).groupBy("_line", "term").agg(F.count("*").alias("tf"))
+    own = tf.join(idf, "term", "left").select(
+        "_line", "term", (F.col("tf") * F.coalesce("_idf", F.lit(weights.top))).alias("_w"))
     norm = own.groupBy("_line").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    dots = own.join(F.broadcast(weighted), "term").groupBy("_line", "license").agg(F.sum(F.col("_w") * F.col("_u")).alias("_dot"))
+    dots = own.join(units, "term").groupBy("_line", "license").agg(F.sum(F.col("_w") * F.col("_u")).alias("_dot"))
     score = dots.join(norm, "_line").select("_line", "license", F.round(F.col("_dot") / F.col("_norm"), 6).alias("_score"))
     best = score.where(F.col("_score") >= threshold).groupBy("_line").agg(
         F.min(F.struct((-F.col("_score")).alias("s"), F.col("license").alias("l"))).alias("_best"))
     return best.select("_line", F.col("_best.l").alias("_license"), (-F.col("_best.s")).alias("_score"))
 
 
-def _lines(text: str) -> Column:
-    return F.explode(F.split(F.lower(F.col(text)), "\n"))
+def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
+            threshold: float = THRESHOLD) -> DataFrame:
+    """``_line, _license, _score``: the nearest template of every distinct line (in lower case) that reaches ``threshold``."""
+    weights = corpus_weights(docs, text, templates)
+    lines = docs.select(_lines(text).alias("_line")).where(may_match(F.col("_line"), weights, threshold))
+    return _scores(lines.select(F.btrim("_line", F.lit(BLANKS)).alias("_line")).distinct(), weights, threshold)
 
 
 def parent(path: Column) -> Column:
@@ -128,14 +156,17 @@ def scan(files: DataFrame, text: str = "text", path: str = "path", templates: di
 
     ``basis`` is ``own``, ``folder:<path>`` for an inherited licence, or ``none``.
     """
-    known = notices(files, text, templates, threshold).checkpoint()
+    scratch_root(files.sparkSession)
+    weights = corpus_weights(files, text, templates)
     own = [F.xxhash64(text).alias("_t1"), F.xxhash64(F.col(text), F.lit("t")).alias("_t2")]
     head = F.btrim(F.substring_index(F.ltrim(F.lower(F.col(text)), F.lit(BLANKS + "\n")), "\n", 1), F.lit(BLANKS))
-    lines = files.select(*own, head.alias("_first"), _lines(text).alias("_line")).withColumn("_line", F.btrim("_line", F.lit(BLANKS)))
-    lines = lines.where(may_match(F.col("_line"), template_vocabulary(templates or TEMPLATES)))  # so few lines move
+    lines = files.select(*own, head.alias("_first"), _lines(text).alias("_line")).where(may_match(F.col("_line"), weights, threshold))
+    line = F.btrim("_line", F.lit(BLANKS))
+    lines = lines.select("_t1", "_t2", line.alias("_line"), (line == F.col("_first")).alias("_top")).distinct().checkpoint()
+    known = _scores(lines.select("_line").distinct(), weights, threshold)
     rank = F.struct((-F.col("_score")).alias("s"), F.col("_license").alias("l"))
     found = lines.join(known, "_line").groupBy("_t1", "_t2").agg(
-        F.min(rank).alias("_own"), F.min(F.when(F.col("_line") == F.col("_first"), rank)).alias("_head"))
+        F.min(rank).alias("_own"), F.min(F.when(F.col("_top"), rank)).alias("_head"))
     outs = ("license", "score", "basis")
     names = [c for c in files.columns if c not in (text, *outs)]
     # the row travels as one column, so that no name of its own can clash, and without the text
