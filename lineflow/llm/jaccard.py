@@ -1,24 +1,29 @@
 """N-gram Jaccard join (operator 10): components of texts linked by shingle overlap, by a token-group matrix.
 
-Texts with equal shingle sets are one *set*; the join runs over distinct sets.
-
-1. Shingles have a fixed global order, rare ones first: by a count sketch of
-   all sets (``1 << SKETCH_BITS`` cells of two bytes, which is all that is
-   broadcast), then by hash.  More cells tell rare shingles of larger inputs apart.  Any fixed order gives the same links.  Two
-   linked sets share one of the first ``n - ceil(t n) + 1`` shingles of each;
-   only sets that share such a token go on.
-2. Similar sets form groups: every set is compared with the most central set
+Texts with equal shingle sets are one *set*; links are sought between sets.
+
+1. The bound against all other texts at once: a text can only be linked if
+   enough of its shingles occur in some other text too.  Tasks sort the
+   shingles of segments of texts and send each distinct one once per segment,
+   packed by ranges of the hash; where a range meets, shingles of several
+   segments are shared.  Texts below the bound are done; few go on.
+2. Shingles have a fixed global order, rare ones first: by a count sketch of
+   the remaining sets (``1 << SKETCH_BITS`` cells of two bytes, which is all
+   that is broadcast), then by hash.  Any fixed order gives the same links.
+   Two linked sets share one of the first ``n - ceil(t n) + 1`` shingles of
+   each; only sets that share such a token, and whose sizes allow a link, go on.
+3. Similar sets form groups: every set is compared with the most central set
    of each of its tokens (the one with fewest unshared tokens), and sets that
    are linked to it carry its label.  A group is at most about ``GROUP`` sets
    of one label, so a large family of near copies is linked in a star and
    cut into groups, never compared pair by pair.
-3. The token-group matrix holds, for each group, the union of its members'
+4. The token-group matrix holds, for each group, the union of its members'
    tokens.  Tokens whose groups all have one label have nothing to add.
    For the rest, a set meets the groups of other labels that share a token;
    it opens only groups whose union of shingles covers enough of it for the
    bound, and is then compared exactly with the members.  One link to a
    group is enough, since its members are connected already.
-4. Large-star/small-star contraction of the links gives the components.
+5. Large-star/small-star contraction of the links gives the components.
 
 Results are exact: labels only save comparisons inside what is connected
 already.  Queries of a hot group are dealt to several tasks, each with the
@@ -32,20 +37,25 @@ whole.  Null ids never name a component unless all its ids are null.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.textops import shared_folder, spans_of, text_slices, utf8_bytes
+from lineflow.llm.textops import list_of, shared_folder, spans_of, text_slices, utf8_bytes
 from lineflow.session import scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
+SEGMENT_SHINGLES = 2_000_000  # of texts taken together by a task
+RANGE_BYTES = 12 << 20  # of text for each range of hashes: about 2 million shingles
+LEAST_RANGES = 64
 SKETCH_BITS = 24
 SKETCH_PARTS = 256
 GROUP = 64
@@ -158,8 +168,124 @@ def _needed(n, threshold: int):
     return (threshold * n + 99) // 100
 
 
-def _signed_sets(docs: DataFrame, shared, width: int, threshold: int, whole: bool) -> DataFrame:
-    """``id, key, n, sig, short`` (the signature's first half) of each text and ``tokens``: its first shingles by the order, or all."""
+NOBODY = 0xFFFFFFFF  # in place of a text's number: the shingle is in several texts of its segment
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, bytes of equal weight together, compressed."""
+    return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def _signature(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+
+
+def _segment_rows(segment: int, bits: int, parts: list) -> Iterator[pa.RecordBatch]:
+    """One row per text, one row (range -1) with their sizes and locally shared counts, one row per range of hashes."""
+    flat = np.concatenate([p[0] for p in parts])
+    n = np.concatenate([p[1] for p in parts])
+    number = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(flat, kind="stable")
+    token, text = flat[order], number[order]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
+    run = np.diff(np.append(first, len(token)))
+    local = np.bincount(text[np.repeat(run > 1, run)], minlength=len(n))
+    names = ["segment", "range", "number", "id", "key", "n", "sig", "size", "a", "b"]
+    ends = np.cumsum(n)
+    ids, keys = pa.concat_arrays([p[2] for p in parts]), pa.concat_arrays([p[3] for p in parts])
+
+    def rows(count: int, **columns) -> pa.RecordBatch:
+        kinds = {"segment": pa.int64(), "range": pa.int32(), "number": pa.int32(), "id": ids.type, "key": keys.type, "n": pa.int64(),
+                 "sig": pa.binary(), "size": pa.int32(), "a": pa.binary(), "b": pa.binary()}
+        columns["segment"] = [segment] * count
+        return pa.RecordBatch.from_arrays([
+            (columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c], kinds[c])) if c in columns else pa.nulls(count, kinds[c])
+            for c in names], names=names)
+
+    sigs = [_signature(flat[e - k:e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+    yield rows(len(n), number=list(range(len(n))), id=ids, key=keys, n=pa.array(n), sig=sigs)
+    yield rows(1, range=[-1], size=[len(n)], a=[_pack(n)], b=[_pack(local)])
+    own, refs = token[first], np.where(run > 1, NOBODY, text[first])
+    cut = np.searchsorted(own >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64))
+    rest = ((own << np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
+    for r in range(1 << bits):
+        lo, hi = int(cut[r]), int(cut[r + 1])
+        if hi > lo:
+            yield rows(1, range=[r], size=[hi - lo], a=[_pack(np.diff(rest[lo:hi], prepend=0))], b=[_pack(refs[lo:hi])])
+
+
+def _write_segments(frame: DataFrame, width: int, path: str) -> None:
+    total = frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(LEAST_RANGES, -(-total // RANGE_BYTES)).bit_length()
+    limit = SEGMENT_SHINGLES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, parts, held = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                flat, offsets = shingle_sets(part.column("text"), width)
+                parts.append((flat, np.diff(offsets), part.column("id"), part.column("key")))
+                held += len(flat) + len(part)
+                if held >= limit:
+                    yield from _segment_rows(segment, bits, parts)
+                    segment, parts, held = segment + 1, [], 0
+        if parts:
+            yield from _segment_rows(segment, bits, parts)
+
+    kind = frame.schema["id"].dataType.simpleString()
+    frame.mapInArrow(run, "segment long, range int, number int, id " + kind + ", key struct<a: long, b: long>, n long, sig binary, "
+                     "size int, a binary, b binary").write.parquet(path)
+
+
+def _shared_in_range(rows: pa.Table) -> pa.Table:
+    """For each segment of a range, how many shingles each text shares with other segments."""
+    segments, sizes = rows.column("segment").to_numpy(), rows.column("size").to_pylist()
+    tokens = [np.cumsum(_unpack(a.as_py(), n)) for a, n in zip(rows.column("a"), sizes, strict=True)]
+    refs = [_unpack(b.as_py(), n) for b, n in zip(rows.column("b"), sizes, strict=True)]
+    token, ref = np.concatenate(tokens), np.concatenate(refs)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(token, kind="stable")
+    token, ref, row = token[order], ref[order], row[order]
+    same = token[1:] == token[:-1]
+    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    found, count = np.unique((row << 32 | ref)[shared & (ref != NOBODY)], return_counts=True)
+    out_row, ends = found >> 32, np.searchsorted(found >> 32, np.arange(len(sizes) + 1))
+    held = np.unique(out_row)
+    return pa.table({
+        "segment": pa.array(segments[held], pa.int64()), "range": pa.array(np.zeros(len(held)), pa.int32()),
+        "size": pa.array((ends[held + 1] - ends[held]).astype(np.int32), pa.int32()),
+        "a": pa.array([_pack(found[ends[i]:ends[i + 1]] & 0xFFFFFFFF) for i in held], pa.binary()),
+        "b": pa.array([_pack(count[ends[i]:ends[i + 1]]) for i in held], pa.binary())})
+
+
+def _candidates(segments: DataFrame, threshold: int) -> DataFrame:
+    """``segment, number`` of the texts that share enough of their shingles with others to be linked at all."""
+    def pick(rows: pa.Table) -> pa.Table:
+        shared = n = None
+        for r in sorted(rows.to_pylist(), key=lambda r: r["range"]):  # the row with the sizes is first
+            a, b = _unpack(r["a"], r["size"]), _unpack(r["b"], r["size"])
+            if r["range"] < 0:
+                n, shared = a, b
+            else:
+                shared[a] += b
+        found = np.flatnonzero((n > 0) & (100 * shared >= threshold * n))
+        return pa.table({"segment": pa.array(np.full(len(found), rows.column("segment")[0].as_py()), pa.int64()),
+                         "number": pa.array(found.astype(np.int32), pa.int32())})
+
+    kind = "segment long, range int, size int, a binary, b binary"
+    columns = ["segment", "range", "size", "a", "b"]
+    met = segments.where("range >= 0").select(*columns).groupBy("range").applyInArrow(_shared_in_range, kind)
+    return (met.unionAll(segments.where("range = -1").select(*columns)).groupBy("segment")
+            .applyInArrow(pick, "segment long, number int"))
+
+
+def _signed_sets(texts: DataFrame, shared, width: int, threshold: int) -> DataFrame:
+    """``sig, short`` (its first half), ``n`` and ``tokens`` (the first shingles by the order) of each text, and ``whole``, all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
@@ -167,21 +293,18 @@ def _signed_sets(docs: DataFrame, shared, width: int, threshold: int, whole: boo
                 count = shared.value[_cells(flat, len(shared.value))]
                 order = count.astype(np.uint64) << np.uint64(32) | (flat & np.uint64(0xFFFFFFFF))
                 n = np.diff(offsets)
-                first = n if whole else np.where(n == 0, 0, n - _needed(n, threshold) + 1)
+                first = np.where(n == 0, 0, n - _needed(n, threshold) + 1)
                 sigs, tokens = [], []
                 for a, b, p in zip(offsets[:-1].tolist(), offsets[1:].tolist(), first.tolist(), strict=True):
-                    own = flat[a:b]
-                    sigs.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                    tokens.append(own if whole else own[np.argsort(order[a:b], kind="stable")[:p]])
+                    sigs.append(_signature(flat[a:b]))
+                    tokens.append(flat[a:b][np.argsort(order[a:b], kind="stable")[:p]])
                 values = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), pa.array(values))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("key"), pa.array(n), pa.array(sigs, pa.binary()),
-                     pa.array(np.frombuffer(b"".join(x[:8] for x in sigs), np.int64)), lists],
-                    names=["id", "key", "n", "sig", "short", "tokens"])
+                    [pa.array(sigs, pa.binary()), pa.array(np.frombuffer(b"".join(x[:8] for x in sigs), np.int64)), pa.array(n),
+                     list_of(pa.array(values), first), list_of(pa.array(flat.view(np.int64)), n)],
+                    names=["sig", "short", "n", "tokens", "whole"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, key struct<a: long, b: long>, n long, sig binary, short long, tokens array<long>")
+    return texts.select("text").mapInArrow(run, "sig binary, short long, n long, tokens array<long>, whole array<long>")
 
 
 def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -250,28 +373,37 @@ def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     spark = docs.sparkSession
     scratch_root(spark)
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("key", text_key())
-    sketch = spark.sparkContext.broadcast(_sketch(frame, width))
     folder = shared_folder(spark, "jaccard")
-    _signed_sets(frame, sketch, width, threshold, whole=False).write.parquet(f"{folder}/signed")
-    signed = spark.read.parquet(f"{folder}/signed")
+    _write_segments(frame, width, f"{folder}/segments")
+    segments = spark.read.parquet(f"{folder}/segments")
+    signed = segments.where("range is null")
+    near = _candidates(segments, threshold)
+    wanted = signed.join(near, ["segment", "number"]).groupBy("sig").agg(F.min("key").alias("key")).select("key").checkpoint()
+    texts = frame.join(_small(wanted, wanted.count()), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    texts.select("text").write.parquet(f"{folder}/texts")
+    texts = spark.read.parquet(f"{folder}/texts")
+    sketch = spark.sparkContext.broadcast(_sketch(texts, width))
+    _signed_sets(texts, sketch, width, threshold).write.parquet(f"{folder}/sets")
+    sets = spark.read.parquet(f"{folder}/sets")
     # tokens that at least two sets share; a set goes by the short half of its signature here,
     # so that two sets with equal halves would only be compared once more
-    tokens = signed.select("short", F.explode("tokens").alias("token"))
+    tokens = sets.select("short", "n", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    held = tokens.join(shared, "token").distinct().checkpoint()  # without copies from here
+    held = tokens.join(shared, "token")
+    # and whose sizes allow a link: on a scale of steps of the threshold they differ by one step at most, so
+    # every set is in its step and the next one, and a token is told apart by step
+    step = F.floor(F.log(F.col("n")) / (math.log(100 / threshold) + 1e-9)).cast("int")
+    held = held.select("short", F.explode(F.array(step, step + 1)).alias("step"), "token")
+    held = held.select("short", F.xxhash64("token", "step").alias("token")).distinct().checkpoint()
     common = held.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     held = held.join(common, "token")
-    keys = (signed.join(held.select("short").distinct(), "short").groupBy("sig")
-            .agg(F.min("short").alias("short"), F.min("key").alias("key"), F.min(F.size("tokens")).alias("p")).checkpoint())
+    keys = sets.select("short", "sig", F.size("tokens").alias("p"))
     candidates = held.join(keys.select("short", "sig"), "short").select("sig", "token").checkpoint()
-    wanted = keys.select("key")
-    texts = frame.join(_small(wanted, keys.count()), "key", "left_semi")
-    texts = texts.groupBy("key").agg(F.first("text").alias("text")).select(F.lit(None).cast("long").alias("id"), "text", "key")
-    _signed_sets(texts, sketch, width, threshold, whole=True).select("sig", "tokens").write.parquet(f"{folder}/whole")
-    whole = spark.read.parquet(f"{folder}/whole")
+    keys = keys.select("sig", "p").join(candidates.select("sig").distinct(), "sig").checkpoint()
+    whole = sets.select("sig", F.col("whole").alias("tokens"))
 
     # groups: a star around the most central set of each token
-    alone = candidates.groupBy("sig").agg(F.count("*").alias("s")).join(keys, "sig").select("sig", (F.col("p") - F.col("s")).alias("rest"))
+    alone = candidates.groupBy("sig").agg(F.count("*").alias("s")).join(keys, "sig").select("sig", (2 * F.col("p") - F.col("s")).alias("rest"))
     ranked = candidates.join(alone, "sig")
     pivots = ranked.groupBy("token").agg(F.min(F.struct("rest", "sig")).getField("sig").alias("g"))
     star = candidates.join(pivots, "token").where("sig <> g").select("sig", "g").distinct()

@@ -96,6 +96,11 @@ def spans_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def list_of(values: pa.Array, lengths) -> pa.ListArray:
+    """The values cut into lists of the given lengths."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), values)
+
+
 def words_of(cps: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
     """The pieces of a text that begin at ``starts``, as UTF-8, dictionary encoded."""
     data = cps.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
