@@ -2,8 +2,10 @@
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame; ``ORACLES``
 holds the equivalent DuckDB SQL over the same parquet tables, with the
-same column names.  Stream queries write their drops, checkpoints and
-sinks into a fresh folder below ``spark.checkpoint.dir`` per call.
+same column names.  Stream queries write their drops as text files, launch
+a flow on them as the command line does, and read its sink; drops,
+checkpoints and sinks go into a fresh folder below ``spark.checkpoint.dir``
+per call, which is removed when the driver ends.
 """
 
 from __future__ import annotations
@@ -31,13 +33,14 @@ from lineflow.operators.batch import python_step
 from lineflow.operators.external import command_step
 from lineflow.operators.framing import frame_count, frame_text
 from lineflow.operators.partitioning import spread, spread_to_cluster
-from lineflow.options import FlowOptions, StartPosition
+from lineflow.options import FlowOptions
 from lineflow.plans.flow import run_frames, run_records
 from lineflow.session import new_run_dir
 from lineflow.sinks import kafka_frame, replay_safe
-from lineflow.sources.files import after_marker, resolve_marker
-from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_messages
+from lineflow.sources.files import after_marker
+from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_messages, kafka_reader_options
 from lineflow.sources.records import combine_metadata, read_numbered_lines, recordize
+from lineflow.streaming import start_flow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +127,7 @@ def combine_metadata_query(spark, sf):
 
 
 # Documents per text file in file_lines: bounds a file (and the task writing it) whatever a
-# source's share of the table.
+# source's share of the table.  It shapes the output (the bucket, and where numbers start again).
 DOCS_PER_FILE = 5000
 
 
@@ -137,7 +140,7 @@ def file_lines(spark, sf):
     """
     run = new_run_dir(spark, "file_lines")
     lines = _doc_lines(spark, sf).select(
-        "doc_id", F.col("metadata").alias("source"), (F.col("doc_id") / DOCS_PER_FILE).cast("bigint").alias("bucket"),
+        "doc_id", F.col("metadata").alias("source"), F.expr(f"doc_id div {DOCS_PER_FILE}").alias("bucket"),
         "linenumber", "content")
     (lines.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id", "linenumber")
      .select("source", "bucket", "content").write.partitionBy("source", "bucket").text(f"{run}/text"))
@@ -191,6 +194,16 @@ def suppress_errors(spark, sf):
     return run_records(wide_table(spark, sf, "events", "event_id", "props"), step, "props", keep=["event_id"])
 
 
+def halve_even(record: dict) -> dict | None:
+    """A new record for an even k, none for an odd one."""
+    return {"k": record["k"], "half": record["k"] // 2} if record["k"] % 2 == 0 else None
+
+
+def flow_python_json(spark, sf):
+    flow = from_json() | python_step(halve_even, "halve_even") | to_json()
+    return run_records(wide_table(spark, sf, "events", "event_id", "props"), flow, "props", keep=["event_id"])
+
+
 def udtf_prime(spark, sf):
     return with_prime_factors(wide_table(spark, sf, "part", "p_partkey", "p_size"), "p_size", ["p_partkey"])
 
@@ -207,8 +220,8 @@ def start_explicit(spark, sf):
     ev = table(spark, sf, "events")
     log = as_kafka_log(ev, "events", value="props", partition=F.col("user_id") % 4, offset="event_id",
                        key="user_id", timestamp="ts")
-    pos = FlowOptions(input="events", offset="500", kafka_partitions=4).start_position()
-    msgs = decode_messages(apply_start_offsets(log, pos), provenance=True)
+    starts = kafka_reader_options(FlowOptions(input="events", offset="500", kafka_partitions=4))["startingOffsets"]
+    msgs = decode_messages(apply_start_offsets(log, starts), provenance=True)
     return msgs.select("partition", "offset", F.col("str").alias("value"))
 
 
@@ -217,78 +230,78 @@ def blob_marker(spark, sf):
 
 
 def shuffle(spark, sf):
-    return spread(table(spark, sf, "events").select("event_id", "props"), flow_parallelism=8, input_parallelism=1)
+    """Spread evenly when the scan is narrower than the cluster, as the launcher does."""
+    events = table(spark, sf, "events").select("event_id", "props")
+    return spread(events, flow_parallelism=max(1, spark.sparkContext.defaultParallelism))
 
 
 # ----------------------------------------------------------------- streams
-def _events_schema(spark, sf):
-    return table(spark, sf, "events").schema
+# Folder of each drop; the last one sorts before the others, so only its arrival makes it new.
+DROP_FOLDERS = ("m0", "m1", "a2")
 
 
-def _write_drops(spark, sf, base: str, which: tuple[int, ...] = (0, 1, 2)) -> None:
-    """Write events into drops ``b=0..2`` by event time, as files arriving over a month (one job)."""
+def _write_drops(spark, sf, base: str, column: str, which: tuple[int, ...] = (0, 1, 2)) -> None:
+    """Write ``event_id column`` lines of the events into drops by event time, as files arriving over a month."""
     lo, hi = (F.lit(c).cast("timestamp_ntz") for c in DROP_CUTS)
-    drop = F.when(F.col("ts") < lo, 0).when(F.col("ts") < hi, 1).otherwise(2)
-    ev = table(spark, sf, "events").withColumn("b", drop)
-    ev.where(F.col("b").isin(list(which))).write.mode("append").partitionBy("b").parquet(base)
-
-
-def _parquet_stream(spark, sf, path, max_files=None):
-    r = spark.readStream.schema(_events_schema(spark, sf)).option("recursiveFileLookup", "true")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.parquet(path)
-
-
-def _run_available_now(df, checkpoint, sink_path=None, foreach=None, name=None):
-    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if name:
-        w = w.queryName(name)
-    q = w.foreachBatch(foreach).start() if foreach else w.format("parquet").start(sink_path)
+    ev = table(spark, sf, "events")
+    for i, own in enumerate((F.col("ts") < lo, (F.col("ts") >= lo) & (F.col("ts") < hi),
+                             F.coalesce(F.col("ts") >= hi, F.lit(True)))):
+        if i in which:
+            ev.where(own).select(F.concat_ws(" ", "event_id", column)).write.text(f"{base}/{DROP_FOLDERS[i]}")
+
+
+def _launch(spark, run: str, flow, **kw) -> None:
+    """Start a flow on the text files of ``run/in`` as the command line does, and wait until it has read them."""
+    path = run if ":" in run.split("/")[0] else f"file://{run}"
+    opts = FlowOptions(flow="catalogue", name=run.rsplit("/", 1)[-1] + kw.pop("suffix", ""), input=f"{path}/in",
+                       output="records", from_beginning=kw.pop("from_beginning", False))
+    q = start_flow(spark, opts, flow, **{"checkpoint": f"{run}/ckpt", "sink": "parquet", "path": f"{run}/out",
+                                         "trigger": {"availableNow": True}} | kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
+def _read_sink(spark, run: str, column: str) -> DataFrame:
+    """``event_id`` and ``column`` of the sink's records (file, line and line number joined by tabs)."""
+    line = F.regexp_extract("record", r"(?s)^[^\t]*\t(.*)\t[0-9]+$", 1)
+    return (spark.read.schema("record string").parquet(f"{run}/out").select(F.split(line, " ", 2).alias("w"))
+            .select(F.col("w")[0].cast("bigint").alias("event_id"), F.col("w")[1].alias(column)))
+
+
 def stream_flow(spark, sf):
     run = new_run_dir(spark, "stream_flow")
-    src = (spark.readStream.schema(_events_schema(spark, sf)).option("pathGlobFilter", "events.parquet")
-           .parquet(sf))
-    out = run_records(src, upcase(), "event_type", keep=["event_id"])
-    _run_available_now(out, f"{run}/ckpt", f"{run}/out")
-    return spark.read.parquet(f"{run}/out")
+    _write_drops(spark, sf, f"{run}/in", "event_type")
+    _launch(spark, run, upcase(), from_beginning=True)
+    return _read_sink(spark, run, "record")
 
 
 def stream_resume(spark, sf):
     run = new_run_dir(spark, "stream_resume")
     for i in (0, 1, 2):
-        _write_drops(spark, sf, f"{run}/in", (i,))
-        src = _parquet_stream(spark, sf, f"{run}/in")
-        _run_available_now(src.select("event_id", "props"), f"{run}/ckpt", f"{run}/out")
-    return spark.read.parquet(f"{run}/out")
+        _write_drops(spark, sf, f"{run}/in", "props", (i,))
+        _launch(spark, run, identity(), from_beginning=True)
+    return _read_sink(spark, run, "props")
 
 
 def stream_start_marker(spark, sf):
+    """The default start: what is there when the flow first starts is left out, what arrives later is read."""
     run = new_run_dir(spark, "stream_start_marker")
-    _write_drops(spark, sf, f"{run}/in", (0, 1))
-    ckpt = f"{run}/ckpt"
-    for i in (None, 2):
-        if i is not None:
-            _write_drops(spark, sf, f"{run}/in", (i,))
-        marker = resolve_marker(spark, StartPosition("LATEST"), f"{run}/in", ckpt, glob="*.parquet")
-        src = _parquet_stream(spark, sf, f"{run}/in").select("event_id", "props", F.col("_metadata.file_path").alias("p"))
-        _run_available_now(after_marker(src, marker, "p").drop("p"), ckpt, f"{run}/out")
-    return spark.read.parquet(f"{run}/out")
+    _write_drops(spark, sf, f"{run}/in", "props", (0, 1))
+    _launch(spark, run, identity())
+    _write_drops(spark, sf, f"{run}/in", "props", (2,))
+    _launch(spark, run, identity())
+    return _read_sink(spark, run, "props")
 
 
 def stream_idempotent(spark, sf):
+    """A flow run twice from its start, with other batch borders, into one sink folder."""
     run = new_run_dir(spark, "stream_idempotent")
-    _write_drops(spark, sf, f"{run}/in")
-    sink = replay_safe(f"{run}/out")
-    for attempt in ("first", "replay"):
-        src = _parquet_stream(spark, sf, f"{run}/in", max_files=1).select("event_id", "props")
-        _run_available_now(src, f"{run}/ckpt-{attempt}", foreach=sink)
-    return spark.read.parquet(f"{run}/out").select("event_id", "props")
+    _write_drops(spark, sf, f"{run}/in", "props")
+    for n, attempt in ((1, "first"), (3, "replay")):
+        _launch(spark, run, identity(), from_beginning=True, suffix=attempt, checkpoint=f"{run}/ckpt-{attempt}",
+                sink=replay_safe(f"{run}/out", replace=True), max_per_trigger=n)
+    return _read_sink(spark, run, "props")
 
 
 QUERIES: dict[str, Query] = {
@@ -308,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "bolt_frames": bolt_frames,
     "external_command": external_command,
     "suppress_errors": suppress_errors,
+    "flow_python_json": flow_python_json,
     "udtf_prime": udtf_prime,
     "topic_route": topic_route,
     "start_explicit": start_explicit,
@@ -321,7 +335,7 @@ QUERIES: dict[str, Query] = {
 
 _SPLIT_DOC_LINES = (
     "select doc_id, source as metadata, unnest(string_split(text, chr(10))) as content, "
-    "cast(generate_subscripts(string_split(text, chr(10)), 1) as integer) as linenumber from documents"
+    "cast(generate_subscripts(string_split(text, chr(10)), 1) as bigint) as linenumber from documents"
 )
 
 ORACLES: dict[str, str] = {
@@ -349,7 +363,7 @@ ORACLES: dict[str, str] = {
     ),
     "file_lines": (
         f"select source, cast(doc_id // {DOCS_PER_FILE} as bigint) as bucket, cast(row_number() over "
-        f"(partition by source, doc_id // {DOCS_PER_FILE} order by doc_id, pos) as integer) as linenumber, content from "
+        f"(partition by source, doc_id // {DOCS_PER_FILE} order by doc_id, pos) as bigint) as linenumber, content from "
         "(select doc_id, source, unnest(string_split(text, chr(10))) as content, "
         "generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)"
     ),
@@ -367,8 +381,12 @@ ORACLES: dict[str, str] = {
         "select event_id, cast(1000 // (k % 10) as varchar) as record from "
         "(select event_id, (props->>'$.k')::bigint k from events) where k % 10 <> 0"
     ),
+    "flow_python_json": (
+        "select event_id, '{\"k\":' || k || ',\"half\":' || (k // 2) || '}' as record from "
+        "(select event_id, (props->>'$.k')::bigint k from events) where k % 2 = 0"
+    ),
     "udtf_prime": (
-        "select p_partkey, cast(p as integer) as factor from part, "
+        "select p_partkey, cast(p as bigint) as factor from part, "
         "(select r.range p from range(2, 51) r where not exists "
         "(select 1 from range(2, 51) x where x.range < r.range and r.range % x.range = 0)), "
         "range(1, 7) e(e) where p_size % cast(pow(p, e) as bigint) = 0"

@@ -3,14 +3,16 @@
     python -m lineflow run FLOW --flows=my_flows.py --input=TOPIC|file:///dir|s3://b/p
                                --output=TOPIC [--sink=kafka|parquet|text|memory --path=DIR]
                                [--checkpoint=DIR] [--trigger=available|"10 seconds"]
-                               [--max_per_trigger=N] [--max_bytes_per_trigger=N] [--split_files]
-                               [--batch] [launch options]
+                               [--max_per_trigger=N] [--max_bytes_per_trigger=N] [--whole_files]
+                               [--command_timeout=SECONDS] [--batch] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
-``--batch`` runs once over what the input holds now, as a static
-DataFrame, instead of starting a stream.  ``--max_per_trigger`` caps the files (or Kafka offsets) of one
-micro-batch; ``--split_files`` numbers lines of files of any size (see
-``start_flow``).  ``--flows`` names Python files or modules that register processors and
+``run`` keeps running until it is stopped and picks up what arrives;
+``--trigger=available`` ends it after what the input holds now, and
+``--batch`` runs once over that as a static DataFrame instead of a stream.
+``--max_per_trigger`` caps the files (or Kafka offsets) of one micro-batch;
+``--whole_files`` reads each file as one row (see ``start_flow``).
+``--command_timeout`` bounds a command's silence.  ``--flows`` names Python files or modules that register processors and
 dataflows (``lineflow.processor``, ``lineflow.dataflow``); give it more
 than once for several.  ``--bolt_command='cmd args'`` runs an external
 command instead of a named flow.  Meant to run under ``spark-submit``,
@@ -28,9 +30,9 @@ import sys
 from lineflow.options import FlowOptions, OptionError
 from lineflow.plans.registry import UnknownFlowError
 
-_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "max_bytes_per_trigger", "split_files",
+_OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "max_bytes_per_trigger", "whole_files",
         "batch")
-_FLAGS = ("split_files", "batch")
+_FLAGS = ("whole_files", "batch")
 
 
 def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
@@ -53,8 +55,11 @@ def load_flows(specs: list[str]) -> None:
             importlib.import_module(spec)
 
 
-def _trigger(value: str | None) -> dict:
-    if not value or value in ("available", "availableNow"):
+def _trigger(value: str | None) -> dict | None:
+    """None (the default): run on, batch after batch."""
+    if not value or value == "continuous":
+        return None
+    if value in ("available", "availableNow"):
         return {"availableNow": True}
     return {"processingTime": value}
 
@@ -115,11 +120,10 @@ def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
     sink = (own["sink"] or ["kafka"])[-1]
     if _flag(own, "batch"):
         return _run_batch(spark, opts, sink, (own["path"] or [None])[-1])
-    split = _flag(own, "split_files")
     try:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
                        path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
-                       max_per_trigger=_int(own, "max_per_trigger"), split_files=split,
+                       max_per_trigger=_int(own, "max_per_trigger"), whole_files=_flag(own, "whole_files"),
                        max_bytes_per_trigger=_int(own, "max_bytes_per_trigger"))
     except FlowAlreadyRunning as exc:
         print(f"error: {exc}", file=sys.stderr)

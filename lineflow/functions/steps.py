@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType, VariantType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, VariantType
 
 from lineflow.plans.flow import Step
 
@@ -90,8 +90,8 @@ def from_json(schema: str | StructType | None = None) -> Step:
     """
     if schema is None:
         return map_step(F.try_parse_json, "from_json")
-    ddl = schema.simpleString()[len("struct<"):-1].replace(":", " ") if isinstance(schema, StructType) else schema
-    with_corrupt = f"{ddl}, {_CORRUPT} STRING"
+    with_corrupt = (StructType([*schema.fields, StructField(_CORRUPT, StringType())]) if isinstance(schema, StructType)
+                    else f"{schema}, {_CORRUPT} STRING")
 
     def parse(x: Column) -> Column:
         j = F.from_json(x, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})

@@ -6,11 +6,13 @@ example gives nothing for 19; standard factorisation is used here, D14).
 It is an Arrow-batched Python UDTF, callable from the DataFrame API with
 ``lateralJoin`` or from SQL as ``LATERAL prime_factors(n)`` once
 registered.  Each row is independent, so the work spreads over whatever
-partitions the input has; no exchange is added.
+partitions the input has; no exchange is added.  Arrow carries the batches,
+but the factors of each number are found by a loop of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,27 +21,75 @@ from pyspark.sql.functions import udtf
 UDTF_NAME = "prime_factors"
 
 
+SMALL_PRIMES = 1000  # trial division goes up to here; larger factors are found by cycles
+# These bases decide primality for every number below 2^64.
+WITNESSES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+
+
+def is_prime(n: int) -> bool:
+    """Miller-Rabin with bases that are exact for 64-bit numbers."""
+    if n < 2:
+        return False
+    for p in WITNESSES:
+        if n % p == 0:
+            return n == p
+    odd = n - 1
+    twos = (odd & -odd).bit_length() - 1
+    odd >>= twos
+    for a in WITNESSES:
+        x = pow(a, odd, n)
+        if x in (1, n - 1):
+            continue
+        for _ in range(twos - 1):
+            x = x * x % n
+            if x == n - 1:
+                break
+        else:
+            return False
+    return True
+
+
+def split_composite(n: int) -> int:
+    """A proper factor of an odd composite: Pollard's cycle search, about the fourth root of ``n`` steps."""
+    root = math.isqrt(n)
+    if root * root == n:
+        return root
+    for c in range(1, n):
+        slow = fast = 2
+        found = 1
+        while found == 1:
+            slow = (slow * slow + c) % n
+            fast = (fast * fast + c) % n
+            fast = (fast * fast + c) % n
+            found = math.gcd(abs(slow - fast), n)
+        if found != n:
+            return found
+    raise ArithmeticError(f"no factor found for {n}")
+
+
 def factorize(n: int | None) -> Iterator[int]:
-    """Prime factors of ``n`` in ascending order; nothing for n < 2 or null."""
-    if n is None:
+    """Prime factors of a 64-bit ``n`` in ascending order; nothing for n < 2 or null."""
+    if n is None or n < 2:
         return
     n = int(n)
-    if n < 2:
-        return
-    while n % 2 == 0:
-        yield 2
-        n //= 2
-    p = 3
-    while p * p <= n:
+    for p in (2, *range(3, SMALL_PRIMES, 2)):
+        if p * p > n:
+            break
         while n % p == 0:
             yield p
             n //= p
-        p += 2
-    if n > 1:
-        yield n
-
-
-@udtf(returnType="factor: int", useArrow=True)
+    rest, primes = [n] if n > 1 else [], []
+    while rest:
+        m = rest.pop()
+        if m < SMALL_PRIMES * SMALL_PRIMES or is_prime(m):
+            primes.append(m)
+        else:
+            part = split_composite(m)
+            rest += [part, m // part]
+    yield from sorted(primes)
+
+
+@udtf(returnType="factor: bigint", useArrow=True)
 class PrimeFactors:
     def eval(self, n: int | None):
         for p in factorize(n):

@@ -1,26 +1,38 @@
 """Python record functions as a table step over Arrow batches (UDF-1, MAP-14).
 
 For per-record code that Catalyst cannot express.  The function sees one
-record (a string) and returns None, a string, or an iterable of strings.
-It runs through ``mapInArrow``: Spark partitions the data, ships Arrow
-batches to the Python worker, and the per-input array of records comes
-back in the same row, so provenance columns ride along untouched.
-
-With ``suppress_errors`` an exception on a record gives no output for that
-record (any partial output is discarded) and the flow goes on (MAP-14).
+record and returns None, one output, or an iterable of outputs.  A record
+that the flow has parsed (``from_json``: a variant or a struct) reaches it as
+a dict (or list, number, ...); a dict or list that it returns is one output,
+written as a JSON line.  It runs through ``mapInArrow``: Spark partitions the
+data, ships Arrow batches to the Python worker, and the per-input array of
+records comes back in the same row, so provenance columns ride along
+untouched.  Batches are Arrow's; the function itself is called once a record.
+
+An exception fails the task.  With ``suppress_errors`` a record that raises
+gives no output (any partial output is discarded) and the flow goes on
+(MAP-14); the failures are counted in an accumulator (``error_counts``), and
+each task prints its first few to standard error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import json
+import sys
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Accumulator
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lineflow.plans.flow import Step
 
-RecordFn = Callable[[str], "str | Iterable[str] | None"]
+RecordFn = Callable[[Any], Any]
+LOGGED_ERRORS = 3
+_COUNTERS: dict[tuple[str, str], Accumulator] = {}  # by application and step
 
 
 def frame_schema(schema: StructType, frame: str) -> StructType:
@@ -30,11 +42,28 @@ def frame_schema(schema: StructType, frame: str) -> StructType:
     ])
 
 
-def map_frames(df: DataFrame, frame: str, per_input: Callable[[list[str]], list[str]]) -> DataFrame:
+def text_frames(df: DataFrame, frame: str) -> tuple[DataFrame, bool]:
+    """The frame as ``ARRAY<STRING>``; True when its records were parsed ones, now as JSON."""
+    element = df.schema[frame].dataType
+    element = element.elementType if isinstance(element, ArrayType) else None
+    if element is None or isinstance(element, StringType):
+        return df, False
+
+    def as_json(x: Column) -> Column:
+        return F.to_json(x)
+
+    # a number, date or the like is text already as Spark prints it; parsed records are JSON
+    parsed = element.typeName() in ("struct", "map", "array", "variant")
+    make = as_json if parsed else lambda x: x.cast("string")
+    return df.withColumn(frame, F.transform(frame, make)), parsed
+
+
+def map_frames(df: DataFrame, frame: str, per_input: Callable[[list], list[str]]) -> DataFrame:
     """Rewrite the per-input array ``frame`` with ``per_input`` over Arrow batches."""
     from lineflow.session import ship_package
 
     ship_package(df.sparkSession)
+    df, parsed = text_frames(df, frame)
     out_schema = frame_schema(df.schema, frame)
     idx = df.columns.index(frame)
     list_type = pa.list_(pa.string())
@@ -42,6 +71,8 @@ def map_frames(df: DataFrame, frame: str, per_input: Callable[[list[str]], list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             frames = batch.column(idx).to_pylist()
+            if parsed:
+                frames = [[json.loads(r) if r is not None else None for r in recs or []] for recs in frames]
             new = pa.array([per_input(recs or []) for recs in frames], type=list_type)
             cols = list(batch.columns)
             cols[idx] = new
@@ -51,36 +82,65 @@ def map_frames(df: DataFrame, frame: str, per_input: Callable[[list[str]], list[
     return df.mapInArrow(run, out_schema)
 
 
+def _output(value) -> str:
+    if isinstance(value, bytes):
+        return value.decode()
+    if isinstance(value, (dict, list)):
+        return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    return str(value)
+
+
 def _outputs(result) -> list[str]:
-    """None, one string, or an iterable (a generator included) of outputs."""
+    """None, one output (text, a dict, a number), or an iterable of outputs (a generator included)."""
     if result is None:
         return []
-    if isinstance(result, (str, bytes)):
-        return [result.decode() if isinstance(result, bytes) else result]
-    return [str(v) for v in result if v is not None]
+    if isinstance(result, (str, bytes, dict, int, float, bool)):
+        return [_output(result)]
+    return [_output(v) for v in result if v is not None]
+
+
+def _counter(df: DataFrame, name: str) -> Accumulator | None:
+    from lineflow.session import spark_context
 
+    sc = spark_context(df.sparkSession)
+    if sc is None:  # Spark Connect has no accumulators; the tasks still print failures
+        return None
+    return _COUNTERS.setdefault((sc.applicationId, name), sc.accumulator(0))
 
-def python_step(fn: RecordFn, name: str | None = None, suppress_errors: bool = True) -> Step:
+
+def error_counts(spark) -> dict[str, int]:
+    """Failures suppressed so far in this application, by step (a retried task counts again)."""
+    return {name: c.value for (app, name), c in _COUNTERS.items() if app == spark.sparkContext.applicationId}
+
+
+def python_step(fn: RecordFn, name: str | None = None, suppress_errors: bool = False) -> Step:
     """A table step running ``fn`` on every record of every input."""
+    name = name or getattr(fn, "__name__", "python")
+
+    def apply(df: DataFrame, frame: str) -> DataFrame:
+        counter = _counter(df, name) if suppress_errors else None
+        logged: list[int] = []
 
-    def per_input(records: list[str]) -> list[str]:
-        out: list[str] = []
-        for rec in records:
-            if rec is None:
-                continue
-            if suppress_errors:
+        def per_input(records: list) -> list[str]:
+            out: list[str] = []
+            for rec in records:
+                if rec is None:
+                    continue
                 try:
                     out.extend(_outputs(fn(rec)))
-                except Exception:  # noqa: BLE001 - suppression is the feature
-                    continue
-            else:
-                out.extend(_outputs(fn(rec)))
-        return out
+                except Exception as exc:  # noqa: BLE001 - suppression is the feature
+                    if not suppress_errors:
+                        raise
+                    if counter is not None:
+                        counter.add(1)
+                    if len(logged) < LOGGED_ERRORS:
+                        logged.append(1)
+                        print(f"{name}: no output for {str(rec)[:200]!r}: {exc!r}", file=sys.stderr)
+            return out
 
-    def apply(df: DataFrame, frame: str) -> DataFrame:
         return map_frames(df, frame, per_input)
 
-    return Step(name or getattr(fn, "__name__", "python"), "table", apply)
+    return Step(name, "table", apply)
 
 
 def pandas_step(fn: Callable, name: str | None = None) -> Step:
@@ -120,6 +180,7 @@ def pandas_step(fn: Callable, name: str | None = None) -> Step:
         from lineflow.session import ship_package
 
         ship_package(df.sparkSession)
+        df, _ = text_frames(df, frame)
         out_schema = frame_schema(df.schema, frame)
         idx = df.columns.index(frame)
 

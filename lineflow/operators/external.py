@@ -8,13 +8,15 @@ provenance stays exact.  Input is written by a separate thread while the
 task reads, which overlaps the two directions without ever deadlocking on full
 pipes and also serves commands that buffer their input or output by
 block; frames still pair with inputs by order.  Input batches wait in
-memory until their frames are read, so a command that answers only at
-the end of its input holds its task's partition in memory, no more.
+memory until their frames are read, ``max_pending_bytes`` of them at most:
+beyond that the writer waits, and a command that has taken in more than
+pipes hold without an answer is an error, so memory stays bounded.
 
 Failures raise ``FrameProtocolError`` naming the input concerned: a child
 that ends early, omits a terminator, prints past its last frame (an output
-equal to the terminator looks like that), exits non-zero, or exceeds the
-read timeout.  A record holding a newline cannot be sent on a line
+equal to the terminator looks like that), prints bytes that are not UTF-8,
+exits non-zero, or is silent for longer than the timeout (each piece of
+output starts it anew; by default there is none).  A record holding a newline cannot be sent on a line
 protocol and is rejected.  Spark may retry a failed task, so a command's
 side effects are at-least-once.
 """
@@ -22,7 +24,7 @@ side effects are at-least-once.
 from __future__ import annotations
 
 import os
-import queue
+import select
 import subprocess
 import threading
 from collections import deque
@@ -31,7 +33,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lineflow.operators.batch import frame_schema
+from lineflow.operators.batch import frame_schema, text_frames
 from lineflow.options import DEFAULT_ENVIRONMENT
 from lineflow.plans.flow import Step
 
@@ -39,10 +41,77 @@ SPARK_FILE_PREFIX = "sparkfile:"
 ENVIRONMENT_VARIABLE = "LINEFLOW_ENVIRONMENT"
 
 
+# Input that waits for its frames in one task, in bytes of Arrow data.
+MAX_PENDING_BYTES = 256 << 20
+# More than the pipes and usual output buffers between the two sides hold.
+PIPE_BYTES = 1 << 20
+# How long a command may hold more input than that, without output, while the queue is full.
+QUIET_SECONDS = 60
+
+
 class FrameProtocolError(RuntimeError):
     """The command broke the framing protocol."""
 
 
+class _Pending:
+    """Batches sent to the child whose frames are not read yet: a queue bounded by bytes."""
+
+    def __init__(self, limit: int, patience: int = QUIET_SECONDS):
+        self.limit, self.patience = limit, patience
+        self.items: deque = deque()
+        self.held = 0  # bytes of batches in the queue
+        self.open = 0  # bytes of records written to the child since its last output
+        self.answers = 0  # pieces of output so far
+        self.ended = False
+        self.changed = threading.Condition()
+
+    def put(self, item, size: int) -> None:
+        """Wait while the queue is full; fail when the child has taken in more than pipes hold and stays silent."""
+        with self.changed:
+            quiet, seen = 0, self.answers
+            while self.items and self.held + size > self.limit and self.open > PIPE_BYTES and not self.ended:
+                self.changed.wait(1.0)
+                quiet, seen = (0 if self.answers != seen else quiet + 1), self.answers
+                if quiet >= self.patience:
+                    raise FrameProtocolError(
+                        f"the command answers too late: {self.held} bytes of input wait for their frames; "
+                        "answer record by record, or raise max_pending_bytes")
+            self._add(item, size)
+
+    def close(self, item) -> None:
+        with self.changed:
+            self._add(item, 0)
+
+    def _add(self, item, size: int) -> None:
+        self.items.append((item, size))
+        self.held += size
+        self.changed.notify_all()
+
+    def wrote(self, size: int) -> None:
+        with self.changed:
+            self.open += size
+
+    def answered(self) -> None:
+        with self.changed:
+            self.open = 0
+            self.answers += 1
+            self.changed.notify_all()
+
+    def get(self):
+        with self.changed:
+            while not self.items:
+                self.changed.wait()
+            item, size = self.items.popleft()
+            self.held -= size
+            self.changed.notify_all()
+            return item
+
+    def end(self) -> None:
+        with self.changed:
+            self.ended = True
+            self.changed.notify_all()
+
+
 def _resolve(argv: Sequence[str]) -> list[str]:
     """Map ``sparkfile:NAME`` arguments to files shipped with ``SparkContext.addFile``."""
     if not any(a.startswith(SPARK_FILE_PREFIX) for a in argv):
@@ -71,6 +140,7 @@ class _Child:
         self._pos = 0  # next unread line
         self._partial = b""  # bytes after the last newline
         self._eof = False
+        self.on_output = lambda: None
 
     def _more(self) -> bool:
         """Read one more chunk of output; False at end of output.
@@ -80,13 +150,16 @@ class _Child:
         """
         if self._eof:
             return False
+        if self.timeout and not select.select([self._out_fd], [], [], self.timeout)[0]:
+            self._kill()
         chunk = os.read(self._out_fd, 1 << 16)
+        self.on_output()
         if not chunk:
             self._eof = True
             if not self._partial:
                 return False
             data, self._partial = self._partial, b""
-            lines = [data.decode("utf-8", "replace")]
+            lines = [self._text(data)]
         else:
             data = self._partial + chunk
             cut = data.rfind(b"\n")
@@ -94,12 +167,18 @@ class _Child:
                 self._partial = data
                 return True
             self._partial = data[cut + 1:]
-            lines = data[:cut].decode("utf-8", "replace").split("\n")
+            lines = self._text(data[:cut]).split("\n")
         if any(line.endswith("\r") for line in lines):
             lines = [line[:-1] if line.endswith("\r") else line for line in lines]
         self._lines.extend(lines)
         return True
 
+    def _text(self, data: bytes) -> str:
+        try:
+            return data.decode("utf-8")
+        except UnicodeDecodeError as exc:
+            raise self.fail(f"output is not UTF-8: {data[max(0, exc.start - 20):exc.end + 20]!r}") from None
+
     def _drain_stderr(self) -> None:
         for line in self.proc.stderr:
             self.stderr_tail.append(line.decode("utf-8", "replace").rstrip("\n"))
@@ -115,8 +194,10 @@ class _Child:
         why = " (read timeout)" if self.timed_out else ""
         return FrameProtocolError(f"command {self.argv!r}: {msg}{why}; stderr: {tail or '(empty)'}")
 
-    def write(self, records: list[str]) -> None:
-        self.proc.stdin.write("".join(f"{r}\n" for r in records).encode("utf-8"))
+    def write(self, records: list[str]) -> int:
+        data = "".join(f"{r}\n" for r in records).encode("utf-8")
+        self.proc.stdin.write(data)
+        return len(data)
 
     def close_input(self) -> None:
         try:
@@ -126,45 +207,41 @@ class _Child:
 
     def read_frames(self, records: list[str]) -> list[list[str]]:
         """One list of output lines per record, read in order."""
-        timer = threading.Timer(self.timeout, self._kill) if self.timeout else None
-        if timer:
-            timer.start()
-        try:
-            if self._pos:  # drop the lines of earlier batches; no index into them is held
-                del self._lines[:self._pos]
-                self._pos = 0
-            frames: list[list[str]] = []
-            delim = self.delimiter
-            search_from = 0
-            while len(frames) < len(records):
-                try:
-                    end = self._lines.index(delim, search_from)
-                except ValueError:
-                    search_from = len(self._lines)
-                    if not self._more():
-                        raise self.fail(
-                            f"output ended after {len(frames)} of {len(records)} frames of a batch "
-                            f"(early exit or missing terminator); input was {records[len(frames)]!r}"
-                        ) from None
-                    continue
-                frames.append(self._lines[self._pos:end])
-                self._pos = search_from = end + 1
-            return frames
-        finally:
-            if timer:
-                timer.cancel()
+        if self._pos:  # drop the lines of earlier batches; no index into them is held
+            del self._lines[:self._pos]
+            self._pos = 0
+        frames: list[list[str]] = []
+        delim = self.delimiter
+        search_from = 0
+        while len(frames) < len(records):
+            try:
+                end = self._lines.index(delim, search_from)
+            except ValueError:
+                search_from = len(self._lines)
+                if not self._more():
+                    raise self.fail(
+                        f"output ended after {len(frames)} of {len(records)} frames of a batch "
+                        f"(early exit or missing terminator); input was {records[len(frames)]!r}"
+                    ) from None
+                continue
+            frames.append(self._lines[self._pos:end])
+            self._pos = search_from = end + 1
+        return frames
 
     def finish(self) -> None:
         """After the last frame: no further output and a zero exit."""
-        rest = "\n".join(self._lines[self._pos:]).encode("utf-8") + self._partial
-        self._lines, self._pos, self._partial = [], 0, b""
-        if not self._eof:
-            rest += self.proc.stdout.read()
-        code = self.proc.wait()
-        self._err_thread.join(timeout=5)
+        while not self._lines[self._pos:] and self._more():
+            pass
+        rest = "\n".join(self._lines[self._pos:])
         if rest.strip():
             raise self.fail(f"printed past its last frame: {rest[:200]!r} "
                             "(an output equal to the terminator, or an extra frame)")
+        try:
+            code = self.proc.wait(self.timeout)
+        except subprocess.TimeoutExpired:
+            self._kill()
+            raise self.fail("did not exit after its last frame") from None
+        self._err_thread.join(timeout=5)
         if code != 0:
             raise self.fail(f"exited with status {code}")
 
@@ -184,15 +261,17 @@ def command_step(
     cwd: str | None = None,
     environment: str = DEFAULT_ENVIRONMENT,
     env: Mapping[str, str] | None = None,
-    timeout: float | None = 900.0,
+    timeout: float | None = None,
     name: str | None = None,
+    max_pending_bytes: int = MAX_PENDING_BYTES,
 ) -> Step:
     """A table step running ``argv`` (a list, never a shell string) per task.
 
     ``delimiter`` is the terminator the command writes (EXT-4), ``cwd`` and
     ``environment`` where and in which named environment it runs (EXT-6);
-    ``timeout`` bounds the reading of the frames of one Arrow batch, in
-    seconds (None: no bound).
+    ``timeout`` is how many seconds the command may be silent, or take to
+    exit after its last frame (None: no bound).  ``max_pending_bytes`` bounds
+    the input that waits for frames in one task.
     """
     argv = list(argv)
     if not argv:
@@ -203,6 +282,7 @@ def command_step(
         from lineflow.session import ship_package
 
         ship_package(df.sparkSession)
+        df, _ = text_frames(df, frame)  # parsed records go out as JSON lines
         out_schema = frame_schema(df.schema, frame)
         idx = df.columns.index(frame)
         list_type = pa.list_(pa.string())
@@ -212,7 +292,7 @@ def command_step(
             # closes its input; this thread reads frames in the same order.
             # Commands that flush per line and commands that buffer by block
             # both work, and full pipes cannot deadlock the two sides.
-            pending: queue.Queue = queue.Queue()
+            pending = _Pending(max_pending_bytes)
             child: _Child | None = None
             box: dict[str, object] = {}
             stop = threading.Event()
@@ -230,15 +310,16 @@ def command_step(
                         if flat and "child" not in box:
                             env_ = {**os.environ, **extra_env, ENVIRONMENT_VARIABLE: environment}
                             box["child"] = _Child(_resolve(argv), delimiter, cwd, env_, timeout)
-                        pending.put((batch, per_input, flat))
-                        if flat:
-                            box["child"].write(flat)
+                            box["child"].on_output = pending.answered
+                        pending.put((batch, per_input, flat), batch.nbytes)
+                        for at in range(0, len(flat), 1000):
+                            pending.wrote(box["child"].write(flat[at:at + 1000]))
                 except BaseException as exc:  # noqa: BLE001 - handed to the task thread
                     box["error"] = exc
                 finally:
                     if "child" in box:
                         box["child"].close_input()
-                    pending.put(_DONE)
+                    pending.close(_DONE)
 
             writer = threading.Thread(target=feed, daemon=True)
             writer.start()
@@ -271,6 +352,7 @@ def command_step(
                     child.finish()
             finally:
                 stop.set()
+                pending.end()
                 child = box.get("child")
                 if child is not None:
                     child.close()

@@ -2,47 +2,66 @@
 
 The reference spreads records evenly only when the flow is wider than the
 source.  In Spark that is a round-robin ``repartition(n)`` under the same
-condition; otherwise the flow runs in the source's partitions and no
-exchange is added (flows are narrow, so nothing else would shuffle).
+condition, tested against the partitions that the plan really has;
+otherwise the flow runs in the source's partitions and no exchange is added
+(flows are narrow, so nothing else would shuffle).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by default); cutting it
+# into more than this many pieces gives tasks of under 2 MB, whose scheduling costs more than
+# they save.  Raise it (``max_pieces``) for unsplittable files much larger than a split.
+MAX_PIECES_PER_SPLIT = 64
 
-def spread(df: DataFrame, flow_parallelism: int, input_parallelism: int) -> DataFrame:
-    """``repartition(flow_parallelism)`` when it exceeds ``input_parallelism``."""
-    if flow_parallelism < 1 or input_parallelism < 1:
-        raise ValueError("parallelism must be positive")
-    if flow_parallelism > input_parallelism:
-        return df.repartition(flow_parallelism)
-    return df
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """The partitions of a batch plan without an exchange, counted without a job; None for other plans."""
+    if df.isStreaming:
+        return None
+    from lineflow.session import spark_context
 
-# A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by
-# default); cutting it into more than 64 pieces would make tasks of under
-# 2 MB, whose scheduling costs more than they save.
-MAX_PIECES_PER_SPLIT = 64
+    if spark_context(df.sparkSession) is None:  # Spark Connect: not known before execution
+        return None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return None
+    return max(1, df.rdd.getNumPartitions())
 
 
-def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """PAR-1 with live numbers: spread when the scan is narrower than the cluster.
+def spread(df: DataFrame, flow_parallelism: int, input_parallelism: int = 1) -> DataFrame:
+    """``repartition(flow_parallelism)`` when the input is narrower than that; never fewer partitions than it has.
 
-    The source's parallelism is the number of partitions the batch plan
-    reads (planning only, no job); the flow's is the session's default
-    parallelism (total executor cores), capped at ``MAX_PIECES_PER_SPLIT``
-    pieces per scan split.  A big input has far more splits than cores, so
-    this adds no exchange at scale; a small or unsplittable input (one row
-    group, one gzip file) gets spread so the cores share the work.
+    The width of a scan is counted; ``input_parallelism`` is a lower bound on
+    it, and stands for it where it can't be counted before the run (a stream).
+    A plan that already shuffles is left to the shuffle's own width.
     """
-    if df.isStreaming:
+    if flow_parallelism < 1 or input_parallelism < 1:
+        raise ValueError("parallelism must be positive")
+    if flow_parallelism <= input_parallelism:
         return df
+    width = scan_partitions(df)
+    if width is None and not df.isStreaming:
+        return df
+    return df.repartition(flow_parallelism) if flow_parallelism > (width or input_parallelism) else df
+
+
+def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None,
+                      max_pieces: int = MAX_PIECES_PER_SPLIT) -> DataFrame:
+    """PAR-1 with live numbers: spread when the scan is narrower than the cluster.
+
+    The flow's parallelism is the session's default parallelism (total
+    executor cores), at most ``max_pieces`` pieces per scan split.  A big
+    input has far more splits than cores, so this adds no exchange at scale;
+    a small or unsplittable input (one row group, one gzip file) gets spread
+    so the cores share the work.
+    """
     from lineflow.session import spark_context
 
+    width = scan_partitions(df)
     sc = spark_context(spark or df.sparkSession)
-    if sc is None:  # Spark Connect: no partition count before execution; leave it to the source
+    if width is None or sc is None:
         return df
-    splits = max(1, df.rdd.getNumPartitions())
-    width = min(sc.defaultParallelism, splits * MAX_PIECES_PER_SPLIT)
-    return spread(df, width, splits)
+    return spread(df, min(sc.defaultParallelism, width * max_pieces), 1)

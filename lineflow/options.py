@@ -22,6 +22,8 @@ DEFAULT_BOLT_DELIMITER = "X"
 DEFAULT_ENVIRONMENT = "development"
 KAFKA_EARLIEST = -2
 KAFKA_LATEST = -1
+# Other schemes of Hadoop file systems that Spark reads as folders, besides file: and S3.
+FILE_SYSTEM_SCHEMES = frozenset({"hdfs", "viewfs", "abfs", "abfss", "gs", "wasb", "wasbs"})
 # Launcher options of the reference that configure its engine or cluster.  Spark
 # configuration replaces them; they are accepted, shown by a dry run, and never passed to commands.
 ENGINE_OPTIONS = frozenset({
@@ -53,6 +55,7 @@ _BOOL_OPTIONS = {"from_beginning", "from_end", "rm", "dry_run"}
 # The short flags of the bolt command.
 _SHORT_FLAGS = {"-r": "run", "-t": "delimiter"}
 _INT_OPTIONS = {"kafka_partitions", "kafka_batch", "input_parallelism", "parallelism", "wait"}
+_FLOAT_OPTIONS = {"command_timeout"}
 
 
 @dataclass
@@ -80,6 +83,7 @@ class FlowOptions:
     rm: bool = False
     dry_run: bool = False
     directory: str | None = None
+    command_timeout: float | None = None  # seconds a command may be silent; none by default
     environment: str = DEFAULT_ENVIRONMENT
     extra: dict[str, str] = field(default_factory=dict)
     engine: dict[str, str] = field(default_factory=dict)
@@ -113,11 +117,11 @@ class FlowOptions:
                 continue
             if key in _BOOL_OPTIONS:
                 values[key] = (raw.lower() not in ("false", "0", "no")) if eq else True
-            elif key in _INT_OPTIONS:
+            elif key in _INT_OPTIONS or key in _FLOAT_OPTIONS:
                 try:
-                    values[key] = int(raw)
+                    values[key] = int(raw) if key in _INT_OPTIONS else float(raw)
                 except ValueError as exc:
-                    raise OptionError(f"--{key} needs an integer, got {raw!r}") from exc
+                    raise OptionError(f"--{key} needs {'an integer' if key in _INT_OPTIONS else 'a number'}, got {raw!r}") from exc
             else:
                 values[key] = raw
         if positional and "flow" not in values:
@@ -157,7 +161,7 @@ class FlowOptions:
         scheme = urlparse(self.input).scheme
         if scheme in ("s3", "s3a", "s3n"):
             return "s3"
-        if scheme == "file":
+        if scheme == "file" or scheme in FILE_SYSTEM_SCHEMES:
             return "file"
         if scheme == "":
             return "kafka"
@@ -169,20 +173,33 @@ class FlowOptions:
 
     @property
     def blob_path(self) -> str:
-        """Path for the file source: local ``file:`` paths and ``s3a://`` objects."""
-        uri = urlparse(self.input or "")
-        if self.input_kind == "file":
-            return uri.path
-        bucket, path = uri.netloc, uri.path.lstrip("/")
-        return f"s3a://{bucket}/{path}" if path else f"s3a://{bucket}/"
+        """Path for the file source, scheme kept: ``file:/a``, ``hdfs://host/a`` or ``s3a://bucket/key``.
+
+        ``#`` and ``?`` are part of a name (``?`` matches one character, as
+        Hadoop paths do), not URL syntax.
+        """
+        scheme, _, rest = (self.input or "").partition(":")
+        if self.input_kind == "s3":
+            return f"s3a://{self.s3_bucket}/{self.s3_prefix}"
+        if scheme != "file":
+            return self.input
+        path = self._file_path
+        return f"file:{path}" if path else ""
+
+    @property
+    def _file_path(self) -> str:
+        rest = (self.input or "").partition(":")[2]
+        if rest.startswith("//"):  # file://host/path; the host is this file system's own
+            return "/" + rest[2:].partition("/")[2] if "/" in rest[2:] else ""
+        return rest
 
     @property
     def s3_bucket(self) -> str:
-        return urlparse(self.input or "").netloc
+        return (self.input or "").partition("://")[2].partition("/")[0]
 
     @property
     def s3_prefix(self) -> str:
-        return urlparse(self.input or "").path.lstrip("/")
+        return (self.input or "").partition("://")[2].partition("/")[2].lstrip("/")
 
     @property
     def kafka_topic(self) -> str:
@@ -261,7 +278,7 @@ class FlowOptions:
             self.kafka_servers  # raises on empty or malformed hosts
         if kind == "kafka" and not self.kafka_topic:  # OPT-7
             raise OptionError("Kafka input needs a topic")
-        if kind == "file" and not urlparse(self.input).path:
+        if kind == "file" and not self.blob_path:
             raise OptionError("file input needs a path")
         if kind == "s3":  # OPT-5
             if not self.s3_bucket:
@@ -272,6 +289,8 @@ class FlowOptions:
             raise OptionError("partitions and parallelism must be positive")
         if self.kafka_batch < 1:
             raise OptionError("--kafka_batch must be positive")
+        if self.command_timeout is not None and self.command_timeout <= 0:
+            raise OptionError("--command_timeout must be positive")
         if self.wait < 0:
             raise OptionError("--wait must not be negative")
         return self

@@ -34,16 +34,17 @@ def register(name: str, flow: Step | Flow | Iterable[Step], replace: bool = True
 
 
 def processor(name: str, kind: str = "map", typed: bool = False,
-              suppress_errors: bool = True) -> Callable[[Callable], Step]:
+              suppress_errors: bool = False) -> Callable[[Callable], Step]:
     """Decorator: register a record function as a named step.
 
     With ``kind`` ``map`` (one output, null = none), ``filter`` (predicate)
     or ``flat`` (array of outputs), ``fn(record: Column) -> Column`` is a
     Catalyst expression; ``typed=True`` also passes the record's Spark
     type, for steps that read fields of JSON, structs or variants alike.
-    With ``kind="python"``, ``fn(record: str)`` returns or yields its
-    outputs (a generator works, like a processor that yields); errors give
-    no output when ``suppress_errors``.  With ``kind="pandas"``,
+    With ``kind="python"``, ``fn(record)`` returns or yields its outputs (a
+    generator works, like a processor that yields); the record is a line, or
+    what ``from_json`` made of it (a dict).  An error fails the flow; with
+    ``suppress_errors`` it is counted and the record gives no output.  With ``kind="pandas"``,
     ``fn(pandas.Series) -> pandas.Series`` is vectorized.
     """
 

@@ -13,7 +13,7 @@ import io
 from pyspark.sql import DataFrame, SparkSession
 
 from lineflow.operators.external import command_step
-from lineflow.operators.partitioning import spread
+from lineflow.operators.partitioning import scan_partitions, spread
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step, as_flow, run_records
 from lineflow.plans.registry import lookup
@@ -28,33 +28,47 @@ def resolve_flow(opts: FlowOptions, flow: Step | Flow | None = None) -> Flow:
     argv = opts.command_argv()
     if argv:
         return as_flow(command_step(argv, delimiter=opts.delimiter, cwd=opts.directory,
-                                    environment=opts.environment, name=opts.dataflow_name))
+                                    environment=opts.environment, name=opts.dataflow_name,
+                                    timeout=opts.command_timeout))
     return lookup(opts.flow)
 
 
+def source_width(opts: FlowOptions) -> int:
+    """The least number of partitions the source is known to have (PAR-2)."""
+    return max(opts.input_parallelism, opts.kafka_partitions if opts.input_kind == "kafka" else 1)
+
+
 def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None = None,
                streaming: bool = False, checkpoint: str | None = None, glob: str | None = None,
                max_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """DataFrame of ``record`` (one row per output record) for the launch options."""
+    """DataFrame of ``record`` (one row per output record) for the launch options.
+
+    A stream of files is read whole here; ``per_batch_flow`` serves line mode.
+    """
     opts.validate(sink="none")
     f = resolve_flow(opts, flow)
-    lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False,
-                       store_marker=not opts.dry_run, max_bytes_per_trigger=max_bytes_per_trigger)
-    lines = spread(lines, opts.flow_parallelism, opts.input_parallelism)
+    lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False, whole_files=True,
+                       store_marker=not opts.dry_run, max_bytes_per_trigger=max_bytes_per_trigger,
+                       plan_only=opts.dry_run)
+    if streaming or not opts.is_blob_input:  # a batch of files is spread as it is numbered
+        lines = spread(lines, opts.flow_parallelism, source_width(opts))
     if opts.is_blob_input:
         lines = combine_metadata(lines)
     return run_records(lines, f, "str")
 
 
 def per_batch_flow(opts: FlowOptions, flow: Step | Flow | None = None):
-    """For split-file streams: number a micro-batch's lines, spread, combine, run the flow.
+    """For streams of files in line mode: number a micro-batch's lines, spread, combine, run the flow.
 
     Numbering needs the rows straight from the scan, so PAR-1 comes after it.
     """
     f = resolve_flow(opts, flow)
 
     def apply(tagged_batch: DataFrame) -> DataFrame:
-        lines = spread(number_lines(tagged_batch), opts.flow_parallelism, opts.input_parallelism)
+        width = scan_partitions(tagged_batch) or source_width(opts)
+        lines = number_lines(tagged_batch)
+        if opts.flow_parallelism > width:
+            lines = lines.repartition(opts.flow_parallelism)
         return run_records(combine_metadata(lines), f, "str")
 
     return apply

@@ -8,6 +8,7 @@ only a local-mode session with the setting unset gets a temporary one.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -58,12 +59,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the scratch root, unique per call.
+    """A fresh folder below the scratch root, unique per call, removed when the driver's JVM ends.
 
     Streaming checkpoints must never be shared by accident: a second run on
     an old checkpoint silently resumes and returns stale rows.
     """
-    return f"{scratch_root(spark)}/lineflow/{label}-{uuid.uuid4().hex}"
+    folder = f"{scratch_root(spark)}/lineflow/{label}-{uuid.uuid4().hex}"
+    if spark_context(spark) is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
 
 
 def query_checkpoint(spark: SparkSession, name: str) -> str:
@@ -74,6 +81,8 @@ def query_checkpoint(spark: SparkSession, name: str) -> str:
     (stop, wait, start) continues on the same checkpoint.
     """
     safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in name)
+    if safe != name:  # two names never share a folder
+        safe += "-" + hashlib.sha256(name.encode()).hexdigest()[:12]
     return f"{scratch_root(spark)}/lineflow/queries/{safe}"
 
 

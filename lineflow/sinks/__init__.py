@@ -4,14 +4,17 @@ Kafka gets a frame of ``topic, value``: the record's own topic when it has
 one, else the default (per-record override).  ``option("topic")`` is never
 set, because it would override the column.  ``replay_safe`` writes each
 micro-batch to its own ``batch_id=N`` folder with overwrite, so a replayed
-batch replaces its earlier attempt instead of doubling it.
+batch replaces its earlier attempt instead of doubling it.  The folder
+belongs to one query (the id its checkpoint keeps): batch numbers of another
+checkpoint mean other records.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -57,13 +60,55 @@ def write_flow(df: DataFrame, opts: FlowOptions, sink: str = "kafka", path: str
     df.write.mode(mode).format(sink).save(path)
 
 
-def replay_safe(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function writing batch N to ``path/batch_id=N``, overwriting (STR-4)."""
+OWNER_FILE = "_lineflow_owner"
+
+
+class ForeignSink(RuntimeError):
+    """The sink folder holds the batches of another query."""
+
+
+def _owner(spark: SparkSession, path: str) -> str | None:
+    try:
+        row = spark.read.text(f"{path}/{OWNER_FILE}").first()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return row["value"] if row else None
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    """Remove the folder of a sink that is written anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replay_safe(path: str, fmt: str = "parquet", replace: bool = False) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function writing batch N to ``path/batch_id=N``, overwriting (STR-4).
+
+    The first batch records the query's id in the folder.  A query of another
+    checkpoint is refused (its batch N holds other records, which would double
+    or overwrite what is there); with ``replace`` it starts the folder anew,
+    for a flow that is run again from its start.
+    """
+    checked: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        if query not in checked:
+            owner = _owner(spark, path)
+            if owner is not None and owner != query:
+                if not replace:
+                    raise ForeignSink(f"{path} holds the batches of query {owner}, not of {query}; "
+                                      "use another folder, or replace=True to start it anew")
+                _clear(spark, path)
+            if owner != query:
+                spark.createDataFrame([(query,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{OWNER_FILE}")
+            checked.append(query)
         batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "write_framed_text"]
+__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "ForeignSink", "write_framed_text"]

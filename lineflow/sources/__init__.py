@@ -12,19 +12,22 @@ from lineflow.sources.records import combine_metadata
 
 def read_lines(spark: SparkSession, opts: FlowOptions, streaming: bool = False,
                checkpoint: str | None = None, glob: str | None = None,
-               max_per_trigger: int | None = None, combine: bool = True, split_files: bool = False,
-               store_marker: bool = True, max_bytes_per_trigger: int | None = None) -> DataFrame:
+               max_per_trigger: int | None = None, combine: bool = True, whole_files: bool = False,
+               store_marker: bool = True, max_bytes_per_trigger: int | None = None,
+               plan_only: bool = False) -> DataFrame:
     """Records of the input chosen by its URI scheme (SRC-7).
 
     Kafka gives ``str``; files and S3 give ``content, metadata, linenumber``
-    and, with ``combine`` (the default), the tab-joined ``str`` of MAP-2.
+    and, with ``combine`` (the default), the tab-joined ``str`` of MAP-2.  A
+    stream of them in line mode (not ``whole_files``) gives the unnumbered
+    lines of ``records.tag_lines``; micro-batches number and combine them.
     """
     if opts.input_kind == "kafka":
         return read_kafka(spark, opts, streaming, max_offsets_per_trigger=max_per_trigger)
     lines = read_blob_lines(spark, opts, streaming, checkpoint, glob, max_files_per_trigger=max_per_trigger,
-                            split_files=split_files, store_marker=store_marker,
-                            max_bytes_per_trigger=max_bytes_per_trigger)
-    if split_files and streaming:
+                            whole_files=whole_files, store_marker=store_marker,
+                            max_bytes_per_trigger=max_bytes_per_trigger, plan_only=plan_only)
+    if streaming and not whole_files:
         return lines  # numbered and combined per micro-batch
     return combine_metadata(lines) if combine else lines
 

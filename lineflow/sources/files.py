@@ -1,21 +1,26 @@
 """Directory and S3 input (SRC-2, SRC-3, SRC-6, POS-5..8).
 
-Blob names act as positions.  A marker is compared with
-``_metadata.file_path`` as text and is exclusive: files whose path sorts
-after it are read.  Spark writes local paths as ``file:/a/b`` and S3
-objects as ``s3a://bucket/key``; ``normalize_marker`` brings a marker
-(absolute, or a name relative to the input folder) into that form.  On a
-batch read the predicate skips whole files at listing time.
-
-A LATEST start (``--from_end``) records the greatest existing path when
-the query first starts and stores it with the checkpoint, so a restart
-applies the same cut; a RESUME start reuses a stored marker when the
-checkpoint has one and behaves as LATEST otherwise (POS-8).
+Two kinds of start cut exist.
+
+* An EXPLICIT start (``--offset``) names a blob: those whose path sorts
+  after it are read.  Paths compare as Spark prints them in
+  ``_metadata.file_path`` (``file:/a/b``, ``s3a://bucket/key``, special
+  characters percent-encoded); ``normalize_marker`` brings a marker
+  (absolute, or a name relative to the input folder) into that form.
+* A LATEST start (``--from_end``) reads what arrives after the flow first
+  starts, whatever its name: blobs modified later than the newest one at the
+  start, and those of the same moment that weren't there.  A RESUME start
+  reuses the cut stored with its checkpoint and behaves as LATEST otherwise.
+
+The cut is stored with the checkpoint, so a restart applies the same one.
+On a batch read the predicate skips whole files at listing time.
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +29,18 @@ from pyspark.sql import functions as F
 from lineflow.options import FlowOptions, OptionError, StartPosition
 
 MARKER_FILE = "_lineflow_start_marker"
-_NO_MARKER = ""
+# Fixed value: what java.net.URI leaves as it is in a path, besides letters, digits and non-ASCII characters.
+URI_PATH_SAFE = "/:@&=+$,;-_.!~*'()"
+
+
+@dataclass(frozen=True)
+class StartCut:
+    """Which blobs a start leaves out: none, names up to ``marker``, or what had arrived by ``time`` (microseconds)."""
+
+    kind: str = "none"
+    marker: str | None = None
+    time: int | None = None
+    present: DataFrame | None = None  # ``path`` of the blobs modified in the very moment ``time``
 
 
 def s3_options(opts: FlowOptions) -> dict[str, str]:
@@ -42,81 +58,117 @@ def s3_options(opts: FlowOptions) -> dict[str, str]:
     return o
 
 
+def encode_path(path: str) -> str:
+    """The path as Spark's metadata prints it: percent-encoded, non-ASCII characters kept."""
+    return "".join(c if ord(c) > 127 else quote(c, safe=URI_PATH_SAFE) for c in path)
+
+
 def normalize_path(path: str) -> str:
-    """A folder or file path in the form ``_metadata.file_path`` uses."""
-    if "://" in path:
-        return path
+    """A folder or file path, given as its plain name, in the form ``_metadata.file_path`` uses."""
+    scheme, sep, rest = path.partition("://")
+    if sep and scheme != "file":
+        return f"{scheme}://{encode_path(rest)}"
     if path.startswith("file:"):
         path = path[len("file:"):]
         while path.startswith("//"):
             path = path[1:]
-    return "file:" + os.path.abspath(path)
+    return "file:" + encode_path(os.path.abspath(path))
 
 
 def normalize_marker(marker: str, root: str) -> str:
-    """An absolute marker as is (normalized); a relative one below ``root``."""
+    """An absolute marker in Spark's form; a relative one is a name below ``root``."""
     if "://" in marker or marker.startswith("file:") or marker.startswith("/"):
         return normalize_path(marker)
-    return normalize_path(root).rstrip("/") + "/" + marker
+    return normalize_path(root).rstrip("/") + "/" + encode_path(marker)
+
 
+def _missing(exc: AnalysisException) -> bool:
+    return exc.getCondition() == "PATH_NOT_FOUND"
 
-def latest_existing_path(spark: SparkSession, path: str, recursive: bool = True,
-                         glob: str | None = None) -> str | None:
-    """Greatest file path below ``path`` right now, listed by Spark without reading content."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+
+def list_blobs(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None,
+               options: dict[str, str] | None = None) -> DataFrame | None:
+    """``path, modified`` (microseconds) of the blobs below ``path`` now, listed without reading content; None for a missing folder."""
+    r = spark.read.format("binaryFile").options(**(options or {})).option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     try:
-        row = r.load(path).select(F.max(F.col("_metadata.file_path")).alias("m")).first()
-    except AnalysisException:
-        return None
-    return row["m"] if row else None
+        return r.load(path).select(F.col("_metadata.file_path").alias("path"),
+                                   F.unix_micros("_metadata.file_modification_time").alias("modified"))
+    except AnalysisException as exc:
+        if _missing(exc):
+            return None
+        raise
 
 
-def stored_marker(spark: SparkSession, checkpoint: str, root: str | None = None) -> str | None:
-    """The marker stored with a checkpoint; ``""`` means "no cut"; None means none stored.
+def stored_cut(spark: SparkSession, checkpoint: str, root: str | None = None) -> StartCut | None:
+    """The cut stored with a checkpoint; None when there is none.
 
     With ``root``, a checkpoint that was made for another input is an
     error rather than a silently foreign cut.
     """
+    schema = "root string, kind string, marker string, time long, path string"
     try:
-        row = spark.read.text(f"{checkpoint}/{MARKER_FILE}").first()
-    except AnalysisException:
-        return None
+        rows = spark.read.schema(schema).json(f"{checkpoint}/{MARKER_FILE}")
+        row = rows.where("kind is not null").first()
+    except AnalysisException as exc:
+        if _missing(exc):
+            return None
+        raise
     if row is None:
         return None
-    kept_root, _tab, marker = row["value"].rpartition("\t")
-    if root is not None and kept_root and kept_root != normalize_path(root):
-        raise OptionError(f"checkpoint {checkpoint} belongs to input {kept_root}, not {normalize_path(root)}; "
+    if root is not None and row["root"] != normalize_path(root):
+        raise OptionError(f"checkpoint {checkpoint} belongs to input {row['root']}, not {normalize_path(root)}; "
                           "use another --name or --checkpoint")
-    return marker
+    return StartCut(row["kind"], row["marker"], row["time"], rows.where("path is not null").select("path"))
 
 
-def store_marker(spark: SparkSession, checkpoint: str, marker: str | None, root: str) -> None:
-    line = f"{normalize_path(root)}\t{marker or _NO_MARKER}"
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode(
-        "overwrite").text(f"{checkpoint}/{MARKER_FILE}")
+def store_cut(spark: SparkSession, checkpoint: str, cut: StartCut, root: str) -> None:
+    head = spark.createDataFrame([(normalize_path(root), cut.kind, cut.marker, cut.time, None)],
+                                 "root string, kind string, marker string, time long, path string")
+    if cut.present is not None:
+        head = head.unionByName(cut.present, allowMissingColumns=True)
+    head.write.mode("overwrite").json(f"{checkpoint}/{MARKER_FILE}")
 
 
-def resolve_marker(spark: SparkSession, position: StartPosition, root: str, checkpoint: str | None,
-                   recursive: bool = True, glob: str | None = None, store: bool = True) -> str | None:
-    """The exclusive path marker for a blob source, or None to read everything.
+def resolve_cut(spark: SparkSession, position: StartPosition, root: str, checkpoint: str | None,
+                recursive: bool = True, glob: str | None = None, store: bool = True,
+                options: dict[str, str] | None = None) -> StartCut:
+    """The cut of a blob source's start, stored with the checkpoint the first time.
 
-    ``store=False`` (a dry run) computes the marker without recording it.
+    ``store=False`` (a dry run) computes it without recording it.
     """
     if checkpoint is not None:
-        kept = stored_marker(spark, checkpoint, root)
+        kept = stored_cut(spark, checkpoint, root)
         if kept is not None:
-            return kept or None
+            return kept
     if position.policy == "EARLIEST":  # POS-5
-        marker = None
+        cut = StartCut()
     elif position.policy == "EXPLICIT":  # POS-7
-        marker = normalize_marker(position.marker, root)
-    else:  # POS-6 LATEST, or POS-8 RESUME without a stored marker
-        marker = latest_existing_path(spark, root, recursive, glob)
+        cut = StartCut("name", marker=normalize_marker(position.marker, root))
+    else:  # POS-6 LATEST, or POS-8 RESUME without a stored cut
+        cut = StartCut()
+        blobs = list_blobs(spark, root, recursive, glob, options)
+        newest = blobs.agg(F.max("modified")).first()[0] if blobs is not None else None
+        if newest is not None:
+            cut = StartCut("arrival", time=newest, present=blobs.where(F.col("modified") == newest).select("path"))
     if checkpoint is not None and store:
-        store_marker(spark, checkpoint, marker, root)
-    return marker
+        store_cut(spark, checkpoint, cut, root)
+        return stored_cut(spark, checkpoint, root) or cut  # the stored list, not a later listing
+    return cut
+
+
+def apply_cut(df: DataFrame, cut: StartCut, path: str = "_metadata.file_path",
+              modified: str = "_metadata.file_modification_time") -> DataFrame:
+    """Rows of the blobs that the start leaves in."""
+    if cut.kind == "name":
+        return after_marker(df, cut.marker, path)
+    if cut.kind == "arrival":
+        later = df.where(F.unix_micros(modified) >= F.lit(cut.time))
+        if cut.present is not None:
+            later = later.join(cut.present.select(F.col("path").alias("__present")), F.col(path) == F.col("__present"), "left_anti")
+        return later
+    return df
 
 
 def after_marker(df: DataFrame, marker: str | None, name_col: str = "_metadata.file_path") -> DataFrame:
@@ -128,15 +180,17 @@ def after_marker(df: DataFrame, marker: str | None, name_col: str = "_metadata.f
 
 def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
                     checkpoint: str | None = None, glob: str | None = None,
-                    max_files_per_trigger: int | None = None, split_files: bool = False,
-                    store_marker: bool = True, max_bytes_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, whole_files: bool = False,
+                    store_marker: bool = True, max_bytes_per_trigger: int | None = None,
+                    plan_only: bool = False) -> DataFrame:
     """Line records ``content, metadata, linenumber`` of a file or S3 input.
 
-    A stream reads each file whole (``wholetext``), which limits a file to
-    2 GB.  With ``split_files`` a stream is read in line mode instead, and
+    A stream is read in line mode, so that a file of any size is split, and
     the result is ``content, metadata, __block`` without numbers: number
     each micro-batch with ``records.number_lines`` inside ``foreachBatch``
-    (``streaming.start_flow(split_files=True)`` does that).
+    (``streaming.start_flow`` does that).  With ``whole_files`` a stream reads
+    each file as one row instead and numbers its lines at once, which limits
+    a file to 2 GB.  ``plan_only`` builds a batch plan without running a job.
     """
     from lineflow.sources.records import read_numbered_lines, recordize, tag_lines
 
@@ -147,12 +201,14 @@ def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
         if pos.policy == "LATEST":
             raise OptionError("--from_end reads nothing from a bounded folder; use a stream")
         marker = normalize_marker(pos.marker, root) if pos.policy == "EXPLICIT" else None
-        return read_numbered_lines(spark, root, glob=glob, after_marker=marker, options=extra)
+        return read_numbered_lines(spark, root, glob=glob, after_marker=marker, options=extra,
+                                   min_splits=opts.input_parallelism, plan_only=plan_only,
+                                   spread_to=opts.flow_parallelism)
     if checkpoint is None:
         raise OptionError("a streaming blob source needs a checkpoint location")
-    marker = resolve_marker(spark, pos, root, checkpoint, glob=glob, store=store_marker)
+    cut = resolve_cut(spark, pos, root, checkpoint, glob=glob, store=store_marker, options=extra)
     r = spark.readStream.format("text").option("recursiveFileLookup", "true")
-    if not split_files:
+    if whole_files:
         r = r.option("wholetext", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -162,7 +218,8 @@ def read_blob_lines(spark: SparkSession, opts: FlowOptions, streaming: bool,
         r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     for k, v in extra.items():
         r = r.option(k, v)
-    if split_files:
-        return after_marker(tag_lines(r.load(root)), marker, "metadata")
-    blobs = after_marker(r.load(root).select("value", F.col("_metadata.file_path").alias("path")), marker, "path")
-    return recordize(blobs, "value", "path")
+    raw = r.load(root).select("value", "_metadata")
+    raw = apply_cut(raw, cut)
+    if not whole_files:
+        return tag_lines(raw)
+    return recordize(raw.select("value", F.col("_metadata.file_path").alias("path")), "value", "path")

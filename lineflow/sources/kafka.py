@@ -10,6 +10,7 @@ as one), which is also how they are tested where no broker exists.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,12 +91,19 @@ def as_kafka_log(df: DataFrame, topic: str, value: str | Column, partition: str
     )
 
 
-def apply_start_offsets(log: DataFrame, position: StartPosition | dict[int, int]) -> DataFrame:
+def apply_start_offsets(log: DataFrame, position: StartPosition | dict[int, int] | str) -> DataFrame:
     """Keep the part of a Kafka-shaped table a reader starting at ``position`` would see.
 
     A dict gives a start offset per partition (-2 earliest, -1 latest);
-    a StartPosition applies one offset to every partition.
+    a StartPosition applies one offset to every partition; text is a
+    ``startingOffsets`` value as ``starting_offsets`` makes it.
     """
+    if isinstance(position, str):
+        if position in ("earliest", "latest"):
+            return log if position == "earliest" else log.where(F.lit(False))
+        parts = [apply_start_offsets(log.where(F.col("topic") == topic), {int(p): o for p, o in offsets.items()})
+                 for topic, offsets in json.loads(position).items()]
+        return reduce(DataFrame.unionAll, parts, log.where(F.lit(False))) if len(parts) != 1 else parts[0]
     if isinstance(position, StartPosition):
         if position.policy in ("EARLIEST", "RESUME"):
             return log

@@ -12,8 +12,11 @@ that blob.  Two ways produce it:
   ``monotonically_increasing_id``; a tiny per-block table (first id,
   count, lines before the block) is checkpointed to the shared folder,
   and joined back (broadcast only when its row count is below a checked
-  bound; otherwise a shuffle join on the block key, whose groups are
-  bounded by the block size).  The text itself never moves.
+  bound; beyond it, by a shuffle join on the block key, which moves the
+  text once and whose groups are bounded by the block size).  Both scans
+  read the same splits whatever executors are live: the split layout is
+  fixed in a session of its own (``fixed_layout``), and a line whose block
+  is unknown or shorter than its place raises an error.
 
 Line semantics follow Spark's line reader: ``\\n``, ``\\r\\n`` and ``\\r``
 end lines, a final terminator does not open an empty last line, and an
@@ -25,6 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lineflow.operators.partitioning import scan_partitions
+from lineflow.session import scratch_root, spark_context
+
 LINE_BREAK = r"\r\n|\r|\n"
 # One row per block of maxPartitionBytes; 1M rows of (path, 3 longs) stay
 # around 100 MB, the most a broadcast should carry to every executor.
@@ -53,7 +59,7 @@ def recordize(df: DataFrame, content: str | Column, name: str | Column,
     """One row per line of each blob row: ``keep..., metadata, content, linenumber``."""
     return df.select(*keep, _c(name).alias("metadata"),
                      F.posexplode(split_lines(content)).alias("__pos", "content")).select(
-        *keep, "metadata", "content", (F.col("__pos") + 1).cast("int").alias("linenumber"))
+        *keep, "metadata", "content", (F.col("__pos") + 1).cast("bigint").alias("linenumber"))
 
 
 def combine_metadata(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -82,31 +88,55 @@ def tag_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT) -> DataFrame:
+def fixed_layout(spark: SparkSession, min_splits: int = 1) -> SparkSession:
+    """A session like ``spark`` whose file scans are cut the same way however many cores are live.
+
+    Spark sizes and packs splits by the live cores unless the number is set.
+    It is set here, to what it is now and at least ``min_splits`` (PAR-2).
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    live = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.conf.get(
+        "spark.sql.leafNodeDefaultParallelism", None)
+    sc = spark_context(spark)
+    if live is None:
+        live = sc.defaultParallelism if sc is not None else 1
+    child.conf.set("spark.sql.files.minPartitionNum", str(max(int(live), min_splits)))
+    return child
+
+
+def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT, plan_only: bool = False) -> DataFrame:
     """Add 1-based ``linenumber`` to ``content, metadata, __block`` rows read straight from a scan.
 
-    ``tagged`` must be a scan (or a micro-batch of one) whose every file is
-    whole in it: the ids of both passes come from re-reading the same splits.
+    ``tagged`` must be a scan of a ``fixed_layout`` session (or a micro-batch
+    of one) whose every file is whole in it: the ids of both passes come from
+    re-reading the same splits.  A line that has no place in the block table
+    is an error, never dropped.  ``plan_only`` leaves the table lazy, for a
+    plan that is only shown: no job runs.
     """
     spark = tagged.sparkSession
     lines = tagged.withColumn("__id", F.monotonically_increasing_id())
     blocks = lines.groupBy("metadata", "__block").agg(
         F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("metadata").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("metadata", "__block", "__first",
+    blocks = blocks.select("metadata", "__block", "__first", "__n",
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    # Cut lineage: the block table is small and is checkpointed to the shared folder.  The text
-    # is scanned once for it (the checkpoint write recomputes only the small stage after the
-    # aggregate's shuffle) and once more for the join: two scans, the least this method needs.
-    from lineflow.session import scratch_root
-
-    scratch_root(spark)
-    blocks = blocks.checkpoint(eager=True)
-    n_blocks = blocks.count()
-    side = F.broadcast(blocks) if n_blocks <= broadcast_limit else blocks
-    return lines.join(side, ["metadata", "__block"]).select(
+    if not plan_only:
+        # Cut lineage: the block table is small and is checkpointed to the shared folder.  The text
+        # is scanned once for it (the checkpoint write recomputes only the small stage after the
+        # aggregate's shuffle) and once more for the join: two scans, the least this method needs.
+        scratch_root(spark)
+        blocks = blocks.checkpoint(eager=True)
+        if blocks.count() <= broadcast_limit:
+            blocks = F.broadcast(blocks)
+    place = F.col("__id") - F.col("__first")
+    known = F.coalesce((place >= 0) & (place < F.col("__n")), F.lit(False))
+    lost = F.raise_error(F.concat(F.lit("the split layout changed between the two scans of "), "metadata"))
+    return lines.join(blocks, ["metadata", "__block"], "left").select(
         "content", "metadata",
-        (F.col("__id") - F.col("__first") + F.col("__before") + 1).cast("int").alias("linenumber"))
+        F.when(known, place + F.col("__before") + 1).otherwise(lost.cast("bigint")).alias("linenumber"))
 
 
 def read_numbered_lines(
@@ -117,14 +147,19 @@ def read_numbered_lines(
     after_marker: str | None = None,
     broadcast_limit: int = BLOCK_BROADCAST_LIMIT,
     options: dict | None = None,
+    min_splits: int = 1,
+    plan_only: bool = False,
+    spread_to: int = 1,
 ) -> DataFrame:
     """Line records of every text file below ``path`` (batch), without moving the text.
 
     ``after_marker`` keeps files whose path sorts after the marker (POS-7);
     the predicate is on ``_metadata.file_path`` so whole files are skipped
-    at listing time.
+    at listing time.  ``min_splits`` is a lower bound on the splits (PAR-2),
+    as far as files can be split; numbered lines are dealt to ``spread_to``
+    partitions when the scan has fewer (PAR-1).
     """
-    r = spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
+    r = fixed_layout(spark, min_splits).read.format("text").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     for k, v in (options or {}).items():
@@ -132,4 +167,8 @@ def read_numbered_lines(
     raw = r.load(path)
     if after_marker is not None:
         raw = raw.where(F.col("_metadata.file_path") > F.lit(after_marker))
-    return number_lines(tag_lines(raw), broadcast_limit)
+    tagged = tag_lines(raw)
+    lines = number_lines(tagged, broadcast_limit, plan_only)
+    if spread_to > max(min_splits, scan_partitions(tagged) or spread_to):
+        lines = lines.repartition(spread_to)
+    return lines

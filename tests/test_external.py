@@ -109,3 +109,48 @@ def test_many_batches_per_task(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     expect = sorted((i, f"w{i}_{j}") for i in range(2500) for j in range(i % 4))
     assert sorted((r.id, r.record) for r in out) == expect
+
+
+def test_slow_steady_command_finishes(spark):
+    code = "import sys, time\nfor l in sys.stdin:\n    time.sleep(0.4)\n    print(l.strip())\n    print('---', flush=True)\n"
+    step = command_step(py(code), timeout=2)  # the batch takes longer than that
+    assert len(run_records(lines(spark, [f"w{i}" for i in range(10)]), step, "str").collect()) == 10
+
+
+def test_command_that_never_exits(spark):
+    code = "import sys, time\nfor l in sys.stdin: print('---', flush=True)\nimport os; os.close(1)\ntime.sleep(60)"
+    with pytest.raises(PythonException, match="did not exit"):
+        run_records(lines(spark, ["a"]), command_step(py(code), timeout=1), "str").collect()
+
+
+def test_output_that_is_not_text(spark):
+    code = "import sys\nfor l in sys.stdin:\n    sys.stdout.buffer.write(b'a\\xff\\n---\\n')\n"
+    with pytest.raises(PythonException, match="not UTF-8"):
+        run_records(lines(spark, ["a"]), command_step(py(code)), "str").collect()
+
+
+def test_pending_input_is_bounded():
+    import threading
+
+    from lineflow.operators.external import PIPE_BYTES, FrameProtocolError, _Pending
+
+    p = _Pending(limit=100, patience=1)
+    p.put("a", 90)
+    p.put("b", 90)  # over the limit, but the child has not taken more than pipes hold: no wait
+    p.wrote(PIPE_BYTES + 1)
+    with pytest.raises(FrameProtocolError, match="answers too late"):
+        p.put("c", 90)
+    t = threading.Timer(0.3, lambda: (p.answered(), p.get(), p.get()))
+    t.start()
+    p.put("c", 90)  # waits for the reader, then goes in
+    t.join()
+    assert p.get() == "c"
+
+
+def test_launch_option_for_the_timeout():
+    from lineflow.options import FlowOptions, OptionError
+
+    args = ["f", "--input=t", "--output=o", "--command_timeout=2.5"]
+    assert FlowOptions.from_args(args).command_timeout == 2.5
+    with pytest.raises(OptionError):
+        FlowOptions.from_args(["f", "--input=t", "--output=o", "--command_timeout=0"]).validate()

@@ -48,7 +48,7 @@ def test_kafka_precedence():
 
 def test_file_input():
     o = args("identity --input=file:///foo/bar --output=bar")
-    assert o.input_kind == "file" and o.blob_path == "/foo/bar"
+    assert o.input_kind == "file" and o.blob_path == "file:/foo/bar"
     assert o.start_position().policy == "RESUME"
 
 

@@ -52,7 +52,7 @@ def test_files_per_trigger(spark, tmp_path):
     run = new_run_dir(spark, "t-cap")
     o = FlowOptions(flow="upcaser", input=f"file://{src}", output="x", from_beginning=True)
     q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out",
-                   max_per_trigger=1)
+                   max_per_trigger=1, trigger={"availableNow": True})
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
     assert spark.read.parquet(f"{run}/out").count() == 4
@@ -83,6 +83,69 @@ def test_bytes_per_trigger(spark, tmp_path):
     run = new_run_dir(spark, "t-bytes")
     o = FlowOptions(flow="upcaser", input=f"file://{src}", output="x", from_beginning=True)
     q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out",
-                   max_bytes_per_trigger=1500)
+                   max_bytes_per_trigger=1500, trigger={"availableNow": True})
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+
+
+def test_wide_inputs_stay_wide(spark, tmp_path):
+    for i in range(145):
+        (tmp_path / f"{i}.txt").write_text("x\n")
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(256 << 20))  # one file a split
+    try:
+        raw = spark.read.text(str(tmp_path))
+        assert spread(raw, 8, 1).rdd.getNumPartitions() == 145
+        assert spread(raw, 200, 1).rdd.getNumPartitions() == 200
+        o = FlowOptions(flow="upcaser", input=f"file://{tmp_path}", output="x", from_beginning=True, parallelism=8)
+        out = build_flow(spark, o, upcase())
+        assert "RoundRobin" not in explain_text(out) and out.rdd.getNumPartitions() == 145
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+
+
+def jobs_of(spark, fn):
+    """The ids of the jobs that ``fn`` runs, and its result."""
+    import uuid
+
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "test")
+    try:
+        out = fn()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return spark.sparkContext.statusTracker().getJobIdsForGroup(group), out
+
+
+def test_counting_partitions_runs_no_job(spark):
+    from lineflow.operators.partitioning import scan_partitions
+
+    ev = spark.read.parquet(EVENTS)
+    grouped = ev.groupBy("event_type").count()
+    jobs, n = jobs_of(spark, lambda: (scan_partitions(grouped), scan_partitions(ev)))
+    assert n[0] is None and n[1] >= 1 and not jobs
+    jobs, _ = jobs_of(spark, lambda: spread_to_cluster(grouped))
+    assert not jobs
+
+
+def test_dry_runs_start_no_job(spark, text_dir):
+    o = FlowOptions(flow="upcaser", input=f"file://{text_dir}", output="x", from_beginning=True, dry_run=True)
+    jobs, df = jobs_of(spark, lambda: build_flow(spark, o, upcase()))
+    assert not jobs and "file_block_start" in explain_text(df)
+    jobs, text = jobs_of(spark, lambda: start_flow(spark, o, upcase(), sink="kafka"))
+    assert not jobs and "Physical Plan" in text
+
+
+def test_source_parallelism_of_files(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.txt").write_text("some line of text\n" * 50_000)
+    o = FlowOptions(flow="upcaser", input=f"file://{d}", output="x", from_beginning=True, input_parallelism=40)
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        lines = read_lines(spark, o, combine=False)
+        assert lines.rdd.getNumPartitions() >= 40
+        assert lines.agg(F.max("linenumber"), F.count("*")).first() == (50_000, 50_000)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)

@@ -84,3 +84,44 @@ def test_retried_tasks_give_exact_results(tmp_path):
     rows = json.loads(proc.stdout.strip().splitlines()[-1])
     expect = sorted([["a.txt", i, f"LINE {i}"] for i in range(1, 6001)] + [["b.txt", 1, "X"], ["b.txt", 2, "Y"]])
     assert rows == expect
+
+
+def test_numbers_do_not_depend_on_live_cores(spark, tmp_path):
+    """The cores of the cluster change between the building of the plan and its run, both ways."""
+    d = tmp_path / "live"
+    d.mkdir()
+    for n, count in (("a", 60_000), ("b", 40_000), ("c", 5_000)):
+        (d / f"{n}.txt").write_text("".join(f"{i}\n" for i in range(1, count + 1)))
+    key = "spark.sql.leafNodeDefaultParallelism"
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        for before, after in ((4, 16), (16, 4), (40, 3)):
+            spark.conf.set(key, str(before))
+            df = read_numbered_lines(spark, str(d))
+            spark.conf.set(key, str(after))
+            assert df.where(F.col("content") == F.col("linenumber").cast("string")).count() == 105_000 == df.count()
+            assert dict(df.dtypes)["linenumber"] == "bigint"
+    finally:
+        spark.conf.unset(key)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def test_a_changed_layout_is_an_error(spark, tmp_path):
+    import pytest
+
+    from lineflow.sources.records import number_lines, tag_lines
+
+    d = tmp_path / "changed"
+    d.mkdir()
+    (d / "a.txt").write_text("".join(f"{i}\n" for i in range(1, 60_001)))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "200000")
+        df = number_lines(tag_lines(spark.read.text(str(d))))  # not a fixed layout
+        spark.conf.set(key, "30000")
+        with pytest.raises(Exception, match="split layout changed"):
+            df.collect()
+    finally:
+        spark.conf.set(key, old)

@@ -84,10 +84,10 @@ def test_python_step_suppresses_or_raises(spark):
         yield str(8 // int(s))
         yield "again"
 
-    out = recs(run_records(df, python_step(inv), "str", keep=["id"]))
+    out = recs(run_records(df, python_step(inv, "inv", suppress_errors=True), "str", keep=["id"]))
     assert out == [(0, "2"), (0, "again"), (3, "4"), (3, "again")]
     with pytest.raises(PythonException, match="ZeroDivisionError|ValueError"):
-        run_records(df, python_step(inv, suppress_errors=False), "str").collect()
+        run_records(df, python_step(inv), "str").collect()
 
 
 def test_table_step_between_expression_steps(spark):
@@ -215,3 +215,55 @@ def test_interpolate_nested_and_missing(spark):
     assert recs(run_records(df, it, "str", keep=["id"])) == expect
     assert recs(run_records(df, from_json() | it, "str", keep=["id"])) == expect
     assert recs(run_records(df, from_json("user STRUCT<name: STRING>, k BIGINT") | it, "str", keep=["id"])) == expect
+
+
+def test_suppressed_errors_are_counted(spark):
+    from lineflow.operators.batch import error_counts
+
+    df = spark.createDataFrame([(i, str(i)) for i in range(20)], "id int, str string").repartition(3)
+    step = python_step(lambda s: 1 // (int(s) % 5), "count_errors", suppress_errors=True)
+    assert run_records(df, step, "str").count() == 16
+    assert error_counts(spark)["count_errors"] == 4
+
+
+def test_python_steps_see_parsed_records(spark):
+    import json
+
+    df = spark.createDataFrame([(1, '{"foo": "bar", "n": [1, {"x": null}]}'), (2, "[1, 2]"), (3, "junk")], "id int, str string")
+    variant = from_json() | python_step(lambda r: r["foo"] if isinstance(r, dict) else len(r), "foo")
+    assert recs(run_records(df, variant, "str", keep=["id"])) == [(1, "bar"), (2, "2")]
+    typed = from_json("foo STRING, n ARRAY<STRING>") | python_step(lambda r: {"was": r["foo"], "é": None}, "again") | to_json()
+    out = [json.loads(r.record) for r in run_records(df.where("id = 1"), typed, "str").collect()]
+    assert out == [{"was": "bar", "é": None}]
+    many = from_json() | python_step(lambda r: [{"a": 1}, None, 7] if isinstance(r, dict) else None, "many")
+    assert sorted(r.record for r in run_records(df, many, "str").collect()) == ["7", '{"a":1}']
+
+
+def test_parsed_records_reach_commands_as_json(spark):
+    from lineflow import command_step
+
+    df = spark.createDataFrame([('{"foo": 1}',)], "str string")
+    flow = from_json() | command_step(["awk", '{ print $0; print "---"; fflush() }'])
+    assert [r.record for r in run_records(df, flow, "str").collect()] == ['{"foo":1}']
+
+
+def test_from_json_with_any_field_name(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    schema = StructType([StructField("user-id", LongType()), StructField("a b:c", StringType())])
+    df = spark.createDataFrame([('{"user-id": 5, "a b:c": "x"}',), ("junk",)], "str string")
+    assert [tuple(r.record) for r in run_records(df, from_json(schema), "str").collect()] == [(5, "x")]
+
+
+def test_large_factors():
+    from lineflow.functions.udtf import factorize
+
+    big = 2_147_483_659
+    assert list(factorize(big)) == [big]
+    for n in (12, 19, 1, 0, -4, None, 2**62, 3037000493**2, 2147483647 * 4294967291, 9223372036854775783, 999983 * 1000003, 997**6):
+        found = list(factorize(n))
+        product = 1
+        for p in found:
+            product *= p
+        assert found == sorted(found) and product == (n if n and n > 1 else 1)
+    assert list(factorize(3037000493**2)) == [3037000493] * 2

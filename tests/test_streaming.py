@@ -9,6 +9,9 @@ from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_mes
 from lineflow.streaming import FlowAlreadyRunning, active_query, start_flow
 
 
+NOW = {"availableNow": True}
+
+
 def opts(path, **kw):
     return FlowOptions(flow="upcaser", input=f"file://{path}", output="out", **kw)
 
@@ -19,7 +22,7 @@ def write(d, name, text):
 
 
 def run_once(spark, o, ckpt, out, **kw):
-    q = start_flow(spark, o, upcase(), checkpoint=ckpt, sink="parquet", path=out, **kw)
+    q = start_flow(spark, o, upcase(), checkpoint=ckpt, sink="parquet", path=out, **{"trigger": NOW} | kw)
     q.awaitTermination()
     assert q.exception() is None
     return sorted(r.record for r in spark.read.parquet(out).collect())
@@ -143,7 +146,7 @@ def test_split_file_stream_numbers_lines(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         q = start_flow(spark, opts(src, from_beginning=True), upcase(), checkpoint=f"{run}/ckpt",
-                       sink="parquet", path=f"{run}/out", split_files=True)
+                       sink="parquet", path=f"{run}/out", trigger=NOW)
         q.awaitTermination()
         assert q.exception() is None
         out = spark.read.parquet(f"{run}/out")
@@ -160,24 +163,24 @@ def test_restart_by_name_resumes(spark, tmp_path):
     write(src, "a.txt", "one\n")
     run = new_run_dir(spark, "t-by-name")
     o = opts(src, name=f"by_name_{run.rsplit('-', 1)[-1]}", from_beginning=True)
-    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out")
+    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
     write(src, "b.txt", "two\n")
-    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out")
+    q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
     got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
     assert got == ["ONE", "TWO"]  # the second start read only the new file
 
 
 def test_dry_run_writes_nothing(spark, tmp_path):
-    from lineflow.sources.files import stored_marker
+    from lineflow.sources.files import stored_cut
 
     src = tmp_path / "in"
     write(src, "a.txt", "x\n")
     run = new_run_dir(spark, "t-dry")
     o = opts(src, from_end=True, dry_run=True)
     assert "Physical Plan" in start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink="memory")
-    assert stored_marker(spark, f"{run}/ckpt") is None
+    assert stored_cut(spark, f"{run}/ckpt") is None
 
 
 def test_route_step_sets_topic(spark):
@@ -208,10 +211,10 @@ def test_replay_after_failure_is_not_doubled(spark, tmp_path):
             raise RuntimeError("lost after the write, before the commit")
 
     o = opts(src, from_beginning=True)
-    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1, trigger=NOW)
     with pytest.raises(StreamingQueryException):
         q.awaitTermination()
-    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/ckpt", sink=flaky, max_per_trigger=1, trigger=NOW)
     q.awaitTermination()
     assert q.exception() is None
     got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
@@ -226,7 +229,7 @@ def test_checkpoint_of_another_input_is_refused(spark, tmp_path):
     write(b, "y.txt", "2\n")
     run = new_run_dir(spark, "t-other-input")
     q = start_flow(spark, opts(a, from_beginning=True), upcase(), checkpoint=f"{run}/ckpt", sink="parquet",
-                   path=f"{run}/out")
+                   path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
     with pytest.raises(OptionError, match="belongs to input"):
         start_flow(spark, opts(b), upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out")
@@ -242,7 +245,7 @@ def test_routed_stream_to_files(spark, tmp_path):
     run = new_run_dir(spark, "t-routed")
     flow = upcase() | route(lambda x: F.when(x.contains("BAD"), F.lit("errors")))
     q = start_flow(spark, opts(src, from_beginning=True), flow, checkpoint=f"{run}/ckpt", sink="parquet",
-                   path=f"{run}/out")
+                   path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
     got = kafka_frame(spark.read.parquet(f"{run}/out"), "clean").collect()
     assert sorted((r.topic, r.value.split("\t")[1]) for r in got) == [("clean", "OK"), ("errors", "BAD ONE")]
@@ -263,3 +266,115 @@ def test_stop_flow(spark, tmp_path):
     finally:
         if q.isActive:
             q.stop()
+
+
+def wait_for(spark, out, n, seconds=60):
+    import time
+
+    for _ in range(seconds * 4):
+        try:
+            rows = spark.read.schema("record string").parquet(out).collect()
+        except Exception:  # noqa: BLE001 - nothing written yet, or being written
+            rows = []
+        if len(rows) >= n:
+            return sorted(r.record.split("\t")[1] for r in rows)
+        time.sleep(0.25)
+    raise AssertionError(f"{len(rows)} of {n} rows")
+
+
+def test_a_flow_runs_on_by_default(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src, "a.txt", "old\n")
+    run = new_run_dir(spark, "t-runs-on")
+    q = start_flow(spark, opts(src), upcase(), checkpoint=f"{run}/ckpt", sink="parquet", path=f"{run}/out")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        write(src, "0.txt", "new\n")  # sorts before what was there
+        assert wait_for(spark, f"{run}/out", 1) == ["NEW"] and q.isActive
+    finally:
+        q.stop()
+
+
+def test_files_of_the_same_moment_and_older_names_are_told_apart(spark, tmp_path):
+    import os
+
+    src = tmp_path / "in"
+    for n in ("f.txt", "e.txt"):
+        write(src, n, n + "\n")
+        os.utime(src / n, (1_700_000_000, 1_700_000_000))
+    run = new_run_dir(spark, "t-moment")
+    assert run_once(spark, opts(src), f"{run}/ckpt", f"{run}/out") == []
+    write(src, "a b%.txt", "same moment\n")
+    os.utime(src / "a b%.txt", (1_700_000_000, 1_700_000_000))
+    write(src, "b.txt", "later\n")
+    got = run_once(spark, opts(src), f"{run}/ckpt", f"{run}/out")
+    assert sorted(r.split("\t")[1] for r in got) == ["LATER", "SAME MOMENT"]
+
+
+def test_markers_with_special_characters(spark, tmp_path):
+    src = tmp_path / "in#1"
+    for n in ("a b.txt", "a b%.txt", "a#c.txt", "ä.txt"):
+        write(src, n, n + "\n")
+    names = sorted(p.name for p in src.iterdir())
+    paths = sorted(r.p for r in spark.read.text(str(src)).selectExpr("_metadata.file_path p").collect())
+    from lineflow.sources.files import normalize_marker
+
+    assert sorted(normalize_marker(n, str(src)) for n in names) == paths
+    run = new_run_dir(spark, "t-special")
+    got = run_once(spark, opts(src, offset="a b.txt"), f"{run}/ckpt", f"{run}/out")
+    later = [p for p in paths if p > normalize_marker("a b.txt", str(src))]
+    assert len(got) == len(later) < len(paths)
+
+
+def test_a_sink_folder_belongs_to_one_query(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    src = tmp_path / "in"
+    for i in range(4):
+        write(src, f"f{i}.txt", f"line {i}\n")
+    run = new_run_dir(spark, "t-owner")
+    o = opts(src, from_beginning=True)
+    assert len(run_once(spark, o, f"{run}/c1", f"{run}/out", max_per_trigger=1)) == 4
+    with pytest.raises(StreamingQueryException, match="holds the batches of query"):
+        run_once(spark, o, f"{run}/c2", f"{run}/out", max_per_trigger=3)
+    anew = replay_safe(f"{run}/out", replace=True)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/c3", sink=anew, max_per_trigger=3, trigger=NOW)
+    q.awaitTermination()
+    assert q.exception() is None and spark.read.parquet(f"{run}/out").count() == 4
+
+
+def test_whole_files(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src, "a.txt", "one\ntwo\n")
+    run = new_run_dir(spark, "t-whole")
+    got = run_once(spark, opts(src, from_beginning=True), f"{run}/ckpt", f"{run}/out", whole_files=True)
+    assert [r.split("\t")[1:] for r in got] == [["ONE", "1"], ["TWO", "2"]]
+
+
+def test_names_never_share_a_checkpoint(spark):
+    from lineflow.session import query_checkpoint
+
+    assert len({query_checkpoint(spark, n) for n in ("a/b", "a_b", "a b")}) == 3
+
+
+def test_s3_options_reach_the_listing(spark, tmp_path, monkeypatch):
+    from lineflow.sources import files
+
+    write(tmp_path / "in", "a.txt", "x\n")
+    seen = []
+    real = files.list_blobs
+    monkeypatch.setattr(files, "list_blobs", lambda s, p, r, g, o: seen.append(o) or real(s, str(tmp_path / "in"), r, g, o))
+    o = FlowOptions(flow="f", input="s3://bucket/in", output="x", aws_key="k", aws_secret="s")
+    files.resolve_cut(spark, o.start_position(), o.blob_path, None, options=files.s3_options(o))
+    assert seen[0]["fs.s3a.access.key"] == "k" and seen[0]["fs.s3a.secret.key"] == "s"
+
+
+def test_only_a_missing_folder_means_no_cut(spark, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    from lineflow.sources.files import list_blobs, stored_cut
+
+    assert list_blobs(spark, str(tmp_path / "none")) is None and stored_cut(spark, str(tmp_path / "none")) is None
+    with pytest.raises(AnalysisException):
+        list_blobs(spark, str(tmp_path), options={"modifiedAfter": "no time"})
