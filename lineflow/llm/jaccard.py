@@ -53,7 +53,7 @@ from lineflow.session import scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
-SEGMENT_SHINGLES = 2_000_000  # of texts taken together by a task
+SEGMENT_SHINGLES = 1_000_000  # of texts taken together by a task
 RANGE_BYTES = 12 << 20  # of text for each range of hashes: about 2 million shingles
 LEAST_RANGES = 64
 SKETCH_BITS = 24

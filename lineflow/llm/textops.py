@@ -20,7 +20,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from lineflow.session import new_run_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
@@ -48,15 +48,16 @@ def with_field(schema: StructType, name: str, kind: DataType) -> StructType:
     return StructType([f for f in schema.fields if f.name != name] + [StructField(name, kind)])
 
 
-def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``SLICE_BYTES`` of ``column``."""
+def text_slices(batch: pa.RecordBatch, column: str, size: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` (``SLICE_BYTES``) bytes of ``column``; what a batch took is given back after it."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
     if len(sizes) == 0:
         return
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes) // (size or SLICE_BYTES)
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(sizes)], strict=True):
         yield batch.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()
 
 
 def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
