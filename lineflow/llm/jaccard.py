@@ -13,16 +13,16 @@ Texts with equal shingle sets are one *set*; links are sought between sets.
    Two linked sets share one of the first ``n - ceil(t n) + 1`` shingles of
    each; only sets that share such a token, and whose sizes allow a link, go on.
 3. Similar sets form groups: every set is compared with the most central set
-   of each of its tokens (the one with fewest unshared tokens), and sets that
-   are linked to it carry its label.  A group is at most about ``GROUP`` sets
-   of one label, so a large family of near copies is linked in a star and
-   cut into groups, never compared pair by pair.
+   of each of its tokens (the one with fewest unshared tokens), sets that are
+   linked to it carry its label, and sets stay with the centre that they
+   share most tokens with.  A group is about ``GROUP`` sets of one centre.
 4. The token-group matrix holds, for each group, the union of its members'
-   tokens.  Tokens whose groups all have one label have nothing to add.
-   For the rest, a set meets the groups of other labels that share a token;
-   it opens only groups whose union of shingles covers enough of it for the
-   bound, and is then compared exactly with the members.  One link to a
-   group is enough, since its members are connected already.
+   tokens.  Groups of one label have nothing to add to each other.  For the
+   rest, groups meet where they share a token; a set opens only groups whose
+   union of shingles covers enough of it for the bound, and is then compared
+   exactly with the members.  One link for each label is enough, since sets of
+   a label are connected already; so a large family of near copies is linked
+   in a star and never makes all its pairs.
 5. Large-star/small-star contraction of the links gives the components.
 
 Results are exact: labels only save comparisons inside what is connected
@@ -308,16 +308,19 @@ def _signed_sets(texts: DataFrame, shared, width: int, threshold: int) -> DataFr
 
 
 def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links ``u, v``: each set ``sig`` of ``pairs`` to the first member of its group ``g`` that it is linked with."""
+    """Links ``u, v``: each set ``sig`` of ``pairs`` to a member of its group ``g``, one for each other label that it is linked with.
+
+    ``pairs`` and ``members`` have ``g, sig, label``.
+    """
     chunks = pairs.groupBy("g").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).alias("chunks"))
-    asked = pairs.join(chunks, "g").select("g", F.pmod(F.xxhash64("sig"), F.col("chunks")).alias("chunk"), "sig", F.lit(1).alias("role"))
+    asked = pairs.join(chunks, "g").select("g", F.pmod(F.xxhash64("sig"), F.col("chunks")).alias("chunk"), "sig", "label", F.lit(1).alias("role"))
     held = members.join(chunks, "g").select(
-        "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "sig", F.lit(0).alias("role"))
-    rows = asked.unionAll(held).join(sets, "sig").select("g", "chunk", "role", "sig", "tokens")
+        "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "sig", "label", F.lit(0).alias("role"))
+    rows = asked.unionAll(held).join(sets, "sig").select("g", "chunk", "role", "sig", "label", "tokens")
 
     def link(rows: pa.Table) -> pa.Table:
         role = rows.column("role").to_numpy()
-        sigs = rows.column("sig").to_pylist()
+        sigs, labels = rows.column("sig").to_pylist(), rows.column("label").to_pylist()
         lists = rows.column("tokens").combine_chunks()
         values = lists.flatten().to_numpy().view(np.uint64)
         length = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
@@ -337,9 +340,8 @@ def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, threshold: int)
             at = np.minimum(np.searchsorted(own, member), n - 1)
             common = np.bincount(owner[own[at] == member], minlength=len(inside))
             near = np.flatnonzero(100 * common >= threshold * (n + size - common))
-            near = [k for k in near.tolist() if sigs[inside[k]] != sigs[i]]
-            if near:
-                out.append((sigs[i], sigs[inside[near[0]]]))
+            found = {labels[inside[k]]: sigs[inside[k]] for k in near.tolist()}
+            out += [(sigs[i], v) for label, v in found.items() if label != labels[i]]
         return pa.table({"u": pa.array([a for a, _ in out], pa.binary()), "v": pa.array([b for _, b in out], pa.binary())})
 
     return rows.groupBy("g", "chunk").applyInArrow(link, "u binary, v binary")
@@ -406,22 +408,28 @@ def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     alone = candidates.groupBy("sig").agg(F.count("*").alias("s")).join(keys, "sig").select("sig", (2 * F.col("p") - F.col("s")).alias("rest"))
     ranked = candidates.join(alone, "sig")
     pivots = ranked.groupBy("token").agg(F.min(F.struct("rest", "sig")).getField("sig").alias("g"))
-    star = candidates.join(pivots, "token").where("sig <> g").select("sig", "g").distinct()
-    stars = _open(star, star.select("g").distinct().select("g", F.col("g").alias("sig")), whole, threshold).checkpoint()
+    star = candidates.join(pivots, "token").where("sig <> g").groupBy("sig", "g").agg(F.count("*").alias("c")).checkpoint()
+    centres = star.select("g").distinct().select("g", F.col("g").alias("sig"), F.col("g").alias("label"))
+    stars = _open(star.select("g", "sig", F.col("sig").alias("label")), centres, whole, threshold).checkpoint()
     one = stars.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     sig = keys.select("sig").join(one, F.col("sig") == F.col("u"), "left").select("sig", F.coalesce("m", "sig").alias("m"))
     label = sig.join(sig.select(F.col("sig").alias("m"), F.col("m").alias("l")), "m").select("sig", F.col("l").alias("label")).checkpoint()
-    sizes = label.groupBy("label").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    grouped = label.join(sizes, "label").select("sig", "label", F.concat(
-        "label", F.pmod(F.xxhash64("sig"), F.col("groups")).cast("string").cast("binary")).alias("g"))
-
-    # the token-group matrix, where labels meet
+    # sets stay with the centre that they share most tokens with, linked to it or not
+    nearest = star.groupBy("sig").agg(F.max(F.struct("c", "g")).getField("g").alias("g"))
+    home = (label.join(nearest, "sig", "left").join(label.select(F.col("sig").alias("g"), F.col("label").alias("home")), "g", "left")
+            .select("sig", "label", F.coalesce("home", "label").alias("home")))
+    sizes = home.groupBy("home").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    grouped = home.join(sizes, "home").select("sig", "label", F.concat(
+        "home", F.pmod(F.xxhash64("sig"), F.col("groups")).cast("string").cast("binary")).alias("g")).checkpoint()
+
+    # the token-group matrix; groups meet where they share a token and have different labels
     cells = candidates.join(grouped, "sig")
     meet = cells.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    cells = cells.join(meet, "token")
-    matrix = cells.select("token", F.col("g").alias("group"), F.col("label").alias("other")).distinct()
-    pairs = cells.join(matrix, "token").where("label > other").select("sig", F.col("group").alias("g")).distinct()
-    crossing = _open(pairs, grouped.select("g", "sig"), whole, threshold)
+    matrix = cells.join(meet, "token").groupBy("token", "g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    other = matrix.select("token", F.col("g").alias("group"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    met = matrix.join(other, "token").where("g >= group and not (lo = hi and lo2 = hi2 and lo = lo2)").select("g", "group").distinct()
+    pairs = grouped.join(met, "g").select(F.col("group").alias("g"), "sig", "label")
+    crossing = _open(pairs, grouped.select("g", "sig", "label"), whole, threshold)
 
     roots = contract(stars.unionAll(crossing))
     rows = signed.select("id", "key", "n", "sig").join(roots.withColumnRenamed("v", "sig"), "sig", "left")
