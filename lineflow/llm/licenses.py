@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from lineflow.session import scratch_root
 
 THRESHOLD = 0.6
+BROADCAST_ROWS = 100_000  # of notices, lines of text each
 WORD = "[^a-z0-9.+-]+"
 # borders of words in a line in lower case: signs, and points at a word's end
 TOKEN_BORDER = WORD + "|[.]+(?=[^a-z0-9.+-]|$)"
@@ -163,7 +164,9 @@ def scan(files: DataFrame, text: str = "text", path: str = "path", templates: di
     lines = files.select(*own, head.alias("_first"), _lines(text).alias("_line")).where(may_match(F.col("_line"), weights, threshold))
     line = F.btrim("_line", F.lit(BLANKS))
     lines = lines.select("_t1", "_t2", line.alias("_line"), (line == F.col("_first")).alias("_top")).distinct().checkpoint()
-    known = _scores(lines.select("_line").distinct(), weights, threshold)
+    known = _scores(lines.select("_line").distinct(), weights, threshold).checkpoint()
+    if known.count() <= BROADCAST_ROWS:  # distinct notices, mostly a few
+        known = F.broadcast(known)
     rank = F.struct((-F.col("_score")).alias("s"), F.col("_license").alias("l"))
     found = lines.join(known, "_line").groupBy("_t1", "_t2").agg(
         F.min(rank).alias("_own"), F.min(F.when(F.col("_top"), rank)).alias("_head"))
