@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineflow.llm import bpe, decontam, jaccard, langid, linededup
-from lineflow.llm.textops import shared_folder, table
-from lineflow.session import ship_package
+from lineflow.llm.textops import table
+from lineflow.session import new_run_dir, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SCORE = 0.3
@@ -53,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     items = table(spark, sf_dir, "benchmark")
-    return decontam.drop_contaminated(docs.select(*COLUMNS), items, f"{shared_folder(spark, 'postings')}/index")
+    return decontam.drop_contaminated(docs.select(*COLUMNS), items, f"{new_run_dir(spark, 'postings')}/index")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for the whole table ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark, "pipeline")
+    folder = new_run_dir(spark, "pipeline")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

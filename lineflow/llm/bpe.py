@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from lineflow.llm.textops import (
-    LETTER,
     OTHER,
     SPACE,
     byte_symbols,

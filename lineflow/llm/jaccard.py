@@ -44,12 +44,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.textops import list_of, shared_folder, spans_of, text_slices, utf8_bytes
-from lineflow.session import scratch_root
+from lineflow.llm.textops import list_of, spans_of, text_slices, utf8_bytes
+from lineflow.session import new_run_dir, scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
@@ -323,7 +324,7 @@ def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, threshold: int)
         sigs, labels = rows.column("sig").to_pylist(), rows.column("label").to_pylist()
         lists = rows.column("tokens").combine_chunks()
         values = lists.flatten().to_numpy().view(np.uint64)
-        length = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
+        length = np.asarray(pc.list_value_length(lists)).astype(np.int64)
         head = np.cumsum(length) - length
         inside = sorted(np.flatnonzero(role == 0).tolist(), key=lambda i: sigs[i])
         member = np.concatenate([values[head[i]:head[i] + length[i]] for i in inside]) if inside else np.empty(0, np.uint64)
@@ -375,7 +376,7 @@ def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     spark = docs.sparkSession
     scratch_root(spark)
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("key", text_key())
-    folder = shared_folder(spark, "jaccard")
+    folder = new_run_dir(spark, "jaccard")
     _write_segments(frame, width, f"{folder}/segments")
     segments = spark.read.parquet(f"{folder}/segments")
     signed = segments.where("range is null")

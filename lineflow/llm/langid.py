@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -156,7 +157,7 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.nda
 
 def has_letter(texts: pa.Array) -> np.ndarray:
     """Whether each text has a letter of any script; only texts without an ASCII letter are looked through."""
-    plain = pa.compute.match_substring_regex(pa.compute.fill_null(texts, ""), "[A-Za-z]")
+    plain = pc.match_substring_regex(pc.fill_null(texts, ""), "[A-Za-z]")
     out = np.array(plain.to_numpy(zero_copy_only=False), bool)
     kinds = char_classes()
     for i in np.flatnonzero(~out):

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
-from lineflow.llm.textops import as_string, shared_folder, table
-from lineflow.session import scratch_root
+from lineflow.llm.textops import as_string, table
+from lineflow.session import new_run_dir, scratch_root
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,7 +26,7 @@ LISTED_HOSTS = "(adult|ads|bets|casino|pills|spam)"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = decontam.build_index(table(spark, sf_dir, "documents"), f"{shared_folder(spark, 'postings')}/index")
+    index = decontam.build_index(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'postings')}/index")
     found = decontam.search(index, decontam.phrases_of(table(spark, sf_dir, "benchmark")))
     n_hit = F.aggregate(F.zip_with("hit_from", "hit_to", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),

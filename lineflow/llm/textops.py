@@ -14,12 +14,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from lineflow.session import new_run_dir
-
 SLICE_BYTES = 1 << 20
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -28,16 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the session's shared checkpoint folder, removed when the driver's JVM ends."""
-    folder = new_run_dir(spark, label)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    return folder
-
-
 def as_string(c) -> "F.Column":
     """``c`` as text: the empty string where it is null."""
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -50,7 +39,7 @@ def with_field(schema: StructType, name: str, kind: DataType) -> StructType:
 
 def text_slices(batch: pa.RecordBatch, column: str, size: int = 0) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``size`` (``SLICE_BYTES``) bytes of ``column``; what a batch took is given back after it."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
     if len(sizes) == 0:
         return
     part = np.cumsum(sizes) // (size or SLICE_BYTES)
@@ -62,7 +51,7 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = 0) -> Iterator[p
 
 def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n+1 offsets of its rows; null counts as empty."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column, "").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)

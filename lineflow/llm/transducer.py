@@ -38,7 +38,6 @@ from pyspark.sql.types import LongType
 from lineflow.llm.bpe import contraction_lengths, find_special
 from lineflow.llm.textops import (
     LETTER,
-    NUMBER,
     OTHER,
     SPACE,
     byte_symbols,
