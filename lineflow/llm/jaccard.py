@@ -49,13 +49,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.textops import list_of, spans_of, text_slices, utf8_bytes
+from lineflow.llm.textops import give_back, list_of, spans_of, text_slices, utf8_bytes
 from lineflow.session import new_run_dir, scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
-SEGMENT_SHINGLES = 1_000_000  # of texts taken together by a task
-RANGE_BYTES = 12 << 20  # of text for each range of hashes: about 2 million shingles
+SEGMENT_SHINGLES = 500_000  # of texts taken together by a task
+RANGE_BYTES = 4 << 20  # of text for each range of hashes: about 600,000 shingles
 LEAST_RANGES = 64
 SKETCH_BITS = 24
 SKETCH_PARTS = 256
@@ -245,16 +245,21 @@ def _write_segments(frame: DataFrame, width: int, path: str) -> None:
 
 def _shared_in_range(rows: pa.Table) -> pa.Table:
     """For each segment of a range, how many shingles each text shares with other segments."""
+    give_back()
     segments, sizes = rows.column("segment").to_numpy(), rows.column("size").to_pylist()
-    tokens = [np.cumsum(_unpack(a.as_py(), n)) for a, n in zip(rows.column("a"), sizes, strict=True)]
-    refs = [_unpack(b.as_py(), n) for b, n in zip(rows.column("b"), sizes, strict=True)]
-    token, ref = np.concatenate(tokens), np.concatenate(refs)
-    row = np.repeat(np.arange(len(sizes)), sizes)
+    token = np.concatenate([np.cumsum(_unpack(a.as_py(), n)) for a, n in zip(rows.column("a"), sizes, strict=True)])
     order = np.argsort(token, kind="stable")
-    token, ref, row = token[order], ref[order], row[order]
+    token = token[order]
     same = token[1:] == token[:-1]
-    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    found, count = np.unique((row << 32 | ref)[shared & (ref != NOBODY)], return_counts=True)
+    del token
+    shared = np.empty(len(order), bool)  # in the order of the rows again
+    shared[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    del order, same
+    row = np.repeat(np.arange(len(sizes)), sizes)[shared]
+    ref = np.concatenate([_unpack(b.as_py(), n) for b, n in zip(rows.column("b"), sizes, strict=True)])[shared]
+    own = ref != NOBODY
+    row, ref = row[own], ref[own]
+    found, count = np.unique(row << 32 | ref, return_counts=True)
     out_row, ends = found >> 32, np.searchsorted(found >> 32, np.arange(len(sizes) + 1))
     held = np.unique(out_row)
     return pa.table({

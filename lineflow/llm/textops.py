@@ -7,6 +7,7 @@ is a slice of its own), which bounds the memory of a task whatever the rows.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -37,6 +38,20 @@ def with_field(schema: StructType, name: str, kind: DataType) -> StructType:
     return StructType([f for f in schema.fields if f.name != name] + [StructField(name, kind)])
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that returns free memory to the system, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what a batch or group took: a worker serves many tasks, and keeps its memory between them otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, size: int = 0) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``size`` (``SLICE_BYTES``) bytes of ``column``; what a batch took is given back after it."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
@@ -46,7 +61,7 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = 0) -> Iterator[p
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(sizes)], strict=True):
         yield batch.slice(int(a), int(b - a))
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
