@@ -24,8 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineflow.session import scratch_root
+
 MIN_SITES = 8
 MAX_SHARE = 0.5
+BROADCAST_ROWS = 1_000_000  # of 16-byte hashes
 LOG_REGISTERS = 10
 ERROR = 5 * 1.04 / 2 ** (LOG_REGISTERS / 2)  # five standard errors
 
@@ -66,7 +69,10 @@ def _without(lines: Column, places: Column) -> Column:
 def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
                        max_share: float = MAX_SHARE) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_removed`` added."""
-    listed = boilerplate_lines(docs, text, site, min_sites)
+    scratch_root(docs.sparkSession)
+    listed = boilerplate_lines(docs, text, site, min_sites).checkpoint()
+    if listed.count() <= BROADCAST_ROWS:  # so that no task gathers a common line
+        listed = F.broadcast(listed)
     own = _hashes(F.col(text), "_t")
     found = _lines(docs, text, *own).join(listed, ["_l1", "_l2"], "left_semi")
     cut = found.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_set(F.struct("_pos", "_bytes"))).alias("_cut"))
