@@ -66,13 +66,29 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     """
     folder = f"{scratch_root(spark)}/lineflow/{label}-{uuid.uuid4().hex}"
     if spark_context(spark) is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.mkdirs(path)
+        make_folder(spark, folder)
+        path, fs = _hadoop(spark, folder)
         fs.deleteOnExit(path)
     return folder
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    """A folder's Hadoop path and file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _hadoop(spark, folder)
+    fs.mkdirs(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that this library wrote, with what is in it."""
+    path, fs = _hadoop(spark, folder)
+    fs.delete(path, True)
+
+
 def query_checkpoint(spark: SparkSession, name: str) -> str:
     """The checkpoint of the named query: the same folder every time it starts.
 

@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from lineflow.operators.framing import write_framed_text
 from lineflow.options import FlowOptions
+from lineflow.session import remove_folder
 
 
 def kafka_frame(df: DataFrame, default_topic: str, value: str = "record",
@@ -77,12 +78,6 @@ def _owner(spark: SparkSession, path: str) -> str | None:
     return row["value"] if row else None
 
 
-def _clear(spark: SparkSession, path: str) -> None:
-    """Remove the folder of a sink that is written anew."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def replay_safe(path: str, fmt: str = "parquet", replace: bool = False) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing batch N to ``path/batch_id=N``, overwriting (STR-4).
 
@@ -102,7 +97,7 @@ def replay_safe(path: str, fmt: str = "parquet", replace: bool = False) -> Calla
                 if not replace:
                     raise ForeignSink(f"{path} holds the batches of query {owner}, not of {query}; "
                                       "use another folder, or replace=True to start it anew")
-                _clear(spark, path)
+                remove_folder(spark, path)
             if owner != query:
                 spark.createDataFrame([(query,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{OWNER_FILE}")
             checked.append(query)
