@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineflow.llm.textops import give_back, list_of, spans_of, text_slices, utf8_bytes
-from lineflow.session import new_run_dir, scratch_root
+from lineflow.session import make_folder, new_run_dir, remove_folder, scratch_root
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
@@ -169,9 +169,14 @@ def _needed(n, threshold: int):
     return (threshold * n + 99) // 100
 
 
+REST_BITS = 26  # of a shingle within its range; two that agree in them count as shared, which only lets a text go on
 NOBODY = 0xFFFFFFFF  # in place of a text's number: the shingle is in several texts of its segment
 
 
+SEGMENTS = ("segment long, range int, number int, id {id}, key struct<a: long, b: long>, n long, sig binary, size int, "
+            "a binary, b binary")
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Numbers below 2^32, bytes of equal weight together, compressed."""
     return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
@@ -213,7 +218,7 @@ def _segment_rows(segment: int, bits: int, parts: list) -> Iterator[pa.RecordBat
     yield rows(1, range=[-1], size=[len(n)], a=[_pack(n)], b=[_pack(local)])
     own, refs = token[first], np.where(run > 1, NOBODY, text[first])
     cut = np.searchsorted(own >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64))
-    rest = ((own << np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
+    rest = ((own << np.uint64(bits)) >> np.uint64(64 - REST_BITS)).astype(np.int64)
     for r in range(1 << bits):
         lo, hi = int(cut[r]), int(cut[r + 1])
         if hi > lo:
@@ -238,9 +243,12 @@ def _write_segments(frame: DataFrame, width: int, path: str) -> None:
         if parts:
             yield from _segment_rows(segment, bits, parts)
 
-    kind = frame.schema["id"].dataType.simpleString()
-    frame.mapInArrow(run, "segment long, range int, number int, id " + kind + ", key struct<a: long, b: long>, n long, sig binary, "
-                     "size int, a binary, b binary").write.parquet(path)
+    kinds = SEGMENTS.format(id=frame.schema["id"].dataType.simpleString())
+    rows = frame.mapInArrow(run, kinds).withColumn(
+        "kind", F.when(F.col("range").isNull(), "text").otherwise("shingle"))
+    rows.write.partitionBy("kind").parquet(path)
+    for kind in ("text", "shingle"):  # so that an empty table has them too
+        make_folder(frame.sparkSession, f"{path}/kind={kind}")
 
 
 def _shared_in_range(rows: pa.Table) -> pa.Table:
@@ -383,10 +391,11 @@ def grouped_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("key", text_key())
     folder = new_run_dir(spark, "jaccard")
     _write_segments(frame, width, f"{folder}/segments")
-    segments = spark.read.parquet(f"{folder}/segments")
-    signed = segments.where("range is null")
+    found = spark.read.schema(SEGMENTS.format(id=frame.schema["id"].dataType.simpleString()))
+    signed, segments = found.parquet(f"{folder}/segments/kind=text"), found.parquet(f"{folder}/segments/kind=shingle")
     near = _candidates(segments, threshold)
     wanted = signed.join(near, ["segment", "number"]).groupBy("sig").agg(F.min("key").alias("key")).select("key").checkpoint()
+    remove_folder(spark, f"{folder}/segments/kind=shingle")  # the checkpoint holds what is needed of it
     texts = frame.join(_small(wanted, wanted.count()), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     texts.select("text").write.parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
