@@ -17,12 +17,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lineflow.options import FlowOptions
+from lineflow.options import FlowOptions, StartPosition
 from lineflow.plans.flow import Flow, Step
 from lineflow.plans.topology import build_flow, dry_run, per_batch_flow
 from lineflow.session import query_checkpoint, spark_context
 from lineflow.sinks import kafka_frame, kafka_writer_options, replay_safe, write_kafka
 from lineflow.sources import read_lines
+from lineflow.sources.files import resolve_cut
 
 
 class FlowAlreadyRunning(RuntimeError):
@@ -42,11 +43,20 @@ def stop_flow(spark: SparkSession, name: str, wait: float) -> bool:
     if q is None:
         return False
     q.stop()
-    if not q.awaitTermination(wait):
+    if wait > 0 and not q.awaitTermination(wait):
         raise TimeoutError(f"the flow {name!r} did not stop within {wait} seconds")
     return True
 
 
+def claim_checkpoint(spark: SparkSession, opts: FlowOptions, checkpoint: str) -> None:
+    """Record the topic of a Kafka input with its checkpoint; refuse a checkpoint of another input.
+
+    Folders record theirs with their start cut.
+    """
+    if opts.input_kind == "kafka":
+        resolve_cut(spark, StartPosition("EARLIEST"), f"kafka://{opts.kafka_topic}", checkpoint)
+
+
 def start_flow(
     spark: SparkSession,
     opts: FlowOptions,
@@ -97,6 +107,8 @@ def start_flow(
             if not opts.rm:
                 raise FlowAlreadyRunning(f"a flow named {name!r} is already running; use rm=True to replace it")
             stop_flow(spark, name, opts.wait)
+    if not opts.dry_run:
+        claim_checkpoint(spark, opts, checkpoint)
     if opts.is_blob_input and not whole_files and sink != "memory":
         return _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
                             max_bytes_per_trigger)

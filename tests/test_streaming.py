@@ -378,3 +378,15 @@ def test_only_a_missing_folder_means_no_cut(spark, tmp_path, monkeypatch):
     assert list_blobs(spark, str(tmp_path / "none")) is None and stored_cut(spark, str(tmp_path / "none")) is None
     with pytest.raises(AnalysisException):
         list_blobs(spark, str(tmp_path), options={"modifiedAfter": "no time"})
+
+
+def test_a_topic_keeps_its_checkpoint(spark):
+    from lineflow.options import OptionError
+    from lineflow.streaming.runner import claim_checkpoint
+
+    run = new_run_dir(spark, "t-topic")
+    o = FlowOptions(flow="f", input="topic_a", output="x")
+    claim_checkpoint(spark, o, f"{run}/ckpt")
+    claim_checkpoint(spark, o, f"{run}/ckpt")
+    with pytest.raises(OptionError, match="belongs to input kafka://topic_a"):
+        claim_checkpoint(spark, FlowOptions(flow="f", input="topic_b", output="x"), f"{run}/ckpt")
