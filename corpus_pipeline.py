@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineflow.llm import bpe, decontam, jaccard, langid, linededup
-from lineflow.llm.textops import table
+from lineflow.llm.textops import bounded_batches, table
 from lineflow.session import new_run_dir, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,8 +33,13 @@ MIN_SCORE = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _prepare(spark: SparkSession) -> None:
     ship_package(spark)
+    bounded_batches(spark)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _prepare(spark)
     net = langid.train(docs, order=F.xxhash64("doc_id"))
     judged = langid.predict(docs.select(*COLUMNS), net)
     return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
@@ -46,18 +51,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    _prepare(spark)
     return jaccard.keep_one(docs.select(*COLUMNS), width=5, threshold=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    _prepare(spark)
     items = table(spark, sf_dir, "benchmark")
     return decontam.drop_contaminated(docs.select(*COLUMNS), items, f"{new_run_dir(spark, 'postings')}/index")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    _prepare(spark)
     out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), BYTE_BPE), BYTE_BPE)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))

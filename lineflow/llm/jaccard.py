@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.textops import give_back, list_of, spans_of, text_slices, utf8_bytes
+from lineflow.llm.textops import give_back, list_of, packed_words, spans_of, text_slices, utf8_bytes, word_spans
 from lineflow.session import make_folder, new_run_dir, remove_folder, scratch_root
 
 SHINGLE = 3
@@ -82,15 +82,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = utf8_bytes(texts)
     low = BYTES[data]
     inside = (data != 32) & ((data < 9) | (data > 13))
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    opens = offsets[:-1][offsets[:-1] < len(data)]
-    first[opens] = inside[opens]
-    starts = np.flatnonzero(first)
-    packed = low[inside]
-    ends = np.append((np.cumsum(inside) - 1)[starts], len(packed)).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-    words = words.dictionary_encode()
+    starts, lengths = word_spans(inside, offsets)
+    words = packed_words(low[inside], lengths)
     # latin-1 keeps the bytes apart and gives the hash its strings
     names = np.array([w.decode("latin-1") for w in words.dictionary.to_pylist()], dtype=object)
     hashed = pd.util.hash_array(names, categorize=False) if len(names) else np.empty(0, np.uint64)

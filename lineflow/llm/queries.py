@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
-from lineflow.llm.textops import as_string, table
+from lineflow.llm.textops import as_string, bounded_batches, table
 from lineflow.session import new_run_dir, scratch_root
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,7 @@ LISTED_HOSTS = "(adult|ads|bets|casino|pills|spam)"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     index = decontam.build_index(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'postings')}/index")
     found = decontam.search(index, decontam.phrases_of(table(spark, sf_dir, "benchmark")))
     n_hit = F.aggregate(F.zip_with("hit_from", "hit_to", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
@@ -45,6 +46,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(as_string(F.col("doc_id")).cast("binary")) % 5 == 0
     net = langid.train(docs.where(~held_out), order=F.xxhash64("doc_id"))
@@ -73,6 +75,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = transducer.token_counts(docs, WORD_BPE)
     return out.select("doc_id", F.octet_length(as_string(F.col("text"))).cast("long").alias("n_bytes"), "n_tokens",
@@ -112,6 +115,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.decode(bpe.encode(docs, BYTE_BPE).select("doc_id", "ids"), BYTE_BPE)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -120,6 +124,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     out = jaccard.components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2000
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
@@ -28,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session hold at most ``BATCH_ROWS`` rows from here on: rows with whole texts are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def as_string(c) -> "F.Column":
     """``c`` as text: the empty string where it is null."""
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -73,6 +82,25 @@ def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def word_spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of True, which end where a text of ``offsets`` ends."""
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    opens = offsets[:-1][offsets[:-1] < len(inside)]
+    first[opens] = inside[opens]  # a text's first byte begins a word whatever ends the text before
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | first[1:]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1 - starts
+
+
+def packed_words(data: np.ndarray, lengths: np.ndarray) -> pa.DictionaryArray:
+    """Words that lie one after the other in ``data``, dictionary encoded."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return words.dictionary_encode()
+
+
 @lru_cache(maxsize=1)
 def char_classes() -> np.ndarray:
     """Of each code point: SPACE, LETTER, NUMBER or OTHER, by Unicode category."""
