@@ -6,8 +6,9 @@ but the last return the columns of ``documents``.
 
 * ``language``: a byte network learns from the rows' own labels; rows whose
   text has no letter, or whose score is below ``MIN_SCORE``, go.
-* ``line_dedup``: cross-site boilerplate lines are cut from the texts;
-  ``n_chars`` follows.
+* ``line_dedup``: cross-site boilerplate lines are cut from the texts, whatever
+  their share; ``n_chars`` follows.  Texts that are themselves on as many sites
+  stay whole for the next stage.
 * ``jaccard``: of the texts linked at 0.8 over shingles of five words, the
   one with the least id stays.
 * ``decontaminate``: rows that hold ten words in a row of a benchmark item go.
@@ -46,7 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = linededup.remove_boilerplate(docs.select(*COLUMNS))
+    cut = linededup.remove_boilerplate(docs.select(*COLUMNS), max_share=1.0, keep_copies=True)
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -10,8 +10,9 @@ aggregated before it is joined.
 
 A line is compared without the blanks, tabs and returns around it; lines that
 are empty then are never boilerplate.  A text of which boilerplate would take
-more than ``max_share`` of the bytes is a copy of a whole document rather than
-a document with boilerplate; it is left whole for document deduplication.
+more than ``max_share`` of the bytes is left whole.  With ``keep_copies`` a text
+that is itself, as a whole, on ``min_sites`` sites is left whole too: copying
+alone makes all its lines boilerplate, and document deduplication shall keep one.
 
 Rows: null texts stay null and have no lines; a null site counts as a site of
 its own.  Texts of any length and repeated rows are treated alike (every row
@@ -45,10 +46,13 @@ def _lines(docs: DataFrame, text: str, *more: Column) -> DataFrame:
             .select("*", *_hashes(key, "_l"), F.octet_length("_line").alias("_bytes")).drop("_line"))
 
 
+def _site(site: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("_site")
+
+
 def boilerplate_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """The hashes ``_l1, _l2`` of lines on at least ``min_sites`` distinct sites."""
-    at = F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("_site")
-    lines = _lines(docs, text, at).select("_l1", "_l2", "_site")
+    lines = _lines(docs, text, _site(site)).select("_l1", "_l2", "_site")
     spread = lines.groupBy("_l1", "_l2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS))).alias("_n"))
     sure = spread.where(F.col("_n") > min_sites * (1 + ERROR)).select("_l1", "_l2")
@@ -67,7 +71,7 @@ def _without(lines: Column, places: Column) -> Column:
 
 
 def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                       max_share: float = MAX_SHARE) -> DataFrame:
+                       max_share: float = MAX_SHARE, keep_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_removed`` added."""
     scratch_root(docs.sparkSession)
     listed = boilerplate_lines(docs, text, site, min_sites).checkpoint()
@@ -78,6 +82,9 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     cut = found.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_set(F.struct("_pos", "_bytes"))).alias("_cut"))
     cut = cut.select("_t1", "_t2", F.col("_cut._pos").alias("_places"),
                      F.aggregate("_cut._bytes", F.lit(0).cast("long"), lambda a, b: a + b).alias("_cut_bytes"))
+    if keep_copies:
+        spread = docs.where(F.col(text) != "").select(*own, _site(site)).distinct().groupBy("_t1", "_t2").agg(F.count("*").alias("_n"))
+        cut = cut.join(spread.where(F.col("_n") >= min_sites), ["_t1", "_t2"], "left_anti")
     # the row travels as one column, so that no name of its own can clash
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = docs.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"), *own).join(cut, ["_t1", "_t2"], "left")

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from helpers import edge_docs, edge_rows, empty_docs
 
+import corpus_pipeline
 from lineflow.llm import linededup
 
 
@@ -68,3 +69,16 @@ def test_edges(spark):
     want = plain([(r[1], r[3]) for r in rows], 2, linededup.MAX_SHARE)
     assert sorted((g.text or "", g.n_removed) for g in got) == sorted((w[0] or "", w[2]) for w in want)
     assert linededup.remove_boilerplate(empty_docs(spark)).count() == 0
+
+
+def test_pipeline_cuts_boilerplate_of_any_share(spark):
+    notice = "this notice is on every site " * 3
+    rows = [(i, f"own {i}\n{notice}", "en", f"s{i}", 0) for i in range(linededup.MIN_SITES)]
+    rows += [(50, notice, "en", "s1", 0)] + [(100 + i, "whole\ncopy", "en", f"s{i}", 0) for i in range(linededup.MIN_SITES)]
+    rows += [(200 + i, f"whole\nwith own {i}", "en", "s1", 0) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert [got[i] for i in range(linededup.MIN_SITES)] == [f"own {i}" for i in range(linededup.MIN_SITES)]
+    assert got[50] == ""
+    assert {got[100 + i] for i in range(linededup.MIN_SITES)} == {"whole\ncopy"}
+    assert [got[200], got[201]] == ["with own 0", "with own 1"]
