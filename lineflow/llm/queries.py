@@ -83,7 +83,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``near_docs``: for ids divisible by 50, the other documents within the Hamming radius; else null."""
+    """``near_docs``: for ids divisible by 50, the other documents within the Hamming radius; else null.
+
+    ``near_fingerprints`` are the fingerprints of these, which name them by the column ``fingerprint``.
+    """
     scratch_root(spark)
     rows = simhash.with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
     new = simhash.edited(F.col("text"), F.col("_next"))
@@ -103,15 +106,17 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = own.withColumn("_next", F.lead("fingerprint").over(after)).where("not _halo")
     copies = own.groupBy("fingerprint").agg(F.count("*").alias("_n"))
     asked = own.where("doc_id % 50 = 0")
+    other = (F.col("fingerprint") != F.col("query")) | (F.col("_n") > 1)
     near = (simhash.within(asked, copies).join(copies, "fingerprint").groupBy("query")
-            .agg((F.sum("_n") - 1).alias("_near")))
+            .agg((F.sum("_n") - 1).alias("_near"), F.collect_list(F.when(other, F.col("fingerprint"))).alias("_prints")))
     out = own.join(near, F.col("fingerprint") == F.col("query"), "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"),
         simhash.as_hex(F.col("_edited")).alias("edited_fingerprint"),
         simhash.likeness(F.col("fingerprint"), F.col("_edited")).alias("near_edited"),
         F.coalesce(simhash.likeness(F.col("fingerprint"), F.col("_next")), F.lit(0.0)).alias("near_next"),
-        F.when(F.col("doc_id") % 50 == 0, F.col("_near")).alias("near_docs"))
+        F.when(F.col("doc_id") % 50 == 0, F.col("_near")).alias("near_docs"),
+        F.when(F.col("doc_id") % 50 == 0, F.array_sort(F.transform("_prints", simhash.as_hex))).alias("near_fingerprints"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

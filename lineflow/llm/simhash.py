@@ -1,4 +1,4 @@
-"""Document fingerprints (operator 8): SimHash, and search by permuted block tables.
+"""Document fingerprints (operator 8): SimHash, and search by block tables.
 
 A text's terms are its shingles of ``WORDS`` words (all words of a shorter
 text make one).  Each term's 64-bit hash votes on every bit with the term's
@@ -6,12 +6,18 @@ weight, the number of its occurrences: one row per occurrence is made inside
 the scan and summed at once.  The sums keep two bits to a long, 32 counts to
 a row, and are partial before the shuffle.
 
-The search cuts a fingerprint into ``blocks`` blocks.  Two fingerprints
-within the radius agree on at least ``blocks - radius`` of them, so each
-choice of that many blocks is a table keyed by their bits, and joining every
-table on its key finds all pairs.  A pair is tested in the first table in
-which it agrees, hence found once.  Both sides are distinct fingerprints:
-copies are counted, not joined.
+The search cuts a fingerprint into ``blocks`` blocks, each with a radius of its
+own.  The block radii plus one each add up to the radius plus one, so two
+fingerprints within the radius are within the block radius in at least one
+block.  Each block is a table keyed by its bits; a query looks up its own bits
+and all within the block radius, which finds all pairs.  A pair is tested in
+the first block in which it is near, hence found once.  Both sides are distinct
+fingerprints: copies are counted, not joined.
+
+``RADIUS`` covers near copies of 0.8: of the 48 pairs of different texts of
+sf0.1 with a Jaccard similarity of shingles of at least 0.8 (from shingles in
+up to 300 texts), the farthest is at 16 bits.  It is no bound: of simulated pairs
+(random votes, 90 shingles each) 98.7 % are within it at 0.8 and all at 0.9.
 
 Rows: null texts count as empty; all texts without words share one
 fingerprint.  Texts of any length are read whole.  A bit whose votes tie is 0.
@@ -26,8 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORDS = 5
-RADIUS = 3
-BLOCKS = 6
+RADIUS = 16
+BLOCKS = 5
 ROWS_PER_BUCKET = 2000
 MAX_BUCKETS = 4096
 _LANES = 0x0000000100000001
@@ -65,28 +71,45 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64
 
 
-def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
-    """The bits that each table is keyed by."""
+def block_radii(radius: int = RADIUS, blocks: int = BLOCKS) -> list[tuple[int, int]]:
+    """The bits of each block and the radius it is searched with; blocks that need no search are left out."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     parts = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
-    return [sum(c) for c in combinations(parts, blocks - radius)]
+    each, more = divmod(radius + 1, blocks)
+    radii = [each - (i < blocks - more) for i in range(blocks)]
+    return [(m, r) for m, r in zip(parts, radii, strict=True) if r >= 0]
+
+
+def _flips(mask: int, radius: int) -> list[int]:
+    """All choices of up to ``radius`` bits of the mask."""
+    bits = [1 << b for b in range(64) if mask >> b & 1]
+    return [sum(c) for n in range(radius + 1) for c in combinations(bits, n)]
 
 
 def within(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """All pairs ``query, fingerprint, distance`` within the radius, of the distinct values of the two ``fingerprint`` columns."""
-    masks = block_masks(radius, blocks)
+    parts = block_radii(radius, blocks)
+
+    def signed(v: int) -> int:
+        return v - (1 << 64) if v >> 63 else v
+
+    def distinct(df: DataFrame, name: str) -> DataFrame:
+        return df.where("fingerprint is not null").select(F.col("fingerprint").alias(name)).distinct()
 
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        f = F.col("fingerprint")
-        keyed = F.array(*[F.struct(F.lit(t).alias("t"), f.bitwiseAND(_long(m)).alias("k")) for t, m in enumerate(masks)])
-        one = df.select("fingerprint").where("fingerprint is not null").distinct()
-        return one.select(f.alias(name), F.explode(keyed).alias("_b")).select(name, F.col("_b.t").alias("_t"), F.col("_b.k").alias("_k"))
+    flips = queries.sparkSession.createDataFrame(
+        [(t, signed(m), signed(f)) for t, (m, r) in enumerate(parts) for f in _flips(m, r)], "_t int, _m long, _f long")
+    asked = distinct(queries, "query").crossJoin(F.broadcast(flips)).select(
+        "query", "_t", F.col("query").bitwiseAND(F.col("_m")).bitwiseXOR(F.col("_f")).alias("_k"))
+    f = F.col("fingerprint")
+    keyed = F.array(*[F.struct(F.lit(t).alias("t"), f.bitwiseAND(_long(m)).alias("k")) for t, (m, _) in enumerate(parts)])
+    table = distinct(fingerprints, "fingerprint").select(f, F.explode(keyed).alias("_b")).select(
+        f, F.col("_b.t").alias("_t"), F.col("_b.k").alias("_k"))
 
-    differ = F.col("query").bitwiseXOR(F.col("fingerprint"))
+    differ = F.col("query").bitwiseXOR(f)
     first = F.lit(None).cast("int")
-    for t, m in reversed(list(enumerate(masks))):
-        first = F.when(differ.bitwiseAND(_long(m)) == 0, t).otherwise(first)
-    pairs = tables(queries, "query").join(tables(fingerprints, "fingerprint"), ["_t", "_k"])
+    for t, (m, r) in reversed(list(enumerate(parts))):
+        first = F.when(F.bit_count(differ.bitwiseAND(_long(m))) <= r, t).otherwise(first)
+    pairs = asked.join(table, ["_t", "_k"])
     return (pairs.where((F.bit_count(differ) <= radius) & (first == F.col("_t")))
             .select("query", "fingerprint", F.bit_count(differ).alias("distance")))
 

@@ -48,6 +48,35 @@ def test_search_finds_all_within_the_radius(spark):
     assert got == want
 
 
+def test_search_at_the_edge_of_the_radius(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(64) for _ in range(30)]
+    prints = [b ^ sum(1 << k for k in rng.sample(range(64), n)) for b in base for n in (0, 1, 12, 15, 16, 17)]
+    asked = spark.createDataFrame([(signed(b),) for b in base], "fingerprint long")
+    df = spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long")
+    for radius, blocks in ((16, 5), (3, 6), (0, 4)):
+        got = [(r.query, r.fingerprint) for r in simhash.within(asked, df, radius, blocks).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(signed(a), signed(p)) for a in base for p in prints if (a ^ p).bit_count() <= radius}
+
+
+def test_query_returns_near_copies(spark, tmp_path):
+    rng = random.Random(11)
+    rows = []
+    for i in range(40):  # 100 words and a copy with two words changed: Jaccard at least 0.8
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        copy = [*words[:30], f"x{i}", *words[31:70], f"y{i}", *words[71:]]
+        rows += [(i * 50, " ".join(words)), (i * 50 + 1, " ".join(copy))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op8_fingerprints(spark, str(tmp_path)).collect()}
+    found = [got[i * 50 + 1].fingerprint in got[i * 50].near_fingerprints for i in range(40)]
+    assert sum(found) >= 38  # votes of unrelated bits put about one in a hundred farther than the radius
+    for i in range(40):
+        assert got[i * 50 + 1].near_fingerprints is None
+        assert got[i * 50].fingerprint not in got[i * 50].near_fingerprints
+        assert len(got[i * 50].near_fingerprints) == got[i * 50].near_docs
+
+
 def brute(rows):
     """The contract's columns in plain Python, by doc_id."""
     rows = sorted(rows)
