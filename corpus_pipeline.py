@@ -5,7 +5,8 @@ stage's rows to the shared checkpoint folder and reads them back.  All stages
 but the last return the columns of ``documents``.
 
 * ``language``: a byte network learns from the rows' own labels; rows whose
-  text has no letter, or whose score is below ``MIN_SCORE``, go.
+  text has no letter, or whose score is below ``MIN_SCORE``, go.  Without a
+  labelled row there is nothing to learn: all rows with a letter stay.
 * ``line_dedup``: cross-site boilerplate lines are cut from the texts, whatever
   their share; ``n_chars`` follows.  Texts that are themselves on as many sites
   stay whole for the next stage.
@@ -42,6 +43,8 @@ def _prepare(spark: SparkSession) -> None:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _prepare(spark)
     net = langid.train(docs, order=F.xxhash64("doc_id"))
+    if net is None:
+        return langid.lettered(docs.select(*COLUMNS))
     judged = langid.predict(docs.select(*COLUMNS), net)
     return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
 

@@ -183,6 +183,16 @@ def predict_texts(net: ByteNet | None, tables: list[np.ndarray], texts: pa.Array
     return names, np.where(known, np.clip(mean.max(1), 0, 1), 0.0)
 
 
+def lettered(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text):
+                yield part.filter(pa.array(has_letter(part.column(text))))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def train(rows: DataFrame, text: str = "text", label: str = "lang", spec: TrainSpec = TrainSpec(),
           order: Column | None = None) -> ByteNet | None:
     """A network for the labels of ``rows``; None when no row has a label and text.

@@ -6,6 +6,7 @@ import numpy as np
 from helpers import edge_docs, empty_docs
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lineflow.llm import langid
 from lineflow.llm.queries import op3_language
 
@@ -70,3 +71,12 @@ def test_edges(spark):
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
     assert langid.train(empty_docs(spark)) is None
     assert langid.predict(empty_docs(spark), net).count() == 0
+
+
+def test_pipeline_keeps_lettered_rows_without_labels(spark):
+    docs = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    for c in corpus_pipeline.COLUMNS:
+        if c not in docs.columns:
+            docs = docs.withColumn(c, F.lit(0))
+    kept = sorted(r.text for r in corpus_pipeline.language(spark, docs, "").collect())
+    assert kept and kept == sorted(r.text for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
