@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, sharding, simhash, transducer, urlfilter
+from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, merkle, sharding, simhash, transducer, urlfilter
 from lineflow.llm.textops import as_string, bounded_batches, table
 from lineflow.session import new_run_dir, scratch_root
 
@@ -134,9 +134,25 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof is folded again from its leaf, tampered with where the id's checksum is even."""
+    docs = table(spark, sf_dir, "documents")
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.leaf_of(*before, F.col("text"))
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(tampers, merkle.leaf_of(*before, F.replace(F.col("text"), F.lit("\n"), F.lit("")))).otherwise(leaf)
+    made = merkle.build(docs, "source", "doc_id", leaf, {"doc_id": F.col("doc_id"), "now": tampered})
+    out = merkle.prove(made)
+    folded = merkle.fold(F.col("_row.now"), F.col("_proof"))
+    hexed = {n: F.lower(F.hex(f"_{n}")).alias(n) for n in ("leaf", "subroot", "root")}
+    out = out.select(F.col("_row.doc_id").alias("doc_id"), *hexed.values(), merkle.proof_digest(F.col("_proof")).alias("proof_sha256"),
+                     folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
-    op9_bpe, op10_jaccard_join)}
+    op9_bpe, op10_jaccard_join, op11_merkle_manifest)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_decontamination"] = r"""
@@ -274,3 +290,54 @@ FROM dirs LEFT JOIN own USING (r) LEFT JOIN given USING (r)
 
 
 ORACLES["op2_license_scan"] = _license_sql()
+
+# crc32 of the decimal id, bit by bit: a byte is one step, followed by eight shifts (-1)
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: [CAST(unicode(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+
+def _field_sql(c: str) -> str:
+    return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS now FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS p FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS lv, p, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, lv + 1, p // 3, sha256(string_agg(d, '' ORDER BY p)), any_value((n + 2) // 3) FROM nodes WHERE n > 1 GROUP BY tree, lv, p // 3),
+tops AS (
+  SELECT 0 AS lv, tree AS p, d, count(*) OVER () AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT lv + 1, p // 3, sha256(string_agg(d, '' ORDER BY p)), any_value((n + 2) // 3) FROM tops WHERE n > 1 GROUP BY lv, p // 3),
+steps AS (
+  SELECT a.tree, a.lv, a.p, coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+         coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS g
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.lv = b.lv AND a.p // 3 = b.p // 3 WHERE a.n > 1 GROUP BY a.tree, a.lv, a.p),
+top_steps AS (
+  SELECT a.lv, a.p, coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+         coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS g
+  FROM tops a JOIN tops b ON a.lv = b.lv AND a.p // 3 = b.p // 3 WHERE a.n > 1 GROUP BY a.lv, a.p),
+walk AS (
+  SELECT r, tree, 0 AS lv, p, '' AS proof, now AS d FROM placed
+  UNION ALL
+  SELECT r, tree, w.lv + 1, w.p // 3, proof || l || g, sha256(l || w.d || g) FROM walk w JOIN steps USING (tree, lv, p)),
+top_walk AS (
+  SELECT r, 0 AS lv, tree AS p, proof, d FROM walk QUALIFY row_number() OVER (PARTITION BY r ORDER BY lv DESC) = 1
+  UNION ALL
+  SELECT r, w.lv + 1, w.p // 3, proof || l || g, sha256(l || w.d || g) FROM top_walk w JOIN top_steps USING (lv, p)),
+done AS (SELECT r, proof, d FROM top_walk QUALIFY row_number() OVER (PARTITION BY r ORDER BY lv DESC) = 1),
+root AS (SELECT d AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, s.d AS subroot, root, sha256(proof) AS proof_sha256, done.d AS folded_root, done.d = root AS verified
+FROM placed JOIN done USING (r) JOIN nodes s ON s.tree = placed.tree AND s.n = 1, root
+"""
