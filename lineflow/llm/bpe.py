@@ -1,9 +1,9 @@
 """BPE encoding and decoding (operator 9): batched numpy merge rounds.
 
-The distinct words of a batch lie in one flat symbol array.  A round looks
-up the pair at every position by binary search over the sorted pair keys,
-finds the lowest rank of each word, and merges all its places of that pair
-from the left.  Words without a pair left leave the array; the rounds end
+The distinct words of a batch lie in one flat symbol array.  Pairs get their
+ranks by binary search over the sorted pair keys.  A round finds the lowest
+rank of each word, merges all its places of that pair from the left, and
+searches only the pairs beside a merge again.  Words without a pair left leave the array; the rounds end
 when it is empty.  Words are cut out of whole texts with array operations
 too, so Python loops over rounds and never over words.
 
@@ -50,7 +50,11 @@ class MergeTables:
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.ranks = order.astype(np.int64)
-        self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)[order]
+        self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)  # by rank
+        two = np.arange(1 << 16)
+        first = self.byte_id[two >> 8] << 32 | self.byte_id[two & 255]
+        found = np.minimum(np.searchsorted(self.keys, first), len(self.keys) - 1)
+        self.byte_ranks = np.where(self.keys[found] == first, self.ranks[found], NONE)  # of two bytes
         back = {s: b for b, s in enumerate(symbols)}
         pieces = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
         for token, i in vocab.items():
@@ -127,6 +131,14 @@ def word_starts(cps: np.ndarray, kinds: np.ndarray, marks: np.ndarray) -> np.nda
     return start
 
 
+def pair_ranks(t: MergeTables, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Ranks of the pairs that begin at the places ``at``, by binary search; NONE where a word ends or no merge exists."""
+    after = np.minimum(at + 1, len(sym) - 1)
+    key = sym[at] << 32 | sym[after]
+    found = np.minimum(np.searchsorted(t.keys, key), len(t.keys) - 1)
+    return np.where((t.keys[found] == key) & (word[at] == word[after]) & (at != after), t.ranks[found], NONE)
+
+
 def merge_words(t: MergeTables, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of each word (bytes), flat, and how many each has."""
     n = len(words)
@@ -134,12 +146,10 @@ def merge_words(t: MergeTables, words: pa.Array) -> tuple[np.ndarray, np.ndarray
     raw = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if n and offsets[-1] > offsets[0] else np.empty(0, np.uint8)
     sym = t.byte_id[raw]
     word = np.repeat(np.arange(n), np.diff(offsets))
+    rank = np.full(len(sym), NONE)
+    rank[:-1] = np.where(word[:-1] == word[1:], t.byte_ranks[raw[:-1].astype(np.int32) << 8 | raw[1:]], NONE)
     done_sym, done_word = [], []
     while len(sym):
-        key = np.append(sym[:-1] << 32 | sym[1:], 0)
-        at = np.minimum(np.searchsorted(t.keys, key), len(t.keys) - 1)
-        same = np.append(word[:-1] == word[1:], False)
-        rank = np.where(same & (t.keys[at] == key), t.ranks[at], NONE)
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         count = np.diff(np.append(first, len(sym)))
         lowest = np.repeat(np.minimum.reduceat(rank, first), count)
@@ -153,10 +163,15 @@ def merge_words(t: MergeTables, words: pa.Array) -> tuple[np.ndarray, np.ndarray
         run = np.concatenate([[True], np.diff(chosen) != 1]) if len(chosen) else np.empty(0, bool)
         origin = chosen[np.maximum.accumulate(np.where(run, np.arange(len(chosen)), 0))] if len(chosen) else chosen
         chosen = chosen[(chosen - origin) % 2 == 0]
-        sym[chosen] = t.merged[at[chosen]]
+        sym[chosen] = t.merged[rank[chosen]]
         keep = ~over
         keep[chosen + 1] = False
-        sym, word = sym[keep], word[keep]
+        place = np.cumsum(keep) - 1
+        sym, word, rank = sym[keep], word[keep], rank[keep]
+        # only pairs beside a merge are new
+        beside = place[chosen]
+        beside = np.concatenate([beside, beside[beside > 0] - 1])
+        rank[beside] = pair_ranks(t, sym, word, beside)
     if not done_sym:
         return np.empty(0, np.int64), np.zeros(n, np.int64)
     sym, word = np.concatenate(done_sym), np.concatenate(done_word)
