@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, merkle, sharding, simhash, transducer, urlfilter
+from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, merkle, packing, sharding, simhash, transducer, urlfilter
 from lineflow.llm.textops import as_string, bounded_batches, table
 from lineflow.session import new_run_dir, scratch_root
 
@@ -150,9 +150,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+END_ID, SEQUENCE_TOKENS = 2, 1024
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = packing.pack(packing.cut(docs, BYTE_BPE, END_ID, SEQUENCE_TOKENS), SEQUENCE_TOKENS)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
-    op9_bpe, op10_jaccard_join, op11_merkle_manifest)}
+    op9_bpe, op10_jaccard_join, op11_merkle_manifest, op12_best_fit_packing)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_decontamination"] = r"""
