@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
@@ -36,6 +37,7 @@ from lineflow.llm.textops import (
 )
 
 NONE = np.int64(1) << 40  # rank of a pair that never merges
+KNOWN, KNOWN_BYTES = 1 << 17, 32  # words that a worker keeps, and their greatest length
 BREAK = 9  # class of separators between texts and of special strings
 
 
@@ -61,6 +63,8 @@ class MergeTables:
             pieces[i] = bytes(back[c] for c in token)
         for token, i in self.special.items():
             pieces[i] = token.encode()
+        self.known = pa.array([], pa.binary())
+        self.known_ids = self.known_at = self.known_len = np.empty(0, np.int64)
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_len = np.array([len(p) for p in pieces], np.int64)
         self.piece_at = np.cumsum(self.piece_len) - self.piece_len
@@ -179,6 +183,29 @@ def merge_words(t: MergeTables, words: pa.Array) -> tuple[np.ndarray, np.ndarray
     return sym[order], np.bincount(word, minlength=n)
 
 
+def known_words(t: MergeTables, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``merge_words``, with each word's start: words that this worker met before (up to ``KNOWN``) aren't merged again."""
+    at = pc.index_in(words, value_set=t.known)
+    fresh = at.is_null()
+    new = words.filter(fresh)
+    ids, count = merge_words(t, new)
+    starts = np.cumsum(count) - count + len(t.known_ids)
+    is_new = fresh.to_numpy(zero_copy_only=False)
+    start, length = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+    start[is_new], length[is_new] = starts, count
+    old = at.drop_null().to_numpy().astype(np.int64)
+    start[~is_new], length[~is_new] = t.known_at[old], t.known_len[old]
+    pool = np.concatenate([t.known_ids, ids])
+    room = KNOWN - len(t.known)
+    if room > 0 and len(new):
+        short = np.flatnonzero(pc.binary_length(new).to_numpy() <= KNOWN_BYTES)[:room]
+        t.known_at = np.concatenate([t.known_at, len(t.known_ids) + np.cumsum(count[short]) - count[short]])
+        t.known_len = np.concatenate([t.known_len, count[short]])
+        t.known_ids = np.concatenate([t.known_ids, ids[spans_of(starts[short] - len(t.known_ids), count[short])]])
+        t.known = pa.concat_arrays([t.known, new.take(pa.array(short))])
+    return pool, start, length
+
+
 def encode_texts(t: MergeTables, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of the texts, flat, and the n+1 offsets of the texts."""
     if not texts:
@@ -187,8 +214,7 @@ def encode_texts(t: MergeTables, texts: list[str]) -> tuple[np.ndarray, np.ndarr
     starts = np.flatnonzero(word_starts(cps, kinds, marks))
     words = words_of(cps, starts)
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    ids, count = merge_words(t, words.dictionary)
-    at = np.cumsum(count) - count
+    ids, at, count = known_words(t, words.dictionary)
     lengths = count[codes]
     sep_words = np.searchsorted(starts, seps)
     lengths[sep_words] = 0
