@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm import bpe, decontam, jaccard, langid, licenses, linededup, merkle, packing, sharding, simhash, transducer, urlfilter
+from lineflow.llm import bpe, collocation, decontam, jaccard, langid, licenses, linededup, merkle, packing, sharding, simhash, transducer, urlfilter
 from lineflow.llm.textops import as_string, bounded_batches, table
 from lineflow.session import new_run_dir, scratch_root
 
@@ -160,9 +160,15 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    scratch_root(spark)
+    return collocation.collocations(table(spark, sf_dir, "documents").select("lang", "text"), 100, 2000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_license_scan, op3_language, op4_url_filter, op5_line_dedup, op6_sharding, op7_token_counts, op8_fingerprints,
-    op9_bpe, op10_jaccard_join, op11_merkle_manifest, op12_best_fit_packing)}
+    op9_bpe, op10_jaccard_join, op11_merkle_manifest, op12_best_fit_packing, op13_collocations)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_decontamination"] = r"""
@@ -351,3 +357,28 @@ root AS (SELECT d AS root FROM tops WHERE n = 1)
 SELECT doc_id, leaf, s.d AS subroot, root, sha256(proof) AS proof_sha256, done.d AS folded_root, done.d = root AS verified
 FROM placed JOIN done USING (r) JOIN nodes s ON s.tree = placed.tree AND s.n = 1, root
 """
+
+ORACLES["op13_collocations"] = r"""
+WITH raw AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM raw),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM spots, range(1, 6) g(s) WHERE i + s - 1 <= len(w)),
+f AS (SELECT lang, phrase, any_value(s) AS s, count(*) AS a FROM grams GROUP BY lang, phrase HAVING count(*) >= 100),
+parts AS (
+  SELECT lang, phrase, s, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail FROM f, range(1, 5) c(k) WHERE k < s),
+scored AS (
+  SELECT p.*, h.a AS l, t.a AS r, n, CAST((1000::HUGEINT * p.a * n) // (h.a::HUGEINT * t.a) AS BIGINT) AS score
+  FROM parts p JOIN f h ON h.lang = p.lang AND h.phrase = p.head JOIN f t ON t.lang = p.lang AND t.phrase = p.tail
+  JOIN total ON total.lang = p.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f g WHERE g.lang = b.lang AND g.s > b.s AND 100 * g.a >= 100 * b.a AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""

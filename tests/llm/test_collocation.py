@@ -1,0 +1,107 @@
+"""Collocations against plain counting, through many shards and prefix ranges."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import edge_docs, empty_docs
+
+from lineflow.llm import collocation
+from lineflow.llm.collocation import Automaton
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_counts(rows):
+    counts, total = {}, Counter()
+    for lang, text in rows:
+        own = counts.setdefault(lang or "und" if lang is None else lang, Counter())
+        for piece in re.split("[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall("[^\x20\x09]+", piece)
+            total["und" if lang is None else lang] += len(w)
+            for size in range(1, 6):
+                own.update(tuple(w[i:i + size]) for i in range(len(w) - size + 1))
+    return counts, total
+
+
+def plain(rows, least, keep):
+    counts, total = plain_counts(rows)
+    out = []
+    for lang, f in counts.items():
+        often = {p: a for p, a in f.items() if a >= least and len(p) > 1}
+        best = []
+        for p, a in often.items():
+            if any(len(q) > len(p) and 100 * b >= 100 * a and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1)) for q, b in often.items()):
+                continue
+            score, k = min((1000 * a * total[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            best.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(best)[:keep], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, total[lang], -s))
+    return sorted(out)
+
+
+def texts(seed, n):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(12)] + ["É", "東京", "a\0b", "Aa"]
+    fixed = ["of the one", "New York City is big", "x x x x x x x"]
+    out = []
+    for _ in range(n):
+        own = [rng.choice(fixed) if rng.random() < 0.2 else rng.choice(words) for _ in range(rng.randrange(30))]
+        text = "".join(w + rng.choice([" ", " ", " ", "\t ", ", ", ".", "\n", "\r", " ! "]) for w in own)
+        out.append((rng.choice(["en", "en", "fr", None]), rng.choice([text, text, text, None]) if rng.random() < 0.1 else text))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 300, "range_bytes": 500}])
+def test_against_plain_counting(spark, sizes):
+    rows = texts(4, 400)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    for least, keep in ((5, 2000), (3, 10)):
+        got = sorted(map(tuple, collocation.collocations(docs, least, keep, **sizes).collect()))
+        assert got == plain(rows, least, keep)
+
+
+def test_counts_hold_beyond_64_bits(spark):
+    """The score's products are exact: 1000 * a * n passes 2 ** 63."""
+    from pyspark.sql import functions as F
+
+    a, n, left, right = 3_000_000_011, 9_000_000_000_017, 3_000_000_019, 4_000_000_007
+    row = spark.createDataFrame([(a, n, left, right)], "a long, n long, l long, r long")
+    d = {c: F.col(c).cast("decimal(16,0)") for c in ("a", "n", "l", "r")}
+    got = row.select(F.call_function("div", F.lit(1000).cast("decimal(4,0)") * (d["a"] * d["n"]), d["l"] * d["r"])).first()[0]
+    assert got == 1000 * a * n // (left * right)
+
+
+def test_edges(spark):
+    docs = edge_docs(spark)
+    rows = [(r["lang"], r["text"]) for r in docs.collect()]
+    got = sorted(map(tuple, collocation.collocations(docs, 2, 2000, shard_bytes=50_000).collect()))
+    want = plain(rows, 2, 2000)
+    assert got == want and want
+    assert collocation.collocations(empty_docs(spark), 1, 10).count() == 0
+
+
+def test_automaton_round_trip_and_union():
+    rng = random.Random(2)
+    parts, total = [], Counter()
+    for _ in range(6):
+        names = sorted(rng.sample([f"w{i}" for i in range(40)], 15))
+        grams = Counter(tuple(rng.randrange(1, 16) if d < size else 0 for d in range(5)) for size in (rng.choice([3, 4, 5]) for _ in range(300)))
+        rows = sorted(grams)
+        a = Automaton.from_sorted(pa.array([n.encode() for n in names], pa.large_binary()), np.array(rows), np.array([grams[g] for g in rows]))
+        parts.append(Automaton.unpack(a.words, a.pack()))
+        back, weights = parts[-1].rows()
+        assert dict(zip(map(tuple, back.tolist()), weights.tolist(), strict=True)) == grams
+        for g, n in grams.items():
+            total[tuple(names[i - 1] for i in g if i)] += n
+    whole = collocation.union(parts, 5)
+    rows, weights = whole.rows()
+    names = [w.decode() for w in whole.words.to_pylist()]
+    assert {tuple(names[i - 1] for i in g if i): n for g, n in zip(rows.tolist(), weights.tolist(), strict=True)} == total
+    for path, n in whole.counts():
+        for p, k in zip(path.tolist(), n.tolist(), strict=True):
+            own = tuple(names[i] for i in p)
+            assert k == sum(v for g, v in total.items() if g[:len(own)] == own)
