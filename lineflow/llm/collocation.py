@@ -3,8 +3,14 @@
 Words are cut out of pieces of text; every place of a word starts the phrases
 of one to ``DEPTH`` words that the piece still has room for.
 
+* A first pass finds what can't be frequent: every shard counts its phrases of
+  one, two and three words in buckets of a hash, the buckets' sums over all
+  shards are exact upper bounds, and the bits of the heavy buckets go to all
+  tasks (``heavy_buckets``; at most ``3 * 2 ** MAX_BITS / 8`` bytes, however
+  much text there is: then more phrases pass, none is lost).
 * A task sorts the n-grams of a shard of its rows (about ``SHARD_BYTES`` of
-  text) and builds an acyclic automaton from the sorted list, level by level:
+  text) whose parts are all in heavy buckets, and builds an acyclic automaton
+  from the sorted list, level by level:
   states share their prefix, a state's weight is the number of times its
   phrase occurs (``Automaton``).  Phrases of one and two words form one family,
   longer ones another, in which the weights of a long phrase count for its
@@ -19,8 +25,8 @@ of one to ``DEPTH`` words that the piece still has room for.
   the weights of both parts by a join, single words (the parts that most
   candidates ask for) salted.
 
-Counts are exact: no text is left out, no phrase is dropped before its
-weights are summed.  The number of ranges follows the bytes of the text, so
+Counts are exact: no text is left out, and no phrase that reaches ``least`` is
+dropped before its weights are summed.  The number of ranges follows the bytes of the text, so
 that a range stays about as large whatever the input.
 
 Rows: null texts count as empty and have no words; a null language is
@@ -45,7 +51,10 @@ from lineflow.session import new_run_dir
 DEPTH = 5
 PREFIX = 3
 SHARD_BYTES = 8 << 20
-RANGE_BYTES = 8 << 20  # of text whose phrases one range holds, about
+RANGE_BYTES = 32 << 20  # of text whose phrases one range holds, about
+MIN_BITS, MAX_BITS = 16, 28  # buckets of the first pass, as powers of two
+PART_BITS = 18  # buckets that one task sums at a time
+BUCKETED = 3  # words of the longest phrase with buckets
 SALTS = 32
 TOP_SALTS = 64
 UNKNOWN = "und"
@@ -53,6 +62,26 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
 
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers from 0 up, each in the least width that holds it, compressed."""
+    parts = []
+    for array in arrays:
+        kind = np.dtype(np.min_scalar_type(int(array.max()) if len(array) else 0))
+        parts += [np.array([len(array), kind.itemsize], "<u4").tobytes(), array.astype(kind.newbyteorder("<")).tobytes()]
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_arrays(blob: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    arrays, at = [], 0
+    while at < len(raw):
+        n, width = np.frombuffer(raw, "<u4", 2, at).tolist()
+        arrays.append(np.frombuffer(raw, f"<u{width}", n, at + 8).astype(np.int64))
+        at += 8 + n * width
+    return arrays
+
+
 class Automaton:
     """Phrases of up to ``DEPTH`` words as an acyclic automaton in arrays, one level of states per word.
 
@@ -123,22 +152,12 @@ class Automaton:
         return out
 
     def pack(self) -> bytes:
-        """The arrays in the least width that holds them, compressed; the word list goes its own way."""
-        parts = []
-        for array in (*self.labels, *self.fans, *self.ends):
-            kind = np.dtype(np.min_scalar_type(int(array.max()) if len(array) else 0))
-            parts += [np.array([len(array), kind.itemsize], "<u4").tobytes(), array.astype(kind.newbyteorder("<")).tobytes()]
-        raw = b"".join(parts)
-        return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+        """The arrays, compressed; the word list goes its own way."""
+        return pack_arrays(*self.labels, *self.fans, *self.ends)
 
     @classmethod
     def unpack(cls, words: pa.Array, blob: bytes) -> Automaton:
-        raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-        arrays, at = [], 0
-        while at < len(raw):
-            n, width = np.frombuffer(raw, "<u4", 2, at).tolist()
-            arrays.append(np.frombuffer(raw, f"<u{width}", n, at + 8).astype(np.int64))
-            at += 8 + n * width
+        arrays = unpack_arrays(blob)
         n = len(arrays) // 3
         return cls(words, arrays[:n], arrays[n:2 * n], arrays[2 * n:])
 
@@ -195,6 +214,27 @@ def pieces_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return data[spans_of(starts, lengths)], lengths, piece, text
 
 
+def mixed(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A hash of a key and one more hash."""
+    key = (key ^ more) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ key >> np.uint64(29)
+
+
+class Heavy:
+    """The buckets whose phrases of one size may be frequent, as bits by size."""
+
+    def __init__(self, bits: int, found: dict[int, np.ndarray]):
+        self.bits, self.found = bits, found
+
+    def has(self, size: int, key: np.ndarray) -> np.ndarray:
+        at = bucket(key, self.bits)
+        return (self.found[size][at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bucket(key: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(key, np.uint64(bits)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 class Shard:
     """Words of texts until there are enough for automata."""
 
@@ -211,23 +251,47 @@ class Shard:
         self.at += int(piece[-1]) + 2 if len(piece) else 0
         self.size += len(data)
 
-    def rows(self, ranges: int) -> Iterator[dict]:
-        """Packed automata of the shard by language, family and prefix range."""
+    def close(self) -> None:
+        """Give the words numbers, in the order of the texts; 0 stands for no word."""
         words = packed_words(np.concatenate(self.bytes), np.concatenate(self.lengths))
-        codes = words.indices.to_numpy().astype(np.int64) + 1
-        names = words.dictionary
-        piece, lang = np.concatenate(self.pieces), np.concatenate(self.langs)
-        hashes = np.concatenate([[0], np.fromiter((xxhash.xxh64_intdigest(w) for w in names.to_pylist()), np.uint64, len(names))]).astype(np.uint64)
-        n = len(codes)
+        self.codes, self.names = words.indices.to_numpy().astype(np.int64) + 1, words.dictionary
+        self.piece, self.lang = np.concatenate(self.pieces), np.concatenate(self.langs)
+        digests = (xxhash.xxh64_intdigest(w) for w in self.names.to_pylist())
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), np.fromiter(digests, np.uint64, len(self.names))])
+        self.own_langs, of = np.unique(self.lang, return_inverse=True)
+        seeds = np.array([xxhash.xxh64_intdigest(f"{x}/") for x in self.own_langs], np.uint64)
+        self.seeds = seeds[of]
+        self.bytes = self.lengths = self.pieces = self.langs = []
+
+    def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of phrases of 1, 2 and 3 words: which places begin one, and hash keys of all places."""
+        key, n = self.seeds, len(self.codes)
+        for d in range(BUCKETED):
+            here = np.zeros(n, bool)
+            here[:n - d] = self.piece[d:] == self.piece[:n - d]
+            after = np.zeros(n, np.int64)
+            after[:n - d] = self.codes[d:]
+            key = mixed(key, self.hashes[after])
+            yield here, key
+
+    def rows(self, ranges: int, heavy: Heavy) -> Iterator[dict]:
+        """Packed automata of the shard by language, family and prefix range."""
+        n = len(self.codes)
+        fits = np.ones((DEPTH, n), bool)  # whether the phrase of d + 1 words at a place may be frequent
+        for d, (here, key) in enumerate(self.keys()):
+            fits[d] = here & heavy.has(d + 1, key)
+        fits[1] &= fits[0] & np.append(fits[0][1:], False)
+        for d in range(2, DEPTH):
+            fits[d] &= fits[d - 1] & np.append(fits[d - 1][1:], False)
         grams = np.zeros((n, DEPTH), np.int64)
         for d in range(DEPTH):
-            same = piece[d:] == piece[:n - d] if d < n else np.empty(0, bool)
-            grams[:len(same), d] = np.where(same, codes[d:], 0)
-        for own in sorted(set(lang.tolist())):
-            mine = grams[lang == own]
-            short = mine[:, :2]
-            yield from self._family(own, "short", short, 2, names, hashes, ranges)
-            yield from self._family(own, "long", mine[mine[:, PREFIX - 1] > 0], DEPTH, names, hashes, ranges)
+            grams[:n - d, d] = self.codes[d:] if d < n else 0
+            grams[~fits[d], d] = 0
+        for own in self.own_langs.tolist():
+            mine = grams[self.lang == own]
+            yield {"lang": own, "family": "total", "range": 0, "words": pa.array([], pa.binary()), "states": pack_arrays(np.array([len(mine)]))}
+            yield from self._family(own, "short", mine[mine[:, 0] > 0, :2], 2, self.names, self.hashes, ranges)
+            yield from self._family(own, "long", mine[mine[:, PREFIX - 1] > 0], DEPTH, self.names, self.hashes, ranges)
 
     def _family(self, lang: str, family: str, grams: np.ndarray, depth: int, names: pa.Array, hashes: np.ndarray, ranges: int) -> Iterator[dict]:
         if family == "short":  # a word and a pair have ranges of their own
@@ -238,8 +302,7 @@ class Shard:
         seed = np.uint64(xxhash.xxh64_intdigest(f"{lang}/{family}"))
         key = np.full(len(grams), seed)
         for d in range(min(PREFIX, depth)):
-            key = (key ^ hashes[grams[:, d]]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
+            key = mixed(key, hashes[grams[:, d]])
         at = (key % np.uint64(ranges)).astype(np.int64)
         order = np.argsort(at, kind="stable")
         cuts = np.flatnonzero(np.diff(at[order])) + 1
@@ -258,6 +321,9 @@ SHARD_SCHEMA = pa.schema([("lang", pa.string()), ("family", pa.string()), ("rang
 SHARD_DDL = "lang string, family string, range long, words array<binary>, states binary"
 
 
+COUNTS = ["lang", "phrase", "size", "n"]
+
+
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     words = [r["words"].cast(pa.binary()) for r in rows]
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)), pa.concat_arrays(words))
@@ -265,36 +331,88 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
                                       + [lists, pa.array([r["states"] for r in rows], pa.binary())], schema=SHARD_SCHEMA)
 
 
-def _shards(ranges: int, shard_bytes: int):
-    def flushed(shard: Shard) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        for row in shard.rows(ranges):
-            held.append(row)
-            if len(held) == 64:
-                yield _batch(held)
-                held = []
-        if held:
-            yield _batch(held)
+def _read_shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[Shard]:
+    shard = Shard()
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            shard.add(part.column("text"), part.column("lang").to_pylist())
+            if shard.size >= shard_bytes:
+                shard.close()
+                yield shard
+                give_back()
+                shard = Shard()
+    if shard.size:
+        shard.close()
+        yield shard
         give_back()
 
+
+BUCKET_SCHEMA = pa.schema([("size", pa.int32()), ("part", pa.int64()), ("counts", pa.binary())])
+
+
+def _bucketed(bits: int, shard_bytes: int):
+    """How often each shard meets each bucket, by size of the phrases and part of the buckets."""
+    width = min(bits, PART_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard()
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                shard.add(part.column("text"), part.column("lang").to_pylist())
-                if shard.size >= shard_bytes:
-                    yield from flushed(shard)
-                    shard = Shard()
-        if shard.size:
-            yield from flushed(shard)
+        for shard in _read_shards(batches, shard_bytes):
+            for size, (here, key) in enumerate(shard.keys(), 1):
+                at, n = np.unique(bucket(key[here], bits), return_counts=True)
+                part = at >> width
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(at)]]) if len(at) else np.zeros(1, np.int64)
+                rows = [{"size": size, "part": int(part[a]), "counts": pack_arrays(np.diff(at[a:b], prepend=part[a] << width), n[a:b])}
+                        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_pylist(rows, BUCKET_SCHEMA)
+
+    return run
+
+
+def _heavy_part(bits: int, least: int):
+    def run(table: pa.Table) -> pa.Table:
+        total = np.zeros(1 << min(bits, PART_BITS), np.int64)
+        for blob in table["counts"]:
+            steps, n = unpack_arrays(blob.as_py())
+            total[np.cumsum(steps)] += n
+        return pa.table({"size": table["size"][:1], "part": table["part"][:1],
+                         "heavy": pa.array([np.packbits(total >= least).tobytes()], pa.binary())})
+
+    return run
+
+
+def heavy_buckets(texts: DataFrame, least: int, size: int, shard_bytes: int) -> Heavy:
+    """The buckets of phrases of 1 to 3 words that hold ``least`` occurrences, over all ``texts`` (of ``size`` bytes)."""
+    bits = min(max(int(size // 64).bit_length(), MIN_BITS), MAX_BITS)
+    met = texts.mapInArrow(_bucketed(bits, shard_bytes), "size int, part long, counts binary")
+    found = met.groupBy("size", "part").applyInArrow(_heavy_part(bits, least), "size int, part long, heavy binary")
+    out = {k: np.zeros(1 << bits >> 3, np.uint8) for k in range(1, BUCKETED + 1)}
+    step = 1 << min(bits, PART_BITS) >> 3
+    for row in found.collect():  # 3 * 2 ** bits / 8 bytes, 96 MB at most
+        out[row["size"]][row["part"] * step:(row["part"] + 1) * step] = np.frombuffer(row["heavy"], np.uint8)
+    return Heavy(bits, out)
+
+
+def _shards(ranges: int, shard_bytes: int, heavy):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in _read_shards(batches, shard_bytes):
+            held: list[dict] = []
+            for row in shard.rows(ranges, heavy.value):
+                held.append(row)
+                if len(held) == 64:
+                    yield _batch(held)
+                    held = []
+            if held:
+                yield _batch(held)
 
     return run
 
 
 def _united(least: int):
-    """Frequent phrases of a range with their counts; and, with no phrase, the number of words it counted."""
+    """Frequent phrases of a range with their counts; of the totals, a row without a phrase."""
     def run(table: pa.Table) -> pa.Table:
         lang, family = table["lang"][0].as_py(), table["family"][0].as_py()
+        if family == "total":
+            n = sum(int(unpack_arrays(s.as_py())[0][0]) for s in table["states"])
+            return pa.table([[lang], pa.array([None], pa.string()), pa.array([0], pa.int32()), pa.array([n], pa.int64())], COUNTS)
         depth = 2 if family == "short" else DEPTH
         lists = table["words"].combine_chunks()
         automata = [Automaton.unpack(w.values, s.as_py()) for w, s in zip(lists, table["states"], strict=True)]
@@ -307,7 +425,6 @@ def _united(least: int):
             for size in (1, 2):
                 here = (rows[:, 1] > 0) == (size == 2)
                 levels.append((rows[here, :size] - 1, sums[here]))
-            phrases, sizes, counts = [None], [0], [int(levels[0][1].sum())]
         else:
             levels = whole.counts()[PREFIX - 1:]
         for path, n in levels:
@@ -318,20 +435,21 @@ def _united(least: int):
                 sizes += [path.shape[1]] * int(often.sum())
                 counts += n[often].tolist()
         give_back()
-        return pa.table({"lang": pa.array([lang] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.string()),
-                         "size": pa.array(sizes, pa.int32()), "n": pa.array(counts, pa.int64())})
+        return pa.table([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32()),
+                         pa.array(counts, pa.int64())], COUNTS)
 
     return run
 
 
 def phrase_counts(docs: DataFrame, least: int, text: str = "text", lang: str = "lang", shard_bytes: int = SHARD_BYTES,
                   range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``lang, phrase, size, n`` of phrases of 1 to ``DEPTH`` words that occur ``least`` times; rows of size 0 add up to all words."""
+    """``lang, phrase, size, n`` of phrases of 1 to ``DEPTH`` words that occur ``least`` times; the row of size 0 counts all words of its language."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // range_bytes))
-    shards = texts.mapInArrow(_shards(ranges, shard_bytes), SHARD_DDL)
+    heavy = spark.sparkContext.broadcast(heavy_buckets(texts, least, size, shard_bytes))
+    shards = texts.mapInArrow(_shards(ranges, shard_bytes, heavy), SHARD_DDL)
     found = shards.groupBy("lang", "family", "range").applyInArrow(_united(least), "lang string, phrase string, size int, n long")
     folder = f"{new_run_dir(spark, 'phrases')}/counts"
     found.write.parquet(folder)
@@ -350,7 +468,7 @@ def _salt(of: Column, size: Column) -> Column:
 def collocations(docs: DataFrame, least: int, keep: int, text: str = "text", lang: str = "lang", **sizes: int) -> DataFrame:
     """The ``keep`` best phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
     counts = phrase_counts(docs, least, text, lang, **sizes)
-    total = counts.where("size = 0").groupBy("lang").agg(F.sum("n").alias("_all"))
+    total = counts.where("size = 0").select("lang", F.col("n").alias("_all"))
     counts = counts.where("size > 0")
     cuts = counts.where("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"), _words("phrase").alias("_w"),
                                            F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))

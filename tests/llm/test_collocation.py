@@ -64,6 +64,16 @@ def test_against_plain_counting(spark, sizes):
         assert got == plain(rows, least, keep)
 
 
+def test_few_buckets_lose_nothing(spark, monkeypatch):
+    """Buckets that many phrases share let more of them pass, and change no count."""
+    rows = texts(8, 150)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    for bits in (3, 6):
+        monkeypatch.setattr(collocation, "MIN_BITS", bits)
+        monkeypatch.setattr(collocation, "MAX_BITS", bits)
+        assert sorted(map(tuple, collocation.collocations(docs, 4, 500).collect())) == plain(rows, 4, 500)
+
+
 def test_counts_hold_beyond_64_bits(spark):
     """The score's products are exact: 1000 * a * n passes 2 ** 63."""
     from pyspark.sql import functions as F
