@@ -35,8 +35,9 @@ from lineflow.operators.framing import frame_count, frame_text
 from lineflow.operators.partitioning import spread, spread_to_cluster
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import run_frames, run_records
-from lineflow.session import new_run_dir
-from lineflow.sinks import kafka_frame, replay_safe
+from lineflow.session import move_folder, new_run_dir
+from lineflow.sinks import kafka_frame
+from lineflow.sinks.manifest import read_sink
 from lineflow.sources.files import after_marker
 from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_messages, kafka_reader_options
 from lineflow.sources.records import combine_metadata, read_numbered_lines, recordize
@@ -253,7 +254,7 @@ def _write_drops(spark, sf, base: str, column: str, which: tuple[int, ...] = (0,
 def _launch(spark, run: str, flow, **kw) -> None:
     """Start a flow on the text files of ``run/in`` as the command line does, and wait until it has read them."""
     path = run if ":" in run.split("/")[0] else f"file://{run}"
-    opts = FlowOptions(flow="catalogue", name=run.rsplit("/", 1)[-1] + kw.pop("suffix", ""), input=f"{path}/in",
+    opts = FlowOptions(flow="catalogue", name=run.rsplit("/", 1)[-1], input=f"{path}/in",
                        output="records", from_beginning=kw.pop("from_beginning", False))
     q = start_flow(spark, opts, flow, **{"checkpoint": f"{run}/ckpt", "sink": "parquet", "path": f"{run}/out",
                                          "trigger": {"availableNow": True}} | kw)
@@ -265,7 +266,7 @@ def _launch(spark, run: str, flow, **kw) -> None:
 def _read_sink(spark, run: str, column: str) -> DataFrame:
     """``event_id`` and ``column`` of the sink's records (file, line and line number joined by tabs)."""
     line = F.regexp_extract("record", r"(?s)^[^\t]*\t(.*)\t[0-9]+$", 1)
-    return (spark.read.schema("record string").parquet(f"{run}/out").select(F.split(line, " ", 2).alias("w"))
+    return (read_sink(spark, f"{run}/out", "record string").select(F.split(line, " ", 2).alias("w"))
             .select(F.col("w")[0].cast("bigint").alias("event_id"), F.col("w")[1].alias(column)))
 
 
@@ -285,22 +286,29 @@ def stream_resume(spark, sf):
 
 
 def stream_start_marker(spark, sf):
-    """The default start: what is there when the flow first starts is left out, what arrives later is read."""
+    """The default start: what is there when the flow first starts is left out, what arrives later is read.
+
+    The late drop is the oldest: written before the others, and renamed into the folder after the start.
+    """
     run = new_run_dir(spark, "stream_start_marker")
+    _write_drops(spark, sf, f"{run}/aside", "props", (2,))
     _write_drops(spark, sf, f"{run}/in", "props", (0, 1))
     _launch(spark, run, identity())
-    _write_drops(spark, sf, f"{run}/in", "props", (2,))
+    move_folder(spark, f"{run}/aside/{DROP_FOLDERS[2]}", f"{run}/in/{DROP_FOLDERS[2]}")
     _launch(spark, run, identity())
     return _read_sink(spark, run, "props")
 
 
 def stream_idempotent(spark, sf):
-    """A flow run twice from its start, with other batch borders, into one sink folder."""
+    """A flow run twice from its start on checkpoints of its own, with other batch borders, into one sink folder.
+
+    Between the two a drop arrives; the second run adds it, and nothing that the first one published.
+    """
     run = new_run_dir(spark, "stream_idempotent")
-    _write_drops(spark, sf, f"{run}/in", "props")
-    for n, attempt in ((1, "first"), (3, "replay")):
-        _launch(spark, run, identity(), from_beginning=True, suffix=attempt, checkpoint=f"{run}/ckpt-{attempt}",
-                sink=replay_safe(f"{run}/out", replace=True), max_per_trigger=n)
+    _write_drops(spark, sf, f"{run}/in", "props", (0, 1))
+    _launch(spark, run, identity(), from_beginning=True, checkpoint=f"{run}/ckpt-first", max_per_trigger=1)
+    _write_drops(spark, sf, f"{run}/in", "props", (2,))
+    _launch(spark, run, identity(), from_beginning=True, checkpoint=f"{run}/ckpt-replay", max_per_trigger=3)
     return _read_sink(spark, run, "props")
 
 

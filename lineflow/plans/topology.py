@@ -40,7 +40,8 @@ def source_width(opts: FlowOptions) -> int:
 
 def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None = None,
                streaming: bool = False, checkpoint: str | None = None, glob: str | None = None,
-               max_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+               max_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+               resumable: bool = True) -> DataFrame:
     """DataFrame of ``record`` (one row per output record) for the launch options.
 
     A stream of files is read whole here; ``per_batch_flow`` serves line mode.
@@ -49,7 +50,7 @@ def build_flow(spark: SparkSession, opts: FlowOptions, flow: Step | Flow | None
     f = resolve_flow(opts, flow)
     lines = read_lines(spark, opts, streaming, checkpoint, glob, max_per_trigger, combine=False, whole_files=True,
                        store_marker=not opts.dry_run, max_bytes_per_trigger=max_bytes_per_trigger,
-                       plan_only=opts.dry_run)
+                       plan_only=opts.dry_run, resumable=resumable)
     if streaming or not opts.is_blob_input:  # a batch of files is spread as it is numbered
         lines = spread(lines, opts.flow_parallelism, source_width(opts))
     if opts.is_blob_input:
@@ -64,9 +65,9 @@ def per_batch_flow(opts: FlowOptions, flow: Step | Flow | None = None):
     """
     f = resolve_flow(opts, flow)
 
-    def apply(tagged_batch: DataFrame) -> DataFrame:
+    def apply(tagged_batch: DataFrame, blocks: DataFrame | None = None, leave_out: DataFrame | None = None) -> DataFrame:
         width = scan_partitions(tagged_batch) or source_width(opts)
-        lines = number_lines(tagged_batch)
+        lines = number_lines(tagged_batch, blocks=blocks, leave_out=leave_out)
         if opts.flow_parallelism > width:
             lines = lines.repartition(opts.flow_parallelism)
         return run_records(combine_metadata(lines), f, "str")

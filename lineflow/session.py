@@ -83,12 +83,29 @@ def make_folder(spark: SparkSession, folder: str) -> None:
     fs.mkdirs(path)
 
 
+def move_folder(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder; the files in it keep their modification times."""
+    path, fs = _hadoop(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(path, target):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder that this library wrote, with what is in it."""
     path, fs = _hadoop(spark, folder)
     fs.delete(path, True)
 
 
+def folder_name(name: str) -> str:
+    """A name as a folder's; two names never share one."""
+    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in name)
+    if safe != name:
+        safe += "-" + hashlib.sha256(name.encode()).hexdigest()[:12]
+    return safe
+
+
 def query_checkpoint(spark: SparkSession, name: str) -> str:
     """The checkpoint of the named query: the same folder every time it starts.
 
@@ -96,10 +113,7 @@ def query_checkpoint(spark: SparkSession, name: str) -> str:
     committed position (the default start policy), and replacing it
     (stop, wait, start) continues on the same checkpoint.
     """
-    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in name)
-    if safe != name:  # two names never share a folder
-        safe += "-" + hashlib.sha256(name.encode()).hexdigest()[:12]
-    return f"{scratch_root(spark)}/lineflow/queries/{safe}"
+    return f"{scratch_root(spark)}/lineflow/queries/{folder_name(name)}"
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "lineflow") -> SparkSession:

@@ -2,7 +2,8 @@
 
 Kafka gets a frame of ``topic, value``: the record's own topic when it has
 one, else the default (per-record override).  ``option("topic")`` is never
-set, because it would override the column.  ``replay_safe`` writes each
+set, because it would override the column.  Flows over files write theirs by
+manifest (``sinks.manifest``).  For other ``foreachBatch`` sinks ``replay_safe`` writes each
 micro-batch to its own ``batch_id=N`` folder with overwrite, so a replayed
 batch replaces its earlier attempt instead of doubling it.  The folder
 belongs to one query (the id its checkpoint keeps): batch numbers of another
@@ -21,6 +22,7 @@ from pyspark.sql.types import StructType
 from lineflow.operators.framing import write_framed_text
 from lineflow.options import FlowOptions
 from lineflow.session import remove_folder
+from lineflow.sinks.manifest import ForeignSink, ManifestSink, compact, read_sink
 
 
 def kafka_frame(df: DataFrame, default_topic: str, value: str = "record",
@@ -64,10 +66,6 @@ def write_flow(df: DataFrame, opts: FlowOptions, sink: str = "kafka", path: str
 OWNER_FILE = "_lineflow_owner"
 
 
-class ForeignSink(RuntimeError):
-    """The sink folder holds the batches of another query."""
-
-
 def _owner(spark: SparkSession, path: str) -> str | None:
     try:
         row = spark.read.text(f"{path}/{OWNER_FILE}").first()
@@ -106,4 +104,5 @@ def replay_safe(path: str, fmt: str = "parquet", replace: bool = False) -> Calla
     return write
 
 
-__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "ForeignSink", "write_framed_text"]
+__all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "ForeignSink", "ManifestSink", "compact",
+           "read_sink", "write_framed_text"]

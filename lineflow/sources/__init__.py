@@ -14,7 +14,7 @@ def read_lines(spark: SparkSession, opts: FlowOptions, streaming: bool = False,
                checkpoint: str | None = None, glob: str | None = None,
                max_per_trigger: int | None = None, combine: bool = True, whole_files: bool = False,
                store_marker: bool = True, max_bytes_per_trigger: int | None = None,
-               plan_only: bool = False) -> DataFrame:
+               plan_only: bool = False, resumable: bool = True) -> DataFrame:
     """Records of the input chosen by its URI scheme (SRC-7).
 
     Kafka gives ``str``; files and S3 give ``content, metadata, linenumber``
@@ -26,7 +26,7 @@ def read_lines(spark: SparkSession, opts: FlowOptions, streaming: bool = False,
         return read_kafka(spark, opts, streaming, max_offsets_per_trigger=max_per_trigger)
     lines = read_blob_lines(spark, opts, streaming, checkpoint, glob, max_files_per_trigger=max_per_trigger,
                             whole_files=whole_files, store_marker=store_marker,
-                            max_bytes_per_trigger=max_bytes_per_trigger, plan_only=plan_only)
+                            max_bytes_per_trigger=max_bytes_per_trigger, plan_only=plan_only, resumable=resumable)
     if streaming and not whole_files:
         return lines  # numbered and combined per micro-batch
     return combine_metadata(lines) if combine else lines

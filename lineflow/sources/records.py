@@ -107,34 +107,48 @@ def fixed_layout(spark: SparkSession, min_splits: int = 1) -> SparkSession:
     return child
 
 
-def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT, plan_only: bool = False) -> DataFrame:
-    """Add 1-based ``linenumber`` to ``content, metadata, __block`` rows read straight from a scan.
+def block_table(tagged: DataFrame, plan_only: bool = False) -> DataFrame:
+    """``metadata, __block, __first, __n, __before``: the blocks of a scan, the ids of their lines and the lines before them.
 
-    ``tagged`` must be a scan of a ``fixed_layout`` session (or a micro-batch
-    of one) whose every file is whole in it: the ids of both passes come from
-    re-reading the same splits.  A line that has no place in the block table
-    is an error, never dropped.  ``plan_only`` leaves the table lazy, for a
-    plan that is only shown: no job runs.
+    The text is scanned for it, and only partial counts move; the table is
+    checkpointed in the shared folder, which recomputes no more than the small
+    stage after the counts' shuffle.
     """
-    spark = tagged.sparkSession
-    lines = tagged.withColumn("__id", F.monotonically_increasing_id())
-    blocks = lines.groupBy("metadata", "__block").agg(
+    blocks = tagged.withColumn("__id", F.monotonically_increasing_id()).groupBy("metadata", "__block").agg(
         F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("metadata").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("metadata", "__block", "__first", "__n",
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    if not plan_only:
-        # Cut lineage: the block table is small and is checkpointed to the shared folder.  The text
-        # is scanned once for it (the checkpoint write recomputes only the small stage after the
-        # aggregate's shuffle) and once more for the join: two scans, the least this method needs.
-        scratch_root(spark)
-        blocks = blocks.checkpoint(eager=True)
-        if blocks.count() <= broadcast_limit:
-            blocks = F.broadcast(blocks)
+    if plan_only:
+        return blocks
+    scratch_root(tagged.sparkSession)
+    return blocks.checkpoint(eager=True)
+
+
+def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT, plan_only: bool = False,
+                 blocks: DataFrame | None = None, leave_out: DataFrame | None = None) -> DataFrame:
+    """Add 1-based ``linenumber`` to ``content, metadata, __block`` rows read straight from a scan.
+
+    ``tagged`` must be a scan of a ``fixed_layout`` session (or a micro-batch
+    of one) whose every file is whole in it: the ids of both passes come from
+    re-reading the same splits.  A line that has no place in the block table
+    (``blocks``, made here unless given) is an error, never dropped; lines of
+    the files in ``leave_out`` (``path``) go.  ``plan_only`` leaves the table
+    lazy, for a plan that is only shown: no job runs.
+    """
+    blocks = block_table(tagged, plan_only) if blocks is None else blocks
+    if leave_out is not None:
+        gone = leave_out.select(F.col("path").alias("metadata")).distinct().withColumn("__gone", F.lit(True))
+        blocks = blocks.join(gone, "metadata", "left")
+    else:
+        blocks = blocks.withColumn("__gone", F.lit(None).cast("boolean"))
+    if not plan_only and blocks.count() <= broadcast_limit:
+        blocks = F.broadcast(blocks)
     place = F.col("__id") - F.col("__first")
     known = F.coalesce((place >= 0) & (place < F.col("__n")), F.lit(False))
     lost = F.raise_error(F.concat(F.lit("the split layout changed between the two scans of "), "metadata"))
-    return lines.join(blocks, ["metadata", "__block"], "left").select(
+    lines = tagged.withColumn("__id", F.monotonically_increasing_id()).join(blocks, ["metadata", "__block"], "left")
+    return lines.where("__gone is null").select(
         "content", "metadata",
         F.when(known, place + F.col("__before") + 1).otherwise(lost.cast("bigint")).alias("linenumber"))
 

@@ -15,19 +15,23 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lineflow.options import FlowOptions, StartPosition
 from lineflow.plans.flow import Flow, Step
 from lineflow.plans.topology import build_flow, dry_run, per_batch_flow
 from lineflow.session import query_checkpoint, spark_context
-from lineflow.sinks import kafka_frame, kafka_writer_options, replay_safe, write_kafka
+from lineflow.sinks import kafka_frame, kafka_writer_options, write_kafka
+from lineflow.sinks.manifest import ManifestSink, bounded
 from lineflow.sources import read_lines
-from lineflow.sources.files import resolve_cut
+from lineflow.sources.files import normalize_path, resolve_cut
+from lineflow.sources.records import block_table
+from lineflow.streaming.lease import NameLease, NameTaken
 
 
 class FlowAlreadyRunning(RuntimeError):
-    """A query of that name is active in this session."""
+    """A query of that name is active, in this session or another application."""
 
 
 def active_query(spark: SparkSession, name: str | None) -> StreamingQuery | None:
@@ -84,15 +88,17 @@ def start_flow(
 
     Without ``checkpoint`` the query's own folder below the shared scratch
     root is used (``session.query_checkpoint``), so a flow started again by
-    name resumes (STR-3) and a replaced flow continues (STR-6).
+    name resumes (STR-3) and a replaced flow continues (STR-6).  The name is
+    leased below that root (``streaming.lease``): other applications are
+    refused it, or take it over with ``rm``, waiting ``wait`` seconds.
 
     ``max_per_trigger`` caps the files (or Kafka offsets) of a micro-batch and
     ``max_bytes_per_trigger`` its bytes, for file and S3 inputs (STR-2).
 
     File and S3 inputs are read in line mode, so a file of any size is split
     over tasks; lines are numbered, combined and run through the flow per
-    micro-batch inside ``foreachBatch``.  File sinks then get one replay-safe
-    ``batch_id=N`` folder per batch, and belong to this query.
+    micro-batch inside ``foreachBatch``.  File sinks are then written by manifest
+    (``sinks.manifest``): read them with ``read_sink``; they belong to this flow.
     ``whole_files`` reads each file (under 2 GB) as one row instead, and
     writes through Spark's own sinks, ``memory`` included.
     """
@@ -107,13 +113,33 @@ def start_flow(
             if not opts.rm:
                 raise FlowAlreadyRunning(f"a flow named {name!r} is already running; use rm=True to replace it")
             stop_flow(spark, name, opts.wait)
-    if not opts.dry_run:
+    if opts.dry_run:
+        return _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
+                      max_bytes_per_trigger, lambda: None)
+    lease = NameLease(spark, name)
+    try:
+        lease.acquire(opts.rm, opts.wait)
+    except NameTaken as exc:
+        raise FlowAlreadyRunning(str(exc)) from None
+    try:
         claim_checkpoint(spark, opts, checkpoint)
+        query = _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
+                       max_bytes_per_trigger, lease.check)
+    except BaseException:
+        lease.release()
+        raise
+    lease.keep(query)
+    return query
+
+
+def _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
+           max_bytes_per_trigger, fence):
+    name = opts.query_name
     if opts.is_blob_input and not whole_files and sink != "memory":
         return _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
-                            max_bytes_per_trigger)
+                            max_bytes_per_trigger, fence)
     df = build_flow(spark, opts, flow, streaming=True, checkpoint=checkpoint, glob=glob,
-                    max_per_trigger=max_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
+                    max_per_trigger=max_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger, resumable=sink != "memory")
     if transform is not None:
         df = transform(df)
     if sink == "kafka":
@@ -128,8 +154,6 @@ def start_flow(
         return w.format("kafka").options(**kafka_writer_options(opts)).start()
     if sink == "memory":
         return w.format("memory").outputMode("append").start()
-    if path is None:
-        raise ValueError(f"sink {sink!r} needs a path")
     return w.format(sink).outputMode("append").start(path)
 
 
@@ -150,8 +174,13 @@ def _scan_layout(spark: SparkSession, min_splits: int):
             spark.conf.set(key, old)
 
 
+def sink_owner(opts: FlowOptions) -> str:
+    """Whose records a file sink holds: the flow's name, its steps' name and its input."""
+    return f"flow {opts.query_name!r} ({opts.dataflow_name}) over {normalize_path(opts.blob_path)}"
+
+
 def _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
-                 max_bytes_per_trigger=None):
+                 max_bytes_per_trigger=None, fence=lambda: None):
     if opts.dry_run:  # the plan of a micro-batch, over what the input holds now
         now = replace(opts, from_end=False, from_beginning=True)
         df = build_flow(spark, now, flow, glob=glob)
@@ -160,17 +189,31 @@ def _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_p
     raw = read_lines(spark, opts, True, checkpoint, glob, max_per_trigger,
                      max_bytes_per_trigger=max_bytes_per_trigger)
     apply = per_batch_flow(opts, flow)
+
+    def shaped(out: DataFrame) -> DataFrame:
+        return transform(out) if transform is not None else out
+
     if callable(sink):
-        write = sink
+        def each(batch: DataFrame, batch_id: int) -> None:
+            sink(shaped(apply(batch)), batch_id)
     elif sink == "kafka":
-        def write(out, _batch_id):
-            write_kafka(kafka_frame(out, opts.output), opts)
+        def each(batch: DataFrame, batch_id: int) -> None:
+            write_kafka(kafka_frame(shaped(apply(batch)), opts.output), opts)
     else:
-        write = replay_safe(path, sink)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        out = apply(batch)
-        write(transform(out) if transform is not None else out, batch_id)
+        files = ManifestSink(path, sink, sink_owner(opts), fence)
+
+        def each(batch: DataFrame, batch_id: int) -> None:
+            session = batch.sparkSession
+            query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+            if files.published(session, query, batch_id):  # lost after it was published, and replayed
+                return
+            blocks = block_table(batch)
+            inputs = blocks.select(F.col("metadata").alias("path")).distinct()
+            done = files.known_inputs(session, query)
+            if done is not None:  # another checkpoint of this flow read some of these files
+                done = done.join(bounded(inputs), "path", "left_semi").distinct().checkpoint()
+                inputs = inputs.join(bounded(done), "path", "left_anti")
+            files.write(shaped(apply(batch, blocks, done)), inputs, query, batch_id)
 
     w = raw.writeStream.queryName(opts.query_name).option("checkpointLocation", checkpoint)
     w = (w.trigger(**trigger) if trigger else w).foreachBatch(each)

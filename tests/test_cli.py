@@ -2,6 +2,7 @@
 
 import glob
 
+from lineflow import read_sink
 from lineflow.cli import main
 
 FLOWS = '''
@@ -61,7 +62,7 @@ def test_run_files_to_parquet(spark, tmp_path):
                  "--from_beginning", "--sink=parquet", f"--path={run}/out", f"--checkpoint={run}/ckpt",
                  "--max_per_trigger=1", "--trigger=available"])
     assert code == 0
-    got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    got = sorted(r.record.split("\t")[1] for r in read_sink(spark, f"{run}/out").collect())
     assert got == ["LINE 0", "LINE 1", "LINE 2"]
 
 

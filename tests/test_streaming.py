@@ -4,7 +4,7 @@ import pytest
 
 from lineflow import FlowOptions, upcase
 from lineflow.session import new_run_dir
-from lineflow.sinks import kafka_frame, replay_safe
+from lineflow.sinks import ForeignSink, ManifestSink, compact, kafka_frame, read_sink, replay_safe
 from lineflow.sources.kafka import apply_start_offsets, as_kafka_log, decode_messages
 from lineflow.streaming import FlowAlreadyRunning, active_query, start_flow
 
@@ -25,7 +25,9 @@ def run_once(spark, o, ckpt, out, **kw):
     q = start_flow(spark, o, upcase(), checkpoint=ckpt, sink="parquet", path=out, **{"trigger": NOW} | kw)
     q.awaitTermination()
     assert q.exception() is None
-    return sorted(r.record for r in spark.read.parquet(out).collect())
+    if kw.get("whole_files"):
+        return sorted(r.record for r in spark.read.parquet(out).collect())
+    return sorted(r.record for r in read_sink(spark, out).collect())
 
 
 def test_file_stream_resume(spark, tmp_path):
@@ -149,7 +151,7 @@ def test_split_file_stream_numbers_lines(spark, tmp_path):
                        sink="parquet", path=f"{run}/out", trigger=NOW)
         q.awaitTermination()
         assert q.exception() is None
-        out = spark.read.parquet(f"{run}/out")
+        out = read_sink(spark, f"{run}/out")
         rows = [r.record.split("\t") for r in out.collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -168,7 +170,7 @@ def test_restart_by_name_resumes(spark, tmp_path):
     write(src, "b.txt", "two\n")
     q = start_flow(spark, o, upcase(), sink="parquet", path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
-    got = sorted(r.record.split("\t")[1] for r in spark.read.parquet(f"{run}/out").collect())
+    got = sorted(r.record.split("\t")[1] for r in read_sink(spark, f"{run}/out").collect())
     assert got == ["ONE", "TWO"]  # the second start read only the new file
 
 
@@ -247,7 +249,7 @@ def test_routed_stream_to_files(spark, tmp_path):
     q = start_flow(spark, opts(src, from_beginning=True), flow, checkpoint=f"{run}/ckpt", sink="parquet",
                    path=f"{run}/out", trigger=NOW)
     q.awaitTermination()
-    got = kafka_frame(spark.read.parquet(f"{run}/out"), "clean").collect()
+    got = kafka_frame(read_sink(spark, f"{run}/out"), "clean").collect()
     assert sorted((r.topic, r.value.split("\t")[1]) for r in got) == [("clean", "OK"), ("errors", "BAD ONE")]
 
 
@@ -273,7 +275,7 @@ def wait_for(spark, out, n, seconds=60):
 
     for _ in range(seconds * 4):
         try:
-            rows = spark.read.schema("record string").parquet(out).collect()
+            rows = read_sink(spark, out).collect()
         except Exception:  # noqa: BLE001 - nothing written yet, or being written
             rows = []
         if len(rows) >= n:
@@ -312,6 +314,71 @@ def test_files_of_the_same_moment_and_older_names_are_told_apart(spark, tmp_path
     assert sorted(r.split("\t")[1] for r in got) == ["LATER", "SAME MOMENT"]
 
 
+def test_no_file_is_lost_by_its_modification_time(spark, tmp_path):
+    """A file that arrives with an old modification time is new: renamed in, copied with its times, or days old."""
+    import os
+    import time
+
+    src = tmp_path / "in"
+    write(src, "early.txt", "early\n")
+    run = new_run_dir(spark, "t-old-times")
+    assert run_once(spark, opts(src), f"{run}/ckpt", f"{run}/out") == []
+    write(tmp_path / "aside", "late.txt", "late\n")
+    hour_ago = time.time() - 3600
+    os.utime(tmp_path / "aside" / "late.txt", (hour_ago, hour_ago))
+    os.rename(tmp_path / "aside" / "late.txt", src / "late.txt")
+    write(src, "late2.txt", "late2\n")
+    got = run_once(spark, opts(src), f"{run}/ckpt", f"{run}/out", max_per_trigger=1)
+    assert sorted(r.split("\t")[1] for r in got) == ["LATE", "LATE2"]
+
+    src = tmp_path / "weeks"
+    write(src, "a.txt", "a\n")
+    run = new_run_dir(spark, "t-weeks")
+    o = opts(src, from_beginning=True)
+    assert len(run_once(spark, o, f"{run}/ckpt", f"{run}/out")) == 1
+    write(src, "b.txt", "b\n")
+    os.utime(src / "b.txt", (time.time() - 9 * 86400,) * 2)
+    write(src, "c.txt", "c\n")
+    got = run_once(spark, o, f"{run}/ckpt", f"{run}/out")
+    assert sorted(r.split("\t")[1] for r in got) == ["A", "B", "C"]
+
+
+def test_files_present_are_passed_by_unread(spark, tmp_path):
+    """The flow's own batches hold only rows of files that came after its first start."""
+    src = tmp_path / "in"
+    write(src, "a.txt", "old\n")
+    run = new_run_dir(spark, "t-unread")
+    assert run_once_rows(spark, opts(src), f"{run}/ckpt", f"{run}/out") == 0
+    write(src, "b.txt", "new\n")
+    # one row, scanned for its number and for the flow
+    assert run_once_rows(spark, opts(src), f"{run}/ckpt", f"{run}/out") == 2
+
+
+def run_once_rows(spark, o, ckpt, out):
+    q = start_flow(spark, o, upcase(), checkpoint=ckpt, sink="parquet", path=out, trigger=NOW)
+    q.awaitTermination()
+    assert q.exception() is None
+    return sum(p["numInputRows"] for p in q.recentProgress)
+
+
+def test_the_memory_sink_starts_at_the_end_too(spark, tmp_path):
+    import os
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "old\n")
+    name = f"mem_{tmp_path.name}_{os.getpid()}".replace("-", "_")
+    run = new_run_dir(spark, "t-memory")
+    q = start_flow(spark, opts(src, name=name), upcase(), checkpoint=f"{run}/ckpt", sink="memory")
+    try:
+        q.processAllAvailable()
+        write(src, "b.txt", "new\n")
+        os.utime(src / "b.txt", (1_600_000_000, 1_600_000_000))
+        q.processAllAvailable()
+        assert [r.record.split("\t")[1] for r in spark.table(name).collect()] == ["NEW"]
+    finally:
+        q.stop()
+
+
 def test_markers_with_special_characters(spark, tmp_path):
     src = tmp_path / "in#1"
     for n in ("a b.txt", "a b%.txt", "a#c.txt", "ä.txt"):
@@ -327,7 +394,31 @@ def test_markers_with_special_characters(spark, tmp_path):
     assert len(got) == len(later) < len(paths)
 
 
-def test_a_sink_folder_belongs_to_one_query(spark, tmp_path):
+def test_other_borders_neither_lose_nor_double(spark, tmp_path):
+    """A flow started again on a new checkpoint leaves out the files that its sink holds."""
+    src = tmp_path / "in"
+    for i in range(4):
+        write(src, f"f{i}.txt", f"line {i}\n" * (i + 1))
+    run = new_run_dir(spark, "t-borders")
+    o = opts(src, from_beginning=True)
+    assert len(run_once(spark, o, f"{run}/c1", f"{run}/out", max_per_trigger=1)) == 10
+    write(src, "f4.txt", "line 4\n")
+    assert len(run_once(spark, o, f"{run}/c2", f"{run}/out", max_per_trigger=3)) == 11
+
+
+def test_a_sink_folder_belongs_to_one_flow(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    src = tmp_path / "in"
+    write(src, "a.txt", "x\n")
+    run = new_run_dir(spark, "t-owner")
+    o = opts(src, from_beginning=True)
+    assert len(run_once(spark, o, f"{run}/c1", f"{run}/out")) == 1
+    with pytest.raises(StreamingQueryException, match="holds the records of flow"):
+        run_once(spark, opts(src, from_beginning=True, name=f"other_{tmp_path.name}"), f"{run}/c2", f"{run}/out")
+
+
+def test_replay_safe_belongs_to_one_query(spark, tmp_path):
     from pyspark.errors import StreamingQueryException
 
     src = tmp_path / "in"
@@ -335,13 +426,129 @@ def test_a_sink_folder_belongs_to_one_query(spark, tmp_path):
         write(src, f"f{i}.txt", f"line {i}\n")
     run = new_run_dir(spark, "t-owner")
     o = opts(src, from_beginning=True)
-    assert len(run_once(spark, o, f"{run}/c1", f"{run}/out", max_per_trigger=1)) == 4
-    with pytest.raises(StreamingQueryException, match="holds the batches of query"):
-        run_once(spark, o, f"{run}/c2", f"{run}/out", max_per_trigger=3)
-    anew = replay_safe(f"{run}/out", replace=True)
-    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/c3", sink=anew, max_per_trigger=3, trigger=NOW)
-    q.awaitTermination()
-    assert q.exception() is None and spark.read.parquet(f"{run}/out").count() == 4
+    for ckpt, sink in (("c1", replay_safe(f"{run}/out")), ("c2", replay_safe(f"{run}/out")), ("c3", replay_safe(f"{run}/out", replace=True))):
+        q = start_flow(spark, o, upcase(), checkpoint=f"{run}/{ckpt}", sink=sink, max_per_trigger=3, trigger=NOW)
+        if ckpt == "c2":
+            with pytest.raises(StreamingQueryException, match="holds the batches of query"):
+                q.awaitTermination()
+        else:
+            q.awaitTermination()
+            assert q.exception() is None and spark.read.parquet(f"{run}/out").count() == 4
+
+
+@pytest.mark.parametrize("moment", ["staged", "published"])
+def test_a_kill_around_the_manifest(spark, tmp_path, monkeypatch, moment):
+    """Lost after the data is staged, or after the manifest but before the checkpoint's commit: nothing is lost or doubled."""
+    from pyspark.errors import StreamingQueryException
+
+    from lineflow.sinks import manifest
+
+    src = tmp_path / "in"
+    for i in range(3):
+        write(src, f"f{i}.txt", f"line {i}\n")
+    run = new_run_dir(spark, f"t-kill-{moment}")
+    real, state = manifest.publish, {"left": 2}
+
+    def flaky(s, path, entry):
+        state["left"] -= 1
+        if state["left"] or moment == "published":
+            real(s, path, entry)
+        if not state["left"]:
+            raise RuntimeError("lost here")
+
+    monkeypatch.setattr(manifest, "publish", flaky)
+    o = opts(src, from_beginning=True)
+    q = start_flow(spark, o, upcase(), checkpoint=f"{run}/c", sink="parquet", path=f"{run}/out", max_per_trigger=1, trigger=NOW)
+    with pytest.raises(StreamingQueryException, match="lost here"):
+        q.awaitTermination()
+    assert len(read_sink(spark, f"{run}/out").collect()) == (1 if moment == "staged" else 2)
+    # the same checkpoint, and then a new one with other borders
+    assert [r.split("\t")[1] for r in run_once(spark, o, f"{run}/c", f"{run}/out", max_per_trigger=1)] == ["LINE 0", "LINE 1", "LINE 2"]
+    assert len(run_once(spark, o, f"{run}/c2", f"{run}/out", max_per_trigger=2)) == 3
+
+
+def test_compaction(spark, tmp_path):
+    """Many batches become few files; readers see the same records; replays are still told."""
+    from lineflow import storage
+
+    run = new_run_dir(spark, "t-compact")
+    sink = ManifestSink(f"{run}/out", "parquet", "me", compact_after=6)
+    for i in range(20):
+        paths = spark.createDataFrame([(f"file:/f{i}",)], "path string")
+        sink.write(spark.createDataFrame([(f"r{i}",)], "record string"), paths, "q", i)
+    assert sorted(int(r.record[1:]) for r in read_sink(spark, f"{run}/out").collect()) == list(range(20))
+    assert len(storage.names(spark, f"{run}/out/_lineflow/manifests")) <= 7
+    again = ManifestSink(f"{run}/out", "parquet", "me")
+    assert all(again.published(spark, "q", i) for i in range(20)) and not again.published(spark, "q", 20)
+    assert again.known_inputs(spark, "other").distinct().count() == 20
+    with pytest.raises(ForeignSink):
+        ManifestSink(f"{run}/out", "parquet", "you").published(spark, "q", 1)
+    before = len(storage.names(spark, f"{run}/out/_lineflow/data"))
+    assert compact(spark, f"{run}/out") > 1 and compact(spark, f"{run}/out") == 0
+    assert len(storage.names(spark, f"{run}/out/_lineflow/data")) < before + 1
+    assert read_sink(spark, f"{run}/out").count() == 20
+    assert read_sink(spark, f"{run}/none").count() == 0
+
+
+def test_a_name_is_leased(spark):
+    """A second driver is refused the name, takes it over, or takes it when the lease is stale; the first can't publish then."""
+    import time
+
+    from lineflow.streaming.lease import _HELD, LeaseLost, NameLease, NameTaken
+
+    name = new_run_dir(spark, "t-lease").rsplit("/", 1)[-1]
+
+    def driver(ttl=60.0):
+        _HELD.clear()  # as another process sees it
+        return NameLease(spark, name, ttl)
+
+    first = driver().acquire()
+    with pytest.raises(NameTaken, match="already running in another application"):
+        driver().acquire()
+    first.renew()
+    second = driver().acquire(take_over=True, wait=0.2)
+    assert second.number > first.number
+    for what in (first.check, first.renew):
+        with pytest.raises(LeaseLost):
+            what()
+    second.check()
+    second.release()
+    third = driver().acquire()  # given back: free
+    time.sleep(1.2)
+    fourth = driver(ttl=1.0).acquire()  # stale: free
+    assert fourth.number > third.number
+    with pytest.raises(LeaseLost):
+        third.check()
+
+
+def test_a_flow_taken_over_stops_and_a_name_in_use_is_refused(spark, tmp_path, monkeypatch):
+    import time
+
+    from lineflow.streaming import lease
+
+    monkeypatch.setattr(lease, "TTL", 4.0)
+    monkeypatch.setattr(lease.NameLease.__init__, "__defaults__", (4.0,))
+    src = tmp_path / "in"
+    write(src, "a.txt", "x\n")
+    run = new_run_dir(spark, "t-taken")
+    name = run.rsplit("/", 1)[-1]
+    held = lease.NameLease(spark, name).acquire()
+    lease._HELD.clear()
+    with pytest.raises(FlowAlreadyRunning, match="another application"):
+        start_flow(spark, opts(src, name=name), upcase(), checkpoint=f"{run}/c", sink="parquet", path=f"{run}/out", trigger=NOW)
+    held.release()
+    q = start_flow(spark, opts(src, name=name), upcase(), checkpoint=f"{run}/c", sink="parquet", path=f"{run}/out")
+    try:
+        assert q.isActive
+        lease._HELD.clear()
+        lease.NameLease(spark, name).acquire(take_over=True)
+        for _ in range(100):
+            if not q.isActive:
+                break
+            time.sleep(0.2)
+        assert not q.isActive
+    finally:
+        q.stop()
 
 
 def test_whole_files(spark, tmp_path):
