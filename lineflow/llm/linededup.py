@@ -3,16 +3,17 @@
 Every line hash gets a HyperLogLog sketch of the sites it occurs on; sketches
 merge in the aggregation.  A line whose estimate is clear of ``min_sites`` by
 the sketch's error is decided by it, the others get exact distinct counts.
-Texts then lose their boilerplate lines.  The work is DataFrame expressions:
-lines are joined by their 128-bit hash, and one row per distinct text and
-boilerplate line meets the text again, so a hot line or a group of copies is
-aggregated before it is joined.
+Texts then lose their boilerplate lines, whatever their share of the text.  A
+text that is copied as a whole counts for one site only, the first it is on:
+syndication alone makes no line boilerplate, and document deduplication finds
+its copies whole.  The work is DataFrame expressions: lines are joined by their
+128-bit hash, distinct pairs of line and site are made before they meet the
+near-threshold lines, and one row per distinct text and boilerplate line meets
+the text again, so a hot line or a group of copies is aggregated before it is
+joined.
 
 A line is compared without the blanks, tabs and returns around it; lines that
-are empty then are never boilerplate.  A text of which boilerplate would take
-more than ``max_share`` of the bytes is left whole.  With ``keep_copies`` a text
-that is itself, as a whole, on ``min_sites`` sites is left whole too: copying
-alone makes all its lines boilerplate, and document deduplication shall keep one.
+are empty then are never boilerplate.
 
 Rows: null texts stay null and have no lines; a null site counts as a site of
 its own.  Texts of any length and repeated rows are treated alike (every row
@@ -28,8 +29,7 @@ from pyspark.sql import functions as F
 from lineflow.session import scratch_root
 
 MIN_SITES = 8
-MAX_SHARE = 0.5
-BROADCAST_ROWS = 1_000_000  # of 16-byte hashes
+BROADCAST_ROWS = 1_000_000  # of hashes, some 40 bytes each
 LOG_REGISTERS = 10
 ERROR = 5 * 1.04 / 2 ** (LOG_REGISTERS / 2)  # five standard errors
 
@@ -39,25 +39,36 @@ def _hashes(c: Column, name: str) -> list[Column]:
 
 
 def _lines(docs: DataFrame, text: str, *more: Column) -> DataFrame:
-    """One row per non-empty line: its hash ``_l1, _l2``, place and bytes, and the columns ``more``."""
+    """One row per non-empty line: its hash ``_l1, _l2`` and place, and the columns ``more``."""
     split = F.posexplode(F.split(F.col(text), "\n")).alias("_pos", "_line")
     key = F.btrim(F.col("_line"), F.lit(" \t\r"))
     return (docs.select(*more, split).where(key != "")
-            .select("*", *_hashes(key, "_l"), F.octet_length("_line").alias("_bytes")).drop("_line"))
+            .select("*", *_hashes(key, "_l")).drop("_line"))
 
 
 def _site(site: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("_site")
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """A checkpointed frame, broadcast in joins while it is small."""
+    df = df.checkpoint()
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def boilerplate_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """The hashes ``_l1, _l2`` of lines on at least ``min_sites`` distinct sites."""
-    lines = _lines(docs, text, _site(site)).select("_l1", "_l2", "_site")
+    """The hashes ``_l1, _l2`` of lines on at least ``min_sites`` distinct sites, each text counting for its first one."""
+    scratch_root(docs.sparkSession)
+    own = _hashes(F.col(text), "_t")
+    copied = docs.where(F.col(text) != "").select(*own, _site(site)).groupBy("_t1", "_t2").agg(
+        F.min("_site").alias("_one"), F.max("_site").alias("_last")).where("_one != _last").drop("_last")
+    lines = _lines(docs, text, *own, _site(site)).join(_few(copied), ["_t1", "_t2"], "left")
+    lines = lines.select("_l1", "_l2", F.coalesce("_one", "_site").alias("_site"))
     spread = lines.groupBy("_l1", "_l2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS))).alias("_n"))
     sure = spread.where(F.col("_n") > min_sites * (1 + ERROR)).select("_l1", "_l2")
     near = spread.where(F.col("_n").between(min_sites * (1 - ERROR), min_sites * (1 + ERROR))).select("_l1", "_l2")
-    exact = (lines.join(near, ["_l1", "_l2"], "left_semi").distinct().groupBy("_l1", "_l2")
+    exact = (lines.distinct().join(_few(near), ["_l1", "_l2"], "left_semi").groupBy("_l1", "_l2")
              .agg(F.count("*").alias("_n")).where(F.col("_n") >= min_sites).select("_l1", "_l2"))
     return sure.unionAll(exact)
 
@@ -70,27 +81,18 @@ def _without(lines: Column, places: Column) -> Column:
     return F.flatten(pieces)
 
 
-def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                       max_share: float = MAX_SHARE, keep_copies: bool = False) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_removed`` added."""
-    scratch_root(docs.sparkSession)
-    listed = boilerplate_lines(docs, text, site, min_sites).checkpoint()
-    if listed.count() <= BROADCAST_ROWS:  # so that no task gathers a common line
-        listed = F.broadcast(listed)
+    listed = _few(boilerplate_lines(docs, text, site, min_sites))  # broadcast, so that no task gathers a common line
     own = _hashes(F.col(text), "_t")
     found = _lines(docs, text, *own).join(listed, ["_l1", "_l2"], "left_semi")
-    cut = found.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_set(F.struct("_pos", "_bytes"))).alias("_cut"))
-    cut = cut.select("_t1", "_t2", F.col("_cut._pos").alias("_places"),
-                     F.aggregate("_cut._bytes", F.lit(0).cast("long"), lambda a, b: a + b).alias("_cut_bytes"))
-    if keep_copies:
-        spread = docs.where(F.col(text) != "").select(*own, _site(site)).distinct().groupBy("_t1", "_t2").agg(F.count("*").alias("_n"))
-        cut = cut.join(spread.where(F.col("_n") >= min_sites), ["_t1", "_t2"], "left_anti")
+    cut = found.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_set("_pos")).alias("_places"))
     # the row travels as one column, so that no name of its own can clash
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = docs.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"), *own).join(cut, ["_t1", "_t2"], "left")
     old = F.col("_row")[text]
     lines = F.split(old, "\n")
-    goes = F.coalesce(F.col("_cut_bytes") <= max_share * F.octet_length(old), F.lit(False))
+    goes = F.col("_places").isNotNull()
     n_lines = F.when(F.coalesce(old, F.lit("")) == "", 0).otherwise(F.size(lines))
     new = F.when(goes, F.array_join(_without(lines, F.col("_places")), "\n")).otherwise(old)
     return rows.select(*(new.alias(c) if c == text else F.col("_row")[c].alias(c) for c in names),

@@ -238,20 +238,18 @@ FROM named LEFT JOIN listed ON canon = c
 """
 
 ORACLES["op5_line_dedup"] = f"""
-WITH raw AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+WITH raw AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce('=' || source, '') AS own FROM documents),
+firsts AS (SELECT *, min(own) OVER (PARTITION BY text) AS site FROM raw),
 lines AS (
-  SELECT r, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw),
+  SELECT r, site, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM firsts),
 keyed AS (SELECT *, trim(line, chr(32) || chr(9) || chr(13)) AS k FROM lines),
-spread AS (
-  SELECT k FROM keyed WHERE k <> '' GROUP BY k
-  HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {linededup.MIN_SITES}),
+spread AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= {linededup.MIN_SITES}),
 marked AS (SELECT r, text, pos, line, k IN (SELECT k FROM spread) AS gone FROM keyed),
 docs AS (
-  SELECT r, count(*) AS n, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS g, sum(CASE WHEN gone THEN strlen(line) ELSE 0 END) AS b,
-         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM marked GROUP BY r)
+  SELECT r, count(*) AS n, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS g,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM marked GROUP BY r)
 SELECT doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE n END AS BIGINT) AS n_lines,
-       CAST(CASE WHEN b <= {linededup.MAX_SHARE} * strlen(text) THEN g ELSE 0 END AS BIGINT) AS n_removed,
-       CASE WHEN g > 0 AND b <= {linededup.MAX_SHARE} * strlen(text) THEN kept ELSE text END AS clean_text
+       CAST(coalesce(g, 0) AS BIGINT) AS n_removed, CASE WHEN g > 0 THEN kept ELSE text END AS clean_text
 FROM raw LEFT JOIN docs USING (r)
 """
 
