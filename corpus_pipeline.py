@@ -2,14 +2,14 @@
 
 Each stage works on all rows that the one before kept; ``run`` writes every
 stage's rows to the shared checkpoint folder and reads them back.  All stages
-but the last return the columns of ``documents``.
+but the last return all columns of their input.
 
 * ``language``: a byte network learns from the rows' own labels; rows whose
   text has no letter, or whose score is below ``MIN_SCORE``, go.  Without a
   labelled row there is nothing to learn: all rows with a letter stay.
 * ``line_dedup``: cross-site boilerplate lines are cut from the texts, whatever
-  their share; ``n_chars`` follows.  Texts that are themselves on as many sites
-  stay whole for the next stage.
+  their share; ``n_chars`` follows.  A copied text counts for one site, so that
+  copies reach the next stage as copies, without the notices they carry.
 * ``jaccard``: of the texts linked at 0.8 over shingles of five words, the
   one with the least id stays.
 * ``decontaminate``: rows that hold ten words in a row of a benchmark item go.
@@ -30,7 +30,6 @@ from lineflow.llm import bpe, decontam, jaccard, langid, linededup
 from lineflow.llm.textops import bounded_batches, table
 from lineflow.session import new_run_dir, ship_package
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SCORE = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -44,25 +43,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _prepare(spark)
     net = langid.train(docs, order=F.xxhash64("doc_id"))
     if net is None:
-        return langid.lettered(docs.select(*COLUMNS))
-    judged = langid.predict(docs.select(*COLUMNS), net)
-    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
+        return langid.lettered(docs)
+    # the row travels as one column, so that no name of its own can clash
+    judged = langid.predict(docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), "text"), net)
+    kept = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = linededup.remove_boilerplate(docs.select(*COLUMNS), max_share=1.0, keep_copies=True)
-    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    cut = linededup.remove_boilerplate(docs)
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _prepare(spark)
-    return jaccard.keep_one(docs.select(*COLUMNS), width=5, threshold=80)
+    return jaccard.keep_one(docs, width=5, threshold=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _prepare(spark)
     items = table(spark, sf_dir, "benchmark")
-    return decontam.drop_contaminated(docs.select(*COLUMNS), items, f"{new_run_dir(spark, 'postings')}/index")
+    return decontam.drop_contaminated(docs, items, f"{new_run_dir(spark, 'postings')}/index")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
