@@ -52,6 +52,15 @@ def test_pipeline_stages(spark):
         docs = out
 
 
+def test_stages_keep_further_columns(spark):
+    """Columns that only the caller knows go through every stage but the last, whatever their names."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30).selectExpr("*", "doc_id AS _row", "'x' AS score", "'y' AS component")
+    for _name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert all(r["_row"] == r["doc_id"] and r["score"] == "x" and r["component"] == "y" for r in out.collect())
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "round_trip"]
