@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineflow.functions.steps import (
@@ -31,7 +31,7 @@ from lineflow.functions.steps import (
 from lineflow.functions.udtf import with_prime_factors
 from lineflow.operators.batch import python_step
 from lineflow.operators.external import command_step
-from lineflow.operators.framing import frame_count, frame_text
+from lineflow.operators.framing import frame_count, frame_text, ordered_frames, write_framed_text
 from lineflow.operators.partitioning import spread, spread_to_cluster
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import run_frames, run_records
@@ -99,12 +99,17 @@ def flow_to_json(spark, sf):
     return run_records(table(spark, sf, "events"), to_json(), F.struct("event_id", "event_type"), keep=["event_id"])
 
 
+def _tens(k):
+    """Tens of a number of 0 and more, without a floating division."""
+    return F.call_function("div", k, F.lit(10).cast("bigint"))
+
+
 def k_buckets_flow():
     """Parse ``k`` from the props JSON, keep k >= 50, bucket by tens, print JSON."""
     parse = map_step(lambda x: F.struct(x["event_type"].alias("event_type"),
                                         F.from_json(x["props"], "k BIGINT")["k"].alias("k")), "parse_props")
     bucket = map_step(lambda x: F.struct(x["event_type"].alias("event_type"),
-                                         (x["k"] / 10).cast("bigint").alias("bucket")), "bucket")
+                                         _tens(x["k"]).alias("bucket")), "bucket")
     return parse | keep_if(lambda x: x["k"] >= 50, "k_at_least_50") | bucket | to_json()
 
 
@@ -179,6 +184,22 @@ def bolt_frames(spark, sf):
     return frames.select(frame_text("out", BOLT_TERMINATOR).alias("frame"))
 
 
+def bolt_order(spark, sf):
+    """The bolt's output files, read one after the other by name: every line with its place.
+
+    The input is the events' JSON in several files whose names and lines follow the event ids.
+    """
+    run = new_run_dir(spark, "bolt_order")
+    events = table(spark, sf, "events").select("event_id", "props").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    events.select("props").write.text(f"{run}/lines")
+    frames = ordered_frames(spark, f"{run}/lines", from_json() | interpolate("I raised the {k}", "test_example"))
+    write_framed_text(frames, "out", f"{run}/frames", BOLT_TERMINATOR)
+    lines = read_numbered_lines(spark, f"{run}/frames")
+    ahead = Window.orderBy("metadata").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    files = lines.groupBy("metadata").agg(F.count("*").alias("n")).select("metadata", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    return lines.join(files, "metadata").select((F.col("before") + F.col("linenumber")).alias("place"), F.col("content").alias("line"))
+
+
 def external_command(spark, sf):
     step = command_step(["awk", AWK_SPLIT], delimiter=COMMAND_TERMINATOR, name="split_words")
     return run_records(wide_table(spark, sf, "part", "p_partkey", "p_name"), step, "p_name", keep=["p_partkey"])
@@ -327,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "framed_counts": framed_counts,
     "framed_text": framed_text,
     "bolt_frames": bolt_frames,
+    "bolt_order": bolt_order,
     "external_command": external_command,
     "suppress_errors": suppress_errors,
     "flow_python_json": flow_python_json,
@@ -384,6 +406,10 @@ ORACLES: dict[str, str] = {
         "then repeat(event_type || chr(10), 3) else event_type || chr(10) end || 'X' || chr(10) as frame from events"
     ),
     "bolt_frames": "select 'I raised the ' || coalesce(props->>'$.k', '') || chr(10) || 'X' || chr(10) as frame from events",
+    "bolt_order": (
+        "select 2 * n - 1 + e as place, case when e = 0 then 'I raised the ' || k else 'X' end as line from "
+        "(select row_number() over (order by event_id) as n, coalesce(props->>'$.k', '') as k from events), range(2) r(e)"
+    ),
     "external_command": "select p_partkey, unnest(string_split(p_name, ' ')) as record from part",
     "suppress_errors": (
         "select event_id, cast(1000 // (k % 10) as varchar) as record from "

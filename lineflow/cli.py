@@ -85,17 +85,15 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _bolt(spark, opts: FlowOptions) -> int:
-    """Framed text of every line below ``--input`` (the bolt's output, as files)."""
-    from lineflow.operators.framing import write_framed_text
-    from lineflow.plans.flow import run_frames
+    """Framed text of every line below ``--input`` (the bolt's output, as files): read by name, they hold the frames in input order."""
+    from lineflow.operators.framing import ordered_frames, write_framed_text
     from lineflow.plans.topology import resolve_flow
 
     if not (opts.flow or opts.bolt_command):
         raise OptionError("provide a dataflow to run (a flow name, --run or --bolt_command)")
     if not opts.input or not opts.output:
         raise OptionError("--input and --output are required")
-    lines = spark.read.text(opts.input)
-    frames = run_frames(lines, resolve_flow(opts), "value")
+    frames = ordered_frames(spark, opts.input, resolve_flow(opts))
     write_framed_text(frames, "out", opts.output, opts.delimiter)
     return 0
 

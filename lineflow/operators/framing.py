@@ -7,11 +7,16 @@ it into the protocol's text and count it, all as Catalyst expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import TYPE_CHECKING
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineflow.options import DEFAULT_BOLT_DELIMITER
 
+if TYPE_CHECKING:
+    from lineflow.plans.flow import Flow, Step
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,13 +32,27 @@ def frame_count(out: str | Column) -> Column:
     return F.size(_c(out))
 
 
+def ordered_frames(spark: SparkSession, path: str, flow: Step | Flow, out: str = "out") -> DataFrame:
+    """A frame for every line below ``path``, in the order of files and lines (SRC-6, EXT-2): ``metadata, linenumber, out``.
+
+    Lines are dealt to partitions by ranges of (file, line number) before the
+    flow runs, so it runs once a line; a flow keeps its partition's order.
+    """
+    from lineflow.plans.flow import run_frames
+    from lineflow.sources.records import in_order, read_numbered_lines
+
+    lines = in_order(read_numbered_lines(spark, path))
+    return run_frames(lines, flow, "content", keep=["metadata", "linenumber"], output=out)
+
+
 def write_framed_text(df: DataFrame, out: str, path: str, delimiter: str = DEFAULT_BOLT_DELIMITER,
                       mode: str = "overwrite") -> None:
     """Write frames as text (SNK-3).
 
     The text writer ends every row with a newline, so the frame's own last
     newline is dropped; the file then reads byte for byte like the bolt's
-    standard output.
+    standard output.  Partitions are written in order: the files of
+    ``ordered_frames``, one after the other by name, hold the frames in order.
     """
     text = F.concat(F.array_join(F.concat(F.col(out), F.array(F.lit(delimiter))), "\n"))
     df.select(text.alias("value")).write.mode(mode).text(path)

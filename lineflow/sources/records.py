@@ -16,7 +16,9 @@ that blob.  Two ways produce it:
   text once and whose groups are bounded by the block size).  Both scans
   read the same splits whatever executors are live: the split layout is
   fixed in a session of its own (``fixed_layout``), and a line whose block
-  is unknown or shorter than its place raises an error.
+  is unknown or shorter than its place raises an error.  The result is a
+  frame of the caller's session (``in_session``).  ``in_order`` deals it so
+  that writers keep the order of blobs and lines.
 
 Line semantics follow Spark's line reader: ``\\n``, ``\\r\\n`` and ``\\r``
 end lines, a final terminator does not open an empty last line, and an
@@ -25,6 +27,8 @@ empty blob has no lines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +129,26 @@ def block_table(tagged: DataFrame, plan_only: bool = False) -> DataFrame:
     return blocks.checkpoint(eager=True)
 
 
+def in_session(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A frame of another session as one of ``spark``: its settings, views and functions apply from here on.
+
+    A scan keeps the layout of the session it was read in.  The global view
+    that hands the plan over is dropped at once.
+    """
+    name = f"lineflow_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return spark.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}").select("*")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
+def in_order(lines: DataFrame) -> DataFrame:
+    """Line records dealt to partitions by blob name and line number: partition after partition they read in that order."""
+    key = ["metadata", "linenumber"]
+    return lines.repartitionByRange(*key).sortWithinPartitions(*key)
+
+
 def number_lines(tagged: DataFrame, broadcast_limit: int = BLOCK_BROADCAST_LIMIT, plan_only: bool = False,
                  blocks: DataFrame | None = None, leave_out: DataFrame | None = None) -> DataFrame:
     """Add 1-based ``linenumber`` to ``content, metadata, __block`` rows read straight from a scan.
@@ -185,4 +209,4 @@ def read_numbered_lines(
     lines = number_lines(tagged, broadcast_limit, plan_only)
     if spread_to > max(min_splits, scan_partitions(tagged) or spread_to):
         lines = lines.repartition(spread_to)
-    return lines
+    return in_session(spark, lines)

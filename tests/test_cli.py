@@ -32,6 +32,30 @@ def test_bolt_command(spark, tmp_path):
     assert text == "a\nb\n---\n---\nc\n---\n"
 
 
+def test_bolt_keeps_the_order_of_files_and_lines(spark, tmp_path):
+    """Frames of three files of unequal sizes, cut into many splits, in input order; through a command too."""
+    src = tmp_path / "in"
+    src.mkdir()
+    want = []
+    for name, n in (("a.txt", 3), ("b.txt", 4000), ("c.txt", 50)):
+        lines = [f"{name} {i}" for i in range(n)]
+        (src / name).write_text("".join(f"{x}\n" for x in lines))
+        want += [w for x in lines for w in (*x.split(), "---")]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, small as they are
+    try:
+        for how in (["tokenizer", "--flows=lineflow.functions.examples"],
+                    ["--bolt_command=awk '{ for (i = 1; i <= NF; i++) print $i; print \"---\" }'"]):
+            out = tmp_path / f"out{len(how)}"
+            assert main(["bolt", *how, "--delimiter=---", f"--input={src}", f"--output={out}"]) == 0
+            files = sorted(glob.glob(f"{out}/part-*"))
+            assert "".join(open(p).read() for p in files).split("\n")[:-1] == want and len(files) > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_run_dry(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")

@@ -125,3 +125,27 @@ def test_a_changed_layout_is_an_error(spark, tmp_path):
             df.collect()
     finally:
         spark.conf.set(key, old)
+
+
+def test_numbered_lines_belong_to_the_callers_session(spark, tmp_path):
+    """Its views, functions and later settings apply; the scan keeps its layout through them."""
+    d = tmp_path / "own"
+    d.mkdir()
+    (d / "a.txt").write_text("".join(f"line {i}\n" for i in range(1, 20001)))
+    key, size = "spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "20000")
+    try:
+        lines = read_numbered_lines(spark, str(d))
+        assert lines.sparkSession is spark
+        spark.conf.set(size, "70000")
+        spark.conf.set(key, "3")  # cuts files another way from now on
+        lines.createOrReplaceTempView("numbered_here")
+        spark.udf.register("tail_here", lambda s: s.rsplit(" ", 1)[-1])
+        row = spark.sql("select count(*) n, sum(case when tail_here(content) = linenumber then 1 else 0 end) ok from numbered_here").first()
+        assert (row.n, row.ok) == (20000, 20000)
+        assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("lineflow_")]
+    finally:
+        spark.conf.set(size, old)
+        spark.conf.unset(key)
+        spark.catalog.dropTempView("numbered_here")
