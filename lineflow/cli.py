@@ -4,7 +4,8 @@
                                --output=TOPIC [--sink=kafka|parquet|text|memory --path=DIR]
                                [--checkpoint=DIR] [--trigger=available|"10 seconds"]
                                [--max_per_trigger=N] [--max_bytes_per_trigger=N] [--whole_files]
-                               [--command_timeout=SECONDS] [--batch] [launch options]
+                               [--command_timeout=SECONDS] [--command_session_bytes=N]
+                               [--batch] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
 ``run`` keeps running until it is stopped and picks up what arrives;
@@ -12,7 +13,8 @@
 ``--batch`` runs once over that as a static DataFrame instead of a stream.
 ``--max_per_trigger`` caps the files (or Kafka offsets) of one micro-batch;
 ``--whole_files`` reads each file as one row (see ``start_flow``).
-``--command_timeout`` bounds a command's silence.  ``--flows`` names Python files or modules that register processors and
+``--command_timeout`` bounds a command's silence, ``--command_session_bytes``
+the input that one child of it gets.  ``--flows`` names Python files or modules that register processors and
 dataflows (``lineflow.processor``, ``lineflow.dataflow``); give it more
 than once for several.  ``--bolt_command='cmd args'`` runs an external
 command instead of a named flow.  Meant to run under ``spark-submit``,

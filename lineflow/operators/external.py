@@ -7,10 +7,15 @@ output lines and then a terminator line.  Each Spark task starts one child
 provenance stays exact.  Input is written by a separate thread while the
 task reads, which overlaps the two directions without ever deadlocking on full
 pipes and also serves commands that buffer their input or output by
-block; frames still pair with inputs by order.  Input batches wait in
-memory until their frames are read, ``max_pending_bytes`` of them at most:
-beyond that the writer waits, and a command that has taken in more than
-pipes hold without an answer is an error, so memory stays bounded.
+block; frames still pair with inputs by order.
+
+A task's input is cut into sessions of at most ``session_bytes``, by the sizes
+of its batches alone, with one child each: the child gets the session's
+input, its input is closed, and its frames are read to the end before the
+next child starts.  A command that reads everything before it answers (a sort,
+any filter that buffers) therefore answers whatever the size of the
+partition, however long it takes, and a task never holds more than one
+session's input.
 
 Failures raise ``FrameProtocolError`` naming the input concerned: a child
 that ends early, omits a terminator, prints past its last frame (an output
@@ -24,6 +29,7 @@ side effects are at-least-once.
 from __future__ import annotations
 
 import os
+import queue
 import select
 import subprocess
 import threading
@@ -41,75 +47,21 @@ SPARK_FILE_PREFIX = "sparkfile:"
 ENVIRONMENT_VARIABLE = "LINEFLOW_ENVIRONMENT"
 
 
-# Input that waits for its frames in one task, in bytes of Arrow data.
-MAX_PENDING_BYTES = 256 << 20
-# More than the pipes and usual output buffers between the two sides hold.
-PIPE_BYTES = 1 << 20
-# How long a command may hold more input than that, without output, while the queue is full.
-QUIET_SECONDS = 60
+# Input of one child, in bytes of Arrow data: what a task holds while frames are outstanding.
+SESSION_BYTES = 256 << 20
 
 
 class FrameProtocolError(RuntimeError):
     """The command broke the framing protocol."""
 
 
-class _Pending:
-    """Batches sent to the child whose frames are not read yet: a queue bounded by bytes."""
-
-    def __init__(self, limit: int, patience: int = QUIET_SECONDS):
-        self.limit, self.patience = limit, patience
-        self.items: deque = deque()
-        self.held = 0  # bytes of batches in the queue
-        self.open = 0  # bytes of records written to the child since its last output
-        self.answers = 0  # pieces of output so far
-        self.ended = False
-        self.changed = threading.Condition()
-
-    def put(self, item, size: int) -> None:
-        """Wait while the queue is full; fail when the child has taken in more than pipes hold and stays silent."""
-        with self.changed:
-            quiet, seen = 0, self.answers
-            while self.items and self.held + size > self.limit and self.open > PIPE_BYTES and not self.ended:
-                self.changed.wait(1.0)
-                quiet, seen = (0 if self.answers != seen else quiet + 1), self.answers
-                if quiet >= self.patience:
-                    raise FrameProtocolError(
-                        f"the command answers too late: {self.held} bytes of input wait for their frames; "
-                        "answer record by record, or raise max_pending_bytes")
-            self._add(item, size)
-
-    def close(self, item) -> None:
-        with self.changed:
-            self._add(item, 0)
-
-    def _add(self, item, size: int) -> None:
-        self.items.append((item, size))
-        self.held += size
-        self.changed.notify_all()
-
-    def wrote(self, size: int) -> None:
-        with self.changed:
-            self.open += size
-
-    def answered(self) -> None:
-        with self.changed:
-            self.open = 0
-            self.answers += 1
-            self.changed.notify_all()
-
-    def get(self):
-        with self.changed:
-            while not self.items:
-                self.changed.wait()
-            item, size = self.items.popleft()
-            self.held -= size
-            self.changed.notify_all()
-            return item
-
-    def end(self) -> None:
-        with self.changed:
-            self.ended = True
-            self.changed.notify_all()
+class _Session:
+    """One child and what it was given."""
+
+    def __init__(self, child: _Child):
+        self.child = child
+        self.sent = 0  # bytes of its batches
+        self.over = threading.Event()  # its frames are read, or the task has ended
 
 
 def _resolve(argv: Sequence[str]) -> list[str]:
@@ -140,7 +92,6 @@ class _Child:
         self._pos = 0  # next unread line
         self._partial = b""  # bytes after the last newline
         self._eof = False
-        self.on_output = lambda: None
 
     def _more(self) -> bool:
         """Read one more chunk of output; False at end of output.
@@ -153,7 +104,6 @@ class _Child:
         if self.timeout and not select.select([self._out_fd], [], [], self.timeout)[0]:
             self._kill()
         chunk = os.read(self._out_fd, 1 << 16)
-        self.on_output()
         if not chunk:
             self._eof = True
             if not self._partial:
@@ -194,10 +144,8 @@ class _Child:
         why = " (read timeout)" if self.timed_out else ""
         return FrameProtocolError(f"command {self.argv!r}: {msg}{why}; stderr: {tail or '(empty)'}")
 
-    def write(self, records: list[str]) -> int:
-        data = "".join(f"{r}\n" for r in records).encode("utf-8")
-        self.proc.stdin.write(data)
-        return len(data)
+    def write(self, records: list[str]) -> None:
+        self.proc.stdin.write("".join(f"{r}\n" for r in records).encode("utf-8"))
 
     def close_input(self) -> None:
         try:
@@ -263,15 +211,16 @@ def command_step(
     env: Mapping[str, str] | None = None,
     timeout: float | None = None,
     name: str | None = None,
-    max_pending_bytes: int = MAX_PENDING_BYTES,
+    session_bytes: int = SESSION_BYTES,
 ) -> Step:
-    """A table step running ``argv`` (a list, never a shell string) per task.
+    """A table step running ``argv`` (a list, never a shell string) on sessions of each task's input.
 
     ``delimiter`` is the terminator the command writes (EXT-4), ``cwd`` and
     ``environment`` where and in which named environment it runs (EXT-6);
     ``timeout`` is how many seconds the command may be silent, or take to
-    exit after its last frame (None: no bound).  ``max_pending_bytes`` bounds
-    the input that waits for frames in one task.
+    exit after its last frame (None: no bound).  ``session_bytes`` bounds the
+    input of one child, and with it what a task holds; a single larger batch is
+    a session of its own.
     """
     argv = list(argv)
     if not argv:
@@ -292,12 +241,17 @@ def command_step(
             # closes its input; this thread reads frames in the same order.
             # Commands that flush per line and commands that buffer by block
             # both work, and full pipes cannot deadlock the two sides.
-            pending = _Pending(max_pending_bytes)
-            child: _Child | None = None
+            pending: queue.SimpleQueue = queue.SimpleQueue()  # bounded by the session
             box: dict[str, object] = {}
             stop = threading.Event()
 
+            def open_session() -> _Session:
+                env_ = {**os.environ, **extra_env, ENVIRONMENT_VARIABLE: environment}
+                box["session"] = _Session(_Child(_resolve(argv), delimiter, cwd, env_, timeout))
+                return box["session"]
+
             def feed() -> None:
+                session: _Session | None = None
                 try:
                     for batch in batches:
                         if stop.is_set():  # the task ended early: read no more input
@@ -307,30 +261,43 @@ def command_step(
                         for r in flat:
                             if "\n" in r:
                                 raise FrameProtocolError(f"record holds a newline and cannot be sent: {r[:200]!r}")
-                        if flat and "child" not in box:
-                            env_ = {**os.environ, **extra_env, ENVIRONMENT_VARIABLE: environment}
-                            box["child"] = _Child(_resolve(argv), delimiter, cwd, env_, timeout)
-                            box["child"].on_output = pending.answered
-                        pending.put((batch, per_input, flat), batch.nbytes)
+                        if session is not None and session.sent + batch.nbytes > session_bytes:
+                            session.child.close_input()
+                            pending.put((session, None, None, None))
+                            session.over.wait()
+                            session = None
+                            if stop.is_set():
+                                break
+                        if flat and session is None:
+                            session = open_session()
+                        pending.put((session, batch, per_input, flat))
+                        if session is not None:
+                            session.sent += batch.nbytes
                         for at in range(0, len(flat), 1000):
-                            pending.wrote(box["child"].write(flat[at:at + 1000]))
+                            session.child.write(flat[at:at + 1000])
                 except BaseException as exc:  # noqa: BLE001 - handed to the task thread
                     box["error"] = exc
                 finally:
-                    if "child" in box:
-                        box["child"].close_input()
-                    pending.close(_DONE)
+                    if session is not None:
+                        session.child.close_input()
+                    pending.put(_DONE)
 
             writer = threading.Thread(target=feed, daemon=True)
             writer.start()
             try:
+                last: _Session | None = None
                 while True:
                     item = pending.get()
                     if item is _DONE:
                         break
-                    batch, per_input, flat = item
-                    child = box.get("child")
-                    frames = iter(child.read_frames(flat)) if flat else iter(())
+                    last, batch, per_input, flat = item
+                    if batch is None:  # the session's input is closed
+                        last.child.finish()
+                        last.child.close()
+                        last.over.set()
+                        last = None
+                        continue
+                    frames = iter(last.child.read_frames(flat)) if flat else iter(())
                     new = []
                     for recs in per_input:
                         out: list[str] = []
@@ -344,18 +311,17 @@ def command_step(
                 writer.join()
                 if "error" in box:
                     err = box["error"]
-                    if isinstance(err, (BrokenPipeError, OSError)) and "child" in box:
-                        raise box["child"].fail(f"could not write input: {err}")
+                    if isinstance(err, (BrokenPipeError, OSError)) and "session" in box:
+                        raise box["session"].child.fail(f"could not write input: {err}")
                     raise err
-                child = box.get("child")
-                if child is not None:
-                    child.finish()
+                if last is not None:
+                    last.child.finish()
             finally:
                 stop.set()
-                pending.end()
-                child = box.get("child")
-                if child is not None:
-                    child.close()
+                session = box.get("session")
+                if session is not None:
+                    session.over.set()
+                    session.child.close()
 
         return df.mapInArrow(run, out_schema)
 

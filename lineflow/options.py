@@ -54,7 +54,7 @@ class StartPosition:
 _BOOL_OPTIONS = {"from_beginning", "from_end", "rm", "dry_run"}
 # The short flags of the bolt command.
 _SHORT_FLAGS = {"-r": "run", "-t": "delimiter"}
-_INT_OPTIONS = {"kafka_partitions", "kafka_batch", "input_parallelism", "parallelism", "wait"}
+_INT_OPTIONS = {"kafka_partitions", "kafka_batch", "input_parallelism", "parallelism", "wait", "command_session_bytes"}
 _FLOAT_OPTIONS = {"command_timeout"}
 
 
@@ -84,6 +84,7 @@ class FlowOptions:
     dry_run: bool = False
     directory: str | None = None
     command_timeout: float | None = None  # seconds a command may be silent; none by default
+    command_session_bytes: int | None = None  # input of one child of a command; 256 MB by default
     environment: str = DEFAULT_ENVIRONMENT
     extra: dict[str, str] = field(default_factory=dict)
     engine: dict[str, str] = field(default_factory=dict)
@@ -291,6 +292,8 @@ class FlowOptions:
             raise OptionError("--kafka_batch must be positive")
         if self.command_timeout is not None and self.command_timeout <= 0:
             raise OptionError("--command_timeout must be positive")
+        if self.command_session_bytes is not None and self.command_session_bytes <= 0:
+            raise OptionError("--command_session_bytes must be positive")
         if self.wait < 0:
             raise OptionError("--wait must not be negative")
         return self

@@ -12,7 +12,7 @@ import io
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lineflow.operators.external import command_step
+from lineflow.operators.external import SESSION_BYTES, command_step
 from lineflow.operators.partitioning import scan_partitions, spread
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step, as_flow, run_records
@@ -29,7 +29,8 @@ def resolve_flow(opts: FlowOptions, flow: Step | Flow | None = None) -> Flow:
     if argv:
         return as_flow(command_step(argv, delimiter=opts.delimiter, cwd=opts.directory,
                                     environment=opts.environment, name=opts.dataflow_name,
-                                    timeout=opts.command_timeout))
+                                    timeout=opts.command_timeout,
+                                    session_bytes=opts.command_session_bytes or SESSION_BYTES))
     return lookup(opts.flow)
 
 

@@ -4,6 +4,7 @@ import sys
 
 import pytest
 from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 
 from lineflow import command_step, run_frames, run_records
 
@@ -129,22 +130,51 @@ def test_output_that_is_not_text(spark):
         run_records(lines(spark, ["a"]), command_step(py(code)), "str").collect()
 
 
-def test_pending_input_is_bounded():
-    import threading
+def test_commands_that_answer_at_the_end_of_their_input(spark):
+    """Each session has a child of its own, which may keep all its input before it answers."""
+    code = ("import os, sys\nheld = [l.strip() for l in sys.stdin]\n"
+            "for l in held: print(l, os.getpid(), len(held)); print('---')\n")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        vals = [f"w{i}" + "x" * 100 for i in range(2500)]
+        for limit in (30_000, 1):  # about two batches, and every batch alone
+            out = run_records(lines(spark, vals, parts=2), command_step(py(code), session_bytes=limit), "str", keep=["id"]).collect()
+            assert sorted((r.id, r.record.split()[0]) for r in out) == list(enumerate(vals))
+            sizes = {r.record.split()[1]: int(r.record.split()[2]) for r in out}
+            assert sum(sizes.values()) == 2500 and max(sizes.values()) <= (300 if limit > 1 else 100) and len(sizes) >= 2500 // 300
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
-    from lineflow.operators.external import PIPE_BYTES, FrameProtocolError, _Pending
 
-    p = _Pending(limit=100, patience=1)
-    p.put("a", 90)
-    p.put("b", 90)  # over the limit, but the child has not taken more than pipes hold: no wait
-    p.wrote(PIPE_BYTES + 1)
-    with pytest.raises(FrameProtocolError, match="answers too late"):
-        p.put("c", 90)
-    t = threading.Timer(0.3, lambda: (p.answered(), p.get(), p.get()))
-    t.start()
-    p.put("c", 90)  # waits for the reader, then goes in
-    t.join()
-    assert p.get() == "c"
+def test_a_late_answer_holds_one_session(spark):
+    """A whole sort over a partition much larger than a session: no child and no task holds more than a session."""
+    code = ("import sys\nheld = sorted((l.strip() for l in sys.stdin), reverse=True)\n"
+            "for l in held: print(len(held)); print('---')\n")
+    text = F.concat(F.col("id").cast("string"), F.repeat(F.lit("y"), 1000))
+    df = spark.range(0, 60_000, 1, 1).select(text.alias("str"))
+    out = run_records(df, command_step(py(code), session_bytes=12 << 20), "str").collect()
+    assert len(out) == 60_000
+    assert max(int(r.record) for r in out) * 1000 <= 12 << 20
+
+
+def test_a_failing_session_fails_the_task(spark):
+    code = "import sys\nn = sum(1 for l in sys.stdin)\nfor i in range(n - (n < 100)): print('---')\n"
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        with pytest.raises(PythonException, match="output ended after"):
+            run_records(lines(spark, ["a"] * 950, parts=1), command_step(py(code), session_bytes=1), "str").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_launch_option_for_sessions():
+    from lineflow.options import FlowOptions, OptionError
+
+    assert FlowOptions.from_args(["f", "--input=t", "--output=o", "--command_session_bytes=1000"]).command_session_bytes == 1000
+    with pytest.raises(OptionError):
+        FlowOptions.from_args(["f", "--input=t", "--output=o", "--command_session_bytes=0"]).validate()
 
 
 def test_launch_option_for_the_timeout():

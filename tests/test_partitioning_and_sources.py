@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lineflow import FlowOptions, command_step, run_records, upcase
+from lineflow import FlowOptions, command_step, read_sink, run_records, upcase
 from lineflow.operators.partitioning import spread, spread_to_cluster
 from lineflow.plans.topology import build_flow, explain_text
 from lineflow.session import new_run_dir
@@ -55,7 +55,7 @@ def test_files_per_trigger(spark, tmp_path):
                    max_per_trigger=1, trigger={"availableNow": True})
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
-    assert spark.read.parquet(f"{run}/out").count() == 4
+    assert read_sink(spark, f"{run}/out").count() == 4
 
 
 def test_shipped_file(spark, tmp_path):
