@@ -34,6 +34,7 @@ from lineflow.operators import (
     spread,
     write_framed_text,
 )
+from lineflow.operators.failures import run_with_failures
 from lineflow.options import FlowOptions, OptionError, StartPosition
 from lineflow.plans import Flow, Step, dataflow, lookup, processor, register, run_frames, run_records
 from lineflow.sinks.manifest import read_sink
@@ -44,5 +45,5 @@ __all__ = [
     "dataframe_step", "drop_if", "filter_step", "flat_step", "from_json", "identity", "interpolate", "keep_if", "map_step", "repeat", "route",
     "skip", "to_json", "tokenize", "upcase", "command_step", "frame_count", "frame_text", "pandas_step", "python_step", "spread",
     "write_framed_text", "FlowOptions", "OptionError", "StartPosition", "Flow", "Step", "dataflow", "lookup",
-    "processor", "read_sink", "register", "run_frames", "run_records",
+    "processor", "read_sink", "register", "run_frames", "run_records", "run_with_failures",
 ]

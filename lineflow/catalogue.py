@@ -31,6 +31,7 @@ from lineflow.functions.steps import (
 from lineflow.functions.udtf import with_prime_factors
 from lineflow.operators.batch import python_step
 from lineflow.operators.external import command_step
+from lineflow.operators.failures import run_with_failures
 from lineflow.operators.framing import frame_count, frame_text, ordered_frames, write_framed_text
 from lineflow.operators.partitioning import spread, spread_to_cluster
 from lineflow.options import FlowOptions
@@ -216,6 +217,12 @@ def suppress_errors(spark, sf):
     return run_records(wide_table(spark, sf, "events", "event_id", "props"), step, "props", keep=["event_id"])
 
 
+def dead_letters(spark, sf):
+    """The records that the step fails on, with step and reason, staged in the same run as its output."""
+    step = python_step(thousand_over_last_digit, "thousand_over_last_digit", suppress_errors=True)
+    return run_with_failures(wide_table(spark, sf, "events", "event_id", "props"), step, "props", keep=["event_id"]).failures
+
+
 def halve_even(record: dict) -> dict | None:
     """A new record for an even k, none for an odd one."""
     return {"k": record["k"], "half": record["k"] // 2} if record["k"] % 2 == 0 else None
@@ -351,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "bolt_order": bolt_order,
     "external_command": external_command,
     "suppress_errors": suppress_errors,
+    "dead_letters": dead_letters,
     "flow_python_json": flow_python_json,
     "udtf_prime": udtf_prime,
     "topic_route": topic_route,
@@ -415,6 +423,11 @@ ORACLES: dict[str, str] = {
         "select event_id, cast(1000 // (k % 10) as varchar) as record from "
         "(select event_id, (props->>'$.k')::bigint k from events) where k % 10 <> 0"
     ),
+    "dead_letters": (
+        "select event_id, 'thousand_over_last_digit' as step, props as record, "
+        "'ZeroDivisionError: integer division or modulo by zero' as reason from events "
+        "where (props->>'$.k')::bigint % 10 = 0"
+    ),
     "flow_python_json": (
         "select event_id, '{\"k\":' || k || ',\"half\":' || (k // 2) || '}' as record from "
         "(select event_id, (props->>'$.k')::bigint k from events) where k % 2 = 0"

@@ -5,14 +5,15 @@
                                [--checkpoint=DIR] [--trigger=available|"10 seconds"]
                                [--max_per_trigger=N] [--max_bytes_per_trigger=N] [--whole_files]
                                [--command_timeout=SECONDS] [--command_session_bytes=N]
-                               [--batch] [launch options]
+                               [--batch] [--dead_letters] [launch options]
     python -m lineflow bolt FLOW --flows=my_flows.py --input=PATH --output=DIR [--delimiter=X]
 
 ``run`` keeps running until it is stopped and picks up what arrives;
 ``--trigger=available`` ends it after what the input holds now, and
 ``--batch`` runs once over that as a static DataFrame instead of a stream.
 ``--max_per_trigger`` caps the files (or Kafka offsets) of one micro-batch;
-``--whole_files`` reads each file as one row (see ``start_flow``).
+``--whole_files`` reads each file as one row, ``--dead_letters`` keeps failed
+records beside a file sink (see ``start_flow``).
 ``--command_timeout`` bounds a command's silence, ``--command_session_bytes``
 the input that one child of it gets.  ``--flows`` names Python files or modules that register processors and
 dataflows (``lineflow.processor``, ``lineflow.dataflow``); give it more
@@ -33,8 +34,8 @@ from lineflow.options import FlowOptions, OptionError
 from lineflow.plans.registry import UnknownFlowError
 
 _OWN = ("flows", "sink", "path", "checkpoint", "trigger", "max_per_trigger", "max_bytes_per_trigger", "whole_files",
-        "batch")
-_FLAGS = ("whole_files", "batch")
+        "batch", "dead_letters")
+_FLAGS = ("whole_files", "batch", "dead_letters")
 
 
 def _split(argv: list[str]) -> tuple[dict[str, list[str]], list[str]]:
@@ -124,7 +125,7 @@ def _run(spark, opts: FlowOptions, own: dict[str, list[str]]) -> int:
         q = start_flow(spark, opts, checkpoint=(own["checkpoint"] or [None])[-1], sink=sink,
                        path=(own["path"] or [None])[-1], trigger=_trigger((own["trigger"] or [None])[-1]),
                        max_per_trigger=_int(own, "max_per_trigger"), whole_files=_flag(own, "whole_files"),
-                       max_bytes_per_trigger=_int(own, "max_bytes_per_trigger"))
+                       max_bytes_per_trigger=_int(own, "max_bytes_per_trigger"), dead_letters=_flag(own, "dead_letters"))
     except FlowAlreadyRunning as exc:
         print(f"error: {exc}", file=sys.stderr)
         return 2

@@ -11,8 +11,9 @@ untouched.  Batches are Arrow's; the function itself is called once a record.
 
 An exception fails the task.  With ``suppress_errors`` a record that raises
 gives no output (any partial output is discarded) and the flow goes on
-(MAP-14); the failures are counted in an accumulator (``error_counts``), and
-each task prints its first few to standard error.
+(MAP-14).  Where the flow is run for its dead letters (``operators.failures``)
+the record, the step and the reason go into the array column ``FAILED`` of
+its row; each task prints its first few failures to standard error anyway.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -32,7 +32,8 @@ from lineflow.plans.flow import Step
 
 RecordFn = Callable[[Any], Any]
 LOGGED_ERRORS = 3
-_COUNTERS: dict[tuple[str, str], Accumulator] = {}  # by application and step
+FAILED = "__failed"
+FAILED_TYPE = "array<struct<step: string, record: string, reason: string>>"
 
 
 def frame_schema(schema: StructType, frame: str) -> StructType:
@@ -58,14 +59,15 @@ def text_frames(df: DataFrame, frame: str) -> tuple[DataFrame, bool]:
     return df.withColumn(frame, F.transform(frame, make)), parsed
 
 
-def map_frames(df: DataFrame, frame: str, per_input: Callable[[list], list[str]]) -> DataFrame:
-    """Rewrite the per-input array ``frame`` with ``per_input`` over Arrow batches."""
+def map_frames(df: DataFrame, frame: str, per_input: Callable[[list], tuple[list[str], list[dict]]]) -> DataFrame:
+    """Rewrite the per-input array ``frame`` with ``per_input`` over Arrow batches; what it says failed joins ``FAILED``, if there."""
     from lineflow.session import ship_package
 
     ship_package(df.sparkSession)
     df, parsed = text_frames(df, frame)
     out_schema = frame_schema(df.schema, frame)
     idx = df.columns.index(frame)
+    failed = df.columns.index(FAILED) if FAILED in df.columns else None
     list_type = pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +75,12 @@ def map_frames(df: DataFrame, frame: str, per_input: Callable[[list], list[str]]
             frames = batch.column(idx).to_pylist()
             if parsed:
                 frames = [[json.loads(r) if r is not None else None for r in recs or []] for recs in frames]
-            new = pa.array([per_input(recs or []) for recs in frames], type=list_type)
+            found = [per_input(recs or []) for recs in frames]
             cols = list(batch.columns)
-            cols[idx] = new
+            cols[idx] = pa.array([out for out, _ in found], type=list_type)
+            if failed is not None and any(bad for _, bad in found):
+                old = cols[failed]
+                cols[failed] = pa.array([a + b for a, (_, b) in zip(old.to_pylist(), found, strict=True)], type=old.type)
             names = batch.schema.names
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -99,30 +104,16 @@ def _outputs(result) -> list[str]:
     return [_output(v) for v in result if v is not None]
 
 
-def _counter(df: DataFrame, name: str) -> Accumulator | None:
-    from lineflow.session import spark_context
-
-    sc = spark_context(df.sparkSession)
-    if sc is None:  # Spark Connect has no accumulators; the tasks still print failures
-        return None
-    return _COUNTERS.setdefault((sc.applicationId, name), sc.accumulator(0))
-
-
-def error_counts(spark) -> dict[str, int]:
-    """Failures suppressed so far in this application, by step (a retried task counts again)."""
-    return {name: c.value for (app, name), c in _COUNTERS.items() if app == spark.sparkContext.applicationId}
-
-
 def python_step(fn: RecordFn, name: str | None = None, suppress_errors: bool = False) -> Step:
     """A table step running ``fn`` on every record of every input."""
     name = name or getattr(fn, "__name__", "python")
 
     def apply(df: DataFrame, frame: str) -> DataFrame:
-        counter = _counter(df, name) if suppress_errors else None
         logged: list[int] = []
 
-        def per_input(records: list) -> list[str]:
+        def per_input(records: list) -> tuple[list[str], list[dict]]:
             out: list[str] = []
+            failed: list[dict] = []
             for rec in records:
                 if rec is None:
                     continue
@@ -131,12 +122,11 @@ def python_step(fn: RecordFn, name: str | None = None, suppress_errors: bool = F
                 except Exception as exc:  # noqa: BLE001 - suppression is the feature
                     if not suppress_errors:
                         raise
-                    if counter is not None:
-                        counter.add(1)
+                    failed.append({"step": name, "record": _output(rec), "reason": f"{type(exc).__name__}: {exc}"})
                     if len(logged) < LOGGED_ERRORS:
                         logged.append(1)
                         print(f"{name}: no output for {str(rec)[:200]!r}: {exc!r}", file=sys.stderr)
-            return out
+            return out, failed
 
         return map_frames(df, frame, per_input)
 

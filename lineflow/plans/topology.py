@@ -13,6 +13,7 @@ import io
 from pyspark.sql import DataFrame, SparkSession
 
 from lineflow.operators.external import SESSION_BYTES, command_step
+from lineflow.operators.failures import Outcome, run_with_failures
 from lineflow.operators.partitioning import scan_partitions, spread
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step, as_flow, run_records
@@ -66,11 +67,14 @@ def per_batch_flow(opts: FlowOptions, flow: Step | Flow | None = None):
     """
     f = resolve_flow(opts, flow)
 
-    def apply(tagged_batch: DataFrame, blocks: DataFrame | None = None, leave_out: DataFrame | None = None) -> DataFrame:
+    def apply(tagged_batch: DataFrame, blocks: DataFrame | None = None, leave_out: DataFrame | None = None,
+              dead_letters: bool = False) -> DataFrame | Outcome:
         width = scan_partitions(tagged_batch) or source_width(opts)
         lines = number_lines(tagged_batch, blocks=blocks, leave_out=leave_out)
         if opts.flow_parallelism > width:
             lines = lines.repartition(opts.flow_parallelism)
+        if dead_letters:
+            return run_with_failures(combine_metadata(lines), f, "str")
         return run_records(combine_metadata(lines), f, "str")
 
     return apply

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from lineflow.operators.framing import write_framed_text
 from lineflow.options import FlowOptions
 from lineflow.session import remove_folder
-from lineflow.sinks.manifest import ForeignSink, ManifestSink, compact, read_sink
+from lineflow.sinks.manifest import ForeignSink, ManifestSink, compact, failure_count, read_failures, read_sink
 
 
 def kafka_frame(df: DataFrame, default_topic: str, value: str = "record",
@@ -105,4 +105,4 @@ def replay_safe(path: str, fmt: str = "parquet", replace: bool = False) -> Calla
 
 
 __all__ = ["kafka_frame", "kafka_writer_options", "write_kafka", "write_flow", "replay_safe", "ForeignSink", "ManifestSink", "compact",
-           "read_sink", "write_framed_text"]
+           "failure_count", "read_failures", "read_sink", "write_framed_text"]

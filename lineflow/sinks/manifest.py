@@ -60,6 +60,8 @@ class Entry:
     format: str
     replaces: int | None = None  # manifests up to this number
     old: list[str] = field(default_factory=list)  # folders that it replaces, not removed yet
+    failures: list[str] = field(default_factory=list)  # folders of dead letters
+    failed: int = 0  # how many they hold
 
 
 def _manifests(path: str) -> str:
@@ -86,6 +88,18 @@ def read_sink(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.format(known[-1].format).load(folders)
 
 
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """The dead letters published with the records: ``step, record, reason`` (``start_flow(dead_letters=True)``)."""
+    folders = [f"{path}/{f}" for e in entries(spark, path) for f in e.failures]
+    schema = "step string, record string, reason string"
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def failure_count(spark: SparkSession, path: str) -> int:
+    """How many records failed, by the manifests: exact whatever was retried or replayed."""
+    return sum(e.failed for e in entries(spark, path))
+
+
 class ManifestSink:
     """Writes the micro-batches of one flow."""
 
@@ -113,7 +127,9 @@ class ManifestSink:
         folders = [f"{self.path}/{f}" for e in self._entries(spark) if e.query != query or e.replaces is not None for f in e.inputs]
         return spark.read.schema("path string").parquet(*folders) if folders else None
 
-    def write(self, records: DataFrame, inputs: DataFrame | None, query: str, batch: int) -> None:
+    def write(self, records: DataFrame, inputs: DataFrame | None, query: str, batch: int,
+              failures: DataFrame | None = None, failed: int = 0) -> None:
+        """Stage a batch's records, its input files and its dead letters, and publish them as one."""
         spark = records.sparkSession
         known = self._entries(spark)
         staged = f"{HOME}/data/{uuid.uuid4().hex}"
@@ -122,8 +138,13 @@ class ManifestSink:
         if inputs is not None:
             listed = [f"{HOME}/inputs/{uuid.uuid4().hex}"]
             inputs.select("path").write.parquet(f"{self.path}/{listed[0]}")
+        letters = []
+        if failures is not None and failed:
+            letters = [f"{HOME}/failures/{uuid.uuid4().hex}"]
+            failures.write.parquet(f"{self.path}/{letters[0]}")
         self.fence()
-        entry = Entry(known[-1].number + 1 if known else 0, self.owner, query, batch, [staged], listed, self.format)
+        entry = Entry(known[-1].number + 1 if known else 0, self.owner, query, batch, [staged], listed, self.format,
+                      failures=letters, failed=failed)
         publish(spark, self.path, entry)
         known.append(entry)
         if len(known) > self.compact_after:
@@ -158,10 +179,15 @@ def compact(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES, large_
         listed = [f"{HOME}/inputs/{uuid.uuid4().hex}"]
         old = spark.read.schema("path string").parquet(*[f"{path}/{f}" for f in inputs])
         old.repartition(max(1, len(inputs) // 1000)).write.parquet(f"{path}/{listed[0]}")
+    failures, letters = [f for e in known for f in e.failures], []
+    if failures:
+        letters = [f"{HOME}/failures/{uuid.uuid4().hex}"]
+        dead = spark.read.parquet(*[f"{path}/{f}" for f in failures])
+        dead.repartition(max(1, len(failures) // 1000)).write.parquet(f"{path}/{letters[0]}")
     # replays are told by the batch numbers of the last checkpoint, and by input files for others
     top = max(e.batch for e in known if e.query == last.query)
     publish(spark, path, Entry(last.number + 1, last.owner, last.query, top, [f for f in sizes if f not in small] + [merged],
-                               listed, last.format, last.number, small + inputs))
+                               listed, last.format, last.number, small + inputs + failures, letters, sum(e.failed for e in known)))
     for e in known:
         for f in e.old:
             storage.remove(spark, f"{path}/{f}")

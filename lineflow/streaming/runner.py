@@ -74,6 +74,7 @@ def start_flow(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     whole_files: bool = False,
     max_bytes_per_trigger: int | None = None,
+    dead_letters: bool = False,
 ) -> StreamingQuery | str:
     """Start the flow; returns the query, or the plan text on ``dry_run``.
 
@@ -99,12 +100,16 @@ def start_flow(
     over tasks; lines are numbered, combined and run through the flow per
     micro-batch inside ``foreachBatch``.  File sinks are then written by manifest
     (``sinks.manifest``): read them with ``read_sink``; they belong to this flow.
+    With ``dead_letters`` the records that error-suppressing steps fail on are
+    published with each batch (``read_failures``, ``failure_count``).
     ``whole_files`` reads each file (under 2 GB) as one row instead, and
     writes through Spark's own sinks, ``memory`` included.
     """
     opts.validate(sink="kafka" if sink == "kafka" else "other")
     if not (callable(sink) or sink in ("kafka", "memory") or path is not None):
         raise ValueError(f"sink {sink!r} needs a path")  # checked before anything is written
+    if dead_letters and (not opts.is_blob_input or whole_files or callable(sink) or sink in ("kafka", "memory")):
+        raise ValueError("dead letters need a file or S3 input in line mode and a file sink")
     name = opts.query_name
     checkpoint = checkpoint or query_checkpoint(spark, name)
     if not opts.dry_run:
@@ -115,7 +120,7 @@ def start_flow(
             stop_flow(spark, name, opts.wait)
     if opts.dry_run:
         return _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
-                      max_bytes_per_trigger, lambda: None)
+                      max_bytes_per_trigger, lambda: None, dead_letters)
     lease = NameLease(spark, name)
     try:
         lease.acquire(opts.rm, opts.wait)
@@ -124,7 +129,7 @@ def start_flow(
     try:
         claim_checkpoint(spark, opts, checkpoint)
         query = _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
-                       max_bytes_per_trigger, lease.check)
+                       max_bytes_per_trigger, lease.check, dead_letters)
     except BaseException:
         lease.release()
         raise
@@ -133,11 +138,11 @@ def start_flow(
 
 
 def _start(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform, whole_files,
-           max_bytes_per_trigger, fence):
+           max_bytes_per_trigger, fence, dead_letters):
     name = opts.query_name
     if opts.is_blob_input and not whole_files and sink != "memory":
         return _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
-                            max_bytes_per_trigger, fence)
+                            max_bytes_per_trigger, fence, dead_letters)
     df = build_flow(spark, opts, flow, streaming=True, checkpoint=checkpoint, glob=glob,
                     max_per_trigger=max_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger, resumable=sink != "memory")
     if transform is not None:
@@ -180,7 +185,7 @@ def sink_owner(opts: FlowOptions) -> str:
 
 
 def _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_per_trigger, transform,
-                 max_bytes_per_trigger=None, fence=lambda: None):
+                 max_bytes_per_trigger, fence, dead_letters):
     if opts.dry_run:  # the plan of a micro-batch, over what the input holds now
         now = replace(opts, from_end=False, from_beginning=True)
         df = build_flow(spark, now, flow, glob=glob)
@@ -213,7 +218,11 @@ def _start_lines(spark, opts, flow, checkpoint, sink, path, trigger, glob, max_p
             if done is not None:  # another checkpoint of this flow read some of these files
                 done = done.join(bounded(inputs), "path", "left_semi").distinct().checkpoint()
                 inputs = inputs.join(bounded(done), "path", "left_anti")
-            files.write(shaped(apply(batch, blocks, done)), inputs, query, batch_id)
+            if dead_letters:
+                outcome = apply(batch, blocks, done, dead_letters=True)
+                files.write(shaped(outcome.records), inputs, query, batch_id, outcome.failures, outcome.counts["failures"])
+            else:
+                files.write(shaped(apply(batch, blocks, done)), inputs, query, batch_id)
 
     w = raw.writeStream.queryName(opts.query_name).option("checkpointLocation", checkpoint)
     w = (w.trigger(**trigger) if trigger else w).foreachBatch(each)

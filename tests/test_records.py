@@ -84,6 +84,7 @@ def test_retried_tasks_give_exact_results(tmp_path):
     rows = json.loads(proc.stdout.strip().splitlines()[-1])
     expect = sorted([["a.txt", i, f"LINE {i}"] for i in range(1, 6001)] + [["b.txt", 1, "X"], ["b.txt", 2, "Y"]])
     assert rows == expect
+    assert json.loads(proc.stdout.strip().splitlines()[-2]) == [{"inputs": 6002, "records": 5402, "failures": 600}, 600, 5402]
 
 
 def test_numbers_do_not_depend_on_live_cores(spark, tmp_path):

@@ -217,13 +217,19 @@ def test_interpolate_nested_and_missing(spark):
     assert recs(run_records(df, from_json("user STRUCT<name: STRING>, k BIGINT") | it, "str", keep=["id"])) == expect
 
 
-def test_suppressed_errors_are_counted(spark):
-    from lineflow.operators.batch import error_counts
+def test_suppressed_errors_are_dead_letters(spark):
+    from lineflow import run_with_failures
 
-    df = spark.createDataFrame([(i, str(i)) for i in range(20)], "id int, str string").repartition(3)
-    step = python_step(lambda s: 1 // (int(s) % 5), "count_errors", suppress_errors=True)
-    assert run_records(df, step, "str").count() == 16
-    assert error_counts(spark)["count_errors"] == 4
+    df = spark.createDataFrame([(i, str(i)) for i in range(20)] + [(20, None)], "id int, str string").repartition(3)
+    step = python_step(lambda s: [s, 1 // (int(s) % 5)], "count_errors", suppress_errors=True)
+    flow = upcase() | step | python_step(lambda s: 1 // (int(s) - 7), "second", suppress_errors=True)
+    out = run_with_failures(df, flow, "str", keep=["id"])
+    assert sorted((r.id, r.step, r.record, r.reason.split(":")[0]) for r in out.failures.collect()) == sorted(
+        [(i, "count_errors", str(i), "ZeroDivisionError") for i in (0, 5, 10, 15)] + [(7, "second", "7", "ZeroDivisionError")])
+    assert out.counts == {"inputs": 21, "records": out.records.count(), "failures": 5}
+    assert out.records.count() == 31
+    assert recs(run_records(df, step, "str", keep=["id"])) == sorted(
+        (i, v) for i in range(20) if i % 5 for v in (str(i), str(1 // (i % 5))))
 
 
 def test_python_steps_see_parsed_records(spark):
@@ -267,3 +273,23 @@ def test_large_factors():
             product *= p
         assert found == sorted(found) and product == (n if n and n > 1 else 1)
     assert list(factorize(3037000493**2)) == [3037000493] * 2
+
+
+def test_factors_of_a_batch():
+    """Array trial division, primality and cycle searches give what factoring one number at a time gives."""
+    import random
+
+    import numpy as np
+
+    from lineflow.functions.udtf import factor_batch
+
+    rng = random.Random(11)
+    values = [0, 1, -5, 2, 12, 19, 997 * 997, 1009 * 1009, 1009 * 1013, 2**31 - 1, (2**31 - 1) ** 2, 2**61 - 1, 2**62, 3**39,
+              1000003 * 998244353, 67280421 * 2147483629, 2**63 - 1, 9223372036854775783]
+    values += [rng.randrange(2, 10**k) for k in range(1, 16) for _ in range(8)]
+    rows, factors = factor_batch(np.array(values, np.int64))
+    got = [[] for _ in values]
+    for r, f in zip(rows.tolist(), factors.tolist(), strict=True):
+        got[r].append(f)
+    assert got == [list(factorize(v)) for v in values]
+    assert factor_batch(np.empty(0, np.int64))[0].size == 0

@@ -467,6 +467,53 @@ def test_a_kill_around_the_manifest(spark, tmp_path, monkeypatch, moment):
     assert len(run_once(spark, o, f"{run}/c2", f"{run}/out", max_per_trigger=2)) == 3
 
 
+def test_dead_letters_of_a_stream(spark, tmp_path):
+    """Failed records are published with their batch, counted once although the batch ran twice; compaction keeps them."""
+    from lineflow import python_step
+    from lineflow.sinks import failure_count, read_failures
+    from lineflow.sinks import manifest as manifests
+
+    src = tmp_path / "in"
+    for i in range(4):
+        write(src, f"f{i}.txt", "ok\nbad\n")
+    run = new_run_dir(spark, "t-dead")
+
+    def fussy(line):
+        if "\tbad\t" in line:
+            raise ValueError("no good")
+        return line
+
+    flow = python_step(fussy, "fussy", suppress_errors=True)
+    o = opts(src, from_beginning=True)
+    real, state = manifests.publish, {"fail": True}
+
+    def flaky(s, path, entry):
+        if entry.number == 1 and state.pop("fail", False):
+            raise RuntimeError("lost before it was published")
+        real(s, path, entry)
+
+    manifests.publish = flaky
+    try:
+        for attempt in range(2):
+            q = start_flow(spark, o, flow, checkpoint=f"{run}/c", sink="parquet", path=f"{run}/out", max_per_trigger=1,
+                           trigger=NOW, dead_letters=True)
+            if attempt:
+                q.awaitTermination()
+            else:
+                with pytest.raises(Exception, match="lost before"):
+                    q.awaitTermination()
+    finally:
+        manifests.publish = real
+    for _ in range(2):
+        assert failure_count(spark, f"{run}/out") == 4 and read_sink(spark, f"{run}/out").count() == 4
+        letters = read_failures(spark, f"{run}/out").collect()
+        assert [(r.step, r.reason) for r in letters] == [("fussy", "ValueError: no good")] * 4
+        assert sorted(r.record.split("\t")[0][-6:] for r in letters) == [f"f{i}.txt" for i in range(4)]
+        compact(spark, f"{run}/out")
+    with pytest.raises(ValueError, match="dead letters need"):
+        start_flow(spark, o, flow, sink="memory", dead_letters=True)
+
+
 def test_compaction(spark, tmp_path):
     """Many batches become few files; readers see the same records; replays are still told."""
     from lineflow import storage
