@@ -33,7 +33,7 @@ from lineflow.operators.batch import python_step
 from lineflow.operators.external import command_step
 from lineflow.operators.failures import run_with_failures
 from lineflow.operators.framing import frame_count, frame_text, ordered_frames, write_framed_text
-from lineflow.operators.partitioning import spread, spread_to_cluster
+from lineflow.operators.partitioning import spread, spread_by_bytes, spread_to_cluster
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import run_frames, run_records
 from lineflow.session import move_folder, new_run_dir
@@ -264,6 +264,12 @@ def shuffle(spark, sf):
     return spread(events, flow_parallelism=max(1, spark.sparkContext.defaultParallelism))
 
 
+def shuffle_bytes(spark, sf):
+    """Documents, some of them very long, in partitions of about equal bytes."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spread_by_bytes(docs, max(1, spark.sparkContext.defaultParallelism), F.octet_length("text"))
+
+
 # ----------------------------------------------------------------- streams
 # Folder of each drop; the last one sorts before the others, so only its arrival makes it new.
 DROP_FOLDERS = ("m0", "m1", "a2")
@@ -365,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "start_explicit": start_explicit,
     "blob_marker": blob_marker,
     "shuffle": shuffle,
+    "shuffle_bytes": shuffle_bytes,
     "stream_flow": stream_flow,
     "stream_resume": stream_resume,
     "stream_start_marker": stream_start_marker,
@@ -448,6 +455,7 @@ ORACLES: dict[str, str] = {
     ),
     "blob_marker": "select doc_id, source from documents where source > 'src2'",
     "shuffle": "select event_id, props from events",
+    "shuffle_bytes": "select doc_id, text from documents",
     "stream_flow": "select event_id, upper(event_type) as record from events",
     "stream_resume": "select event_id, props from events",
     "stream_start_marker": "select event_id, props from events where ts >= timestamp '2024-01-21 00:00:00'",

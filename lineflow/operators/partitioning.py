@@ -5,16 +5,25 @@ source.  In Spark that is a round-robin ``repartition(n)`` under the same
 condition, tested against the partitions that the plan really has;
 otherwise the flow runs in the source's partitions and no exchange is added
 (flows are narrow, so nothing else would shuffle).
+
+Equal numbers of records are equal work only while records are of like size.
+``spread_by_bytes`` deals them by size: a histogram of the sizes (at most
+``64 * STEPS`` rows, whatever the input) lays the size classes one after the
+other on a line of all bytes, each record takes a place in its class's part of
+that line, and a partition is an equal piece of it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A scan split holds at most spark.sql.files.maxPartitionBytes (128 MB by default); cutting it
 # into more than this many pieces gives tasks of under 2 MB, whose scheduling costs more than
 # they save.  Raise it (``max_pieces``) for unsplittable files much larger than a split.
 MAX_PIECES_PER_SPLIT = 64
+STEPS = 8  # size classes for each doubling
+RECORD_COST = 64  # bytes that a record counts besides its own
 
 
 def scan_partitions(df: DataFrame) -> int | None:
@@ -65,3 +74,33 @@ def spread_to_cluster(df: DataFrame, spark: SparkSession | None = None,
     if width is None or sc is None:
         return df
     return spread(df, min(sc.defaultParallelism, width * max_pieces), 1)
+
+
+def spread_by_bytes(df: DataFrame, parallelism: int, size: str | Column) -> DataFrame:
+    """Deal rows to ``parallelism`` partitions of about equal bytes, ``size`` being a row's (null: none).
+
+    One extra scan reads what ``size`` needs.  Rows of one class go to
+    neighbouring partitions by a hash of their place in the scan, so repeated
+    rows spread too, and a retried task deals its rows alike.
+    """
+    if parallelism < 1:
+        raise ValueError("parallelism must be positive")
+    cost = F.coalesce(F.col(size) if isinstance(size, str) else size, F.lit(0)).cast("double") + RECORD_COST
+    kind = F.floor(F.log2(cost) * STEPS).cast("int")
+    rows = df.select(kind.alias("kind"), cost.alias("cost")).groupBy("kind").agg(F.sum("cost").alias("cost")).orderBy("kind").collect()
+    total = sum(r["cost"] for r in rows)
+    if not total:
+        return df
+    starts, widths, at = {}, {}, 0.0
+    for r in rows:
+        starts[r["kind"]], widths[r["kind"]] = at / total, r["cost"] / total
+        at += r["cost"]
+    last = max(starts)
+
+    def known(values: dict[int, float]) -> Column:
+        return F.element_at(F.array(*(F.lit(values.get(k, 0.0)) for k in range(last + 1))), kind + 1)
+
+    # 53 bits of a hash of the row's place, as a number from 0 to 1
+    place = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 11).cast("double") / float(1 << 53)
+    piece = F.least(F.floor((known(starts) + place * known(widths)) * parallelism), F.lit(parallelism - 1)).cast("int")
+    return df.withColumn("__piece", piece).repartitionById(parallelism, "__piece").drop("__piece")

@@ -75,6 +75,7 @@ class FlowOptions:
     kafka_batch: int = DEFAULT_KAFKA_BATCH_BYTES
     input_parallelism: int = 1
     parallelism: int | None = None
+    spread: str = "records"  # what a wider flow gets equal shares of: records or bytes
     aws_key: str | None = None
     aws_secret: str | None = None
     aws_region: str | None = "us-east-1"
@@ -288,6 +289,8 @@ class FlowOptions:
                 raise OptionError("give --aws_key and --aws_secret together, or neither")
         if self.kafka_partitions < 1 or self.input_parallelism < 1 or self.flow_parallelism < 1:
             raise OptionError("partitions and parallelism must be positive")
+        if self.spread not in ("records", "bytes"):
+            raise OptionError("--spread is records or bytes")
         if self.kafka_batch < 1:
             raise OptionError("--kafka_batch must be positive")
         if self.command_timeout is not None and self.command_timeout <= 0:

@@ -11,10 +11,11 @@ import contextlib
 import io
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lineflow.operators.external import SESSION_BYTES, command_step
 from lineflow.operators.failures import Outcome, run_with_failures
-from lineflow.operators.partitioning import scan_partitions, spread
+from lineflow.operators.partitioning import scan_partitions, spread, spread_by_bytes
 from lineflow.options import FlowOptions
 from lineflow.plans.flow import Flow, Step, as_flow, run_records
 from lineflow.plans.registry import lookup
@@ -71,7 +72,9 @@ def per_batch_flow(opts: FlowOptions, flow: Step | Flow | None = None):
               dead_letters: bool = False) -> DataFrame | Outcome:
         width = scan_partitions(tagged_batch) or source_width(opts)
         lines = number_lines(tagged_batch, blocks=blocks, leave_out=leave_out)
-        if opts.flow_parallelism > width:
+        if opts.flow_parallelism > width and opts.spread == "bytes":
+            lines = spread_by_bytes(lines, opts.flow_parallelism, F.octet_length("content"))
+        elif opts.flow_parallelism > width:
             lines = lines.repartition(opts.flow_parallelism)
         if dead_letters:
             return run_with_failures(combine_metadata(lines), f, "str")

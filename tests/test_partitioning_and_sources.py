@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lineflow import FlowOptions, command_step, read_sink, run_records, upcase
-from lineflow.operators.partitioning import spread, spread_to_cluster
+from lineflow.operators.partitioning import spread, spread_by_bytes, spread_to_cluster
 from lineflow.plans.topology import build_flow, explain_text
 from lineflow.session import new_run_dir
 from lineflow.sources import read_lines
@@ -29,6 +29,24 @@ def test_spread_to_cluster(spark):
     assert spread_to_cluster(wide).rdd.getNumPartitions() == 64  # no exchange added
 
 
+@pytest.mark.parametrize("few", [0, 1])
+def test_spread_by_bytes(spark, few):
+    """A third of the bytes in 1 % of the rows, and many equal rows: tasks get bytes within 1.5 of each other."""
+    n = 20_000
+    size = F.when(F.col("id") % 100 == few * 7, 5000).otherwise(100)
+    rows = spark.range(0, n, 1, 3).select(F.when(F.col("id") < n // 3, 0).otherwise(F.col("id")).alias("id"),
+                                          F.repeat(F.lit("x"), size.cast("int")).alias("str"))
+    out = spread_by_bytes(rows, 8, F.octet_length("str"))
+    parts = out.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("str") + 64)).collect()
+    sizes = [p[1] for p in parts]
+    assert len(sizes) == 8 and max(sizes) <= 1.5 * min(sizes)
+    assert out.groupBy("id", "str").count().exceptAll(rows.groupBy("id", "str").count()).count() == 0 and out.count() == n
+    nothing = rows.where("id < 0")
+    assert spread_by_bytes(nothing, 4, F.octet_length("str")).count() == 0
+    nulls = rows.limit(10).withColumn("str", F.lit(None).cast("string"))
+    assert spread_by_bytes(nulls, 4, F.octet_length("str")).count() == 10
+
+
 def test_read_lines_dispatch_batch(spark, text_dir):
     o = FlowOptions(flow="upcaser", input=f"file://{text_dir}", output="x", from_beginning=True)
     rows = sorted(r.str for r in read_lines(spark, o).collect())
