@@ -21,8 +21,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 RULES = [urlfilter.Rule(*r) for r in (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"))]
-# words in the host names of pages that the block list is made of
-LISTED_HOSTS = "(adult|ads|bets|casino|pills|spam)"
+# The block list: pages that were once fetched with a junk title, and all pages of hosts with one of these labels.
+LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+JUNK_TITLE = "<title>[^<]*[%*#]{3}"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,9 +56,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urlfilter.host_of(F.col("url")).rlike(LISTED_HOSTS))
-    return urlfilter.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict")
+    """A page is blocked when any page of its canonical URL is listed, whatever its own host and content say."""
+    pages = table(spark, sf_dir, "pages")
+    labels = F.array(*(F.lit(x) for x in LISTED_LABELS))
+    listed = pages.where(F.arrays_overlap(F.split(urlfilter.host_of(F.col("url")), "[.]"), labels) | F.col("html").rlike(JUNK_TITLE))
+    return urlfilter.judge(pages.select("page_id", "url"), listed.select("url"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,10 +86,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``near_docs``: for ids divisible by 50, the other documents within the Hamming radius; else null.
-
-    ``near_fingerprints`` are the fingerprints of these, which name them by the column ``fingerprint``.
-    """
+    """For ids divisible by 50, of the documents within the Hamming radius: ``near_docs``, how many others there
+    are, and ``near_least``, the least id among them and itself; else null."""
     scratch_root(spark)
     rows = simhash.with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
     new = simhash.edited(F.col("text"), F.col("_next"))
@@ -103,20 +104,21 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = prints.groupBy(*keys).agg(F.max(F.when(F.col("k") == 0, F.col("fingerprint"))).alias("fingerprint"),
                                     F.max(F.when(F.col("k") == 1, F.col("fingerprint"))).alias("_edited")).checkpoint()
     after = Window.partitionBy("_bucket").orderBy("_place")
-    own = own.withColumn("_next", F.lead("fingerprint").over(after)).where("not _halo")
-    copies = own.groupBy("fingerprint").agg(F.count("*").alias("_n"))
-    asked = own.where("doc_id % 50 = 0")
-    other = (F.col("fingerprint") != F.col("query")) | (F.col("_n") > 1)
+    placed = own.where("_bucket >= 0").withColumn("_next", F.lead("fingerprint").over(after)).where("not _halo")
+    # rows without an id have no next text: the empty one's fingerprint stands for it, and no window gathers them
+    empty = simhash.fingerprints(spark.createDataFrame([(0, "")], "i int, text string"), ["i"], "text").first()["fingerprint"]
+    own = placed.unionByName(own.where("_bucket < 0").withColumn("_next", F.lit(empty)))
+    copies = own.groupBy("fingerprint").agg(F.count("*").alias("_n"), F.min("doc_id").alias("_least")).checkpoint()
+    asked = own.where("doc_id % 50 = 0").select("fingerprint").distinct()
     near = (simhash.within(asked, copies).join(copies, "fingerprint").groupBy("query")
-            .agg((F.sum("_n") - 1).alias("_near"), F.collect_list(F.when(other, F.col("fingerprint"))).alias("_prints")))
-    out = own.join(near, F.col("fingerprint") == F.col("query"), "left")
+            .agg((F.sum("_n") - 1).alias("_near"), F.min("_least").alias("_first")))
+    out = own.join(near, (F.col("fingerprint") == F.col("query")) & (F.col("doc_id") % 50 == 0), "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"),
         simhash.as_hex(F.col("_edited")).alias("edited_fingerprint"),
         simhash.likeness(F.col("fingerprint"), F.col("_edited")).alias("near_edited"),
         F.coalesce(simhash.likeness(F.col("fingerprint"), F.col("_next")), F.lit(0.0)).alias("near_next"),
-        F.when(F.col("doc_id") % 50 == 0, F.col("_near")).alias("near_docs"),
-        F.when(F.col("doc_id") % 50 == 0, F.array_sort(F.transform("_prints", simhash.as_hex))).alias("near_fingerprints"))
+        F.col("_near").alias("near_docs"), F.col("_first").alias("near_least"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +219,7 @@ GROUP BY raw.r, raw.doc_id, n.n
 _U, _L = urlfilter.UPPER, urlfilter.LOWER
 ORACLES["op4_url_filter"] = f"""
 WITH cut AS (
-  SELECT page_id, url,
+  SELECT page_id, url, html,
          CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_U}', '{_L}') ELSE '' END AS host,
          CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
          list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*[?]([^#]*)', 1), '&'),
@@ -231,7 +233,9 @@ named AS (
               WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
               WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
               WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM cut),
-listed AS (SELECT DISTINCT canon AS c FROM named WHERE regexp_matches(host, '{LISTED_HOSTS}') AND canon IS NOT NULL)
+listed AS (
+  SELECT DISTINCT canon AS c FROM named
+  WHERE (list_has_any(string_split(host, '.'), {list(LISTED_LABELS)}) OR regexp_matches(html, '{JUNK_TITLE}')) AND canon IS NOT NULL)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR c IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM named LEFT JOIN listed ON canon = c

@@ -77,3 +77,28 @@ def test_empty(spark):
     assert urlfilter.judge(pages, pages, RULES).count() == 0
     one = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert urlfilter.judge(one, pages, RULES).first().verdict == "allow"
+
+
+def test_the_list_decides_what_hosts_cannot(spark, tmp_path):
+    """Clean hosts with a listed word inside stay; a clean page of a listed canonical URL goes, by filter and exact join alone."""
+    from lineflow.llm import queries, urlfilter
+
+    junk, fine = "<title>De%%% ou###</title>", "<title>Fine</title>"
+    rows = [(1, "http://downloads.org/a", fine), (2, "https://roads.net/b", fine), (3, "http://alphabets.net/c", fine),
+            (4, "https://www.once-junk.org/x/?utm_a=1", junk), (5, "http://once-junk.org/x", fine), (6, "http://once-junk.org/y", fine),
+            (7, "http://m.spam-farm.example.org/z", fine), (8, None, junk), (9, "http://spam-farmers.org/", fine)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.verdict for r in queries.op4_url_filter(spark, str(tmp_path)).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {4, 5, 7}
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/p") for i in range(3000)], "page_id long, url string")
+    listed = pages.where("page_id % 3 = 0")
+    real = urlfilter.bloom_blocks
+    verdicts = []
+    for blocks in (real, lambda names, n: real(names, n).where("false")):  # without the filter's bits nothing is found
+        urlfilter.bloom_blocks = blocks
+        try:
+            out = urlfilter.judge(pages, listed, []).where("verdict = 'block'")
+            verdicts.append({r.page_id for r in out.collect()})
+        finally:
+            urlfilter.bloom_blocks = real
+    assert verdicts == [{i for i in range(3000) if i % 3 == 0}, set()]
