@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 WORDS = 2
 RADIUS = 8
-MOST_BLOCKS = 5
+MOST_BLOCKS = 3  # keys of 21 bits; tables above some 100 million fingerprints take two blocks
 ROWS_PER_BUCKET = 2000
 MAX_BUCKETS = 4096
 _LANES = 0x0000000100000001
