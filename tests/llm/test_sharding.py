@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 from helpers import edge_docs, empty_docs
+from pyspark.sql import functions as F
 
 from lineflow.llm import sharding
 
@@ -16,8 +17,8 @@ def cell_of(i):
 def one_by_one(ids, shards, load):
     """Keys of the ring in order; a node takes its own keys first, then what comes from the nodes before."""
     left = sharding.bounds(len(ids), shards, load)
-    order = sorted(ids, key=lambda i: (cell_of(i), (lambda h: h - (1 << 64) if h >> 63 else h)(
-        xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), seed=42))))
+    order = sorted(ids, key=lambda i: (cell_of(i), xxhash.xxh64_intdigest(
+        b"order", seed=xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), seed=42)) >> 1))
     nodes = sharding.ring(shards)
     shard, queue, at = {}, [], 0
     for lap in range(2):
@@ -39,8 +40,9 @@ def one_by_one(ids, shards, load):
     return shard
 
 
-@pytest.mark.parametrize("n, shards, load", [(1000, 24, 1.0), (997, 7, 1.25), (5, 24, 1.0)])
-def test_matches_the_walk(spark, n, shards, load):
+@pytest.mark.parametrize("n, shards, load, width", [(1000, 24, 1.0, 50_000), (997, 7, 1.25, 50_000), (5, 24, 1.0, 50_000), (3000, 5, 1.1, 1)])
+def test_matches_the_walk(spark, monkeypatch, n, shards, load, width):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", width)  # ranges of places don't change the order in a cell
     rows = sharding.assign(spark.range(n).selectExpr("id * 7919 as k"), ["k"], shards, load).collect()
     want = one_by_one([i * 7919 for i in range(n)], shards, load)
     assert {r.k: r.shard for r in rows} == want
@@ -73,3 +75,18 @@ def test_edges(spark):
     sizes = Counter(r.shard for r in sharding.assign(hot, ["k"], 4).collect())
     assert set(sizes.values()) == {250}
     assert sharding.assign(empty_docs(spark).select("doc_id"), ["doc_id"], 3).count() == 0
+
+
+def test_a_hot_id_is_many_ranges(spark, monkeypatch):
+    """An id with a third of the rows, and one row repeated very often: laws hold, and no window holds the cell."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 500)
+    monkeypatch.setattr(sharding, "RUN_ROWS", 100)
+    rows = spark.range(30_000).selectExpr("case when id % 3 = 0 then 7 else id end as k", "case when id % 3 = 0 and id < 6000 then 0 else id end as v")
+    out = sharding.assign(rows, ["k", "v"], 24, hash_key="k").cache()
+    got = out.groupBy("k", "v").count().exceptAll(rows.groupBy("k", "v").count())
+    assert got.count() == 0 and out.count() == 30_000
+    sizes = out.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.countDistinct("slot").alias("d")).collect()
+    assert {r.n for r in sizes} == {1250} and all(r.top == r.n - 1 and r.d == r.n for r in sizes)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "_range" in plan
+    out.unpersist()
