@@ -29,11 +29,17 @@ JUNK_TITLE = "<title>[^<]*[%*#]{3}"
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     index = decontam.build_index(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'postings')}/index")
-    found = decontam.search(index, decontam.phrases_of(table(spark, sf_dir, "benchmark")))
+    phrases = decontam.phrases_of(table(spark, sf_dir, "benchmark"))
+    folder = f"{new_run_dir(spark, 'found')}/rows"
+    decontam.search(index, phrases).withColumn("_set", decontam.set_of(F.col("held"))).write.parquet(folder)
+    found = spark.read.parquet(folder)
+    # a set of phrases has one list of items, however many documents hold it
+    listed = decontam.items_of(found, phrases).select("_set", F.size("items").cast("long").alias("n_items"),
+                                                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     n_hit = F.aggregate(F.zip_with("hit_from", "hit_to", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-                        (F.size("hit_from") > 0).alias("contaminated"))
+    return found.join(listed, "_set", "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.size("hit_from") > 0).alias("contaminated"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
