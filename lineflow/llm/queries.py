@@ -26,20 +26,27 @@ LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets
 JUNK_TITLE = "<title>[^<]*[%*#]{3}"
 
 
+SETS_BROADCAST = 500_000  # sets of phrases, of some 150 bytes
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     index = decontam.build_index(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'postings')}/index")
+    scratch_root(spark)
     phrases = decontam.phrases_of(table(spark, sf_dir, "benchmark"))
     folder = f"{new_run_dir(spark, 'found')}/rows"
     decontam.search(index, phrases).withColumn("_set", decontam.set_of(F.col("held"))).write.parquet(folder)
     found = spark.read.parquet(folder)
     # a set of phrases has one list of items, however many documents hold it
     listed = decontam.items_of(found, phrases).select("_set", F.size("items").cast("long").alias("n_items"),
-                                                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+                                                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).checkpoint()
+    few = F.broadcast(listed) if listed.count() <= SETS_BROADCAST else listed
     n_hit = F.aggregate(F.zip_with("hit_from", "hit_to", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found.join(listed, "_set", "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
-        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.size("hit_from") > 0).alias("contaminated"))
+    found = found.select("doc_id", "n_words", n_hit.alias("n_hit"), (F.size("hit_from") > 0).alias("contaminated"), "_set")
+    # documents without a set meet no join
+    clean = found.where("_set is null").withColumns({"n_items": F.lit(0).cast("long"), "items_sha256": F.sha2(F.lit(""), 256)})
+    return clean.unionByName(found.where("_set is not null").join(few, "_set")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
