@@ -75,8 +75,5 @@ def test_edges(spark):
 
 def test_pipeline_keeps_lettered_rows_without_labels(spark):
     docs = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
-    for c in corpus_pipeline.COLUMNS:
-        if c not in docs.columns:
-            docs = docs.withColumn(c, F.lit(0))
     kept = sorted(r.text for r in corpus_pipeline.language(spark, docs, "").collect())
     assert kept and kept == sorted(r.text for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
