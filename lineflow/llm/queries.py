@@ -50,13 +50,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files are the documents; a path is source, thousand, hundred and number of the document."""
+    """Files are the documents; a path is source, thousand, hundred and number of the document.
+
+    No document is named like a licence file, so the header of any covers its folder.
+    """
     docs = table(spark, sf_dir, "documents")
     n = F.col("doc_id")
     path = F.concat_ws("/", "source", F.concat(F.lit("k"), F.floor(n / 1000)), F.concat(F.lit("h"), F.floor(n / 100)),
                        F.concat(n, F.lit(".txt")))
     files = docs.select("doc_id", path.alias("path"), "text")
-    return licenses.scan(files).select("doc_id", "path", "license", F.round("score", 4).alias("score"), "basis")
+    return licenses.scan(files, opening=True).select("doc_id", "path", "license", F.round("score", 4).alias("score"), "basis")
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,50 +275,66 @@ FROM raw LEFT JOIN docs USING (r)
 
 
 def _license_sql() -> str:
-    """The scan in SQL, from the same templates and threshold."""
+    """The scan in SQL, from the same templates and thresholds; headers by lists of lines."""
     stop = ", ".join(f"'{w}'" for w in licenses.STOP)
 
     def words(c: str) -> str:
         return (f"list_filter(list_transform(string_split_regex(lower({c}), '{licenses.WORD}'), lambda x: regexp_replace(x, '[.]+$', '')), "
-                f"lambda x: x <> '' AND x NOT IN ({stop}))")
+                f"lambda x: regexp_matches(x, '[a-z0-9]') AND x NOT IN ({stop}))")
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
 
-    notices = ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())
+    notices = ", ".join(f"({i}, {quoted(k)}, {quoted(v)})" for i, (k, v) in enumerate(licenses.TEMPLATES))
+    signal = " OR ".join(f"contains(x, '{w}')" for w in licenses.SIGNALS)
+    empty = licenses.EMPTY_LINE.replace("\n", "\\n").replace("\t", "\\t").replace("\r", "\\r")
+    closed = " ".join(f"WHEN starts_with(body, '{a}') THEN string_split(substr(body, {len(a) + 1}), '{b}')[1]" for a, b in licenses.CLOSED_COMMENTS)
+    blanks = "chr(32) || chr(9) || chr(13)"
     return f"""
 WITH raw AS (
   SELECT row_number() OVER () AS r, doc_id, text,
          concat_ws('/', source, 'k' || CAST(floor(doc_id / 1000) AS BIGINT), 'h' || CAST(floor(doc_id / 100) AS BIGINT), doc_id || '.txt') AS path
   FROM documents),
 dirs AS (SELECT r, doc_id, path, regexp_extract(path, '(?s)^(.*)/[^/]*$', 1) AS dir FROM raw),
-lines AS (
-  SELECT r, row_number() OVER (PARTITION BY r ORDER BY pos) AS nth, line FROM (
-    SELECT r, pos, trim(l, chr(32) || chr(9) || chr(13)) AS line FROM (
-      SELECT r, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw))
-  WHERE line <> ''),
-total AS (SELECT count(*) AS n FROM lines),
-tmpl AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({words('notice')}) AS term FROM (VALUES {notices}) t(license, notice)) GROUP BY ALL),
+texts AS (
+  SELECT r, body, string_split(body, chr(10)) AS ls, string_split_regex(body, '{empty}') AS ps
+  FROM (SELECT r, trim(lower(text), {blanks} || chr(10)) AS body FROM raw)),
+plain AS (
+  SELECT *, coalesce(list_position(list_transform(ls, lambda l: regexp_matches(l, '^[ \\t]*{licenses.COMMENT_LINE}')), false) - 1, len(ls)) AS run FROM texts),
+blocks AS (
+  SELECT *, CASE {closed} WHEN regexp_matches(body, '^{licenses.COMMENT_LINE}') THEN array_to_string(ls[1:run], chr(10)) ELSE ps[1] END AS block FROM plain),
+spots AS (
+  SELECT DISTINCT r, kind, x FROM (
+    SELECT r, 0 AS kind, body AS x FROM blocks UNION ALL SELECT r, 1, ls[1] FROM blocks UNION ALL SELECT r, 1, block FROM blocks
+    UNION ALL SELECT r, 2, unnest(ps) FROM blocks UNION ALL SELECT r, 2, unnest(ls) FROM blocks) WHERE {signal}),
+total AS (SELECT count(text) AS n FROM raw),
+tmpl AS (
+  SELECT t, license, term, count(*) AS tf FROM (SELECT t, license, unnest({words('notice')}) AS term FROM (VALUES {notices}) v(t, license, notice)) GROUP BY ALL),
 vocab AS (SELECT DISTINCT term FROM tmpl),
-terms AS (SELECT line, copies, unnest(w) AS term FROM (SELECT line, count(*) AS copies, {words('line')} AS w FROM lines GROUP BY line)),
-df AS (SELECT term, sum(copies) AS c FROM (SELECT DISTINCT line, copies, term FROM terms) WHERE term IN (SELECT term FROM vocab) GROUP BY term),
+df AS (SELECT term, count(*) AS c FROM (SELECT DISTINCT r, unnest({words('text')}) AS term FROM raw) SEMI JOIN vocab USING (term) GROUP BY term),
 idf AS (SELECT v.term, ln((total.n + 1) / (coalesce(c, 0) + 1)) + 1 AS i FROM vocab v LEFT JOIN df USING (term), total),
-tw AS (SELECT license, term, tf * i AS w FROM tmpl JOIN idf USING (term)),
-tn AS (SELECT license, sqrt(sum(w * w)) AS s FROM tw GROUP BY license),
-near AS (SELECT DISTINCT line FROM terms WHERE term IN (SELECT term FROM vocab)),
+tw AS (SELECT t, license, term, tf * i AS w FROM tmpl JOIN idf USING (term)),
+tn AS (SELECT t, sqrt(sum(w * w)) AS s, count(*) AS size FROM tw GROUP BY t),
 lw AS (
-  SELECT line, term, tf * coalesce(i, ln(total.n + 1) + 1) AS w
-  FROM (SELECT line, term, count(*) AS tf FROM terms WHERE line IN (SELECT line FROM near) GROUP BY ALL) LEFT JOIN idf USING (term), total),
-ln_ AS (SELECT line, sqrt(sum(w * w)) AS s FROM lw GROUP BY line),
+  SELECT x, term, tf * coalesce(i, ln(total.n + 1) + 1) AS w
+  FROM (SELECT x, term, count(*) AS tf FROM (SELECT x, unnest({words('x')}) AS term FROM (SELECT DISTINCT x FROM spots)) GROUP BY ALL)
+  LEFT JOIN idf USING (term), total),
+ln_ AS (SELECT x, sqrt(sum(w * w)) AS s FROM lw GROUP BY x),
 score AS (
-  SELECT line, license, round(sum(lw.w * tw.w) / any_value(tn.s) / any_value(ln_.s), 6) AS sc
-  FROM lw JOIN tw USING (term) JOIN tn USING (license) JOIN ln_ USING (line) GROUP BY line, license),
-best AS (SELECT line, license, sc FROM score WHERE sc >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY line ORDER BY sc DESC, license) = 1),
-own AS (SELECT r, license, sc FROM lines JOIN best USING (line) QUALIFY row_number() OVER (PARTITION BY r ORDER BY sc DESC, license) = 1),
-heads AS (SELECT dir, license AS given FROM lines JOIN best USING (line) JOIN dirs USING (r) WHERE nth = 1
-          QUALIFY row_number() OVER (PARTITION BY dir ORDER BY sc DESC, license) = 1),
+  SELECT x, license, round(sum(lw.w * tw.w) / any_value(tn.s) / any_value(ln_.s), 6) AS sc
+  FROM lw JOIN tw USING (term) JOIN tn USING (t) JOIN ln_ USING (x) GROUP BY x, t, license HAVING count(*) >= least(2, any_value(size))),
+best AS (SELECT x, license, sc FROM score WHERE sc >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY x ORDER BY sc DESC, license) = 1),
+own AS (
+  SELECT r, kind, license, sc FROM spots JOIN best USING (x) WHERE kind > 0 OR sc >= {licenses.WHOLE_THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY kind, sc DESC, license) = 1),
+heads AS (
+  SELECT dir, license AS given FROM own JOIN dirs USING (r) WHERE kind <= 1 QUALIFY row_number() OVER (PARTITION BY dir ORDER BY sc DESC, license) = 1),
 given AS (
   SELECT d.r, h.dir AS up, h.given FROM dirs d JOIN heads h ON d.dir = h.dir OR h.dir = '' OR starts_with(d.dir, h.dir || '/')
   QUALIFY row_number() OVER (PARTITION BY d.r ORDER BY length(h.dir) DESC) = 1)
 SELECT doc_id, path, coalesce(own.license, given.given) AS license, round(sc, 4) AS score,
-       CASE WHEN own.license IS NOT NULL THEN 'own' WHEN given.given IS NOT NULL THEN 'folder:' || up ELSE 'none' END AS basis
+       CASE kind WHEN 0 THEN 'file' WHEN 1 THEN 'header' WHEN 2 THEN 'notice'
+            ELSE CASE WHEN given.given IS NOT NULL THEN 'folder:' || up ELSE 'none' END END AS basis
 FROM dirs LEFT JOIN own USING (r) LEFT JOIN given USING (r)
 """
 
