@@ -116,8 +116,9 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
     return flat[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(count)))]).astype(np.int64)
 
 
-def text_key() -> Column:
-    return F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit("key")).alias("b"))
+def text_key(text: str = "text") -> Column:
+    """Two hashes of different seeds: a literal hashed first is the seed of what follows."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("key"), F.col(text)).alias("b"))
 
 
 def _cells(flat: np.ndarray, cells: int) -> np.ndarray:
@@ -464,8 +465,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     marked = rows.where("not stays or copies > 1").select(
         F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")).checkpoint()
     # the row travels as one column, so that no name of its own can clash
-    own = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), F.col(doc_id).alias("_own_id"), F.struct(
-        F.xxhash64(text).alias("a"), F.xxhash64(F.col(text), F.lit("key")).alias("b")).alias("_own_key"))
+    own = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), F.col(doc_id).alias("_own_id"),
+                      text_key(text).alias("_own_key"))
     found = own.join(_small(marked, marked.count()),
                      F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left")
     repeated = found.where("_stays").dropDuplicates(["_id", "_key"])
