@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -193,30 +193,32 @@ def lettered(df: DataFrame, text: str = "text") -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def train(rows: DataFrame, text: str = "text", label: str = "lang", spec: TrainSpec = TrainSpec(),
-          order: Column | None = None) -> ByteNet | None:
+def train(rows: DataFrame, text: str = "text", label: str = "lang", spec: TrainSpec = TrainSpec()) -> ByteNet | None:
     """A network for the labels of ``rows``; None when no row has a label and text.
 
-    The sample is ``rows_per_label`` rows of each of the ``max_labels`` most
-    frequent labels, as the hash ``order`` (of the text unless given) picks them.
+    The sample is about ``rows_per_label`` distinct texts, twice as many at most, of
+    each of the ``max_labels`` most frequent labels, as the hash of the text picks
+    them; copies of a text count for one.
     """
-    order = F.xxhash64(F.col(text)) if order is None else order
-    rows = rows.select(F.col(label).cast("string").alias("y"), F.col(text).cast("string").alias("x"), order.alias("o"))
-    rows = rows.where(F.col("y").isNotNull() & (F.length("x") > 0))
-    counts = rows.groupBy("y").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "y").limit(spec.max_labels).collect()
+    rows = rows.select(F.col(label).cast("string").alias("y"), F.col(text).cast("string").alias("x"))
+    rows = rows.where(F.col("y").isNotNull() & (F.length("x") > 0)).withColumn("o", F.xxhash64("x"))
+    counts = rows.groupBy("y").agg(F.count("*").alias("n"), F.approx_count_distinct("o").alias("d"))
+    counts = counts.orderBy(F.desc("n"), "y").limit(spec.max_labels).collect()
     if not counts:
         return None
-    # a share of each label's hash range that holds about the wanted rows; the limit is a hard bound on top
+    # a share of each label's hash range that holds about the wanted texts; the rank by hash is a hard bound on top
     share = F.lit(-1.0)
     for r in counts:
-        share = F.when(F.col("y") == r["y"], F.lit(min(1.0, spec.rows_per_label / r["n"]))).otherwise(share)
+        share = F.when(F.col("y") == r["y"], F.lit(min(1.0, spec.rows_per_label / max(1, r["d"])))).otherwise(share)
     size = spec.window
     spot = [F.pmod(F.xxhash64("o", F.lit(k)), F.greatest(F.octet_length("x") - size + 1, F.lit(1))).cast("int") + 1
             for k in range(spec.windows_per_row)]
     raw = F.col("x").cast("binary")
     cut = F.array(*[F.when(F.octet_length("x") <= size, raw).otherwise(F.substring(raw, s, F.lit(size))) for s in spot])
-    taken = (rows.where(F.pmod(F.xxhash64("o", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
-             .select("y", F.array_distinct(cut).alias("w")).limit(2 * spec.rows_per_label * len(counts)).collect())
+    picked = F.pmod(F.xxhash64("o", F.lit("sample")), F.lit(1 << 40)) < share * (1 << 40)
+    taken = rows.where(picked).select("y", "o", F.array_distinct(cut).alias("w")).dropDuplicates(["y", "o"])
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("o"))
+    taken = taken.withColumn("rank", rank).where(F.col("rank") <= 2 * spec.rows_per_label).select("y", "w").collect()
     labels = sorted(r["y"] for r in counts)
     number = {y: i for i, y in enumerate(labels)}
     pieces = [(bytes(w), number[r["y"]]) for r in taken for w in r["w"]]

@@ -66,7 +66,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(as_string(F.col("doc_id")).cast("binary")) % 5 == 0
-    net = langid.train(docs.where(~held_out), order=F.xxhash64("doc_id"))
+    net = langid.train(docs.where(~held_out))
     out = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
     return out.select("doc_id", "held_out", "lang_pred", "score")
 

@@ -77,3 +77,13 @@ def test_pipeline_keeps_lettered_rows_without_labels(spark):
     docs = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
     kept = sorted(r.text for r in corpus_pipeline.language(spark, docs, "").collect())
     assert kept and kept == sorted(r.text for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+
+
+def test_copies_count_for_one_in_the_sample(spark):
+    """A text that fills a label is learned once, and whatever the partitions the sample is the same."""
+    rows = [("the cat and the dog of the house", "en")] * 3000 + [(f"der hund nummer {i} und die katze", "de") for i in range(900)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    nets = [langid.train(docs.repartition(n)) for n in (1, 7)]
+    assert nets[0].labels == ["de", "en"]
+    got = [[r.lang_pred for r in langid.predict(docs.where("doc_id % 500 = 0").orderBy("doc_id"), net).collect()] for net in nets]
+    assert got[0] == got[1] == ["en"] * 6 + ["de"] * 2
